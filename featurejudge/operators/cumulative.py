@@ -93,18 +93,18 @@ def exact_quantiles(df: DataFrame, value_col: str, probs: Sequence[float],
                .withColumn("_lo", F.floor("_pos"))
                .withColumn("_hi", F.ceil("_pos"))
                .withColumn("_frac", F.col("_pos") - F.col("_lo")))
-    ranks = targets.select(*groups, "prob", "_frac", "_size",
+    ranks = targets.select(*[F.col(g).alias(f"_k_{g}") for g in groups], "prob", "_frac", "_size",
                            F.explode(F.array(
                                F.struct(F.lit("lo").alias("which"), F.col("_lo").alias("r")),
                                F.struct(F.lit("hi").alias("which"), F.col("_hi").alias("r")))).alias("_t")) \
-                   .select(*groups, "prob", "_frac", "_size", "_t.which", "_t.r")
+                   .select(*[f"_k_{g}" for g in groups], "prob", "_frac", "_size", "_t.which", "_t.r")
     ranks = broadcast_if_small(ranks)
     # the value of 0-based rank r is the one whose running count first passes r
-    cond = [(ranked["_cum_n"] - ranked["_n"] <= ranks["r"]), (ranks["r"] < ranked["_cum_n"])]
-    cond += [ranked[g] == ranks[g] for g in groups]
+    cond = (F.col("_cum_n") - F.col("_n") <= F.col("r")) & (F.col("r") < F.col("_cum_n"))
+    for g in groups:
+        cond = cond & (F.col(g) == F.col(f"_k_{g}"))
     hits = ranked.join(ranks, cond, "inner").select(
-        *[ranks[g] for g in groups], ranks["prob"], ranks["_frac"], ranks["_size"], ranks["which"],
-        ranked[value_col].cast("double").alias("_v"))
+        *groups, "prob", "_frac", "_size", "which", F.col(value_col).cast("double").alias("_v"))
     out = hits.groupBy(*groups, "prob").agg(
         F.max(F.when(F.col("which") == "lo", F.col("_v"))).alias("_vlo"),
         F.max(F.when(F.col("which") == "hi", F.col("_v"))).alias("_vhi"),

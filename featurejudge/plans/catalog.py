@@ -369,9 +369,16 @@ def safe_parse(spark, sf):
                     F.col("value").cast("int").alias("value_int"))
 
 
+def _load_all() -> None:
+    # query modules register themselves on import
+    from featurejudge.plans import evaluation, fitted  # noqa: F401
+
+
 def all_queries() -> dict:
+    _load_all()
     return dict(QUERIES)
 
 
 def all_oracle() -> dict:
+    _load_all()
     return dict(ORACLE)

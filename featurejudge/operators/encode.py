@@ -47,6 +47,39 @@ def matrix_name(prefix: str | None, col: str, value, multi: bool) -> str:
     return sanitize_name("_".join(parts))
 
 
+def presence_aggs(code_cols: Sequence[str], vocab: Iterable, prefix: str, trim: bool = True) -> list[Column]:
+    """Aggregates giving, per group, 1 when any of the repeated code columns
+    holds the value (trimmed), else 0.  Same result as unpivot + presence
+    matrix, but fusable with other aggregates of the same detail table."""
+    def code(c):
+        return F.trim(F.col(c)) if trim else F.col(c)
+    out = []
+    for v in vocab:
+        hit = None
+        for c in code_cols:
+            h = code(c) == F.lit(v)
+            hit = h if hit is None else (hit | h)
+        out.append(F.max(F.when(hit, 1).otherwise(0)).alias(matrix_name(prefix, "", v, False)))
+    return out
+
+
+def count_aggs(vocabs: dict[str, Iterable], prefix: str | None = None) -> list[Column]:
+    """Aggregates counting each (column, value); see ``count_matrix``."""
+    multi = len(vocabs) > 1
+    return [F.sum(F.when(F.col(col) == F.lit(v), 1).otherwise(0)).cast("long")
+            .alias(matrix_name(prefix, col, v, multi))
+            for col, vocab in vocabs.items() for v in vocab]
+
+
+def first_by_agg(order_by: Sequence[str], col: str, where: Column | None = None, alias: str | None = None) -> Column:
+    """``col`` of the first row by a total order (optionally among rows
+    matching ``where``), as a partial-aggregation-friendly min of a struct."""
+    packed = F.struct(*[F.col(c) for c in order_by], F.col(col).alias("_value"))
+    if where is not None:
+        packed = F.when(where, packed)
+    return F.min(packed)["_value"].alias(alias or col)
+
+
 def presence_matrix(long: DataFrame, key: str, code_col: str, vocab: Iterable, prefix: str) -> DataFrame:
     """(key, code) rows -> one row per key with ``<prefix>_<code>`` = 1 when
     present, else 0."""
@@ -59,13 +92,7 @@ def count_matrix(df: DataFrame, key: str, vocabs: dict[str, Iterable], prefix: s
     """Count of each (column, value) per key.  Names are ``<prefix>_<value>``
     for one column and ``<prefix>_<column>_<value>`` for several (no two
     columns can collide)."""
-    multi = len(vocabs) > 1
-    aggs = []
-    for col, vocab in vocabs.items():
-        for v in vocab:
-            aggs.append(F.sum(F.when(F.col(col) == F.lit(v), 1).otherwise(0)).cast("long")
-                        .alias(matrix_name(prefix, col, v, multi)))
-    return df.groupBy(key).agg(*aggs)
+    return df.groupBy(key).agg(*count_aggs(vocabs, prefix))
 
 
 def distinct_count_flag(df: DataFrame, key: str, col: str, threshold: int = 1,

@@ -31,8 +31,10 @@ ROWS_PER_BUCKET = 250_000
 MAX_BUCKETS = 20_000
 
 
-def _bucket_column(df: DataFrame, order_col: str, n_rows: int, rows_per_bucket: int,
-                   max_buckets: int) -> DataFrame:
+def range_bucket(df: DataFrame, order_col: str, n_rows: int, rows_per_bucket: int = ROWS_PER_BUCKET,
+                 max_buckets: int = MAX_BUCKETS) -> DataFrame:
+    """Add ``_bkt``: range bucket of ``order_col`` at approximate quantile
+    split points, about ``rows_per_bucket`` rows each."""
     n_buckets = min(max_buckets, max(1, math.ceil(n_rows / rows_per_bucket)))
     if n_buckets <= 1:
         return df.withColumn("_bkt", F.lit(0.0))
@@ -57,7 +59,7 @@ def running_total(df: DataFrame, order_col: str, value_cols: Sequence[str],
     numeric or timestamp-like (cast to double only to pick bucket bounds)."""
     parts = list(partition_cols)
     n_rows = df.count()
-    bucketed = _bucket_column(df, order_col, n_rows, rows_per_bucket, max_buckets)
+    bucketed = range_bucket(df, order_col, n_rows, rows_per_bucket, max_buckets)
 
     totals = bucketed.groupBy(*parts, "_bkt").agg(*[F.sum(v).alias(f"_t_{v}") for v in value_cols])
     bucket_order = F.desc("_bkt") if descending else F.asc("_bkt")

@@ -20,12 +20,12 @@ from __future__ import annotations
 import math
 from collections.abc import Sequence
 
+from pyspark import StorageLevel
 from pyspark.ml.feature import Bucketizer
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from featurejudge.operators.joins import broadcast_if_small
 
 ROWS_PER_BUCKET = 250_000
 MAX_BUCKETS = 20_000
@@ -58,6 +58,9 @@ def running_total(df: DataFrame, order_col: str, value_cols: Sequence[str],
     ascending or descending order.  ``order_col`` must be non-null and
     numeric or timestamp-like (cast to double only to pick bucket bounds)."""
     parts = list(partition_cols)
+    # the input is read by the count, the split-point sketch and the final
+    # plan; keep it so its lineage runs once (recomputed on executor loss)
+    df = df.persist(StorageLevel.MEMORY_AND_DISK)
     n_rows = df.count()
     bucketed = range_bucket(df, order_col, n_rows, rows_per_bucket, max_buckets)
 
@@ -66,7 +69,7 @@ def running_total(df: DataFrame, order_col: str, value_cols: Sequence[str],
     before = Window.partitionBy(*parts).orderBy(bucket_order).rowsBetween(Window.unboundedPreceding, -1)
     offsets = totals.select(*parts, "_bkt", *[
         F.coalesce(F.sum(f"_t_{v}").over(before), F.lit(0)).alias(f"_o_{v}") for v in value_cols])
-    offsets = broadcast_if_small(offsets)
+    # offsets: one row per (partition, bucket); AQE broadcasts it when small
 
     order = F.desc(order_col) if descending else F.asc(order_col)
     within = (Window.partitionBy(*parts, "_bkt").orderBy(order)
@@ -95,21 +98,27 @@ def exact_quantiles(df: DataFrame, value_col: str, probs: Sequence[float],
                .withColumn("_lo", F.floor("_pos"))
                .withColumn("_hi", F.ceil("_pos"))
                .withColumn("_frac", F.col("_pos") - F.col("_lo")))
-    ranks = targets.select(*[F.col(g).alias(f"_k_{g}") for g in groups], "prob", "_frac", "_size",
-                           F.explode(F.array(
-                               F.struct(F.lit("lo").alias("which"), F.col("_lo").alias("r")),
-                               F.struct(F.lit("hi").alias("which"), F.col("_hi").alias("r")))).alias("_t")) \
-                   .select(*[f"_k_{g}" for g in groups], "prob", "_frac", "_size", "_t.which", "_t.r")
-    ranks = broadcast_if_small(ranks)
-    # the value of 0-based rank r is the one whose running count first passes r
-    cond = (F.col("_cum_n") - F.col("_n") <= F.col("r")) & (F.col("r") < F.col("_cum_n"))
-    for g in groups:
-        cond = cond & (F.col(g) == F.col(f"_k_{g}"))
-    hits = ranked.join(ranks, cond, "inner").select(
-        *groups, "prob", "_frac", "_size", "which", F.col(value_col).cast("double").alias("_v"))
+    # per group, the (prob, lo/hi, rank) targets as one array; an equi-join
+    # on the group (a constant key when there is none) attaches it to the
+    # value rows, which keep only the rows whose rank range holds a target
+    target = F.struct("prob", "_frac", "_size", F.col("_lo").alias("_r_lo"), F.col("_hi").alias("_r_hi"))
+    gkeys = groups or ["_all"]
+    if not groups:
+        targets = targets.withColumn("_all", F.lit(0))
+        ranked = ranked.withColumn("_all", F.lit(0))
+    per_group = targets.groupBy(*gkeys).agg(F.collect_list(target).alias("_targets"))
+    lo, hi = F.col("_cum_n") - F.col("_n"), F.col("_cum_n")
+    hits = (ranked.join(per_group, gkeys, "inner")
+                  .select(*groups, F.col(value_col).cast("double").alias("_v"),
+                          F.explode(F.filter("_targets", lambda t: ((lo <= t["_r_lo"]) & (t["_r_lo"] < hi)) |
+                                                               ((lo <= t["_r_hi"]) & (t["_r_hi"] < hi)))).alias("t"),
+                          lo.alias("_clo"), hi.alias("_chi"))
+                  .select(*groups, "_v", "t.prob", "t._frac", "t._size",
+                          ((F.col("_clo") <= F.col("t._r_lo")) & (F.col("t._r_lo") < F.col("_chi"))).alias("_is_lo"),
+                          ((F.col("_clo") <= F.col("t._r_hi")) & (F.col("t._r_hi") < F.col("_chi"))).alias("_is_hi")))
     out = hits.groupBy(*groups, "prob").agg(
-        F.max(F.when(F.col("which") == "lo", F.col("_v"))).alias("_vlo"),
-        F.max(F.when(F.col("which") == "hi", F.col("_v"))).alias("_vhi"),
+        F.max(F.when(F.col("_is_lo"), F.col("_v"))).alias("_vlo"),
+        F.max(F.when(F.col("_is_hi"), F.col("_v"))).alias("_vhi"),
         F.first("_frac").alias("_frac"), F.first("_size").alias("n"))
     return out.select(*groups, "prob",
                       (F.col("_vlo") + F.col("_frac") * (F.col("_vhi") - F.col("_vlo"))).alias("quantile"),

@@ -14,7 +14,6 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from featurejudge.operators.cumulative import exact_quantiles, running_total
-from featurejudge.operators.joins import broadcast_if_small
 
 MAX_CLASSES = 10_000
 
@@ -181,7 +180,7 @@ def box_stats(long: DataFrame, group_cols: Sequence[str], value_col: str) -> Dat
         F.max(F.when(F.col("prob") == 0.5, F.col("quantile"))).alias("median"),
         F.max(F.when(F.col("prob") == 0.75, F.col("quantile"))).alias("q3"))
     qw = qw.withColumn("iqr", F.col("q3") - F.col("q1"))
-    qw = broadcast_if_small(qw)
+    # one row per group; AQE broadcasts it at run time when small
     v = F.col(value_col)
     return long.join(qw, groups, "inner").groupBy(*groups, "q1", "median", "q3", "iqr").agg(
         F.count(v).alias("n"), F.min(v).alias("min"), F.max(v).alias("max"),

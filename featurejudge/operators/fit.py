@@ -17,7 +17,6 @@ from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
 from featurejudge.operators.cumulative import exact_quantiles
-from featurejudge.operators.joins import broadcast_if_small
 
 MAX_CLASSES = 10_000
 
@@ -105,7 +104,7 @@ def class_weights(df: DataFrame, label: str, weight_col: str = "weight") -> Data
 
 
 def with_class_weights(df: DataFrame, label: str, weight_col: str = "weight") -> DataFrame:
-    weights = broadcast_if_small(class_weights(df, label, weight_col).select(label, weight_col))
+    weights = class_weights(df, label, weight_col).select(label, weight_col)
     return df.join(weights, label, "left")
 
 
@@ -116,15 +115,14 @@ def label_index(df: DataFrame, label: str, index_col: str = "target",
     The window runs on the distinct-label table only."""
     text = F.col(label).cast("string") if as_text else F.col(label)
     labels = df.select(text.alias("label_text")).where(F.col("label_text").isNotNull()).distinct()
+    # one row per distinct label; AQE broadcasts it at run time when small
     labels = labels.withColumn(index_col, (F.row_number().over(Window.orderBy("label_text")) - 1).cast("int"))
-    labels = broadcast_if_small(labels)
     indexed = df.withColumn("label_text", text).join(labels, "label_text", "left").drop("label_text")
     return indexed, labels
 
 
 def index_to_label(df: DataFrame, index_col: str, labels: DataFrame, out_col: str = "label_text") -> DataFrame:
-    lab = broadcast_if_small(labels.select(F.col(labels.columns[1]).alias(index_col),
-                                           F.col("label_text").alias(out_col)))
+    lab = labels.select(F.col(labels.columns[1]).alias(index_col), F.col("label_text").alias(out_col))
     return df.join(lab, index_col, "left")
 
 
@@ -153,31 +151,46 @@ def split_hash(key: str, seed: int) -> Column:
     return F.md5(F.concat(F.lit(f"{seed}:"), F.col(key).cast("string")))
 
 
+def split_quotas(rows: DataFrame, label: str, test_fraction: float) -> DataFrame:
+    """(label, _quota): test rows per class, computed in Spark on the
+    class-count table (one row per class): floor of each quota plus one for
+    the classes with the largest remainders until the total is
+    ceil(test_fraction * n); remainder ties go to the smaller class value.
+    Exact integer arithmetic (0.2 is 1/5)."""
+    p = Fraction(str(test_fraction)).limit_denominator(10**9)
+    num, den = p.numerator, p.denominator
+    cc = rows.groupBy(label).agg(F.count(F.lit(1)).alias("_n"))
+    everything = Window.partitionBy()  # the class-count table: one row per class
+    cc = (cc.withColumn("_base", F.expr(f"(_n * {num}) div {den}"))
+            .withColumn("_rem", F.expr(f"(_n * {num}) % {den}"))
+            .withColumn("_total", F.expr(f"(sum(_n) OVER () * {num} + {den} - 1) div {den}"))
+            .withColumn("_extra", F.col("_total") - F.sum("_base").over(everything))
+            .withColumn("_ord", F.row_number().over(Window.orderBy(F.desc("_rem"), F.asc(label)))))
+    return cc.select(label, (F.col("_base") + F.when(F.col("_ord") <= F.col("_extra"), 1).otherwise(0))
+                     .cast("long").alias("_quota"))
+
+
 def stratified_split(df: DataFrame, key: str, label: str, test_fraction: float = 0.2,
                      seed: int = 42, split_col: str = "split", prefix_len: int = 5) -> DataFrame:
     """Exact stratified split: in each class the rows with the smallest
-    (md5(seed:key), key) go to test, as many as ``split_allocation`` gives.
+    (md5(seed:key), key) go to test, as many as ``split_quotas`` gives.
 
     No window spans a class: rows are histogrammed into 16**prefix_len hash
     buckets per class; buckets wholly below the cut are test, wholly above
-    are train (decided by a broadcast join of one row per class), and only
-    the rows of each class's cut bucket are ranked.  Rows with a null label
-    are left out.
+    are train (decided by a join with one row per class), and only the rows
+    of each class's cut bucket are ranked.  Everything is lazy: the small
+    tables (class counts, histogram, cuts) are planned, not collected.  Rows
+    with a null label are left out.
     """
     rows = df.where(F.col(label).isNotNull())
-    alloc = split_allocation(class_counts(rows, label), test_fraction)
     hashed = rows.withColumn("_h", split_hash(key, seed)).withColumn("_b", F.substring("_h", 1, prefix_len))
-
+    quota = split_quotas(rows, label, test_fraction)
     hist = hashed.groupBy(label, "_b").agg(F.count(F.lit(1)).alias("_cnt"))
-    label_type = df.schema[label].dataType
-    quota_schema = T.StructType([T.StructField(label, label_type), T.StructField("_quota", T.LongType())])
-    quota = F.broadcast(df.sparkSession.createDataFrame([(k, int(v)) for k, v in alloc.items()], quota_schema))
     w = Window.partitionBy(label).orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
     cuts = (hist.join(quota, label)
                 .withColumn("_before", F.coalesce(F.sum("_cnt").over(w), F.lit(0)))
                 .where((F.col("_before") < F.col("_quota")) & (F.col("_before") + F.col("_cnt") >= F.col("_quota")))
                 .select(label, F.col("_b").alias("_cut"), (F.col("_quota") - F.col("_before")).alias("_need")))
-    cuts = broadcast_if_small(cuts)
 
     tagged = hashed.join(cuts, label, "left")
     in_cut = F.col("_b") == F.col("_cut")

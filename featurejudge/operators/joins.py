@@ -106,7 +106,7 @@ def semi_join_values(df: DataFrame, col: str, values: DataFrame, values_col: str
                      max_broadcast_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
     """Rows of ``df`` whose ``col`` is one of ``values`` (membership filter)."""
     vcol = values_col or col
-    v = broadcast_if_small(values.select(F.col(vcol).alias("_v")).distinct(), max_broadcast_rows)
+    v = values.select(F.col(vcol).alias("_v")).distinct()  # AQE broadcasts small value sets
     return df.join(v, df[col] == v["_v"], "left_semi")
 
 

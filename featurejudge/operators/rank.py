@@ -15,7 +15,6 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from featurejudge.functions.text import display_label, percent_text
-from featurejudge.operators.joins import broadcast_if_small
 
 
 def flag_impact(df: DataFrame, flags: Sequence[str], label: str) -> DataFrame:
@@ -84,7 +83,7 @@ def rank_consensus(ranked: DataFrame, features: Sequence[str], models: Sequence[
     return (wide.withColumn("position", F.row_number().over(pos))
                 .withColumn("display_name", display_label(feature))
                 .withColumn("is_theory", theory.cast("int"))
-                .join(broadcast_if_small(all_pos), feature, "left"))
+                .join(all_pos, feature, "left"))
 
 
 def compare_models(runs: DataFrame, model: str = "model", metric: str = "accuracy",

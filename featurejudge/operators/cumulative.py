@@ -29,6 +29,7 @@ from pyspark.sql.window import Window
 
 ROWS_PER_BUCKET = 250_000
 MAX_BUCKETS = 20_000
+SMALL_DISTINCT = 1_000_000
 
 
 def range_bucket(df: DataFrame, order_col: str, n_rows: int, rows_per_bucket: int = ROWS_PER_BUCKET,
@@ -38,7 +39,10 @@ def range_bucket(df: DataFrame, order_col: str, n_rows: int, rows_per_bucket: in
     n_buckets = min(max_buckets, max(1, math.ceil(n_rows / rows_per_bucket)))
     if n_buckets <= 1:
         return df.withColumn("_bkt", F.lit(0.0))
-    with_d = df.withColumn("_ord_d", F.col(order_col).cast("double"))
+    # -0.0 and 0.0 are equal to the ordered window but not to the bucket
+    # search; map both to 0.0 so equal keys always share a bucket
+    d = F.col(order_col).cast("double")
+    with_d = df.withColumn("_ord_d", F.when(d == 0.0, F.lit(0.0)).otherwise(d))
     probs = [i / n_buckets for i in range(1, n_buckets)]
     splits = with_d.approxQuantile("_ord_d", probs, 1.0 / (4 * n_buckets))
     inner = sorted({s for s in splits if s is not None and not math.isnan(s) and not math.isinf(s)})
@@ -62,8 +66,13 @@ def running_total(df: DataFrame, order_col: str, value_cols: Sequence[str],
     # plan; keep it so its lineage runs once (recomputed on executor loss)
     df = df.persist(StorageLevel.MEMORY_AND_DISK)
     n_rows = df.count()
-    bucketed = range_bucket(df, order_col, n_rows, rows_per_bucket, max_buckets)
+    if n_rows <= rows_per_bucket:
+        # small input: one ordered window per partition key is already bounded
+        order = F.desc(order_col) if descending else F.asc(order_col)
+        w = Window.partitionBy(*parts).orderBy(order).rangeBetween(Window.unboundedPreceding, Window.currentRow)
+        return df.withColumns({f"{prefix}{v}": F.sum(v).over(w) for v in value_cols})
 
+    bucketed = range_bucket(df, order_col, n_rows, rows_per_bucket, max_buckets)
     totals = bucketed.groupBy(*parts, "_bkt").agg(*[F.sum(v).alias(f"_t_{v}") for v in value_cols])
     bucket_order = F.desc("_bkt") if descending else F.asc("_bkt")
     before = Window.partitionBy(*parts).orderBy(bucket_order).rowsBetween(Window.unboundedPreceding, -1)
@@ -81,7 +90,7 @@ def running_total(df: DataFrame, order_col: str, value_cols: Sequence[str],
 
 
 def exact_quantiles(df: DataFrame, value_col: str, probs: Sequence[float],
-                    group_cols: Sequence[str] = ()) -> DataFrame:
+                    group_cols: Sequence[str] = (), small_distinct: int = SMALL_DISTINCT) -> DataFrame:
     """Exact linearly interpolated quantiles (same definition as
     ``percentile`` / ``quantile_cont``) of non-null ``value_col`` per group.
 
@@ -89,7 +98,16 @@ def exact_quantiles(df: DataFrame, value_col: str, probs: Sequence[float],
     """
     groups = list(group_cols)
     counts = (df.where(F.col(value_col).isNotNull())
-                .groupBy(*groups, value_col).agg(F.count(F.lit(1)).alias("_n")))
+                .groupBy(*groups, value_col).agg(F.count(F.lit(1)).alias("_n"))
+                .persist(StorageLevel.MEMORY_AND_DISK))
+    if counts.count() <= small_distinct:
+        # bounded number of distinct values: Spark's exact percentile with
+        # frequencies buffers at most that many (value, count) pairs
+        pct = F.percentile(F.col(value_col).cast("double"), [float(p) for p in probs], F.col("_n"))
+        per = counts.groupBy(*groups).agg(pct.alias("_q"), F.sum("_n").alias("n"))
+        return per.select(*groups, F.posexplode("_q").alias("_i", "quantile"), F.col("n").cast("long")) \
+                  .withColumn("prob", F.element_at(F.array(*[F.lit(float(p)) for p in probs]), F.col("_i") + 1)) \
+                  .select(*groups, "prob", "quantile", "n")
     ranked = running_total(counts, value_col, ["_n"], groups, prefix="_cum")
     sizes = counts.groupBy(*groups).agg(F.sum("_n").alias("_size"))
     targets = (sizes

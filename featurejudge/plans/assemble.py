@@ -24,6 +24,7 @@ from pyspark.sql import functions as F
 
 from featurejudge.functions.columns import numeric_columns, sanitize_name
 from featurejudge.operators import encode, fit, joins
+from featurejudge.session import cut_lineage
 
 
 @dataclass
@@ -76,7 +77,8 @@ def assemble_features(fact: DataFrame, key: str, label: str, details: list[Detai
                                   lk.desc_col, lk.seq_col)
 
     dropped = frame.where(F.col(label).isNull())
-    split = fit.stratified_split(frame, key, label, test_fraction, seed)
+    # joins + split run once; the fits below and the final select read it
+    split = cut_lineage(fit.stratified_split(frame, key, label, test_fraction, seed))
     train = F.col("split") == "train"
 
     categorical = categorical or {}

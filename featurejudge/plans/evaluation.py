@@ -238,7 +238,8 @@ def coef_summary(spark, sf):
     return rank.coef_summary(coefs, top=15, places=6)
 
 
-COMPARISON_RULES = {"long_text": F.col("n_chars") > LONG_TEXT_CHARS, "english": F.col("lang") == "en"}
+def comparison_rules() -> dict:
+    return {"long_text": F.col("n_chars") > LONG_TEXT_CHARS, "english": F.col("lang") == "en"}
 
 
 @query("model_comparison",
@@ -254,7 +255,7 @@ def model_comparison(spark, sf):
     d = table(spark, sf, "documents").select("doc_id", "n_chars", "lang", "text")
     d = d.withColumn("supply_flag", tx.keyword_flag("text", tx.SUPPLY_V2)).drop("text")
     d = d.join(table(spark, sf, "labels").select("doc_id", "quality"), "doc_id", "inner")
-    preds = {**{k: v.cast("int") for k, v in COMPARISON_RULES.items()}, "supply_flag": F.col("supply_flag")}
+    preds = {**{k: v.cast("int") for k, v in comparison_rules().items()}, "supply_flag": F.col("supply_flag")}
     one = d.agg(*[F.avg((p == F.col("quality")).cast("double")).alias(k) for k, p in preds.items()])
     runs = one.select(F.explode(F.array(*[F.struct(F.lit(k).alias("model"), F.col(k).alias("accuracy"))
                                           for k in preds])).alias("r")).select("r.*")

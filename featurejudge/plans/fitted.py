@@ -11,6 +11,7 @@ from featurejudge.functions.columns import col_or_default, columns_like, numeric
 from featurejudge.functions import text as tx
 from featurejudge.operators import encode, fit
 from featurejudge.plans.catalog import query, r6, sql_flag
+from featurejudge.session import cut_lineage
 from featurejudge.sources.tables import table
 
 SEED = 42
@@ -61,8 +62,8 @@ ORDER_STATS_SQL = ("base AS (SELECT o.o_orderkey, o.o_orderstatus, o.o_totalpric
        "round(coalesce(n_lines, m2, 0), 6) AS n_lines, round(coalesce(o_totalprice, m3, 0), 6) AS o_totalprice "
        "FROM split, med")
 def impute_median(spark, sf):
-    base = fit.stratified_split(order_line_stats(spark, sf), "o_orderkey", "o_orderstatus",
-                                TEST_FRACTION, SEED)
+    base = cut_lineage(fit.stratified_split(order_line_stats(spark, sf), "o_orderkey", "o_orderstatus",
+                                            TEST_FRACTION, SEED))
     cols = ["avg_discount", "n_lines", "o_totalprice"]
     med = fit.fit_medians(base, cols, where=F.col("split") == "train")
     out = fit.impute(base, med, fallback=0)
@@ -88,7 +89,7 @@ def impute_mode(spark, sf):
     cnt = li.groupBy(F.col("l_orderkey").alias("o_orderkey")).agg(F.count(F.lit(1)).alias("n_lines"))
     base = table(spark, sf, "orders").select("o_orderkey", "o_orderstatus") \
         .join(prim, "o_orderkey", "left").join(cnt, "o_orderkey", "left")
-    base = fit.stratified_split(base, "o_orderkey", "o_orderstatus", TEST_FRACTION, SEED)
+    base = cut_lineage(fit.stratified_split(base, "o_orderkey", "o_orderstatus", TEST_FRACTION, SEED))
     modes = fit.fit_modes(base, ["direction", "n_lines"], where=F.col("split") == "train")
     out = fit.impute(base, {"direction": modes["direction"]}, fallback=None)
     out = fit.impute(out, {"n_lines": modes["n_lines"]}, fallback=0)

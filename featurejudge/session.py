@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -22,6 +23,9 @@ LOCAL_CONF = {
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    # checkpoint files of materialized intermediate tables are removed once
+    # the DataFrame that reads them is garbage-collected
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
 }
 
 
@@ -59,7 +63,15 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:
-    """Reliable checkpoint into the session's checkpoint folder (never a
-    local checkpoint: an executor loss must not lose the data)."""
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    """Materialize ``df`` once as a parquet table in a fresh folder under the
+    session's (shared) checkpoint folder and return a DataFrame reading it.
+
+    Used where one intermediate table feeds several actions (fits,
+    vocabularies, the final write): the upstream joins run once, an executor
+    loss re-reads files instead of re-running the lineage, and the reader
+    gets column pruning and filter pushdown.  Never a local checkpoint."""
+    spark = df.sparkSession
+    root = ensure_checkpoint_dir(spark).rstrip("/")
+    path = f"{root}/tables/{uuid.uuid4().hex}"
+    df.write.mode("error").parquet(path)
+    return spark.read.parquet(path)

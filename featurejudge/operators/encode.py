@@ -42,6 +42,34 @@ def fitted_vocabulary(df: DataFrame, col: str, max_size: int = MAX_VOCABULARY) -
     return sorted(r[0] for r in vals)
 
 
+def fitted_vocabularies(df: DataFrame, cols: Sequence[str], max_size: int = MAX_VOCABULARY) -> dict:
+    """``fitted_vocabulary`` for several columns in one job (values are
+    carried as text and cast back to each column's type)."""
+    if not cols:
+        return {}
+    pairs = F.explode(F.array(*[F.struct(F.lit(c).alias("c"), F.col(c).cast("string").alias("v")) for c in cols]))
+    rows = (df.select(pairs.alias("p")).select("p.c", "p.v").where(F.col("v").isNotNull()).distinct()
+              .limit(max_size * len(cols) + 1).collect())
+    out = {c: [] for c in cols}
+    for r in rows:
+        out[r["c"]].append(r["v"])
+    types = {f.name: f.dataType for f in df.schema.fields}
+    for c, vals in out.items():
+        if len(vals) > max_size:
+            raise ValueError(f"vocabulary of {c} exceeds {max_size} values")
+        if type(types[c]).__name__ != "StringType":
+            vals = [r[0] for r in df.sparkSession.createDataFrame([(v,) for v in vals], "v string")
+                    .select(F.col("v").cast(types[c])).collect()]
+        out[c] = sorted(vals)
+    return out
+
+
+def multi_value_flag(col: str, alias: str) -> Column:
+    """1 when a group holds more than one distinct non-null value of ``col``
+    (same as ``count_distinct > 1``, but a plain min/max hash aggregate)."""
+    return F.when(F.max(col) > F.min(col), 1).when(F.max(col).isNotNull(), 0).alias(alias)
+
+
 def matrix_name(prefix: str | None, col: str, value, multi: bool) -> str:
     parts = [p for p in (prefix, col if multi or not prefix else None, str(value)) if p]
     return sanitize_name("_".join(parts))

@@ -12,6 +12,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.window import Window
 
 from featurejudge.operators.cumulative import exact_quantiles, running_total
 
@@ -53,13 +54,18 @@ def accuracy(pred: DataFrame, label: str, prediction: str) -> DataFrame:
 
 
 def per_class_stats(cm: DataFrame) -> DataFrame:
-    """(class, tp, support, predicted, precision, recall, f1) from dense counts;
-    0/0 -> 0 as in the surveyed reports."""
-    rows = cm.groupBy(F.col("true_class").alias("cls")).agg(
-        F.sum("n").alias("support"),
-        F.sum(F.when(F.col("true_class") == F.col("pred_class"), F.col("n")).otherwise(0)).alias("tp"))
-    cols = cm.groupBy(F.col("pred_class").alias("cls")).agg(F.sum("n").alias("predicted"))
-    s = rows.join(cols, "cls")
+    """(cls, support, tp, predicted, precision, recall, f1_score) from dense
+    counts in one aggregation: each cell counts toward its true class's
+    support and its predicted class's column total.  0/0 -> 0 as in the
+    surveyed reports."""
+    cell = F.explode(F.array(
+        F.struct(F.col("true_class").alias("cls"), F.col("n").alias("support"),
+                 F.when(F.col("true_class") == F.col("pred_class"), F.col("n")).otherwise(0).alias("tp"),
+                 F.lit(0).cast("long").alias("predicted")),
+        F.struct(F.col("pred_class").alias("cls"), F.lit(0).cast("long").alias("support"),
+                 F.lit(0).cast("long").alias("tp"), F.col("n").alias("predicted"))))
+    s = cm.select(cell.alias("c")).select("c.*").groupBy("cls").agg(
+        F.sum("support").alias("support"), F.sum("tp").alias("tp"), F.sum("predicted").alias("predicted"))
     precision = F.when(F.col("predicted") > 0, F.col("tp") / F.col("predicted")).otherwise(0.0)
     recall = F.when(F.col("support") > 0, F.col("tp") / F.col("support")).otherwise(0.0)
     s = s.withColumn("precision", precision).withColumn("recall", recall)
@@ -76,25 +82,31 @@ def classification_report(pred: DataFrame, label: str, prediction: str,
 
 
 def report_from_counts(cm: DataFrame) -> DataFrame:
-    """The report from a dense (true_class, pred_class, n) table."""
+    """The report from a dense (true_class, pred_class, n) table.  The
+    summary rows come from windows over the per-class table (one row per
+    class), so the counts are read once."""
     st = per_class_stats(cm)
-    per = st.select(F.col("cls").cast("string").alias("class"), "precision", "recall", "f1_score",
-                    F.col("support").cast("double").alias("support"))
-    tot = st.agg(F.sum("support").alias("n"), F.sum("tp").alias("tp"), F.count(F.lit(1)).alias("k"),
-                 F.avg("precision").alias("mp"), F.avg("recall").alias("mr"), F.avg("f1_score").alias("mf"),
-                 F.sum(F.col("precision") * F.col("support")).alias("wp"),
-                 F.sum(F.col("recall") * F.col("support")).alias("wr"),
-                 F.sum(F.col("f1_score") * F.col("support")).alias("wf"))
-    acc = F.col("tp") / F.col("n")
-    summary = tot.select(F.explode(F.array(
-        F.struct(F.lit("accuracy").alias("class"), acc.alias("precision"), acc.alias("recall"),
-                 acc.alias("f1_score"), acc.alias("support")),
-        F.struct(F.lit("macro avg").alias("class"), F.col("mp").alias("precision"), F.col("mr").alias("recall"),
-                 F.col("mf").alias("f1_score"), F.col("n").cast("double").alias("support")),
-        F.struct(F.lit("weighted avg").alias("class"), (F.col("wp") / F.col("n")).alias("precision"),
-                 (F.col("wr") / F.col("n")).alias("recall"), (F.col("wf") / F.col("n")).alias("f1_score"),
-                 F.col("n").cast("double").alias("support")))).alias("r")).select("r.*")
-    return per.unionByName(summary)
+    allc = Window.partitionBy()  # one row per class
+    st = st.withColumns({
+        "_n": F.sum("support").over(allc), "_tp": F.sum("tp").over(allc),
+        "_mp": F.avg("precision").over(allc), "_mr": F.avg("recall").over(allc), "_mf": F.avg("f1_score").over(allc),
+        "_wp": F.sum(F.col("precision") * F.col("support")).over(allc),
+        "_wr": F.sum(F.col("recall") * F.col("support")).over(allc),
+        "_wf": F.sum(F.col("f1_score") * F.col("support")).over(allc),
+        "_first": F.row_number().over(Window.orderBy("cls")) == 1})
+    n = F.col("_n").cast("double")
+    acc = F.col("_tp") / n
+
+    def row(name, p, r, f, sup):
+        return F.struct(name.alias("class"), p.alias("precision"), r.alias("recall"), f.alias("f1_score"),
+                        sup.alias("support"))
+    own = row(F.col("cls").cast("string"), F.col("precision"), F.col("recall"), F.col("f1_score"),
+              F.col("support").cast("double"))
+    summary = [row(F.lit("accuracy"), acc, acc, acc, acc),
+               row(F.lit("macro avg"), F.col("_mp"), F.col("_mr"), F.col("_mf"), n),
+               row(F.lit("weighted avg"), F.col("_wp") / n, F.col("_wr") / n, F.col("_wf") / n, n)]
+    rows = F.when(F.col("_first"), F.array(own, *summary)).otherwise(F.array(own))
+    return st.select(F.explode(rows).alias("r")).select("r.*")
 
 
 def per_class_recall(pred: DataFrame, label: str, prediction: str, classes: Sequence | None = None) -> DataFrame:

@@ -89,8 +89,9 @@ def assemble_features(fact: DataFrame, key: str, label: str, details: list[Detai
         split = fit.impute(split, fit.fit_medians(split, numeric, where=train), fallback=0)
 
     onehot_cols = []
+    vocabs = encode.fitted_vocabularies(split.where(train), list(categorical))
     for col, prefix in categorical.items():
-        vocab = encode.fitted_vocabulary(split.where(train), col)
+        vocab = vocabs[col]
         split = encode.one_hot(split, col, vocab, prefix=prefix, drop=True)
         onehot_cols += [sanitize_name(f"{prefix}_{v}") for v in vocab]
     split = split.drop(*drop)

@@ -43,10 +43,10 @@ def assembled(spark, sf):
     line_aggs = [encode.first_by_agg(LINE_TOTAL_ORDER, "l_returnflag", F.col("l_linenumber") == 1, "direction"),
                  F.sum("l_quantity").alias("duration_days"),
                  *encode.presence_aggs(["terra1", "terra2", "terra3"], terra_vocab, "terra"),
-                 F.count_distinct("l_linenumber").alias("n_phases"),
+                 encode.multi_value_flag("l_linenumber", "multi_phase"),
                  *encode.count_aggs({"l_linestatus": LINE_STATUS}, "bel")]
     details = [
-        DetailSpec(li, "l_orderkey", line_aggs, derived={"multi_phase": encode.threshold_flag("n_phases", 1)}),
+        DetailSpec(li, "l_orderkey", line_aggs),
         DetailSpec(table(spark, sf, "customer"), "c_custkey", None, on="o_custkey",
                    columns=["c_mktsegment", "c_nationkey"]),
         DetailSpec(events, "user_id", encode.count_aggs({"event_type": event_vocab}, "evt"), on="o_custkey"),
@@ -67,7 +67,7 @@ def _sql() -> str:
     bel = ", ".join(f"sum(CASE WHEN l_linestatus = '{v}' THEN 1 ELSE 0 END) AS bel_{v}" for v in LINE_STATUS)
     evt = ", ".join(f"sum(CASE WHEN event_type = '{v}' THEN 1 ELSE 0 END) AS evt_{v}" for v in EVENT_TYPES_SQL)
     numeric = (["o_totalprice", "duration_days"] + [f"terra_{v}" for v in TERRAIN_VOCAB_SQL]
-               + ["n_phases"] + [f"bel_{v}" for v in LINE_STATUS] + ["multi_phase"]
+               + ["multi_phase"] + [f"bel_{v}" for v in LINE_STATUS]
                + [f"evt_{v}" for v in EVENT_TYPES_SQL])
     med = ", ".join(f"median(CAST({c} AS DOUBLE)) AS m_{c}" for c in numeric)
     num_out = ", ".join(f"round(coalesce(CAST({c} AS DOUBLE), m_{c}, 0), 6) AS {c}" for c in numeric)
@@ -80,7 +80,8 @@ def _sql() -> str:
                       onehot("air_superiority", "air_superiority", REGIONS_SQL)])
     return (
         "WITH agg AS (SELECT l_orderkey, sum(l_quantity) AS duration_days, "
-        f"{terra}, count(DISTINCT l_linenumber) AS n_phases, {bel} FROM lineitem GROUP BY l_orderkey), "
+        f"{terra}, CAST(count(DISTINCT l_linenumber) > 1 AS INTEGER) AS multi_phase, {bel} "
+        "FROM lineitem GROUP BY l_orderkey), "
         "lab AS (SELECT l_orderkey, l_returnflag AS direction FROM (SELECT *, row_number() OVER "
         f"(PARTITION BY l_orderkey ORDER BY {', '.join(LINE_TOTAL_ORDER)}) AS rn FROM lineitem "
         "WHERE l_linenumber = 1) WHERE rn = 1), "
@@ -88,7 +89,7 @@ def _sql() -> str:
         "ON n.n_regionkey = r.r_regionkey WHERE n.n_regionkey IN (0, 1, 2)), "
         f"ev AS (SELECT user_id, {evt} FROM events GROUP BY user_id), "
         "base AS (SELECT o.o_orderkey, o.o_orderpriority, o.o_totalprice, lab.direction, agg.* EXCLUDE (l_orderkey), "
-        "CAST(agg.n_phases > 1 AS INTEGER) AS multi_phase, c.c_mktsegment, "
+        "c.c_mktsegment, "
         "coalesce(enum.description, 'None') AS air_superiority, ev.* EXCLUDE (user_id) "
         "FROM orders o LEFT JOIN lab ON o.o_orderkey = lab.l_orderkey "
         "LEFT JOIN agg ON o.o_orderkey = agg.l_orderkey LEFT JOIN customer c ON o.o_custkey = c.c_custkey "

@@ -24,8 +24,10 @@ from featurejudge.sources.tables import table
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
 
-LICENSE_PATTERN = r"licen[sc]e|copyright|permission"
-GEAR_PATTERN = r"gear|gizmo"
+# caller vocabularies (literal terms: "licen[sc]e|copyright|permission" and
+# "gear|gizmo" written as term lists, so they take the substring path)
+LICENSE_PATTERN = ("licence", "license", "copyright", "permission")
+GEAR_PATTERN = ("gear", "gizmo")
 
 
 def query(name: str, sql: str | None = None):

@@ -89,3 +89,17 @@ def test_auc_equals_rank_sum_and_roc_end(spark):
     assert a[1] == pytest.approx(mw) and a[0] == pytest.approx(1 - mw)
     last = roc_points(df, "y", "s").where("class = 1").orderBy("threshold").first()
     assert (last["tpr"], last["fpr"]) == (1.0, 1.0)
+
+
+def test_self_join_equals_projection_and_reindex(spark):
+    battles = spark.createDataFrame([(1, "A", 3), (2, "B", None)], "isqno long, name string, postype int")
+    core = battles.select("isqno", "name")
+    joined = joins.self_join_fetch(core, battles, "isqno", ["postype"]).orderBy("isqno").collect()
+    projected = joins.fetch_optional_column(battles, "postype", "NA").select("isqno", "name", "postype") \
+        .orderBy("isqno").collect()
+    assert joined == projected
+    assert joins.fetch_optional_column(core, "aeroa", 0).first()["aeroa"] == 0
+    classes = spark.createDataFrame([(0,), (1,), (2,)], "cls int")
+    counts = spark.createDataFrame([(0, 5), (2, 1)], "cls int, n long")
+    got = {r["cls"]: r["n"] for r in joins.reindex_counts(classes, counts, "cls", "n").collect()}
+    assert got == {0: 5, 1: 0, 2: 1}

@@ -35,3 +35,15 @@ def test_split_table_feature_list_and_runs(spark):
     assert tb.read_run_metrics(spark, f"{d}/runs", "r2").first()["model"] == "gbt"
     tb.write_csv(spark.createDataFrame([(0.123456,)], "x double"), f"{d}/csv", decimals=3)
     assert spark.read.option("header", True).csv(f"{d}/csv").first()[0] == "0.123"
+
+
+def test_model_save_load_roundtrip(spark):
+    from featurejudge.operators import models
+    df = spark.createDataFrame([(float(i % 2), float(i), float(i % 3)) for i in range(40)], "target double, a double, b double")
+    m = models.logistic_pipeline(["a", "b"], label="target").fit(df)
+    d = tempfile.mkdtemp(prefix="fj-model-")
+    tb.save_model(m, f"{d}/m")
+    back = tb.load_pipeline_model(f"{d}/m")
+    p1 = [r["prediction"] for r in m.transform(df).select("prediction").collect()]
+    p2 = [r["prediction"] for r in back.transform(df).select("prediction").collect()]
+    assert p1 == p2

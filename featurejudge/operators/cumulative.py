@@ -55,12 +55,14 @@ def range_bucket(df: DataFrame, order_col: str, n_rows: int, rows_per_bucket: in
 
 def running_total(df: DataFrame, order_col: str, value_cols: Sequence[str],
                   partition_cols: Sequence[str] = (), descending: bool = False,
-                  prefix: str = "cum_", rows_per_bucket: int = ROWS_PER_BUCKET,
-                  max_buckets: int = MAX_BUCKETS) -> DataFrame:
+                  prefix: str = "cum_", rows_per_bucket: int | None = None,
+                  max_buckets: int | None = None) -> DataFrame:
     """Add ``<prefix><v>`` = sum of ``v`` over all rows of the same partition
     whose ``order_col`` is at or before this row's (ties included), in
     ascending or descending order.  ``order_col`` must be non-null and
     numeric or timestamp-like (cast to double only to pick bucket bounds)."""
+    rows_per_bucket = rows_per_bucket or ROWS_PER_BUCKET
+    max_buckets = max_buckets or MAX_BUCKETS
     parts = list(partition_cols)
     # the input is read by the count, the split-point sketch and the final
     # plan; keep it so its lineage runs once (recomputed on executor loss)
@@ -90,12 +92,13 @@ def running_total(df: DataFrame, order_col: str, value_cols: Sequence[str],
 
 
 def exact_quantiles(df: DataFrame, value_col: str, probs: Sequence[float],
-                    group_cols: Sequence[str] = (), small_distinct: int = SMALL_DISTINCT) -> DataFrame:
+                    group_cols: Sequence[str] = (), small_distinct: int | None = None) -> DataFrame:
     """Exact linearly interpolated quantiles (same definition as
     ``percentile`` / ``quantile_cont``) of non-null ``value_col`` per group.
 
     Returns (group..., prob, quantile, n).  Groups without values are absent.
     """
+    small_distinct = SMALL_DISTINCT if small_distinct is None else small_distinct
     groups = list(group_cols)
     counts = (df.where(F.col(value_col).isNotNull())
                 .groupBy(*groups, value_col).agg(F.count(F.lit(1)).alias("_n"))

@@ -29,7 +29,7 @@ def flag_impact(df: DataFrame, flags: Sequence[str], label: str) -> DataFrame:
     rows = one.select(F.explode(F.array(*[
         F.struct(F.lit(f).alias("flag"), F.col("_n").cast("long").alias("n_rows"),
                  F.coalesce(F.col(f"_s{i}"), F.lit(0)).cast("long").alias("n_flagged"),
-                 (F.col(f"_s{i}") / F.col("_n")).alias("prevalence"),
+                 F.try_divide(F.col(f"_s{i}"), F.col("_n")).cast("double").alias("prevalence"),
                  F.col(f"_r{i}").cast("double").alias("outcome_rate"))
         for i, f in enumerate(flags)])).alias("r")).select("r.*")
     return rows.withColumn("prevalence_pct", percent_text("prevalence"))

@@ -19,7 +19,7 @@ from featurejudge.functions.columns import (col_or_default, features_excluding,
 from featurejudge.operators import encode, joins
 from featurejudge.operators.cumulative import running_total  # noqa: F401  (re-export for users)
 from featurejudge.operators.rank import conditional_rates, flag_impact
-from featurejudge.sources.tables import table
+from featurejudge.sources.tables import spread, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -57,7 +57,7 @@ DOC_FLAGS = {"supply_cut": tx.SUPPLY_V2, "naval_power": tx.NAVAL_THEORY, "licens
 
 def flagged_documents(spark, sf, flags=DOC_FLAGS) -> DataFrame:
     """documents with keyword flags, text dropped before any shuffle."""
-    docs = table(spark, sf, "documents").select("doc_id", "lang", "text")
+    docs = spread(table(spark, sf, "documents").select("doc_id", "lang", "text"))
     return tx.with_keyword_flags(docs, "text", flags).drop("text")
 
 
@@ -143,7 +143,7 @@ def _four_vocab_sql() -> str:
 @query("keyword_flags_four_vocabularies", _four_vocab_sql())
 def keyword_flags_four_vocabularies(spark, sf):
     flags = {f"{kind}_{v}": terms for v, kinds in tx.VOCABULARIES.items() for kind, terms in kinds.items()}
-    d = tx.with_keyword_flags(table(spark, sf, "documents").select("text"), "text", flags)
+    d = tx.with_keyword_flags(spread(table(spark, sf, "documents").select("text")), "text", flags)
     one = d.agg(F.count(F.lit(1)).alias("n"), *[F.sum(n).alias(f"s_{n}") for n in flags])
     rows = [F.struct(F.lit(v).alias("vocabulary"), F.lit(k).alias("kind"),
                      F.col(f"s_{k}_{v}").cast("long").alias("n_flagged"),

@@ -10,7 +10,7 @@ from featurejudge.functions.columns import rounded
 from featurejudge.operators import evaluate as ev
 from featurejudge.operators import rank
 from featurejudge.plans.catalog import EVENT_TYPES_SQL, PRIORITIES_SQL, query, r6, sql_flag
-from featurejudge.sources.tables import table
+from featurejudge.sources.tables import spread, table
 
 # ---------------------------------------------------------------------------
 # prediction frames derived from the driver tables
@@ -252,7 +252,7 @@ def comparison_rules() -> dict:
        "SELECT model, round(CAST(accuracy AS DOUBLE), 4) AS accuracy, CAST(row_number() OVER "
        "(ORDER BY round(CAST(accuracy AS DOUBLE), 4) DESC, model ASC) AS INTEGER) AS position FROM runs")
 def model_comparison(spark, sf):
-    d = table(spark, sf, "documents").select("doc_id", "n_chars", "lang", "text")
+    d = spread(table(spark, sf, "documents").select("doc_id", "n_chars", "lang", "text"))
     d = d.withColumn("supply_flag", tx.keyword_flag("text", tx.SUPPLY_V2)).drop("text")
     d = d.join(table(spark, sf, "labels").select("doc_id", "quality"), "doc_id", "inner")
     preds = {**{k: v.cast("int") for k, v in comparison_rules().items()}, "supply_flag": F.col("supply_flag")}

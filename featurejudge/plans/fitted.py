@@ -12,7 +12,7 @@ from featurejudge.functions import text as tx
 from featurejudge.operators import encode, fit
 from featurejudge.plans.catalog import query, r6, sql_flag
 from featurejudge.session import cut_lineage
-from featurejudge.sources.tables import table
+from featurejudge.sources.tables import spread, table
 
 SEED = 42
 TEST_FRACTION = 0.2
@@ -120,7 +120,7 @@ AIR_COLUMN = "air_superiority_Attacker had air superiority in the theater"
        "SELECT doc_id, quality, s0 + s1 AS surprise_sum, supply_cut * (s0 + s1) AS supply_surprise, "
        "naval_power * (s0 + s1) AS naval_surprise, supply_cut * 0 AS supply_air FROM j")
 def interaction_terms(spark, sf):
-    d = tx.with_keyword_flags(table(spark, sf, "documents").select("doc_id", "text"), "text",
+    d = tx.with_keyword_flags(spread(table(spark, sf, "documents").select("doc_id", "text")), "text",
                               {"supply_cut": tx.SUPPLY_V2, "naval_power": tx.NAVAL_THEORY}).drop("text")
     j = d.join(table(spark, sf, "labels").select("doc_id", "quality", "toxic"), "doc_id", "left")
     j = encode.one_hot(j, "toxic", [0, 1], prefix="surprise_level")

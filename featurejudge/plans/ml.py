@@ -16,7 +16,7 @@ from featurejudge.functions import text as tx
 from featurejudge.operators import encode, fit, models, rank
 from featurejudge.plans.catalog import DOC_FLAGS, query
 from featurejudge.plans.fitted import SEED, TEST_FRACTION
-from featurejudge.sources.tables import table
+from featurejudge.sources.tables import spread, table
 
 NUMERIC = ["n_chars", "log_chars"]
 
@@ -30,7 +30,7 @@ class Prepared:
 
 
 def prepared_documents(spark, sf) -> Prepared:
-    d = table(spark, sf, "documents").select("doc_id", "lang", F.col("n_chars").cast("double"), "text")
+    d = spread(table(spark, sf, "documents").select("doc_id", "lang", F.col("n_chars").cast("double"), "text"))
     d = tx.with_keyword_flags(d, "text", DOC_FLAGS).drop("text").withColumn("log_chars", F.log1p("n_chars"))
     d = d.join(table(spark, sf, "labels").select("doc_id", "quality"), "doc_id", "inner")
     d = fit.stratified_split(d, "doc_id", "quality", TEST_FRACTION, SEED)

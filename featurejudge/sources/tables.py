@@ -64,6 +64,16 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
+    """Redistribute rows round-robin when a scan yields fewer partitions than
+    the session has cores (e.g. one large parquet row group), so the per-row
+    work after it -- text matching on long documents -- runs on every core.
+    A scan that is already split (any large table on a cluster) is returned
+    untouched: no shuffle is added where parallelism already exists."""
+    target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(target) if df.rdd.getNumPartitions() < target else df
+
+
 def driver_tables(spark: SparkSession, sf_dir: str, names=DRIVER_TABLES) -> dict[str, DataFrame]:
     return load_tables(spark, [TableSpec(n, f"{sf_dir}/{n}.parquet") for n in names])
 

@@ -38,11 +38,21 @@ def _grid(df: DataFrame, label: str, classes: Sequence, a: str, b: str) -> DataF
 
 
 def confusion_counts(pred: DataFrame, label: str, prediction: str, classes: Sequence | None = None) -> DataFrame:
-    """Dense (true_class, pred_class, n) over classes x classes; empty cells 0."""
-    classes = classes if classes is not None else class_values(pred, label, prediction)
+    """Dense (true_class, pred_class, n) over classes x classes; empty cells 0.
+
+    Without a given class list the grid is built lazily: the distinct labels
+    and predictions (one row per class) are gathered into one array and
+    exploded twice -- no driver round trip and no cross join."""
     counts = (pred.groupBy(F.col(label).alias("true_class"), F.col(prediction).alias("pred_class"))
                   .agg(F.count(F.lit(1)).alias("n")))
-    grid = F.broadcast(_grid(pred, label, classes, "true_class", "pred_class"))
+    if classes is not None:
+        grid = F.broadcast(_grid(pred, label, classes, "true_class", "pred_class"))
+    else:
+        values = pred.select(F.col(label).alias("c")).union(pred.select(F.col(prediction).alias("c"))) \
+                     .where(F.col("c").isNotNull()).distinct()
+        arr = values.agg(F.collect_set("c").alias("_cls"))
+        grid = arr.select(F.explode("_cls").alias("true_class"), "_cls") \
+                  .select("true_class", F.explode("_cls").alias("pred_class"))
     return grid.join(counts, ["true_class", "pred_class"], "left") \
                .withColumn("n", F.coalesce(F.col("n"), F.lit(0)).cast("long"))
 

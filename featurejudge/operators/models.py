@@ -30,6 +30,20 @@ from featurejudge.operators.fit import class_counts
 MAX_DEPTH = 30  # MLlib's limit; "unlimited depth" is capped here
 
 
+def sized_for_training(df: DataFrame, n_rows: int, rows_per_partition: int = 100_000) -> DataFrame:
+    """Partition a training frame for iterative MLlib fits: about
+    ``rows_per_partition`` rows per task, between 1 and 4x the session's
+    cores.  Every optimizer iteration is a Spark job, so a few hundred rows
+    spread over many tasks pay the scheduling cost hundreds of times, while
+    a large frame keeps every core busy."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    target = max(1, min(4 * cores, math.ceil(n_rows / rows_per_partition)))
+    current = df.rdd.getNumPartitions()
+    if target < current:
+        return df.coalesce(target)
+    return df.repartition(target) if target > current else df
+
+
 def assembler(features: Sequence[str], out: str = "features") -> VectorAssembler:
     return VectorAssembler(inputCols=list(features), outputCol=out, handleInvalid="keep")
 

@@ -16,6 +16,7 @@ from featurejudge.functions import text as tx
 from featurejudge.operators import encode, fit, models, rank
 from featurejudge.plans.catalog import DOC_FLAGS, query
 from featurejudge.plans.fitted import SEED, TEST_FRACTION
+from featurejudge.session import cut_lineage
 from featurejudge.sources.tables import spread, table
 
 NUMERIC = ["n_chars", "log_chars"]
@@ -42,7 +43,9 @@ def prepared_documents(spark, sf) -> Prepared:
     weights = fit.class_weights(d.where(train_rows), "target")
     d = d.join(F.broadcast(weights.select("target", "weight")), "target", "left")
     features = NUMERIC + list(DOC_FLAGS) + [f"lang_{v}" for v in vocab]
-    d = d.select("doc_id", "target", "weight", "split", *features).cache()
+    d = d.select("doc_id", "target", "weight", "split", *features)
+    d = cut_lineage(d)  # the fits iterate over it many times
+    d = models.sized_for_training(d, d.count()).cache()
     n_classes = d.select("target").distinct().count()
     return Prepared(d.where(train_rows), d.where(~train_rows), features, n_classes)
 

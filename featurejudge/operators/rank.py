@@ -53,6 +53,13 @@ def importance_rank(imp: DataFrame, model: str = "model", feature: str = "featur
     return imp.withColumn("rank", F.row_number().over(w))
 
 
+def top_features(imp: DataFrame, k: int, model: str = "model", feature: str = "feature",
+                 value: str = "importance") -> DataFrame:
+    """The k most important features of each model (ties by name), e.g. the
+    top-15 / top-20 / first-3 listings of the surveyed reports."""
+    return importance_rank(imp, model, feature, value).where(F.col("rank") <= k)
+
+
 def rank_consensus(ranked: DataFrame, features: Sequence[str], models: Sequence[str],
                    sentinel: int | None = None, model: str = "model", feature: str = "feature",
                    theory_terms: Sequence[str] = ("supply", "naval")) -> DataFrame:

@@ -8,7 +8,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from featurejudge.functions.columns import rounded
+from featurejudge.functions.columns import THEORY_FEATURES, rounded, select_available
 from featurejudge.operators import encode
 from featurejudge.plans.assemble import DetailSpec, LookupSpec, assemble_features
 from featurejudge.plans.catalog import EVENT_TYPES_SQL, LINE_TOTAL_ORDER, PRIORITIES_SQL, TERRAIN_VOCAB_SQL, query
@@ -107,3 +107,18 @@ def assembled_features(spark, sf):
     a = assembled(spark, sf)
     doubles = [f.name for f in a.frame.schema.fields if f.dataType.typeName() == "double"]
     return a.frame.withColumns({c: rounded(c) for c in doubles})
+
+
+def _theory_cols() -> list[str]:
+    """Theory features present in the assembled table, in list order (the
+    surveyed models took "whatever of the list exists")."""
+    produced = (["duration_days", "multi_phase", "force_ratio"] + [f"terra_{v}" for v in TERRAIN_VOCAB_SQL]
+                + [f"air_superiority_{v}" for v in REGIONS_SQL])
+    return [c for c in THEORY_FEATURES if c in produced]
+
+
+@query("theory_features_available",
+       f"SELECT o_orderkey, target, split, {', '.join(_theory_cols())} FROM ({_sql()})")
+def theory_features_available(spark, sf):
+    a = assembled_features(spark, sf)
+    return a.select("o_orderkey", "target", "split", *select_available(a, THEORY_FEATURES))

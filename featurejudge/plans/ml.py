@@ -96,7 +96,7 @@ def mlp(spark, sf):
 def impurity_importance(spark, sf):
     p = prepared_documents(spark, sf)
     m = models.forest_pipeline(p.features, weight="weight", trees=500).fit(p.train)
-    return rank.importance_rank(models.importance_table(m, p.features, "random_forest"))
+    return rank.top_features(models.importance_table(m, p.features, "random_forest"), k=20)
 
 
 @query("coefficients")

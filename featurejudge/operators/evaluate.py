@@ -46,6 +46,7 @@ def confusion_counts(pred: DataFrame, label: str, prediction: str, classes: Sequ
     counts = (pred.groupBy(F.col(label).alias("true_class"), F.col(prediction).alias("pred_class"))
                   .agg(F.count(F.lit(1)).alias("n")))
     if classes is not None:
+        # built on the driver from the given (bounded) class list: k x k rows
         grid = F.broadcast(_grid(pred, label, classes, "true_class", "pred_class"))
     else:
         values = pred.select(F.col(label).alias("c")).union(pred.select(F.col(prediction).alias("c"))) \

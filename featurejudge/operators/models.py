@@ -241,6 +241,7 @@ def smote(df: DataFrame, key: str, label: str, vec: str, k: int = 5, seed: int =
                                       f"{label} {df.schema[label].dataType.simpleString()}, _n long, _need long")
     ranked = running_total(base.withColumn("_h", F.xxhash64(F.lit(seed), F.col(key))).withColumn("_one", F.lit(1)),
                            "_h", ["_one"], [label], prefix="_rk")
+    # quotas: one row per class, from the size-checked class counts
     gen = ranked.join(F.broadcast(quotas), label).withColumn(
         "_g", (F.floor(F.col("_need") / F.col("_n")) +
                F.when(F.col("_rk_one") <= F.col("_need") % F.col("_n"), 1).otherwise(0)).cast("int"))
@@ -266,6 +267,7 @@ def replicate_balance(df: DataFrame, key: str, label: str, seed: int = 42) -> Da
                                       f"{label} {df.schema[label].dataType.simpleString()}, _n long, _need long")
     ranked = running_total(df.withColumn("_h", F.xxhash64(F.lit(seed), F.col(key))).withColumn("_one", F.lit(1)),
                            "_h", ["_one"], [label], prefix="_rk")
+    # quotas: one row per class, from the size-checked class counts
     g = ranked.join(F.broadcast(quotas), label).withColumn(
         "_g", (F.floor(F.col("_need") / F.col("_n")) +
                F.when(F.col("_rk_one") <= F.col("_need") % F.col("_n"), 1).otherwise(0)).cast("int") + 1)

@@ -316,6 +316,7 @@ def top10_first_token(spark, sf):
     cmd = docs.select("doc_id", tx.first_token("text", ",").alias("commander"))
     top = encode.top_k_values(cmd, "commander", 10)
     kept = joins.semi_join_values(cmd, "commander", top)
+    # the top-k table holds at most k = 10 rows
     kept = kept.join(F.broadcast(top.select("commander", F.col("rank").alias("cmd_rank"))), "commander")
     counts = kept.groupBy("doc_id", "commander", "cmd_rank").agg(F.count(F.lit(1)).alias("cmd_count"))
     return docs.select("doc_id").join(counts, "doc_id", "left").withColumn(

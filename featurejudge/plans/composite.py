@@ -27,7 +27,7 @@ def region_enum(spark, sf) -> DataFrame:
     fall to the default)."""
     n = table(spark, sf, "nation").where(F.col("n_regionkey").isin(0, 1, 2))
     r = table(spark, sf, "region")
-    return n.join(F.broadcast(r), n["n_regionkey"] == r["r_regionkey"]).select(
+    return n.join(r, n["n_regionkey"] == r["r_regionkey"]).select(
         F.col("n_nationkey").alias("value"), F.col("r_name").alias("description"))
 
 

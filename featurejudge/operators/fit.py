@@ -43,16 +43,37 @@ def fit_medians(df: DataFrame, cols: Sequence[str], where: Column | str | None =
 
 
 def fit_modes(df: DataFrame, cols: Sequence[str], where: Column | str | None = None) -> dict:
-    """Most frequent non-null value per column; ties -> smallest value."""
+    """Most frequent non-null value per column; ties -> smallest value.  All
+    columns in one job: values are stacked as (column, numeric key, text),
+    counted, and the best per column is a min over a struct (count desc,
+    then value asc by the column's own order)."""
     rows = _rows(df, where)
-    out = {}
-    for c in cols:
-        counts = rows.where(F.col(c).isNotNull()).groupBy(c).agg(F.count(F.lit(1)).alias("n"))
-        best = counts.agg(F.min(F.struct((-F.col("n")).alias("k"), F.col(c).alias("v"))).alias("m")).first()
-        out[c] = None if best["m"] is None else best["m"]["v"]
+    numeric = set(_numeric_names(rows, cols))
+    stacked = F.explode(F.array(*[
+        F.struct(F.lit(c).alias("c"),
+                 (F.col(c).cast("double") if c in numeric else F.lit(None).cast("double")).alias("k_num"),
+                 F.col(c).cast("string").alias("k_str"))
+        for c in cols]))
+    counts = (rows.select(stacked.alias("s")).select("s.*").where(F.col("k_str").isNotNull())
+                  .groupBy("c", "k_num", "k_str").agg(F.count(F.lit(1)).alias("n")))
+    best = counts.groupBy("c").agg(F.min(F.struct((-F.col("n")).alias("nn"), "k_num", "k_str")).alias("m")).collect()
+    types = {f.name: f.dataType for f in rows.schema.fields}
+    out = {c: None for c in cols}
+    for r in best:
+        c, m = r["c"], r["m"]
+        if c in numeric:
+            v = m["k_num"]
+            out[c] = int(v) if isinstance(types[c], (T.IntegerType, T.LongType, T.ShortType, T.ByteType)) else v
+        else:
+            out[c] = m["k_str"]
     return out
 
 
+def _numeric_names(df: DataFrame, cols: Sequence[str]) -> list[str]:
+    num = (T.ByteType, T.ShortType, T.IntegerType, T.LongType, T.FloatType, T.DoubleType, T.DecimalType)
+    return [f.name for f in df.schema.fields if f.name in set(cols) and isinstance(f.dataType, num)]
+
+
 def fit_moments(df: DataFrame, cols: Sequence[str], where: Column | str | None = None) -> dict:
     """(mean, population standard deviation) per column, one pass."""
     rows = _rows(df, where)

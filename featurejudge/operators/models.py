@@ -220,10 +220,11 @@ def smote(df: DataFrame, key: str, label: str, vec: str, k: int = 5, seed: int =
     rng = np.random.default_rng(seed)
     dirs = rng.standard_normal((projections, dim))
 
+    n_rows = base.count()
     cands = None
     for p in range(projections):
         proj = base.withColumn("_p", _dot(F.col("_x"), dirs[p]))
-        proj = range_bucket(proj, "_p", proj.count(), rows_per_bucket)
+        proj = range_bucket(proj, "_p", n_rows, rows_per_bucket)
         w = Window.partitionBy(label, "_bkt").orderBy("_p", key)
         nb = F.struct(F.col(key).alias("j"), F.col("_x").alias("xj"))
         near = proj.select(key, label, "_x", F.array(*[F.lag(nb, o).over(w) for o in range(1, window + 1)],

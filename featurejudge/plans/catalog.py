@@ -17,7 +17,6 @@ from featurejudge.functions import text as tx
 from featurejudge.functions.columns import (col_or_default, features_excluding, keep_primary,
                                             resolve_column, rounded, safe_number, select_available)
 from featurejudge.operators import encode, joins
-from featurejudge.operators.cumulative import running_total  # noqa: F401  (re-export for users)
 from featurejudge.operators.rank import conditional_rates, flag_impact
 from featurejudge.sources.tables import spread, table
 

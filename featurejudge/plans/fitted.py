@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from featurejudge.functions.columns import col_or_default, columns_like, numeric_columns, rounded
 from featurejudge.functions import text as tx
 from featurejudge.operators import encode, fit
-from featurejudge.plans.catalog import query, r6, sql_flag
+from featurejudge.plans.catalog import query, sql_flag
 from featurejudge.session import cut_lineage
 from featurejudge.sources.tables import spread, table
 

@@ -172,7 +172,7 @@ def split_hash(key: str, seed: int) -> Column:
     return F.md5(F.concat(F.lit(f"{seed}:"), F.col(key).cast("string")))
 
 
-def split_quotas(rows: DataFrame, label: str, test_fraction: float) -> DataFrame:
+def split_quotas(class_counts_df: DataFrame, label: str, test_fraction: float) -> DataFrame:
     """(label, _quota): test rows per class, computed in Spark on the
     class-count table (one row per class): floor of each quota plus one for
     the classes with the largest remainders until the total is
@@ -180,7 +180,7 @@ def split_quotas(rows: DataFrame, label: str, test_fraction: float) -> DataFrame
     Exact integer arithmetic (0.2 is 1/5)."""
     p = Fraction(str(test_fraction)).limit_denominator(10**9)
     num, den = p.numerator, p.denominator
-    cc = rows.groupBy(label).agg(F.count(F.lit(1)).alias("_n"))
+    cc = class_counts_df  # (label, _n): one row per class
     everything = Window.partitionBy()  # the class-count table: one row per class
     cc = (cc.withColumn("_base", F.expr(f"(_n * {num}) div {den}"))
             .withColumn("_rem", F.expr(f"(_n * {num}) % {den}"))
@@ -205,8 +205,9 @@ def stratified_split(df: DataFrame, key: str, label: str, test_fraction: float =
     """
     rows = df.where(F.col(label).isNotNull())
     hashed = rows.withColumn("_h", split_hash(key, seed)).withColumn("_b", F.substring("_h", 1, prefix_len))
-    quota = split_quotas(rows, label, test_fraction)
     hist = hashed.groupBy(label, "_b").agg(F.count(F.lit(1)).alias("_cnt"))
+    # class sizes come from the histogram: no second pass over the rows
+    quota = split_quotas(hist.groupBy(label).agg(F.sum("_cnt").alias("_n")), label, test_fraction)
     w = Window.partitionBy(label).orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
     cuts = (hist.join(quota, label)
                 .withColumn("_before", F.coalesce(F.sum("_cnt").over(w), F.lit(0)))

@@ -103,13 +103,14 @@ def compare_models(runs: DataFrame, model: str = "model", metric: str = "accurac
 
 def coef_summary(coefs: DataFrame, feature: str = "feature", coef: str = "coef",
                  top: int | None = 15, places: int | None = None) -> DataFrame:
-    """Mean and sum of |coef| over classes per feature, ranked by the mean
-    (rounded first when ``places`` is given, so ties are stable)."""
-    s = coefs.groupBy(feature).agg(F.avg(F.abs(coef)).alias("mean_abs_coef"),
-                                   F.sum(F.abs(coef)).alias("sum_abs_coef"))
+    """Mean and sum of |coef| over classes per feature, ranked by the mean.
+    With ``places`` the sum is rounded first and the mean is that sum over
+    the class count, so equal inputs give bit-equal means (no rounding tie
+    decides the order)."""
+    s = coefs.groupBy(feature).agg(F.sum(F.abs(coef)).alias("sum_abs_coef"), F.count(F.lit(1)).alias("_k"))
     if places is not None:
-        s = s.select(feature, F.round("mean_abs_coef", places).alias("mean_abs_coef"),
-                     F.round("sum_abs_coef", places).alias("sum_abs_coef"))
+        s = s.withColumn("sum_abs_coef", F.round("sum_abs_coef", places))
+    s = s.select(feature, (F.col("sum_abs_coef") / F.col("_k")).alias("mean_abs_coef"), "sum_abs_coef")
     if top is not None:
         s = s.orderBy(F.desc("mean_abs_coef"), F.asc(feature)).limit(top)
     return s.withColumn("position", F.row_number().over(

@@ -87,10 +87,13 @@ def rank_consensus(ranked: DataFrame, features: Sequence[str], models: Sequence[
     theory = F.lit(False)
     for t in theory_terms:
         theory = theory | F.lower(F.col(feature)).contains(t)
-    return (wide.withColumn("position", F.row_number().over(pos))
-                .withColumn("display_name", display_label(feature))
-                .withColumn("is_theory", theory.cast("int"))
-                .join(all_pos, feature, "left"))
+    out = (wide.withColumn("position", F.row_number().over(pos))
+               .withColumn("display_name", display_label(feature))
+               .withColumn("is_theory", theory.cast("int"))
+               .join(all_pos, feature, "left"))
+    # verdict: does a theory feature rank first among ALL ranked features?
+    best = F.min(F.when(F.col("is_theory") == 1, F.col("rank_among_all"))).over(Window.partitionBy())
+    return out.withColumn("verdict", F.when(best == 1, F.lit("YES")).otherwise(F.lit("NO")))
 
 
 def compare_models(runs: DataFrame, model: str = "model", metric: str = "accuracy",

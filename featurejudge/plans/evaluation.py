@@ -212,11 +212,13 @@ INITCAP_SQL = ("array_to_string(list_transform(string_split(lower(replace({x}, '
        + ", ".join(f"max(CASE WHEN model = '{m}' THEN rank END) AS rank_{m}" for m in BRAND_MODELS)
        + ", round(avg(rank), 6) AS avg_rank FROM r GROUP BY feature), "
        "allpos AS (SELECT feature, CAST(row_number() OVER (ORDER BY avg(rank) ASC, feature ASC) AS INTEGER) "
-       "AS rank_among_all FROM ranked GROUP BY feature) "
-       "SELECT wide.*, CAST(row_number() OVER (ORDER BY avg_rank ASC NULLS LAST, wide.feature ASC) AS INTEGER) "
+       "AS rank_among_all FROM ranked GROUP BY feature), "
+       "out AS (SELECT wide.*, CAST(row_number() OVER (ORDER BY avg_rank ASC NULLS LAST, wide.feature ASC) AS INTEGER) "
        f"AS position, {INITCAP_SQL.format(x='wide.feature')} AS display_name, "
        "CAST(contains(lower(wide.feature), 'brand#1') AS INTEGER) AS is_theory, allpos.rank_among_all "
-       "FROM wide LEFT JOIN allpos ON wide.feature = allpos.feature")
+       "FROM wide LEFT JOIN allpos ON wide.feature = allpos.feature) "
+       "SELECT *, CASE WHEN min(CASE WHEN is_theory = 1 THEN rank_among_all END) OVER () = 1 THEN 'YES' ELSE 'NO' END "
+       "AS verdict FROM out")
 def rank_consensus(spark, sf):
     ranked = rank.importance_rank(brand_importances(spark, sf))
     out = rank.rank_consensus(ranked, THEORY_BRANDS, BRAND_MODELS, sentinel=99, theory_terms=("brand#1",))

@@ -94,3 +94,16 @@ def test_scorecard_golden(spark):
     first = sc.where("battle_idx = 11").first()["details"]
     assert first == ("No – Logistics not decisive | No – Sea power not decisive | "
                      "No – Surprise absent or ineffective | YES – Force concentrated | No – Air power not decisive")
+
+
+def test_verdict_uses_rank_among_all(spark):
+    # the short list is all theory names (the surveyed tautology); the verdict
+    # still says NO because another feature ranks first overall
+    rows = [("RF", "force_ratio", 1), ("RF", "supply_cut", 2), ("RF", "naval_power", 3),
+            ("XGB", "force_ratio", 1), ("XGB", "naval_power", 2), ("XGB", "supply_cut", 3)]
+    ranked = spark.createDataFrame(rows, "model string, feature string, rank int")
+    out = rank.rank_consensus(ranked, ["supply_cut", "naval_power"], ["RF", "XGB"]).collect()
+    assert {r["verdict"] for r in out} == {"NO"}
+    top = rank.rank_consensus(ranked.where("feature != 'force_ratio'"), ["supply_cut", "naval_power"],
+                              ["RF", "XGB"]).collect()
+    assert {r["verdict"] for r in top} == {"YES"}

@@ -15,6 +15,7 @@ from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
 from featurejudge.operators.cumulative import exact_quantiles, running_total
+from featurejudge.session import cut_lineage
 
 MAX_CLASSES = 10_000
 
@@ -42,15 +43,20 @@ def confusion_counts(pred: DataFrame, label: str, prediction: str, classes: Sequ
 
     Without a given class list the grid is built lazily: the distinct labels
     and predictions (one row per class) are gathered into one array and
-    exploded twice -- no driver round trip and no cross join."""
+    exploded twice -- no driver round trip, no cross join and no second
+    pass over the predictions."""
     counts = (pred.groupBy(F.col(label).alias("true_class"), F.col(prediction).alias("pred_class"))
                   .agg(F.count(F.lit(1)).alias("n")))
+    # at most k*k rows; written once so the predictions are read once even
+    # though the grid and the join both use the counts
+    counts = cut_lineage(counts)
     if classes is not None:
         # built on the driver from the given (bounded) class list: k x k rows
         grid = F.broadcast(_grid(pred, label, classes, "true_class", "pred_class"))
     else:
-        values = pred.select(F.col(label).alias("c")).union(pred.select(F.col(prediction).alias("c"))) \
-                     .where(F.col("c").isNotNull()).distinct()
+        # classes from the (small) count table, not another pass over pred
+        values = counts.select(F.col("true_class").alias("c")).union(counts.select(F.col("pred_class").alias("c"))) \
+                       .where(F.col("c").isNotNull()).distinct()
         arr = values.agg(F.collect_set("c").alias("_cls"))
         grid = arr.select(F.explode("_cls").alias("true_class"), "_cls") \
                   .select("true_class", F.explode("_cls").alias("pred_class"))

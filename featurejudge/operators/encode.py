@@ -12,6 +12,7 @@ from collections.abc import Iterable, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
 from featurejudge.functions.columns import sanitize_name
@@ -144,11 +145,34 @@ def value_counts(df: DataFrame, col: str) -> DataFrame:
     return df.where(F.col(col).isNotNull()).groupBy(col).agg(F.count(F.lit(1)).alias("n"))
 
 
-def top_k_values(df: DataFrame, col: str, k: int = 10) -> DataFrame:
+def top_k_values(df: DataFrame, col: str, k: int = 10, prefix_chars: int = 64) -> DataFrame:
     """The k most frequent non-null values (ties: value ascending) with their
-    count and 1-based rank.  Planned as a partial aggregation followed by a
-    bounded TakeOrdered."""
-    top = value_counts(df, col).orderBy(F.desc("n"), F.asc(col)).limit(k)
+    count and 1-based rank.
+
+    Text values are counted on a 128-bit hash plus their first
+    ``prefix_chars`` characters, so the counting shuffle carries a bounded
+    key per distinct value however long the values are.  Ordering by the
+    prefix agrees with ordering by the full text unless two prefixes are
+    equal, so the only values whose order needs the full text are those tied
+    with the k-th on both count and prefix; their full text is fetched in a
+    second pass and the final top-k is exact.  Other types are counted
+    directly."""
+    vals = df.where(F.col(col).isNotNull())
+    if not isinstance(df.schema[col].dataType, T.StringType):
+        top = value_counts(vals, col).orderBy(F.desc("n"), F.asc(col)).limit(k)
+        return top.withColumn("rank", F.row_number().over(Window.orderBy(F.desc("n"), F.asc(col))))
+    keyed = vals.select(F.md5(F.col(col)).alias("_h"), F.substring(col, 1, prefix_chars).alias("_p"))
+    counts = keyed.groupBy("_h").agg(F.count(F.lit(1)).alias("n"), F.min("_p").alias("_p"))
+    head = counts.orderBy(F.desc("n"), F.asc("_p"), F.asc("_h")).limit(k).collect()  # k rows
+    if len(head) < k:
+        cand = counts
+    else:
+        kth = head[-1]
+        cand = counts.where((F.col("n") > kth["n"]) | ((F.col("n") == kth["n"]) & (F.col("_p") <= kth["_p"])))
+    cand = cand.select("_h", "n")
+    full = vals.select(F.col(col), F.md5(F.col(col)).alias("_h")).join(cand, "_h", "inner") \
+               .groupBy(col, "n").agg(F.count(F.lit(1)).alias("_m")).select(col, "n")
+    top = full.orderBy(F.desc("n"), F.asc(col)).limit(k)
     # k rows at most: the rank window runs on the k-row result only.
     return top.withColumn("rank", F.row_number().over(Window.orderBy(F.desc("n"), F.asc(col))))
 

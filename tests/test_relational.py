@@ -103,3 +103,16 @@ def test_self_join_equals_projection_and_reindex(spark):
     counts = spark.createDataFrame([(0, 5), (2, 1)], "cls int, n long")
     got = {r["cls"]: r["n"] for r in joins.reindex_counts(classes, counts, "cls", "n").collect()}
     assert got == {0: 5, 1: 0, 2: 1}
+
+
+@pytest.mark.parametrize("prefix_chars", [1, 3, 64])
+def test_top_k_hashed_matches_brute_force(spark, prefix_chars):
+    # long values sharing prefixes, ties on count around place k
+    names = ["alpha-one", "alpha-two", "alpha-three", "beta", "beta-x", "gamma", "alpha-one-long", "zeta", "al"]
+    counts = [5, 3, 3, 3, 2, 2, 3, 1, 3]
+    rows = [(i, n) for i, (n, c) in enumerate((n, c) for n, c in zip(names, counts) for _ in range(c))]
+    df = spark.createDataFrame(rows + [(999, None)], "k long, v string")
+    for k in (1, 2, 4, 6, 20):
+        got = [(r["v"], r["n"], r["rank"]) for r in encode.top_k_values(df, "v", k, prefix_chars).orderBy("rank").collect()]
+        want = sorted(zip(names, counts), key=lambda t: (-t[1], t[0]))[:k]
+        assert got == [(v, n, i + 1) for i, (v, n) in enumerate(want)]

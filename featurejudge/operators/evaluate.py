@@ -139,17 +139,23 @@ def predicted_distribution(pred: DataFrame, label: str, prediction: str,
 
 
 def _score_table(df: DataFrame, label: str, score: str, classes: Sequence) -> DataFrame:
-    aggs = [F.count(F.lit(1)).alias("n_all")]
+    aggs = [F.count(F.lit(1)).alias("n_all"), F.lit(1).alias("n_pt")]
     aggs += [F.sum(F.when(F.col(label) == F.lit(c), 1).otherwise(0)).alias(f"n_{i}") for i, c in enumerate(classes)]
     per_score = df.where(F.col(score).isNotNull()).groupBy(score).agg(*aggs)
-    return running_total(per_score, score, ["n_all"] + [f"n_{i}" for i in range(len(classes))],
+    return running_total(per_score, score, ["n_all", "n_pt"] + [f"n_{i}" for i in range(len(classes))],
                          descending=True)
 
 
-def roc_points(df: DataFrame, label: str, score: str, classes: Sequence | None = None) -> DataFrame:
+def roc_points(df: DataFrame, label: str, score: str, classes: Sequence | None = None,
+               drop_intermediate: bool = False) -> DataFrame:
     """One-vs-rest ROC: per class and distinct score (threshold, descending),
     cumulative true/false positives and their rates.  The origin point is
-    implied (tp = fp = 0)."""
+    implied (tp = fp = 0).
+
+    ``drop_intermediate`` keeps, like scikit-learn, the first and last point
+    and every point where the second difference of fp or tp is not zero; the
+    neighbours come from equi-joins on the exact point index (the running
+    count of distinct thresholds), not from an ordered window."""
     classes = classes if classes is not None else class_values(df, label)
     cum = _score_table(df, label, score, classes)
     tot = df.where(F.col(score).isNotNull()).agg(
@@ -167,7 +173,17 @@ def roc_points(df: DataFrame, label: str, score: str, classes: Sequence | None =
             tp.cast("long").alias("tp"), fp.cast("long").alias("fp"),
             (tp / F.lit(p) if p else F.lit(None).cast("double")).alias("tpr"),
             (fp / F.lit(n - p) if n - p else F.lit(None).cast("double")).alias("fpr")))
-    return cum.select(F.explode(F.array(*structs)).alias("r")).select("r.*")
+    pts = cum.select(F.col("cum_n_pt").alias("_i"), F.explode(F.array(*structs)).alias("r")).select("_i", "r.*")
+    if drop_intermediate:
+        nb = pts.select("class", "_i", "tp", "fp")
+        prev = nb.select("class", (F.col("_i") + 1).alias("_i"), F.col("tp").alias("_tp0"), F.col("fp").alias("_fp0"))
+        nxt = nb.select("class", (F.col("_i") - 1).alias("_i"), F.col("tp").alias("_tp2"), F.col("fp").alias("_fp2"))
+        j = pts.join(prev, ["class", "_i"], "left").join(nxt, ["class", "_i"], "left")
+        bend = ((F.col("_fp2") - 2 * F.col("fp") + F.col("_fp0")) != 0) | \
+               ((F.col("_tp2") - 2 * F.col("tp") + F.col("_tp0")) != 0)
+        pts = j.where(F.col("_tp0").isNull() | F.col("_tp2").isNull() | bend) \
+               .drop("_tp0", "_fp0", "_tp2", "_fp2")
+    return pts.drop("_i")
 
 
 def auc(df: DataFrame, label: str, score: str, classes: Sequence | None = None) -> DataFrame:

@@ -116,3 +116,21 @@ def test_top_k_hashed_matches_brute_force(spark, prefix_chars):
         got = [(r["v"], r["n"], r["rank"]) for r in encode.top_k_values(df, "v", k, prefix_chars).orderBy("rank").collect()]
         want = sorted(zip(names, counts), key=lambda t: (-t[1], t[0]))[:k]
         assert got == [(v, n, i + 1) for i, (v, n) in enumerate(want)]
+
+
+@pytest.mark.parametrize("rows_per_bucket", [10**9, 7])
+def test_roc_drop_intermediate_matches_sklearn_rule(spark, rows_per_bucket, monkeypatch):
+    import numpy as np
+    from featurejudge.operators import cumulative
+    monkeypatch.setattr(cumulative, "ROWS_PER_BUCKET", rows_per_bucket)
+    rng = np.random.default_rng(3)
+    rows = [(int(rng.integers(0, 2)), float(rng.integers(0, 40))) for _ in range(300)]
+    df = spark.createDataFrame(rows, "y int, s double")
+    got = sorted((r["threshold"], r["tp"], r["fp"]) for r in
+                 roc_points(df, "y", "s", drop_intermediate=True).where("class = 1").collect())
+    full = sorted(((r["threshold"], r["tp"], r["fp"]) for r in
+                   roc_points(df, "y", "s").where("class = 1").collect()), reverse=True)
+    th = np.array([t for t, _, _ in full]); tps = np.array([t for _, t, _ in full]); fps = np.array([f for _, _, f in full])
+    keep = np.where(np.r_[True, np.logical_or(np.diff(fps, 2), np.diff(tps, 2)), True])[0]
+    want = sorted(zip(th[keep].tolist(), tps[keep].tolist(), fps[keep].tolist()))
+    assert got == want and len(got) < len(full)

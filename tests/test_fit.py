@@ -31,3 +31,12 @@ def test_class_weights_and_label_index(spark):
     assert w[-1] == pytest.approx(5 / 9) and w[1] == pytest.approx(5 / 3)
     idx, labels = fit.label_index(df, "y")
     assert {r["label_text"]: r["target"] for r in labels.collect()} == {"-1": 0, "0": 1, "1": 2}
+
+
+def test_approx_medians_close_to_exact_and_row_weights(spark):
+    df = spark.range(0, 2001).select((F.col("id") * 0.5).alias("x"), (F.col("id") % 3).alias("y"))
+    exact = fit.fit_medians(df, ["x"])["x"]
+    approx = fit.fit_medians(df, ["x"], approx=True)["x"]
+    assert exact == 500.0 and abs(approx - exact) <= 0.01 * 1000
+    w = fit.with_class_weights(df, "y").groupBy("y").agg(F.first("weight").alias("w")).collect()
+    assert sum(r["w"] for r in w) == pytest.approx(3 * 2001 / (3 * 667))

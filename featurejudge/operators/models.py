@@ -36,9 +36,12 @@ def sized_for_training(df: DataFrame, n_rows: int, rows_per_partition: int = 100
     cores.  Every optimizer iteration is a Spark job, so a few hundred rows
     spread over many tasks pay the scheduling cost hundreds of times, while
     a large frame keeps every core busy."""
-    cores = df.sparkSession.sparkContext.defaultParallelism
+    try:
+        cores = df.sparkSession.sparkContext.defaultParallelism
+        current = df.rdd.getNumPartitions()
+    except Exception:  # no RDD view (e.g. a Spark Connect session): leave as is
+        return df
     target = max(1, min(4 * cores, math.ceil(n_rows / rows_per_partition)))
-    current = df.rdd.getNumPartitions()
     if target < current:
         return df.coalesce(target)
     return df.repartition(target) if target > current else df

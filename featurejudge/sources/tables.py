@@ -70,8 +70,12 @@ def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
     work after it -- text matching on long documents -- runs on every core.
     A scan that is already split (any large table on a cluster) is returned
     untouched: no shuffle is added where parallelism already exists."""
-    target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(target) if df.rdd.getNumPartitions() < target else df
+    try:
+        target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
+        current = df.rdd.getNumPartitions()
+    except Exception:  # no RDD view (e.g. a Spark Connect session): leave as is
+        return df
+    return df.repartition(target) if current < target else df
 
 
 def driver_tables(spark: SparkSession, sf_dir: str, names=DRIVER_TABLES) -> dict[str, DataFrame]:

@@ -31,20 +31,28 @@ def lower_ascii(text: Column) -> Column:
     return F.translate(text, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
 
 
+def let(value: Column, body) -> Column:
+    """``body`` of a value that is computed once a row (array functions are not
+    covered by Spark's elimination of common subexpressions)."""
+    return F.element_at(F.transform(F.array(value), body), 1)
+
+
 def window_hashes(hashes: Column, width: int) -> Column:
     """64-bit hash of every window of ``width`` consecutive elements of an
     array of longs; ``width`` must be a power of two.  Windows of 2, 4, 8 ...
     elements are hashed from two halves each, so a window costs log2(width)
-    hashes and no slice.  Arrays shorter than ``width`` give an empty array."""
+    hashes.  Arrays shorter than ``width`` give an empty array."""
     if width < 1 or width & (width - 1):
         raise ValueError("width must be a power of two")
+
+    def doubled(step):
+        def body(h):
+            n = F.greatest(F.size(h) - step, F.lit(0))
+            return F.zip_with(F.slice(h, F.lit(1), n), F.slice(h, F.lit(step + 1), n), lambda a, b: F.xxhash64(a, b))
+        return body
     out, step = hashes, 1
     while step < width:
-        # the second operand is the same array, `step` places on
-        left = F.slice(out, F.lit(1), F.greatest(F.size(out) - step, F.lit(0)))
-        right = F.slice(out, F.lit(step + 1), F.greatest(F.size(out) - step, F.lit(0)))
-        out = F.zip_with(left, right, lambda a, b: F.xxhash64(a, b))
-        step *= 2
+        out, step = let(out, doubled(step)), 2 * step
     return out
 
 

@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from featurejudge.llm import decontamination, language, mixing, simhash, toxicity
-from featurejudge.llm.common import cut_lineage, load
+from featurejudge.llm.common import cut_lineage, labelled_rows, load
 
 TOXIC = 0.7
 
@@ -24,7 +24,7 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def toxic_filter(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that score ``TOXIC`` or more go."""
     labels = load(spark, sf_dir, "labels", "doc_id", "toxic")
-    model = toxicity.fit(docs, toxicity.labelled_rows(docs, labels, F.lit(True), "toxic"))
+    model = toxicity.fit(docs, labelled_rows(docs, labels, "toxic"))
     marked = docs.withColumn("__toxicity", toxicity.score_column(spark, model)(F.col("text")))
     return marked.where(F.col("__toxicity") < TOXIC).drop("__toxicity")
 

@@ -45,7 +45,7 @@ def template(text: Column) -> Column:
     Null and empty texts: an empty array."""
     out = F.concat(F.lit(" "), F.regexp_replace(F.coalesce(text, F.lit("")), SPACE_CLASS + "+", " "), F.lit(" "))
     out = F.regexp_replace(out, rf"(?i) {_EDGE}*+([$€£]?[+-]?\d[\d.,:/]*+{_UNIT}?){_EDGE}*+(?= )", f" {NUMBER}$1")
-    out = F.regexp_replace(out, rf"(?i)(?<= {NUMBER}[^ ]{{1,40}}) ({_UNIT}){_EDGE}*+(?= )", f" {UNIT}$1")
+    out = F.regexp_replace(out, rf"(?i) ({NUMBER}[^ ]*+) ({_UNIT}){_EDGE}*+(?= )", f" $1 {UNIT}$2")
     out = F.regexp_replace(out, r"(?<=[\p{L},;]) (\p{Lu}[\p{Ll}'’-]++)", f" {NAME}$1")
     out = F.regexp_replace(F.regexp_replace(out, rf"{_EDGE}++(?= )", ""), rf"(?<= ){_EDGE}++", "")
     return F.array_remove(F.split(F.lower(out), " +"), "")

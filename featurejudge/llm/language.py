@@ -23,7 +23,7 @@ BUCKET_BITS = 14          # 16,384 n-gram buckets
 MAX_LANGS = 200           # more distinct languages than this is refused
 SMOOTH = 0.5              # added to every bucket of every language
 PIECE = 1 << 20           # characters hashed at once
-AMBIGUITY = 0.05          # gap between the two best losses under which a row is flagged
+AMBIGUITY = 0.02          # gap between the two best losses under which a row is flagged
 SHARPNESS = 12.0          # of the score
 UNKNOWN = "und"
 

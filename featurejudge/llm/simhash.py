@@ -224,7 +224,7 @@ def links(distinct_fps: DataFrame, max_bits: int = MAX_BITS, segments: int = SEG
                         [pa.array(np.full(len(rows), k, np.int32)), pa.array(np.full(len(rows), shard, np.int32)),
                          pa.array(fps[rows].view(np.int64)), pa.array(home)], ["tree", "shard", "fp", "home"])
 
-    def solve(key, pdf: pd.DataFrame) -> pd.DataFrame:
+    def solve(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
         fps = pdf["fp"].to_numpy(np.int64).view(np.uint64)
         rows, roots = shard_forest(fps, pdf["home"].to_numpy(bool), slices[int(key[0])], max_bits, segments)
         return pd.DataFrame({"a": fps[rows].view(np.int64), "b": fps[roots].view(np.int64)})

@@ -7,15 +7,17 @@ be dropped.  A Viterbi pass under a character trigram model, counted over all
 documents, picks the restored spelling.  Whole texts are then scored on their
 words, plain and restored: the score is that of the strongest word, a word
 being as toxic as the smoothed share of toxic labels among the labelled
-documents with that word, its first four or its first five characters.
+documents with that word, its first four or its first five characters (0 for
+features seen in few toxic documents).
 """
 
 from __future__ import annotations
 
 import math
 import re
+from collections import Counter
 from collections.abc import Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 
 import numpy as np
 import pandas as pd
@@ -24,10 +26,16 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.functions import pandas_udf
 
-BUCKET_BITS = 18          # word and prefix buckets
-PREFIXES = (4, 5)
-PRIOR_ROWS = 5.0          # labelled documents that the prior counts as
+from featurejudge.llm.common import cut_lineage, labelled_rows
+
+LEXICON = 200_000         # most features kept, the most toxic ones first
+MIN_TOXIC = 3             # labelled toxic documents that a feature must have been seen in
+MIN_WEIGHT = 0.3          # smoothed toxic share that a feature must have
+PREFIXES = (4, 5, 6)
+LONG = 40
+PRIOR_ROWS = 3.0          # labelled documents that the prior counts as
 ALPHABET_BITS = 7         # character classes of the language model: 128
+SKETCH = 4                # minima that copies among the learning rows are told by; at most 4
 CHANNEL = 1.5             # nats that reading a character as another one costs
 MEMO_WORDS = 300_000      # words remembered by a worker; emptied when full
 
@@ -36,25 +44,34 @@ LEET = {"0": "o", "1": "il", "2": "z", "3": "e", "4": "a", "5": "s", "6": "gb",
         "@": "a", "$": "s", "!": "il", "|": "il", "+": "t", "(": "c", "€": "e", "£": "l"}
 _SEPARATORS = ".-_*~·'’"
 _TRIM = ".,;:?!\"'()[]{}<>«»„“”¡¿…-_*#%&$~|+"
-_DISGUISED = re.compile(r"(?=.*[^\W\d_])(?:.*[0-9@$!|+(€£].*|.*[.\-_*~·'’].*|.*(.)\1\1.*)", re.S)
-_SPACED = re.compile(r"(?<!\S)(?:[^\W_]|[@$!|+(€£])(?:[ ._\-*]+(?:[^\W_]|[@$!|+(€£])){2,}(?!\S)")
-_LETTERS = re.compile(r"[^\W\d_]+")
+_TRIM_SOFT = _TRIM.replace("$", "")
+_DISGUISED = re.compile(r"[0-9@$!|+(€£.\-_*~·'’]|(.)\1\1", re.S)
+_EDGE_LETTERS = re.compile(r"(?:^([$@])\1?(?=[^\W_]))|(?:(?<=[^\W_])([$@])\2?$)")
+_SPACED = re.compile(r"(?<!\S)\S(?:\s\S){2,}(?!\S)")
+_RUN = re.compile(r"(.)\1\1", re.S)
 
 
 def classes(word: str) -> np.ndarray:
     """Character classes of the language model: a-z are 1-26, any other
-    letter one of 27-127 by code point, the word's edge 0."""
-    points = np.frombuffer(word.encode("utf-32-le", "surrogatepass"), np.uint32)
-    return np.where((points >= 97) & (points <= 122), points - 96, 27 + points % 101).astype(np.int64)
+    letter one of 27-127 by code point, the word's edge (NUL) 0."""
+    points = np.frombuffer(word.encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.int64)
+    return np.where((points >= 97) & (points <= 122), points - 96, np.where(points == 0, 0, 27 + points % 101))
+
+
+def class_of(ch: str) -> int:
+    point = ord(ch)
+    return point - 96 if 97 <= point <= 122 else 27 + point % 101 if point else 0
 
 
 def trigram_counts(words: list[str], times: np.ndarray) -> np.ndarray:
     """Counts of (class, class, class) over words with two leading edges and one trailing."""
-    out = np.zeros(1 << (3 * ALPHABET_BITS), np.int64)
-    for word, n in zip(words, times):
-        c = np.concatenate(([0, 0], classes(word), [0]))
-        np.add.at(out, (c[:-2] << (2 * ALPHABET_BITS)) | (c[1:-1] << ALPHABET_BITS) | c[2:], n)
-    return out
+    if not words:
+        return np.zeros(1 << (3 * ALPHABET_BITS), np.int64)
+    c = classes("\0\0" + "\0\0".join(words) + "\0\0")
+    grams = (c[:-2] << (2 * ALPHABET_BITS)) | (c[1:-1] << ALPHABET_BITS) | c[2:]
+    weight = np.repeat(times, np.fromiter(map(len, words), np.int64, len(words)) + 2)
+    weight[(c[1:-1] == 0) & (c[2:] == 0)] = 0               # between two words
+    return np.bincount(grams, weight, 1 << (3 * ALPHABET_BITS)).astype(np.int64)
 
 
 @dataclass
@@ -65,6 +82,7 @@ class CharModel:
     one: np.ndarray
     after_two: dict
     after_one: dict
+    memo: dict = field(default_factory=dict)
 
     @staticmethod
     def of(keys: np.ndarray, counts: np.ndarray) -> "CharModel":
@@ -80,7 +98,13 @@ class CharModel:
                          after_two, after_one)
 
     def log_p(self, x: int, y: int, z: int) -> float:
-        p = self.one[z]
+        k = (x << ALPHABET_BITS | y) << ALPHABET_BITS | z
+        if k not in self.memo:
+            self.memo[k] = self._log_p(x, y, z)          # at most 2 ** 21 of them
+        return self.memo[k]
+
+    def _log_p(self, x: int, y: int, z: int) -> float:
+        p = float(self.one[z])
         n = self.after_one.get(y, 0)
         p = (self.two.get(y << ALPHABET_BITS | z, 0) + 5 * p) / (n + 5)
         n = self.after_two.get(x << ALPHABET_BITS | y, 0)
@@ -95,7 +119,7 @@ def lattice(token: str) -> list[tuple[list[str], float]]:
     for run in re.finditer(r"(.)\1*", token, re.S):
         ch, n = run[1], len(run[0])
         if ch in _SEPARATORS or ch.isspace():
-            slots.append([("", 0.0), (" ", CHANNEL)])
+            slots.append([("", 0.0), (" ", 2 * CHANNEL)])
             continue
         reads = [(x, CHANNEL) for x in LEET.get(ch, "")]
         if ch.isalpha():
@@ -116,13 +140,7 @@ def lattice(token: str) -> list[tuple[list[str], float]]:
 def restore(token: str, model: CharModel) -> str:
     """Viterbi decoding of the lattice under the trigram model (exact: a state
     is the last two classes).  Time and memory are linear in the token."""
-    known: dict = {}
-
-    def log_p(x, y, z):
-        if (x, y, z) not in known:
-            known[x, y, z] = model.log_p(x, y, z)
-        return known[x, y, z]
-
+    log_p = model.log_p
     states = {(0, 0): (0.0, None)}            # last two classes -> (score, back pointer)
     for slot in lattice(token):
         after: dict = {}
@@ -135,7 +153,7 @@ def restore(token: str, model: CharModel) -> str:
                     s += log_p(a, b, 0)
                     a = b = 0
                 else:
-                    for z in classes(read).tolist() if read else ():
+                    for z in map(class_of, read):
                         s += log_p(a, b, z)
                         a, b = b, z
                 if (a, b) not in after or s > after[a, b][0]:
@@ -151,69 +169,91 @@ def restore(token: str, model: CharModel) -> str:
     return "".join(reversed(out))
 
 
-def plain_words(text: str) -> list[str]:
-    """Lower-case white-space words without the signs at their edges."""
-    return [w for w in (t.strip(_TRIM) for t in text.lower().split()) if w]
+def tokens(text: str | None) -> set[str]:
+    """Distinct lower-case white-space tokens of a whole text, and its runs of
+    three or more one-character tokens."""
+    low = (text or "").lower()
+    return {*low.split(), *(run[0] for run in _SPACED.finditer(low))}
 
 
 def features(word: str) -> list[str]:
-    return [word, *(f"{word[:n]}*" for n in PREFIXES if len(word) > n)]
+    """The word and its prefixes; what is longer than ``LONG`` characters is named by a hash."""
+    whole = word if len(word) <= LONG else f"{xxhash.xxh64_hexdigest(word.encode('utf-8', 'surrogatepass'))}#{len(word)}"
+    return [whole, *(word[:n] + "*" for n in PREFIXES if len(word) > n)]
 
 
-def bucket(feature: str) -> int:
-    return xxhash.xxh64_intdigest(feature.encode("utf-8", "surrogatepass")) >> (64 - BUCKET_BITS)
+def specific(lexicon: dict[str, tuple[int, float]], share: float = 0.9) -> dict[str, float]:
+    """feature -> weight, without the prefixes whose toxic documents one longer
+    prefix or word accounts for (``lose*`` beside ``loser``)."""
+    longest: dict[str, int] = {}
+    for f, (toxic, _) in lexicon.items():
+        stem = f.rstrip("*")
+        for n in PREFIXES:
+            if len(stem) > n:
+                longest[stem[:n] + "*"] = max(longest.get(stem[:n] + "*", 0), toxic)
+    return {f: w for f, (toxic, w) in lexicon.items() if longest.get(f, 0) < share * toxic}
 
 
 class Restorer:
-    """Words of a text, plain and restored, with a bounded memo."""
+    """Features of a text's words, plain and restored, with a bounded memo
+    by white-space token (and by run of letters set apart)."""
 
     def __init__(self, model: CharModel):
         self.model, self.memo = model, {}
 
     def restored(self, token: str) -> list[str]:
-        if token not in self.memo:
+        return [w for w in restore(token, self.model).split() if w]
+
+    def words(self, token: str) -> set[str]:
+        """Words that one lower-case token, or run of set-apart letters, may be."""
+        if token.isalpha() and not _RUN.search(token):
+            return {token}
+        if any(map(str.isspace, token)):
+            return set(self.restored(token))
+        core = token.strip(_TRIM)
+        out = {core}
+        # signs at the edge are mostly signs; only $ and @, once or twice, may be letters (a$$, @ss)
+        wide = token.strip(_TRIM_SOFT)
+        for x in {core, wide} if _EDGE_LETTERS.search(wide) else {core}:
+            if not x.isalpha() or _RUN.search(x):
+                if _DISGUISED.search(x) and any(map(str.isalpha, x)):
+                    out.update(self.restored(x))
+        out.discard("")
+        return out
+
+    def keys(self, token: str) -> tuple:
+        got = self.memo.get(token)
+        if got is None:
             if len(self.memo) >= MEMO_WORDS:
                 self.memo.clear()
-            self.memo[token] = [w for w in restore(token, self.model).split() if w]
-        return self.memo[token]
+            got = self.memo[token] = tuple({f for w in self.words(token) for f in features(w)})
+        return got
 
-    def words(self, text: str) -> set[str]:
-        low = text.lower()
-        tokens = set(low.split())
-        out = {t.strip(_TRIM) for t in tokens}
-        for t in tokens:
-            if not t.isalpha() or any(a == b == c for a, b, c in zip(t, t[1:], t[2:])):
-                # a sign at the edge may be a letter (5tupid, @ss) or only a sign
-                for x in {t, t.strip(".,;:?!\"'()[]{}<>«»„“”¡¿…")}:
-                    if _DISGUISED.match(x):
-                        out.update(self.restored(x))
-        for run in _SPACED.finditer(low):
-            out.update(self.restored(run[0]))
-        out.discard("")
-        return out
+    def text(self, text: str | None) -> set[str]:
+        return {k for t in tokens(text) for k in self.keys(t)}
 
 
 @dataclass
 class Model:
     chars: CharModel
-    weight: np.ndarray        # bucket -> smoothed share of toxic labels
+    weight: dict              # feature key -> smoothed share of toxic labels
     base: float               # share of toxic labels among all learning rows
 
 
 def fit_chars(docs: DataFrame, text_col: str = "text") -> CharModel:
     """Character trigrams of every purely alphabetic word of every text."""
     def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        seen: dict[str, int] = {}
+        seen: Counter = Counter()
         total = np.zeros(1 << (3 * ALPHABET_BITS), np.int64)
 
         def flush():
             nonlocal total
-            total += trigram_counts(list(seen), np.fromiter(seen.values(), np.int64, len(seen)))
+            pairs = [(w, n) for t, n in seen.items() if (w := t.strip(_TRIM)).isalpha()]
+            total += trigram_counts([w for w, _ in pairs], np.array([n for _, n in pairs], np.int64))
             seen.clear()
         for pdf in batches:
             for text in pdf["text"]:
-                for w in _LETTERS.findall(text.lower()):
-                    seen[w] = seen.get(w, 0) + 1
+                seen.update(text.lower().split())
                 if len(seen) > MEMO_WORDS:
                     flush()
         flush()
@@ -226,54 +266,86 @@ def fit_chars(docs: DataFrame, text_col: str = "text") -> CharModel:
     return CharModel.of(got["gram"].to_numpy(np.int64), got["n"].to_numpy(np.int64))
 
 
-def fit(docs: DataFrame, labelled: DataFrame, text_col: str = "text", label_col: str = "toxic") -> Model:
-    """``docs``: all documents, for the character model; ``labelled``: learning
-    rows with text and a 0/1 label (rows without a label are ignored).  Without
-    learning rows every score is 0."""
+def sketch(text: str | None, keys: int = SKETCH) -> list[int]:
+    """Minima of ``keys`` hashes over the text's two-word shingles; equal
+    sketches element by element are as likely as the shingles are shared."""
+    words = (text or "").lower().split()
+    if len(words) < 2:
+        return [xxhash.xxh32_intdigest(f"{k} {' '.join(words)}".encode("utf-8", "surrogatepass")) for k in range(keys)]
+    h = np.fromiter((xxhash.xxh32_intdigest(f"{a} {b}".encode("utf-8", "surrogatepass")) for a, b in zip(words, words[1:])),
+                    np.uint64, len(words) - 1)
+    odd = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93], np.uint64)[:keys]
+    return [int((h * m).min().view(np.int64)) for m in odd]
+
+
+def one_of_copies(rows: DataFrame) -> DataFrame:
+    """doc_id of one learning row of each group of copies: what stands beside a
+    toxic word in a thousand copies is then seen about once.  Rows that agree
+    in any of the sketch's minima with a row kept so far are left out."""
+    sketched = pandas_udf(lambda texts: pd.Series([sketch(t) for t in texts]), "array<long>")
+    left = rows.select("doc_id", sketched("text").alias("s"))
+    for k in range(SKETCH):
+        left = left.groupBy(F.col("s")[k]).agg(F.min(F.struct("doc_id", "s")).alias("r")).select("r.doc_id", "r.s")
+    return left.select("doc_id").distinct()
+
+
+def fit(docs: DataFrame, labelled: DataFrame, text_col: str = "text", label_col: str = "label") -> Model:
+    """``docs``: all documents, for the character model; ``labelled``: a bounded
+    table of learning rows (doc_id, text, 0/1 label; rows without an id or a
+    label are ignored), of which near duplicates count once.  Without learning
+    rows every score is 0."""
     spark = docs.sparkSession
     chars = fit_chars(docs, text_col)
     shared = spark.sparkContext.broadcast(chars)
 
     def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        restorer, n = Restorer(shared.value), np.zeros((2, 1 << BUCKET_BITS), np.int64)
-        rows = np.zeros(2, np.int64)
+        restorer, seen, rows = Restorer(shared.value), ({}, {}), [0, 0]
+
+        def flush():
+            for label in (0, 1):
+                if seen[label]:
+                    yield pd.DataFrame({"label": label, "feature": list(seen[label]),
+                                        "n": np.fromiter(seen[label].values(), np.int64, len(seen[label]))})
+                seen[label].clear()
         for pdf in batches:
             for text, label in zip(pdf["text"], pdf["label"]):
                 rows[label] += 1
-                hit = {bucket(f) for w in restorer.words(text or "") for f in features(w)}
-                n[label, np.fromiter(hit, np.int64, len(hit))] += 1
-        for label in (0, 1):
-            at = np.flatnonzero(n[label])
-            yield pd.DataFrame({"label": label, "bucket": at, "n": n[label, at]})
-            yield pd.DataFrame({"label": [label], "bucket": [-1], "n": [rows[label]]})
-
-    rows = (labelled.where(F.col(label_col).isin(0, 1))
-            .select(F.col(text_col).alias("text"), F.col(label_col).cast("int").alias("label")))
-    # at most 2 x 2 ** BUCKET_BITS rows; one row a bucket reaches the driver
-    got = (rows.mapInPandas(count, "label int, bucket long, n long").groupBy("bucket")
-           .agg(F.sum(F.when(F.col("label") == 1, F.col("n")).otherwise(0)).alias("toxic"), F.sum("n").alias("n"))
-           .toPandas())
-    toxic, n = np.zeros(1 << BUCKET_BITS), np.zeros(1 << BUCKET_BITS)
-    inner = got[got["bucket"] >= 0]
-    toxic[inner["bucket"]], n[inner["bucket"]] = inner["toxic"], inner["n"]
-    whole = got[got["bucket"] < 0]
-    base = float(whole["toxic"].sum() / whole["n"].sum()) if whole["n"].sum() else 0.0
-    return Model(chars, ((toxic + PRIOR_ROWS * base) / (n + PRIOR_ROWS)).astype(np.float32), base)
+                mine = seen[label]
+                for k in restorer.text(text):
+                    mine[k] = mine.get(k, 0) + 1
+                if len(mine) > MEMO_WORDS:
+                    yield from flush()
+        yield from flush()
+        yield pd.DataFrame({"label": [0, 1], "feature": ["", ""], "n": rows})     # counts the rows
+
+    rows = cut_lineage(labelled.where(F.col(label_col).isin(0, 1))
+                       .select("doc_id", F.col(text_col).alias("text"), F.col(label_col).cast("int").alias("label")))
+    rows = rows.join(F.broadcast(cut_lineage(one_of_copies(rows))), "doc_id")    # as bounded as the learning rows
+    counted = cut_lineage(rows.mapInPandas(count, "label int, feature string, n long").groupBy("feature")
+                          .agg(F.sum(F.when(F.col("label") == 1, F.col("n")).otherwise(0)).alias("toxic"), F.sum("n").alias("n")))
+    whole = counted.where("feature = ''").first()
+    base = whole["toxic"] / whole["n"] if whole and whole["n"] else 0.0
+    weight = (F.col("toxic") + PRIOR_ROWS * base) / (F.col("n") + PRIOR_ROWS)
+    # at most LEXICON rows reach the driver, in order of strength
+    top = (counted.where("feature != ''").withColumn("w", weight).where((F.col("toxic") >= MIN_TOXIC) & (F.col("w") >= MIN_WEIGHT))
+           .orderBy(F.desc("w"), F.desc("n"), "feature").limit(LEXICON).select("feature", "toxic", "w").collect())
+    return Model(chars, specific({r["feature"]: (r["toxic"], r["w"]) for r in top}), base)
 
 
 class Scorer:
     def __init__(self, model: Model):
-        self.model, self.restorer, self.memo = model, Restorer(model.chars), {}
+        self.weight, self.restorer, self.memo = model.weight, Restorer(model.chars), {}
 
-    def word(self, w: str) -> float:
-        if w not in self.memo:
+    def token(self, token: str) -> float:
+        if token not in self.memo:
             if len(self.memo) >= MEMO_WORDS:
                 self.memo.clear()
-            self.memo[w] = max(float(self.model.weight[bucket(f)]) for f in features(w))
-        return self.memo[w]
+            self.memo[token] = max((self.weight.get(f, 0.0) for w in self.restorer.words(token) for f in features(w)),
+                                   default=0.0)
+        return self.memo[token]
 
     def text(self, text: str | None) -> float:
-        return max((self.word(w) for w in self.restorer.words(text or "")), default=0.0)
+        return max(map(self.token, tokens(text)), default=0.0)
 
 
 def score_column(spark, model: Model):
@@ -288,20 +360,12 @@ def score_column(spark, model: Model):
     return toxicity
 
 
-def labelled_rows(docs: DataFrame, labels: DataFrame, learn: Column, label_col: str) -> DataFrame:
-    """Text and label of the labelled documents for which ``learn`` holds.
-    Repeated label rows of one document count as one if equal; a document with
-    two different labels counts under both."""
-    return (docs.where(learn).select("doc_id", "text")
-            .join(labels.where(f"{label_col} IN (0, 1)").select("doc_id", F.col(label_col)).distinct(), "doc_id"))
-
-
 def score(docs: DataFrame, labels: DataFrame, learn: Column, threshold: float = 0.7) -> DataFrame:
     """(doc_id, score, predicted) for every row of ``docs`` (doc_id, text),
     learned from ``labels`` (doc_id, toxic) of the documents for which ``learn``
     holds.  Null and empty texts score 0; null ids are kept and never learned
     from; repeated rows score alike; other columns are never read."""
-    model = fit(docs, labelled_rows(docs, labels, learn, "toxic"))
+    model = fit(docs, labelled_rows(docs, labels, "toxic", learn))
     toxicity = score_column(docs.sparkSession, model)
     return (docs.select("doc_id", toxicity("text").alias("score"))
             .withColumn("predicted", (F.col("score") >= threshold).cast("int")))

@@ -21,6 +21,7 @@ from featurejudge.llm.common import SPACE_CLASS, cut_lineage, window_hashes
 WIDTH = 8                       # template words in a window; a power of two
 MIN_SHARE = 0.5                 # of an item's windows that must be matched
 MIN_LITERALS = 3                # words of an item's window that are no placeholder
+SIEVE = 1 << 16                 # residues of item hashes that are told apart before the join
 BROADCAST_BYTES = 32 << 20      # most bytes of item windows that are broadcast
 
 #: Private-use characters that mark a placeholder; the value stands behind them.
@@ -43,12 +44,12 @@ def template(text: Column) -> Column:
     a unit behind a number, and a name (a capitalised word behind a word that
     ends no sentence) get the mark of their type in front of their value.
     Null and empty texts: an empty array."""
-    out = F.concat(F.lit(" "), F.regexp_replace(F.coalesce(text, F.lit("")), SPACE_CLASS + "+", " "), F.lit(" "))
+    out = F.concat(F.lit(" "), F.translate(F.coalesce(text, F.lit("")), "\t\n\x0b\x0c\r", "     "), F.lit(" "))
     out = F.regexp_replace(out, rf"(?i) {_EDGE}*+([$€£]?[+-]?\d[\d.,:/]*+{_UNIT}?){_EDGE}*+(?= )", f" {NUMBER}$1")
     out = F.regexp_replace(out, rf"(?i) ({NUMBER}[^ ]*+) ({_UNIT}){_EDGE}*+(?= )", f" $1 {UNIT}$2")
-    out = F.regexp_replace(out, r"(?<=[\p{L},;]) (\p{Lu}[\p{Ll}'’-]++)", f" {NAME}$1")
+    out = F.regexp_replace(out, r"(?<=[\p{L},;]) +(\p{Lu}[\p{Ll}'’-]++)", f" {NAME}$1")
     out = F.regexp_replace(F.regexp_replace(out, rf"{_EDGE}++(?= )", ""), rf"(?<= ){_EDGE}++", "")
-    return F.array_remove(F.split(F.lower(out), " +"), "")
+    return F.array_remove(F.split(F.lower(out), " "), "")
 
 
 def is_slot(word: Column) -> Column:
@@ -60,12 +61,10 @@ def word_hashes(words: Column) -> Column:
     return F.transform(words, lambda w: F.xxhash64(F.when(is_slot(w), F.substring(w, 1, 1)).otherwise(w)))
 
 
-def windows(table: DataFrame, id_col: str, text_col: str, width: int) -> DataFrame:
-    """(id, words, n_windows, pos, h), one row a window of a whole text."""
+def hashed(table: DataFrame, id_col: str, text_col: str, width: int) -> DataFrame:
+    """(id, words, hashes): template words and window hashes of whole texts."""
     return (table.select(F.col(id_col).alias("id"), template(F.col(text_col)).alias("words"))
-            .where(F.size("words") >= width)
-            .select("id", "words", window_hashes(word_hashes(F.col("words")), width).alias("hashes"))
-            .select("id", "words", F.size("hashes").alias("n_windows"), F.posexplode("hashes").alias("pos", "h")))
+            .select("id", "words", window_hashes(word_hashes(F.col("words")), width).alias("hashes")))
 
 
 def item_windows(benchmark: DataFrame, id_col: str = "item_id", text_col: str = "text", width: int = WIDTH,
@@ -73,7 +72,10 @@ def item_windows(benchmark: DataFrame, id_col: str = "item_id", text_col: str =
     """(item_id, item_pos, item_count, h, item_words) of all items.  The first
     word of an item may be read as a name inside a document, so the first
     window is also hashed that way."""
-    rows = windows(benchmark, id_col, text_col, width).withColumn("words", F.slice("words", F.col("pos") + 1, F.lit(width)))
+    rows = hashed(benchmark, id_col, text_col, width)
+    rows = rows.select("id", "words", F.size("hashes").alias("n_windows"), F.posexplode_outer("hashes").alias("pos", "h"))
+    rows = rows.where("h IS NOT NULL")
+    rows = rows.withColumn("words", F.slice("words", F.col("pos") + 1, F.lit(width)))
     first = F.element_at("words", 1)
     as_name = (rows.where((F.col("pos") == 0) & ~is_slot(first))
                .withColumn("words", F.concat(F.array(F.concat(F.lit(NAME), first)), F.slice("words", 2, width)))
@@ -100,20 +102,29 @@ def leaks(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_co
     are never read; an empty side gives an empty result.
 
     Item windows are broadcast if they hold at most ``broadcast_bytes``;
-    otherwise the same join is made by a shuffle of (id, position, hash)."""
+    otherwise the same join is made by a shuffle."""
     items = cut_lineage(item_windows(benchmark, width=width, min_literals=min_literals))
     held = items.agg(F.sum(F.octet_length(F.array_join("item_words", " ")) + 64).alias("b")).first()["b"] or 0
-    own = windows(docs, id_col, text_col, width)
-
-    def near(words):
-        return F.slice(words, F.col("pos") + 1, F.lit(width))
+    # windows whose last bits no item has are dropped before they become rows
+    bits = bytearray(SIEVE)
+    for r in items.select(F.col("h").bitwiseAND(F.lit(SIEVE - 1)).cast("int").alias("bit")).distinct().collect():
+        bits[r["bit"]] = 1
+    sieve = F.lit(bytes(bits))
+    own = (hashed(docs, id_col, text_col, width)
+           .withColumn("hit", F.array_distinct(F.filter("hashes", lambda h: F.substring(
+               sieve, h.bitwiseAND(F.lit(SIEVE - 1)).cast("int") + 1, F.lit(1)) == F.lit(b"\x01"))))
+           # explode_outer: for explode, Spark infers a filter that would evaluate the template once more
+           .select("id", "words", "hashes", F.explode_outer("hit").alias("h")).where("h IS NOT NULL"))
+
+    def spots(rows):
+        at = F.filter(F.sequence(F.lit(0), F.size("hashes") - 1), lambda k: F.get("hashes", k) == F.col("h"))
+        return rows.withColumn("spots", F.transform(at, lambda k: F.struct(k.alias("pos"), F.slice("words", k + 1, width).alias("near"))))
     if held <= broadcast_bytes:
-        met = own.join(F.broadcast(items), "h").withColumn("near", near(F.col("words")))
+        met = spots(own.join(F.broadcast(items), "h"))
     else:
-        slim = own.withColumn("near", near(F.col("words")))
-        slim = slim.select("id", "pos", "h", F.when(F.exists("near", is_slot), F.col("near")).alias("near"))
-        met = slim.join(items, "h")
-    pairs = F.zip_with("item_words", F.coalesce("near", "item_words"), lambda a, b: F.struct(a.alias("item"), b.alias("doc")))
+        met = spots(own).select("id", "h", "spots").join(items, "h")
+    met = met.select("id", "item_id", "item_count", "item_pos", "item_words", F.inline_outer("spots"))
+    pairs = F.zip_with("item_words", "near", lambda a, b: F.struct(a.alias("item"), b.alias("doc")))
     met = met.select(F.col("id").alias("doc_id"), "item_id", "item_count", "item_pos",
                      (F.col("pos") - F.col("item_pos")).alias("diagonal"),
                      F.filter(pairs, lambda p: is_slot(p["item"]) & is_slot(p["doc"])).alias("slots"))

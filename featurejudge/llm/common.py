@@ -62,21 +62,23 @@ def held_out(doc_id: Column, modulus: int, remainder: int) -> Column:
 LEARN_ROWS = 40_000       # labelled documents of each label from which classifiers learn
 
 
-def labelled_rows(docs: DataFrame, labels: DataFrame, label_col: str, learn: Column | None = None,
-                  rows: int = LEARN_ROWS) -> DataFrame:
-    """(doc_id, text, label) of at most ``rows`` labelled documents a label for which
-    ``learn`` (a condition on doc_id) holds: a sample by hash of the id, the
-    same for the same input.  Only this bounded list of ids is broadcast, so
-    no text is shuffled.  Null labels and ids are ignored, repeated label rows
-    count once, a document with both labels counts under both."""
-    spark = docs.sparkSession
+def labelled_ids(labels: DataFrame, label_col: str, learn: Column | None = None, rows: int = LEARN_ROWS) -> DataFrame:
+    """(__id, label) of at most ``rows`` documents a label for which ``learn``
+    (a condition on doc_id) holds: a sample by hash of the id, the same for the
+    same input.  Null labels and ids are ignored, repeated label rows count
+    once, a document with both labels counts under both."""
     known = (labels.where(F.col(label_col).isin(0, 1) & F.col("doc_id").isNotNull() & (F.lit(True) if learn is None else learn))
-             .select("doc_id", F.col(label_col).cast("int").alias("label")).distinct())
-    counts = {r["label"]: r["count"] for r in known.groupBy("label").count().collect()}
-    picked = spark.createDataFrame([], "doc_id long, label int")
-    for label, n in sorted(counts.items()):
+             .select(F.col("doc_id").alias("__id"), F.col(label_col).cast("int").alias("label")).distinct())
+    picked = known.where("false")
+    for label, n in sorted((r["label"], r["count"]) for r in known.groupBy("label").count().collect()):
         bound = min(2 ** 63 - 1, -(2 ** 63) + int(min(1.0, rows / n) * 2 ** 64))
-        some = known.where((F.col("label") == label) & (F.xxhash64("doc_id", F.lit(5)) <= F.lit(bound))).limit(rows)
-        picked = picked.unionByName(some)
-    picked = cut_lineage(picked.withColumnRenamed("doc_id", "__id"))
+        picked = picked.unionByName(known.where((F.col("label") == label) & (F.xxhash64("__id", F.lit(5)) <= F.lit(bound))).limit(rows))
+    return cut_lineage(picked)
+
+
+def labelled_rows(docs: DataFrame, labels: DataFrame, label_col: str, learn: Column | None = None,
+                  rows: int = LEARN_ROWS) -> DataFrame:
+    """(doc_id, text, label) of the ``labelled_ids``.  Only this bounded list of
+    ids is broadcast, so no text is shuffled."""
+    picked = labelled_ids(labels, label_col, learn, rows)
     return docs.join(F.broadcast(picked), docs["doc_id"] == picked["__id"]).select("doc_id", "text", "label")

@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from featurejudge.llm import decontamination, language, mixing, simhash, toxicity
+from featurejudge.llm import (decontamination, extraction, language, mixing, quality_classifier, quality_rules, simhash, toxicity,
+                             url_filter, warc)
 from featurejudge.llm.common import held_out, load
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -19,6 +20,34 @@ def query(fn):
     return fn
 
 
+@query
+def op1_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.round_trip(load(spark, sf_dir, "pages", "page_id", "url", "html"))
+
+
+@query
+def op4_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return extraction.main_text(load(spark, sf_dir, "pages", "page_id", "url", "html"))
+
+
+@query
+def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_rules.judge(load(spark, sf_dir, "documents", "doc_id", "source", "text"))
+
+
+@query
+def op8_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return url_filter.judge(load(spark, sf_dir, "pages", "page_id", "url"))
+
+
+@query
+def op9_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = load(spark, sf_dir, "documents", "doc_id", "text")
+    out = held_out(F.col("doc_id"), 4, 2)
+    return (quality_classifier.score(docs, load(spark, sf_dir, "labels", "doc_id", "quality"), ~out)
+            .select("doc_id", out.alias("held_out"), "score", "predicted"))
+
+
 @query
 def op2_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontamination.leaks(load(spark, sf_dir, "documents", "doc_id", "text"),
@@ -49,3 +78,6 @@ def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(load(spark, sf_dir, "documents", "doc_id", "text", "source"))
+
+
+ORACLE["op7_quality_rules"] = quality_rules.ORACLE

@@ -17,16 +17,14 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     and those whose two best codewords are too close."""
     model = language.fit(docs)
     pred = language.predict_column(spark, model)(F.col("text"))
-    marked = docs.withColumn("__language", pred)
-    return marked.where((F.col("__language.lang") != language.UNKNOWN) & ~F.col("__language.ambiguous")).drop("__language")
+    return docs.where((pred["lang"] != language.UNKNOWN) & ~pred["ambiguous"])
 
 
 def toxic_filter(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that score ``TOXIC`` or more go."""
     labels = load(spark, sf_dir, "labels", "doc_id", "toxic")
     model = toxicity.fit(docs, labelled_rows(docs, labels, "toxic"))
-    marked = docs.withColumn("__toxicity", toxicity.score_column(spark, model)(F.col("text")))
-    return marked.where(F.col("__toxicity") < TOXIC).drop("__toxicity")
+    return docs.where(toxicity.score_column(spark, model)(F.col("text")) < TOXIC)
 
 
 def simhash_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

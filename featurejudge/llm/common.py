@@ -81,4 +81,5 @@ def labelled_rows(docs: DataFrame, labels: DataFrame, label_col: str, learn: Col
     """(doc_id, text, label) of the ``labelled_ids``.  Only this bounded list of
     ids is broadcast, so no text is shuffled."""
     picked = labelled_ids(labels, label_col, learn, rows)
-    return docs.join(F.broadcast(picked), docs["doc_id"] == picked["__id"]).select("doc_id", "text", "label")
+    return docs.join(F.broadcast(picked), docs["doc_id"] == picked["__id"]).select(
+        docs["doc_id"], docs["text"], picked["label"])

@@ -76,10 +76,10 @@ def item_windows(benchmark: DataFrame, id_col: str = "item_id", text_col: str =
     rows = rows.select("id", "words", F.size("hashes").alias("n_windows"), F.posexplode_outer("hashes").alias("pos", "h"))
     rows = rows.where("h IS NOT NULL")
     rows = rows.withColumn("words", F.slice("words", F.col("pos") + 1, F.lit(width)))
-    first = F.element_at("words", 1)
+    first = F.get("words", F.lit(0))
     as_name = (rows.where((F.col("pos") == 0) & ~is_slot(first))
                .withColumn("words", F.concat(F.array(F.concat(F.lit(NAME), first)), F.slice("words", 2, width)))
-               .withColumn("h", F.element_at(window_hashes(word_hashes(F.col("words")), width), 1)))
+               .withColumn("h", F.get(window_hashes(word_hashes(F.col("words")), width), F.lit(0))))
     return (rows.unionByName(as_name)
             .where(F.size(F.filter("words", lambda w: ~is_slot(w))) >= min_literals)
             .select(F.col("id").alias("item_id"), F.col("pos").alias("item_pos"), "h", F.col("words").alias("item_words"),
@@ -146,4 +146,4 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, **params) -> DataFrame:
     """``docs`` with all their columns, without the documents in which an item
     is found.  Rows with a null id are kept."""
     found = cut_lineage(leaks(docs, benchmark, **params).select(F.col("doc_id").alias("__leaked")).distinct())
-    return docs.join(found, F.col(params.get("id_col", "doc_id")) == F.col("__leaked"), "left_anti")
+    return docs.join(found, docs[params.get("id_col", "doc_id")] == found["__leaked"], "left_anti")

@@ -36,7 +36,8 @@ BOILERPLATE_CLASS = re.compile(
     r"tags?|meta|byline|hidden|skip)(?:$|[\s_-])", re.I)
 COMMENT_CLASS = re.compile(r"(?:^|[\s_-])(?:comments?|commentlist|replies|reply|respond|disqus|discussion)", re.I)
 
-PRIOR_WORD, PRIOR_TAG, PRIOR_BOILERPLATE = 1.0, -0.5, -4.0
+PRIOR_WORD, PRIOR_TAG, PRIOR_BOILERPLATE = 1.0, -0.25, -4.0
+MOST_COST = -1.0          # of one boilerplate text, however long: an advert does not cut an article in two
 PRIOR_COUNT = 20.0        # tokens that the prior counts as
 MIN_WORD = 0.05           # what a word outside boilerplate is worth at least
 MAX_KINDS = 20_000        # token kinds kept by the model, the most frequent first
@@ -118,10 +119,9 @@ def scored(page: str, weight: dict[str, float]) -> list[tuple[float, str, str]]:
         if what == "text":
             n = len(html.unescape(value).split())
             w = weight.get("w " + kind, prior(kind))
-            # elements known from pages without labels stay what the prior says, whatever was learned about others
-            out.append((n * (max(w, MIN_WORD) if prior(kind) > 0 and w > 0 else w), "w " + kind, value))
+            out.append((n * max(w, MIN_WORD) if w > 0 else max(n * w, MOST_COST), "w " + kind, value))
         else:
-            out.append((weight.get(f"{what} {kind}", PRIOR_BOILERPLATE if prior(kind) < 0 else PRIOR_TAG),
+            out.append((weight.get(f"{what} {kind}", PRIOR_TAG),
                         "inline" if value in INLINE else "block", ""))
     return out
 
@@ -196,7 +196,7 @@ def fit(pages: DataFrame, html_col: str = "html") -> dict[str, float]:
     out = {}
     for r in got:
         what, _, kind = r["kind"].partition(" ")
-        base = prior(kind) if what == "w" else PRIOR_BOILERPLATE if prior(kind) < 0 else PRIOR_TAG
+        base = prior(kind) if what == "w" else PRIOR_TAG
         odds = math.log((r["inner"] + 0.5) / inner) - math.log((r["n"] - r["inner"] + 0.5) / outer)
         learned = (r["n"] * max(min(odds, 6.0), -6.0) + PRIOR_COUNT * base) / (r["n"] + PRIOR_COUNT)
         # tags inside the content are a cost as well, so that a region ends with its last word

@@ -22,7 +22,8 @@ from pyspark.sql.functions import pandas_udf
 BUCKET_BITS = 14          # 16,384 n-gram buckets
 MAX_LANGS = 200           # more distinct languages than this is refused
 SMOOTH = 0.5              # added to every bucket of every language
-PIECE = 1 << 20           # characters hashed at once
+PIECE = 1 << 18           # characters hashed at once
+ROWS = 32                 # rows whose n-gram counts are held at once
 AMBIGUITY = 0.02          # gap between the two best losses under which a row is flagged
 SHARPNESS = 12.0          # of the score
 UNKNOWN = "und"
@@ -97,8 +98,8 @@ class Model:
     def predict(self, texts: list) -> pd.DataFrame:
         lang, score, unsure = [UNKNOWN] * len(texts), np.zeros(len(texts)), np.zeros(len(texts), bool)
         rows = [i for i, t in enumerate(texts) if has_letter(t)]
-        for at in range(0, len(rows) if self.langs else 0, 256):
-            some = rows[at:at + 256]
+        for at in range(0, len(rows) if self.langs else 0, ROWS):
+            some = rows[at:at + ROWS]
             counts = np.stack([ngrams(texts[i], self.bucket_bits) for i in some]).astype(np.float32)
             loss = self.losses(self.margins(counts).astype(np.float64))
             p = np.exp(-SHARPNESS * (loss - loss.min(axis=1, keepdims=True)))
@@ -152,8 +153,8 @@ def fit(rows: DataFrame, text_col: str = "text", lang_col: str = "lang", bucket_
         m, number = shared.value, {v: k for k, v in enumerate(langs)}
         right, rows_of = np.zeros(m.code.shape), np.zeros(len(langs))
         for pdf in batches:
-            for at in range(0, len(pdf), 256):
-                part = pdf.iloc[at:at + 256]
+            for at in range(0, len(pdf), ROWS):
+                part = pdf.iloc[at:at + ROWS]
                 margins = m.margins(np.stack([ngrams(t, m.bucket_bits) for t in part["text"]]).astype(np.float32))
                 k = part["lang"].map(number).to_numpy()
                 np.add.at(right, k, margins * m.code[k] > 0)

@@ -140,7 +140,7 @@ def score(docs: DataFrame, labels: DataFrame, learn: Column, threshold: float =
     document with both labels counts under both; other columns are ignored."""
     table = cut_lineage(with_statistics(docs))
     ids = labelled_ids(labels, "quality", learn, learn_rows)
-    learning = table.join(F.broadcast(ids), table["doc_id"] == ids["__id"]).select("label", *FEATURES)
+    learning = table.join(F.broadcast(ids), table["doc_id"] == ids["__id"]).select(ids["label"], *FEATURES)
     ensemble = fit(cut_lineage(learning))
     return (table.select("doc_id", ensemble.score().alias("score"))
             .withColumn("predicted", (F.col("score") >= threshold).cast("int")))

@@ -257,12 +257,12 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **params) -> DataFrame:
     """``docs`` with all their columns, one document of each group: the row
     whose id is the group's smallest.  Of several rows that repeat this id one
-    stays (the smallest by text).  Rows without an id stay."""
+    stays.  Rows without an id stay."""
     groups = near_duplicates(docs, id_col, text_col, **params)
     gone = cut_lineage(groups.where("doc_id != component_id").select(F.col("doc_id").alias("__gone")).distinct())
-    kept = docs.join(gone, F.col(id_col) == F.col("__gone"), "left_anti")
+    kept = docs.join(gone, docs[id_col] == gone["__gone"], "left_anti")
     twice = cut_lineage(kept.where(F.col(id_col).isNotNull()).groupBy(F.col(id_col).alias("__id")).count().where("count > 1")
                         .select("__id"))
-    single = kept.join(twice, F.col(id_col) == F.col("__id"), "left_anti")
-    repeated = kept.join(twice, F.col(id_col) == F.col("__id"), "left_semi").dropDuplicates([id_col])
+    single = kept.join(twice, kept[id_col] == twice["__id"], "left_anti")
+    repeated = kept.join(twice, kept[id_col] == twice["__id"], "left_semi").dropDuplicates([id_col])
     return single.unionByName(repeated)

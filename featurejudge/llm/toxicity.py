@@ -37,7 +37,7 @@ PRIOR_ROWS = 3.0          # labelled documents that the prior counts as
 ALPHABET_BITS = 7         # character classes of the language model: 128
 SKETCH = 4                # minima that copies among the learning rows are told by; at most 4
 CHANNEL = 1.5             # nats that reading a character as another one costs
-MEMO_WORDS = 300_000      # words remembered by a worker; emptied when full
+MEMO_WORDS = 50_000       # words remembered by a worker; emptied when full
 
 #: Letters that a sign or digit imitates.
 LEET = {"0": "o", "1": "il", "2": "z", "3": "e", "4": "a", "5": "s", "6": "gb", "7": "t", "8": "b", "9": "g",

@@ -61,13 +61,16 @@ def resolve_column(df: DataFrame, aliases: Sequence[str], required: bool = False
 
 
 def select_available(df: DataFrame, names: Iterable[str]) -> list[str]:
-    """The listed names that exist, in list order (lenient projection)."""
-    present = set(df.columns)
-    return [n for n in names if n in present]
+    """The columns that the listed names mean, in list order (lenient
+    projection).  Names are compared in their sanitised form, the form in
+    which the encoder writes them."""
+    present = {sanitize_name(c): c for c in df.columns}
+    return [present[sanitize_name(n)] for n in names if sanitize_name(n) in present]
 
 
 def col_or_default(df: DataFrame, name: str, default) -> Column:
-    return F.col(f"`{name}`") if name in df.columns else F.lit(default)
+    found = select_available(df, [name])
+    return F.col(f"`{found[0]}`") if found else F.lit(default)
 
 
 def with_defaults(df: DataFrame, defaults: dict) -> DataFrame:

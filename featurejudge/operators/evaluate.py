@@ -38,6 +38,12 @@ def _grid(df: DataFrame, label: str, classes: Sequence, a: str, b: str) -> DataF
     return df.sparkSession.createDataFrame([(x, y) for x in classes for y in classes], schema)
 
 
+def judged(df: DataFrame, label: str, prediction: str) -> DataFrame:
+    """The one rule for nulls in every evaluation table: a row without a label
+    or without a prediction (score) is not judged."""
+    return df.where(F.col(label).isNotNull() & F.col(prediction).isNotNull())
+
+
 def confusion_counts(pred: DataFrame, label: str, prediction: str, classes: Sequence | None = None) -> DataFrame:
     """Dense (true_class, pred_class, n) over classes x classes; empty cells 0.
 
@@ -45,7 +51,7 @@ def confusion_counts(pred: DataFrame, label: str, prediction: str, classes: Sequ
     and predictions (one row per class) are gathered into one array and
     exploded twice -- no driver round trip, no cross join and no second
     pass over the predictions."""
-    counts = (pred.groupBy(F.col(label).alias("true_class"), F.col(prediction).alias("pred_class"))
+    counts = (judged(pred, label, prediction).groupBy(F.col(label).alias("true_class"), F.col(prediction).alias("pred_class"))
                   .agg(F.count(F.lit(1)).alias("n")))
     # at most k*k rows; written once so the predictions are read once even
     # though the grid and the join both use the counts
@@ -65,7 +71,8 @@ def confusion_counts(pred: DataFrame, label: str, prediction: str, classes: Sequ
 
 
 def accuracy(pred: DataFrame, label: str, prediction: str) -> DataFrame:
-    return pred.agg(F.count(F.lit(1)).alias("n"),
+    return judged(pred, label, prediction).agg(
+                    F.count(F.lit(1)).alias("n"),
                     F.sum((F.col(label) == F.col(prediction)).cast("long")).alias("n_correct"),
                     F.avg((F.col(label) == F.col(prediction)).cast("double")).alias("accuracy"))
 
@@ -139,6 +146,7 @@ def predicted_distribution(pred: DataFrame, label: str, prediction: str,
 
 
 def _score_table(df: DataFrame, label: str, score: str, classes: Sequence) -> DataFrame:
+    df = judged(df, label, score)
     aggs = [F.count(F.lit(1)).alias("n_all"), F.lit(1).alias("n_pt")]
     aggs += [F.sum(F.when(F.col(label) == F.lit(c), 1).otherwise(0)).alias(f"n_{i}") for i, c in enumerate(classes)]
     per_score = df.where(F.col(score).isNotNull()).groupBy(score).agg(*aggs)
@@ -156,6 +164,7 @@ def roc_points(df: DataFrame, label: str, score: str, classes: Sequence | None =
     and every point where the second difference of fp or tp is not zero; the
     neighbours come from equi-joins on the exact point index (the running
     count of distinct thresholds), not from an ordered window."""
+    df = judged(df, label, score)
     classes = classes if classes is not None else class_values(df, label)
     cum = _score_table(df, label, score, classes)
     tot = df.where(F.col(score).isNotNull()).agg(
@@ -189,6 +198,7 @@ def roc_points(df: DataFrame, label: str, score: str, classes: Sequence | None =
 def auc(df: DataFrame, label: str, score: str, classes: Sequence | None = None) -> DataFrame:
     """One-vs-rest area under the ROC curve by the trapezoid rule, computed
     per distinct score: each score step adds n_neg * (tp_before + tp_after) / 2."""
+    df = judged(df, label, score)
     classes = classes if classes is not None else class_values(df, label)
     cum = _score_table(df, label, score, classes)
     aggs = []

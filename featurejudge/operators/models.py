@@ -32,16 +32,14 @@ MAX_DEPTH = 30  # MLlib's limit; "unlimited depth" is capped here
 
 def sized_for_training(df: DataFrame, n_rows: int, rows_per_partition: int = 100_000) -> DataFrame:
     """Partition a training frame for iterative MLlib fits: about
-    ``rows_per_partition`` rows per task, between 1 and 4x the session's
-    cores.  Every optimizer iteration is a Spark job, so a few hundred rows
+    ``rows_per_partition`` rows per task, without an upper limit on tasks.  Every optimizer iteration is a Spark job, so a few hundred rows
     spread over many tasks pay the scheduling cost hundreds of times, while
     a large frame keeps every core busy."""
     try:
-        cores = df.sparkSession.sparkContext.defaultParallelism
         current = df.rdd.getNumPartitions()
     except Exception:  # no RDD view (e.g. a Spark Connect session): leave as is
         return df
-    target = max(1, min(4 * cores, math.ceil(n_rows / rows_per_partition)))
+    target = max(1, math.ceil(n_rows / rows_per_partition))
     if target < current:
         return df.coalesce(target)
     return df.repartition(target) if target > current else df

@@ -12,7 +12,7 @@ from featurejudge.functions import text as tx
 from featurejudge.operators import encode, fit
 from featurejudge.plans.catalog import query, sql_flag
 from featurejudge.session import cut_lineage
-from featurejudge.sources.tables import spread, table
+from featurejudge.sources.tables import table
 
 SEED = 42
 TEST_FRACTION = 0.2
@@ -110,22 +110,26 @@ def standardize(spark, sf):
     return z.select("o_orderkey", *[rounded(f"z_{c}").alias(f"z_{c}") for c in cols])
 
 
-AIR_COLUMN = "air_superiority_Attacker had air superiority in the theater"
+AIR_VALUE = "Attacker had air superiority in the theater"
+AIR_COLUMN = f"air_superiority_{AIR_VALUE}"
 
 
 @query("interaction_terms",
-       f"WITH d AS (SELECT doc_id, {sql_flag('text', tx.SUPPLY_V2)} AS supply_cut, "
+       f"WITH d AS (SELECT doc_id, CASE WHEN lang = 'en' THEN 1 ELSE 0 END AS air, {sql_flag('text', tx.SUPPLY_V2)} AS supply_cut, "
        f"{sql_flag('text', tx.NAVAL_THEORY)} AS naval_power FROM documents), "
        "j AS (SELECT d.*, l.quality, l.toxic, CASE WHEN l.toxic = 0 THEN 1 ELSE 0 END AS s0, "
        "CASE WHEN l.toxic = 1 THEN 1 ELSE 0 END AS s1 FROM d LEFT JOIN labels l ON d.doc_id = l.doc_id) "
        "SELECT doc_id, quality, s0 + s1 AS surprise_sum, supply_cut * (s0 + s1) AS supply_surprise, "
-       "naval_power * (s0 + s1) AS naval_surprise, supply_cut * 0 AS supply_air FROM j")
+       "naval_power * (s0 + s1) AS naval_surprise, supply_cut * air AS supply_air FROM j")
 def interaction_terms(spark, sf):
-    d = tx.with_keyword_flags(spread(table(spark, sf, "documents").select("doc_id", "text")), "text",
+    d = tx.with_keyword_flags(table(spark, sf, "documents").select("doc_id", "lang", "text"), "text",
                               {"supply_cut": tx.SUPPLY_V2, "naval_power": tx.NAVAL_THEORY}).drop("text")
     j = d.join(table(spark, sf, "labels").select("doc_id", "quality", "toxic"), "doc_id", "left")
     j = encode.one_hot(j, "toxic", [0, 1], prefix="surprise_level")
     j = j.withColumn("surprise_sum", encode.row_sum(columns_like(j, "surprise_level")))
+    # the description goes through the encoder, so its column has a sanitised name
+    j = j.withColumn("air", F.when(F.col("lang") == "en", AIR_VALUE).otherwise("Neither side had air superiority"))
+    j = encode.one_hot(j, "air", [AIR_VALUE], prefix="air_superiority")
     air = col_or_default(j, AIR_COLUMN, 0)
     return j.select("doc_id", "quality", "surprise_sum",
                     (F.col("supply_cut") * F.col("surprise_sum")).alias("supply_surprise"),

@@ -17,7 +17,7 @@ from featurejudge.operators import encode, fit, models, rank
 from featurejudge.plans.catalog import DOC_FLAGS, query
 from featurejudge.plans.fitted import SEED, TEST_FRACTION
 from featurejudge.session import cut_lineage
-from featurejudge.sources.tables import spread, table
+from featurejudge.sources.tables import table
 
 NUMERIC = ["n_chars", "log_chars"]
 
@@ -31,7 +31,7 @@ class Prepared:
 
 
 def prepared_documents(spark, sf) -> Prepared:
-    d = spread(table(spark, sf, "documents").select("doc_id", "lang", F.col("n_chars").cast("double"), "text"))
+    d = table(spark, sf, "documents").select("doc_id", "lang", F.col("n_chars").cast("double"), "text")
     d = tx.with_keyword_flags(d, "text", DOC_FLAGS).drop("text").withColumn("log_chars", F.log1p("n_chars"))
     d = d.join(table(spark, sf, "labels").select("doc_id", "quality"), "doc_id", "inner")
     d = fit.stratified_split(d, "doc_id", "quality", TEST_FRACTION, SEED)
@@ -54,18 +54,22 @@ def _scored(model, p: Prepared) -> DataFrame:
     return models.predictions(model, p.test, ["doc_id", "target"])
 
 
+def _unit_reg(p: Prepared) -> float:
+    """L2 strength of C = 1."""
+    return models.c_to_reg(1.0, p.train.agg(F.sum("weight").alias("w")).first()["w"] or 1.0)
+
+
 @query("logreg_ovr")
 def logreg_ovr(spark, sf):
     p = prepared_documents(spark, sf)
-    m = models.logistic_pipeline(p.features, weight="weight", ovr=True).fit(p.train)
+    m = models.logistic_pipeline(p.features, weight="weight", reg=_unit_reg(p), ovr=True).fit(p.train)
     return _scored(m, p)
 
 
 @query("logreg_cv")
 def logreg_cv(spark, sf):
     p = prepared_documents(spark, sf)
-    # full 50 x 5 grid; L-BFGS capped at 100 iterations per fit (runtime)
-    m = models.logistic_cv(p.train, p.features, weight="weight", n_strengths=50, folds=5, max_iter=100)
+    m = models.logistic_cv(p.train, p.features, weight="weight", n_strengths=50, folds=5, max_iter=5000)
     return models.predictions(m.bestModel, p.test, ["doc_id", "target"])
 
 
@@ -102,7 +106,7 @@ def impurity_importance(spark, sf):
 @query("coefficients")
 def coefficients(spark, sf):
     p = prepared_documents(spark, sf)
-    m = models.logistic_pipeline(p.features, weight="weight").fit(p.train)
+    m = models.logistic_pipeline(p.features, weight="weight", reg=_unit_reg(p)).fit(p.train)
     coefs = models.coefficient_table(m, p.features, "logistic")
     return coefs.join(rank.coef_summary(coefs, top=None), "feature")
 

@@ -65,11 +65,10 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
-    """Redistribute rows round-robin when a scan yields fewer partitions than
-    the session has cores (e.g. one large parquet row group), so the per-row
-    work after it -- text matching on long documents -- runs on every core.
-    A scan that is already split (any large table on a cluster) is returned
-    untouched: no shuffle is added where parallelism already exists."""
+    """Explicit caller option, used by no query: redistribute rows round-robin
+    when a scan yields fewer partitions than the session has cores (e.g. one
+    large parquet row group).  It shuffles the whole rows, so prefer a better
+    file layout or a smaller ``spark.sql.files.maxPartitionBytes``."""
     try:
         target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
         current = df.rdd.getNumPartitions()

@@ -80,4 +80,4 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(load(spark, sf_dir, "documents", "doc_id", "text", "source"))
 
 
-ORACLE["op7_quality_rules"] = quality_rules.ORACLE
+ORACLE.update(op1_warc=warc.ORACLE, op7_quality_rules=quality_rules.ORACLE)

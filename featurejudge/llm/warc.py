@@ -269,3 +269,17 @@ def round_trip(pages: DataFrame, min_bytes: int = 0) -> DataFrame:
     whole = F.when(F.col("error").isNull(), F.col("record_type")).otherwise(
         F.raise_error(F.concat("path", F.lit(" at "), F.col("offset").cast("string"), F.lit(": "), "error")).cast("string"))
     return back.select("page_id", "payload_bytes", "payload_digest", whole.alias("record_type"), "refers_to")
+
+
+#: DuckDB SQL of ``round_trip`` over pages (page_id unique).
+ORACLE = """
+WITH p AS (SELECT page_id, coalesce(html, '') AS h FROM pages),
+d AS (SELECT page_id, CAST(strlen(h) AS BIGINT) AS payload_bytes, sha1(h) AS x, min(page_id) OVER (PARTITION BY sha1(h)) AS first_id FROM p),
+f AS (SELECT *, [CAST('0x' || substr(x, CAST(5 * k + 1 AS INTEGER), 5) AS BIGINT) FOR k IN range(8)] AS five FROM d)
+SELECT page_id, payload_bytes,
+  array_to_string([substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+                          CAST(((five[CAST(i // 4 + 1 AS INTEGER)] >> CAST(15 - 5 * (i % 4) AS BIGINT)) & 31) + 1 AS INTEGER), 1)
+                   FOR i IN range(32)], '') AS payload_digest,
+  CASE WHEN page_id = first_id THEN 'response' ELSE 'revisit' END AS record_type,
+  CASE WHEN page_id = first_id THEN NULL ELSE first_id END AS refers_to FROM f
+"""

@@ -20,16 +20,15 @@ from __future__ import annotations
 import math
 from collections.abc import Sequence
 
-from pyspark import StorageLevel
 from pyspark.ml.feature import Bucketizer
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from featurejudge.session import cut_lineage
 
 ROWS_PER_BUCKET = 250_000
 MAX_BUCKETS = 20_000
-SMALL_DISTINCT = 1_000_000
 
 
 def range_bucket(df: DataFrame, order_col: str, n_rows: int, rows_per_bucket: int = ROWS_PER_BUCKET,
@@ -60,57 +59,59 @@ def running_total(df: DataFrame, order_col: str, value_cols: Sequence[str],
     """Add ``<prefix><v>`` = sum of ``v`` over all rows of the same partition
     whose ``order_col`` is at or before this row's (ties included), in
     ascending or descending order.  ``order_col`` must be non-null and
-    numeric or timestamp-like (cast to double only to pick bucket bounds)."""
-    rows_per_bucket = rows_per_bucket or ROWS_PER_BUCKET
-    max_buckets = max_buckets or MAX_BUCKETS
+    numeric or timestamp-like (cast to double only to pick bucket bounds).
+
+    There is one plan for every size: a small input has one bucket."""
     parts = list(partition_cols)
     # the input is read by the count, the split-point sketch and the final
-    # plan; keep it so its lineage runs once (recomputed on executor loss)
-    df = df.persist(StorageLevel.MEMORY_AND_DISK)
-    n_rows = df.count()
-    if n_rows <= rows_per_bucket:
-        # small input: one ordered window per partition key is already bounded
-        order = F.desc(order_col) if descending else F.asc(order_col)
-        w = Window.partitionBy(*parts).orderBy(order).rangeBetween(Window.unboundedPreceding, Window.currentRow)
-        return df.withColumns({f"{prefix}{v}": F.sum(v).over(w) for v in value_cols})
-
-    bucketed = range_bucket(df, order_col, n_rows, rows_per_bucket, max_buckets)
-    totals = bucketed.groupBy(*parts, "_bkt").agg(*[F.sum(v).alias(f"_t_{v}") for v in value_cols])
-    bucket_order = F.desc("_bkt") if descending else F.asc("_bkt")
-    before = Window.partitionBy(*parts).orderBy(bucket_order).rowsBetween(Window.unboundedPreceding, -1)
-    offsets = totals.select(*parts, "_bkt", *[
-        F.coalesce(F.sum(f"_t_{v}").over(before), F.lit(0)).alias(f"_o_{v}") for v in value_cols])
-    # offsets: one row per (partition, bucket); AQE broadcasts it when small
-
+    # plan; written once, so its lineage runs once
+    df = cut_lineage(df)
+    bucketed = range_bucket(df, order_col, df.count(), rows_per_bucket or ROWS_PER_BUCKET, max_buckets or MAX_BUCKETS)
+    joined = _with_offsets(bucketed, {f"_o_{v}": F.sum(v) for v in value_cols}, parts, descending)
     order = F.desc(order_col) if descending else F.asc(order_col)
     within = (Window.partitionBy(*parts, "_bkt").orderBy(order)
               .rangeBetween(Window.unboundedPreceding, Window.currentRow))
-    joined = bucketed.join(offsets, [*parts, "_bkt"], "inner")
     return joined.withColumns({f"{prefix}{v}": F.sum(v).over(within) + F.col(f"_o_{v}")
                                for v in value_cols}) \
                  .drop("_bkt", *[f"_o_{v}" for v in value_cols])
 
 
+def _with_offsets(bucketed: DataFrame, sums: dict, parts: Sequence[str], descending: bool = False) -> DataFrame:
+    """Add, per row, each of ``sums`` (name -> aggregate) over all earlier
+    buckets of its partition.  The offsets hold one row per (partition,
+    bucket); AQE broadcasts them when small."""
+    totals = bucketed.groupBy(*parts, "_bkt").agg(*[agg.alias(f"_t{name}") for name, agg in sums.items()])
+    before = (Window.partitionBy(*parts).orderBy(F.desc("_bkt") if descending else F.asc("_bkt"))
+              .rowsBetween(Window.unboundedPreceding, -1))
+    offsets = totals.select(*parts, "_bkt", *[
+        F.coalesce(F.sum(f"_t{name}").over(before), F.lit(0)).alias(name) for name in sums])
+    return bucketed.join(offsets, [*parts, "_bkt"], "inner")
+
+
+def exact_rank(df: DataFrame, order_cols: Sequence[str], partition_cols: Sequence[str] = (), rank_col: str = "_rank",
+               rows_per_bucket: int | None = None) -> DataFrame:
+    """Add ``rank_col``: 1, 2, 3 ... within each partition by ``order_cols``
+    (ascending, a total order; the first one numeric and non-null).  Ties of
+    the first column are told apart by the others, so no rank repeats and none
+    depends on where the buckets are cut."""
+    parts = list(partition_cols)
+    df = cut_lineage(df)
+    bucketed = range_bucket(df, order_cols[0], df.count(), rows_per_bucket or ROWS_PER_BUCKET)
+    joined = _with_offsets(bucketed, {"_o": F.count(F.lit(1))}, parts)
+    within = Window.partitionBy(*parts, "_bkt").orderBy(*order_cols)
+    return joined.withColumn(rank_col, F.row_number().over(within) + F.col("_o")).drop("_bkt", "_o")
+
+
 def exact_quantiles(df: DataFrame, value_col: str, probs: Sequence[float],
-                    group_cols: Sequence[str] = (), small_distinct: int | None = None) -> DataFrame:
+                    group_cols: Sequence[str] = ()) -> DataFrame:
     """Exact linearly interpolated quantiles (same definition as
     ``percentile`` / ``quantile_cont``) of non-null ``value_col`` per group.
 
     Returns (group..., prob, quantile, n).  Groups without values are absent.
     """
-    small_distinct = SMALL_DISTINCT if small_distinct is None else small_distinct
     groups = list(group_cols)
-    counts = (df.where(F.col(value_col).isNotNull())
-                .groupBy(*groups, value_col).agg(F.count(F.lit(1)).alias("_n"))
-                .persist(StorageLevel.MEMORY_AND_DISK))
-    if counts.count() <= small_distinct:
-        # bounded number of distinct values: Spark's exact percentile with
-        # frequencies buffers at most that many (value, count) pairs
-        pct = F.percentile(F.col(value_col).cast("double"), [float(p) for p in probs], F.col("_n"))
-        per = counts.groupBy(*groups).agg(pct.alias("_q"), F.sum("_n").alias("n"))
-        return per.select(*groups, F.posexplode("_q").alias("_i", "quantile"), F.col("n").cast("long")) \
-                  .withColumn("prob", F.element_at(F.array(*[F.lit(float(p)) for p in probs]), F.col("_i") + 1)) \
-                  .select(*groups, "prob", "quantile", "n")
+    counts = cut_lineage(df.where(F.col(value_col).isNotNull())
+                           .groupBy(*groups, value_col).agg(F.count(F.lit(1)).alias("_n")))
     ranked = running_total(counts, value_col, ["_n"], groups, prefix="_cum")
     sizes = counts.groupBy(*groups).agg(F.sum("_n").alias("_size"))
     targets = (sizes

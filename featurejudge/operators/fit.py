@@ -16,9 +16,9 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
-from featurejudge.operators.cumulative import exact_quantiles
-
-MAX_CLASSES = 10_000
+MAX_CLASSES = 1_000           # more classes than this are refused
+MEDIAN_ACCURACY = 10_000      # of the sketch that brackets a median
+MEDIAN_VALUES = 50_000        # distinct values inside all brackets that are fetched
 
 
 def _rows(df: DataFrame, where: Column | str | None) -> DataFrame:
@@ -26,54 +26,88 @@ def _rows(df: DataFrame, where: Column | str | None) -> DataFrame:
 
 
 def fit_medians(df: DataFrame, cols: Sequence[str], where: Column | str | None = None,
-                approx: bool = False) -> dict:
+                approx: bool = False, accuracy: int = MEDIAN_ACCURACY, max_values: int = MEDIAN_VALUES) -> dict:
     """Interpolated median per column over the selected rows (None when a
-    column has no values).  Exact by default (distributed rank selection);
-    ``approx=True`` uses ``percentile_approx`` instead."""
+    column has no values).  ``approx=True`` uses ``percentile_approx`` only.
+
+    Exact without shuffling rows: a sketch gives a bracket around each median,
+    one aggregate counts the values below and inside all brackets, and only
+    the distinct values inside come back.  While they are too many the sketch
+    runs again inside the brackets, which shrinks them about ``accuracy`` / 4
+    times a pass."""
     rows = _rows(df, where)
     if approx:
         r = rows.agg(*[F.percentile_approx(c, 0.5).alias(c) for c in cols]).first()
         return {c: r[c] for c in cols}
-    long = rows.select(F.explode(F.array(*[
-        F.struct(F.lit(c).alias("_col"), F.col(f"`{c}`").cast("double").alias("_val")) for c in cols
-    ])).alias("_kv")).select("_kv._col", "_kv._val")
-    q = exact_quantiles(long, "_val", [0.5], ["_col"]).collect()
-    found = {r["_col"]: r["quantile"] for r in q}
-    return {c: found.get(c) for c in cols}
+    if not cols:
+        return {}
+    rows = rows.select(*[F.col(f"`{c}`").cast("double").alias(f"v{i}") for i, c in enumerate(cols)])
+    every, max_values = range(len(cols)), max(max_values, 8 * len(cols))   # a bracket may hold some values beside the two
+    sizes = rows.agg(*[F.count(f"v{i}").alias(f"n{i}") for i in every]).first()
+    n = {i: sizes[f"n{i}"] for i in every if sizes[f"n{i}"]}
+    # 0-based ranks of the two middle values; below[i]: values under the bracket
+    low, high = {i: (n[i] - 1) // 2 for i in n}, {i: n[i] // 2 for i in n}
+    bracket, below, inside = {}, dict.fromkeys(n, 0), dict(n)
+
+    def within(i):
+        v = F.col(f"v{i}")
+        return v.isNotNull() if i not in bracket else (v >= F.lit(bracket[i][0])) & (v <= F.lit(bracket[i][1]))
+    while n:
+        aggs = []
+        for i in n:
+            slack = 2.0 / accuracy
+            probs = [max(0.0, (low[i] + 1 - below[i]) / inside[i] - slack), min(1.0, (high[i] + 1 - below[i]) / inside[i] + slack)]
+            aggs.append(F.percentile_approx(F.when(within(i), F.col(f"v{i}")), probs, accuracy).alias(f"b{i}"))
+        found = rows.agg(*aggs).first()
+        narrowed = {i: tuple(found[f"b{i}"]) for i in n}
+        counted = rows.agg(*[x for i, (lo, hi) in narrowed.items() for x in (
+            F.count_if(F.col(f"v{i}") < F.lit(lo)).alias(f"u{i}"),
+            F.count_if((F.col(f"v{i}") >= F.lit(lo)) & (F.col(f"v{i}") <= F.lit(hi))).alias(f"w{i}"))]).first()
+        stuck = True
+        for i, b in narrowed.items():
+            under, held = counted[f"u{i}"], counted[f"w{i}"]
+            # the sketch is approximate: a bracket counts only if both ranks lie in it
+            if under <= low[i] and high[i] < under + held and held < inside[i]:
+                bracket[i], below[i], inside[i], stuck = b, under, held, False
+        pairs = F.filter(F.array(*[F.struct(F.lit(i).alias("i"), F.when(within(i), F.col(f"v{i}")).alias("v")) for i in n]),
+                         lambda p: p["v"].isNotNull())
+        values = (rows.select(F.explode(pairs).alias("p")).groupBy("p.i", "p.v").agg(F.count(F.lit(1)).alias("k")))
+        got = values.limit(max_values + 1).collect()
+        if len(got) <= max_values:
+            break
+        if stuck:      # repeats fill the slack on both sides
+            accuracy = min(10 * accuracy, 2 ** 31 - 1)
+    out = dict.fromkeys(cols)
+    for i in n:
+        at, middle = below[i], []
+        for v, k in sorted(((r["v"], r["k"]) for r in got if r["i"] == i), key=lambda x: (x[0] != x[0], x[0])):
+            middle += [v] * sum(at <= rank < at + k for rank in (low[i], high[i]))
+            at += k
+        out[cols[i]] = middle[0] + (middle[1] - middle[0]) / 2
+    return out
 
 
 def fit_modes(df: DataFrame, cols: Sequence[str], where: Column | str | None = None) -> dict:
-    """Most frequent non-null value per column; ties -> smallest value.  All
-    columns in one job: values are stacked as (column, numeric key, text),
-    counted, and the best per column is a min over a struct (count desc,
-    then value asc by the column's own order)."""
+    """Most frequent non-null value per column, in the column's own type;
+    ties -> smallest value by the column's own order.  All columns in one job:
+    values are stacked with one typed field a column and counted, and the best
+    per column is a min over a struct (count descending, value ascending)."""
     rows = _rows(df, where)
-    numeric = set(_numeric_names(rows, cols))
-    stacked = F.explode(F.array(*[
-        F.struct(F.lit(c).alias("c"),
-                 (F.col(c).cast("double") if c in numeric else F.lit(None).cast("double")).alias("k_num"),
-                 F.col(c).cast("string").alias("k_str"))
-        for c in cols]))
-    counts = (rows.select(stacked.alias("s")).select("s.*").where(F.col("k_str").isNotNull())
-                  .groupBy("c", "k_num", "k_str").agg(F.count(F.lit(1)).alias("n")))
-    best = counts.groupBy("c").agg(F.min(F.struct((-F.col("n")).alias("nn"), "k_num", "k_str")).alias("m")).collect()
     types = {f.name: f.dataType for f in rows.schema.fields}
-    out = {c: None for c in cols}
+    fields = [f"v{i}" for i in range(len(cols))]
+    stacked = F.explode(F.array(*[
+        F.struct(F.lit(i).alias("c"), *[(F.col(f"`{c}`") if i == j else F.lit(None).cast(types[d])).alias(fields[j])
+                                        for j, d in enumerate(cols)])
+        for i, c in enumerate(cols)]))
+    counts = (rows.select(stacked.alias("s")).select("s.*").where(" OR ".join(f"{v} IS NOT NULL" for v in fields))
+                  .groupBy("c", *fields).agg(F.count(F.lit(1)).alias("n")))
+    best = counts.groupBy("c").agg(F.min(F.struct((-F.col("n")).alias("nn"), *fields)).alias("m")).collect()
+    out = dict.fromkeys(cols)
     for r in best:
-        c, m = r["c"], r["m"]
-        if c in numeric:
-            v = m["k_num"]
-            out[c] = int(v) if isinstance(types[c], (T.IntegerType, T.LongType, T.ShortType, T.ByteType)) else v
-        else:
-            out[c] = m["k_str"]
+        out[cols[r["c"]]] = r["m"][fields[r["c"]]]
     return out
 
 
-def _numeric_names(df: DataFrame, cols: Sequence[str]) -> list[str]:
-    num = (T.ByteType, T.ShortType, T.IntegerType, T.LongType, T.FloatType, T.DoubleType, T.DecimalType)
-    return [f.name for f in df.schema.fields if f.name in set(cols) and isinstance(f.dataType, num)]
-
-
 def fit_moments(df: DataFrame, cols: Sequence[str], where: Column | str | None = None) -> dict:
     """(mean, population standard deviation) per column, one pass."""
     rows = _rows(df, where)
@@ -121,30 +155,39 @@ def class_weights(df: DataFrame, label: str, weight_col: str = "weight") -> Data
     """Balanced weights n / (k * n_c), one row per class."""
     counts = df.where(F.col(label).isNotNull()).groupBy(label).agg(F.count(F.lit(1)).alias("n_class"))
     tot = counts.agg(F.sum("n_class").alias("n"), F.count(F.lit(1)).alias("k")).first()
+    if tot["k"] > MAX_CLASSES:
+        raise ValueError(f"more than {MAX_CLASSES} classes in {label}")
     return counts.withColumn(weight_col, F.lit(float(tot["n"])) / (F.lit(float(tot["k"])) * F.col("n_class")))
 
 
-def with_class_weights(df: DataFrame, label: str, weight_col: str = "weight") -> DataFrame:
-    weights = class_weights(df, label, weight_col).select(label, weight_col)
-    return df.join(weights, label, "left")
+def with_class_weights(df: DataFrame, label: str, weight_col: str = "weight", fitted: DataFrame | None = None) -> DataFrame:
+    """``df`` with the balanced weight of its label (``fitted``: weights of
+    other rows, say the training rows).  The weights are one row per class of
+    a checked number, so they are broadcast and no row is shuffled."""
+    weights = (class_weights(df, label, weight_col) if fitted is None else fitted).select(
+        F.col(label).alias("_class"), weight_col)
+    return df.join(F.broadcast(weights), F.col(label) == F.col("_class"), "left").drop("_class")
 
 
 def label_index(df: DataFrame, label: str, index_col: str = "target",
                 as_text: bool = True) -> tuple[DataFrame, DataFrame]:
     """Index = position of the label's text form among the sorted distinct
     texts (so -1 < 0 < 1 sort as text).  Returns (indexed rows, label table).
-    The window runs on the distinct-label table only."""
+    The label table has a checked number of rows and is broadcast, so no row
+    is shuffled on its label."""
     text = F.col(label).cast("string") if as_text else F.col(label)
-    labels = df.select(text.alias("label_text")).where(F.col("label_text").isNotNull()).distinct()
-    # one row per distinct label; AQE broadcasts it at run time when small
-    labels = labels.withColumn(index_col, (F.row_number().over(Window.orderBy("label_text")) - 1).cast("int"))
-    indexed = df.withColumn("label_text", text).join(labels, "label_text", "left").drop("label_text")
-    return indexed, labels
+    kind = T.StringType() if as_text else df.schema[label].dataType
+    found = sorted(c for c, _ in class_counts(df.select(text.alias("label_text")), "label_text"))
+    labels = df.sparkSession.createDataFrame(list(zip(found, range(len(found)))), T.StructType([
+        T.StructField("label_text", kind), T.StructField(index_col, T.IntegerType())]))
+    lookup = F.broadcast(labels.withColumnRenamed("label_text", "_label_text"))
+    return df.join(lookup, text == F.col("_label_text"), "left").drop("_label_text"), labels
 
 
 def index_to_label(df: DataFrame, index_col: str, labels: DataFrame, out_col: str = "label_text") -> DataFrame:
+    """``labels``: the label table of ``label_index`` (of a checked size)."""
     lab = labels.select(F.col(labels.columns[1]).alias(index_col), F.col("label_text").alias(out_col))
-    return df.join(lab, index_col, "left")
+    return df.join(F.broadcast(lab), index_col, "left")
 
 
 # --------------------------------------------------------------------------
@@ -169,7 +212,7 @@ def split_allocation(counts: Sequence[tuple], test_fraction: float) -> dict:
 
 def split_hash(key: str, seed: int) -> Column:
     """md5 hex of "<seed>:<key>" (DuckDB computes the same string)."""
-    return F.md5(F.concat(F.lit(f"{seed}:"), F.col(key).cast("string")))
+    return F.md5(F.concat(F.lit(f"{seed}:"), F.coalesce(F.col(key).cast("string"), F.lit(""))))
 
 
 def split_quotas(class_counts_df: DataFrame, label: str, test_fraction: float) -> DataFrame:
@@ -191,35 +234,51 @@ def split_quotas(class_counts_df: DataFrame, label: str, test_fraction: float) -
                      .cast("long").alias("_quota"))
 
 
-def stratified_split(df: DataFrame, key: str, label: str, test_fraction: float = 0.2,
-                     seed: int = 42, split_col: str = "split", prefix_len: int = 5) -> DataFrame:
-    """Exact stratified split: in each class the rows with the smallest
-    (md5(seed:key), key) go to test, as many as ``split_quotas`` gives.
+def split_thresholds(df: DataFrame, key: str, label: str, test_fraction: float = 0.2, seed: int = 42,
+                     prefix_len: int = 5) -> DataFrame:
+    """(_class, _last_hash, _last_key): the last test row of every class that
+    has one, by (md5(seed:key), key); at most ``MAX_CLASSES`` rows.
 
     No window spans a class: rows are histogrammed into 16**prefix_len hash
-    buckets per class; buckets wholly below the cut are test, wholly above
-    are train (decided by a join with one row per class), and only the rows
-    of each class's cut bucket are ranked.  Everything is lazy: the small
-    tables (class counts, histogram, cuts) are planned, not collected.  Rows
-    with a null label are left out.
-    """
-    rows = df.where(F.col(label).isNotNull())
-    hashed = rows.withColumn("_h", split_hash(key, seed)).withColumn("_b", F.substring("_h", 1, prefix_len))
-    hist = hashed.groupBy(label, "_b").agg(F.count(F.lit(1)).alias("_cnt"))
+    buckets per class, and only the rows of each class's cut bucket are
+    ranked.  Both passes read the key and the label alone."""
+    spark, kinds = df.sparkSession, df.schema
+    hashed = (df.where(F.col(label).isNotNull())
+                .select(F.col(label).alias("_class"), F.col(key).alias("_key"), split_hash(key, seed).alias("_h"))
+                .withColumn("_b", F.substring("_h", 1, prefix_len)))
+    hist = hashed.groupBy("_class", "_b").agg(F.count(F.lit(1)).alias("_cnt"))
     # class sizes come from the histogram: no second pass over the rows
-    quota = split_quotas(hist.groupBy(label).agg(F.sum("_cnt").alias("_n")), label, test_fraction)
-    w = Window.partitionBy(label).orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
-    cuts = (hist.join(quota, label)
+    quota = split_quotas(hist.groupBy("_class").agg(F.sum("_cnt").alias("_n")), "_class", test_fraction)
+    w = Window.partitionBy("_class").orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
+    cuts = (hist.join(quota, "_class")
                 .withColumn("_before", F.coalesce(F.sum("_cnt").over(w), F.lit(0)))
                 .where((F.col("_before") < F.col("_quota")) & (F.col("_before") + F.col("_cnt") >= F.col("_quota")))
-                .select(label, F.col("_b").alias("_cut"), (F.col("_quota") - F.col("_before")).alias("_need")))
-
-    tagged = hashed.join(cuts, label, "left")
-    in_cut = F.col("_b") == F.col("_cut")
-    easy = tagged.where(F.col("_cut").isNull() | ~in_cut).withColumn(
-        split_col, F.when(F.col("_b") < F.col("_cut"), F.lit("test")).otherwise(F.lit("train")))
-    ranked = tagged.where(in_cut).withColumn(
-        "_r", F.row_number().over(Window.partitionBy(label).orderBy("_h", key)))
-    hard = ranked.withColumn(split_col, F.when(F.col("_r") <= F.col("_need"), F.lit("test"))
-                             .otherwise(F.lit("train"))).drop("_r")
-    return easy.unionByName(hard).drop("_h", "_b", "_cut", "_need")
+                .select(F.col("_class").alias("_c"), F.col("_b").alias("_cut"), (F.col("_quota") - F.col("_before")).alias("_need")))
+    found = cuts.limit(MAX_CLASSES + 1).collect()
+    if len(found) > MAX_CLASSES:
+        raise ValueError(f"more than {MAX_CLASSES} classes in {label}")
+    cuts = F.broadcast(spark.createDataFrame(found, cuts.schema))
+    last = (hashed.join(cuts, (F.col("_class") == F.col("_c")) & (F.col("_b") == F.col("_cut")))
+                  .withColumn("_r", F.row_number().over(Window.partitionBy("_class").orderBy("_h", "_key")))
+                  .where(F.col("_r") == F.col("_need")).select("_class", "_h", "_key").collect())
+    return spark.createDataFrame(last, T.StructType([
+        T.StructField("_class", kinds[label].dataType), T.StructField("_last_hash", T.StringType()),
+        T.StructField("_last_key", kinds[key].dataType)]))
+
+
+def stratified_split(df: DataFrame, key: str, label: str, test_fraction: float = 0.2,
+                     seed: int = 42, split_col: str = "split", prefix_len: int = 5) -> DataFrame:
+    """Exact stratified split: in each class the rows with the smallest
+    (md5(seed:key), key) go to test, as many as ``split_quotas`` gives.
+
+    The thresholds (one row per class, a checked number) are computed at once
+    and broadcast; the split itself is a projection of ``df``, so no row is
+    shuffled and ``df`` is read once.  Rows with a null label are left out.
+    ``key`` should be unique: rows that repeat a key stay together."""
+    cuts = F.broadcast(split_thresholds(df, key, label, test_fraction, seed, prefix_len))
+    h = split_hash(key, seed)
+    same = (h == F.col("_last_hash")) & (F.col(key).isNull() | F.coalesce(F.col(key) <= F.col("_last_key"), F.lit(False)))
+    test = F.coalesce((h < F.col("_last_hash")) | same, F.lit(False))
+    return (df.where(F.col(label).isNotNull()).join(cuts, F.col(label) == F.col("_class"), "left")
+              .withColumn(split_col, F.when(test, F.lit("test")).otherwise(F.lit("train")))
+              .drop("_class", "_last_hash", "_last_key"))

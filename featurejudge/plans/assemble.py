@@ -76,13 +76,11 @@ def assemble_features(fact: DataFrame, key: str, label: str, details: list[Detai
         frame = joins.enum_lookup(frame, lk.code_col, lk.enum, lk.out_col, lk.default, lk.value_col,
                                   lk.desc_col, lk.seq_col)
 
-    # the joins run once: the split reads the assembled rows three times
-    # (histogram, rows off the cut, rows in the cut bucket)
+    # the joins run once: the split thresholds, the fits and the final select
+    # read the written rows, each only the columns it needs
     frame = cut_lineage(frame)
     dropped = frame.where(F.col(label).isNull())
-    # the split runs once; the fits below (each an action) and the final
-    # select read it instead of re-running its three branches
-    split = cut_lineage(fit.stratified_split(frame, key, label, test_fraction, seed))
+    split = fit.stratified_split(frame, key, label, test_fraction, seed)
     train = F.col("split") == "train"
 
     categorical = categorical or {}

@@ -62,9 +62,8 @@ ORDER_STATS_SQL = ("base AS (SELECT o.o_orderkey, o.o_orderstatus, o.o_totalpric
        "round(coalesce(n_lines, m2, 0), 6) AS n_lines, round(coalesce(o_totalprice, m3, 0), 6) AS o_totalprice "
        "FROM split, med")
 def impute_median(spark, sf):
-    # joins once, then the split once (its three branches read parquet)
-    base = cut_lineage(fit.stratified_split(cut_lineage(order_line_stats(spark, sf)), "o_orderkey",
-                                            "o_orderstatus", TEST_FRACTION, SEED))
+    # joins once; the split is a projection of the written rows
+    base = fit.stratified_split(cut_lineage(order_line_stats(spark, sf)), "o_orderkey", "o_orderstatus", TEST_FRACTION, SEED)
     cols = ["avg_discount", "n_lines", "o_totalprice"]
     med = fit.fit_medians(base, cols, where=F.col("split") == "train")
     out = fit.impute(base, med, fallback=0)
@@ -85,12 +84,10 @@ def impute_median(spark, sf):
        "CAST(coalesce(n_lines, m2, 0) AS BIGINT) AS n_lines FROM split, md")
 def impute_mode(spark, sf):
     li = table(spark, sf, "lineitem")
-    prim = li.where(F.col("l_linenumber") == 1).groupBy(F.col("l_orderkey").alias("o_orderkey")).agg(
-        F.min("l_returnflag").alias("direction"))
-    cnt = li.groupBy(F.col("l_orderkey").alias("o_orderkey")).agg(F.count(F.lit(1)).alias("n_lines"))
-    base = table(spark, sf, "orders").select("o_orderkey", "o_orderstatus") \
-        .join(prim, "o_orderkey", "left").join(cnt, "o_orderkey", "left")
-    base = cut_lineage(fit.stratified_split(cut_lineage(base), "o_orderkey", "o_orderstatus", TEST_FRACTION, SEED))
+    lines = li.groupBy(F.col("l_orderkey").alias("o_orderkey")).agg(
+        F.min(F.when(F.col("l_linenumber") == 1, F.col("l_returnflag"))).alias("direction"), F.count(F.lit(1)).alias("n_lines"))
+    base = table(spark, sf, "orders").select("o_orderkey", "o_orderstatus").join(lines, "o_orderkey", "left")
+    base = fit.stratified_split(cut_lineage(base), "o_orderkey", "o_orderstatus", TEST_FRACTION, SEED)
     modes = fit.fit_modes(base, ["direction", "n_lines"], where=F.col("split") == "train")
     out = fit.impute(base, {"direction": modes["direction"]}, fallback=None)
     out = fit.impute(out, {"n_lines": modes["n_lines"]}, fallback=0)

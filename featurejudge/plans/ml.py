@@ -41,7 +41,7 @@ def prepared_documents(spark, sf) -> Prepared:
     d = fit.standardize(d, fit.fit_moments(d, NUMERIC, where=train_rows))
     d, _ = fit.label_index(d, "quality", "target")
     weights = fit.class_weights(d.where(train_rows), "target")
-    d = d.join(weights.select("target", "weight"), "target", "left")  # one row per class
+    d = fit.with_class_weights(d, "target", fitted=weights)
     features = NUMERIC + list(DOC_FLAGS) + [f"lang_{v}" for v in vocab]
     d = d.select("doc_id", "target", "weight", "split", *features)
     d = cut_lineage(d)  # the fits iterate over it many times

@@ -5,7 +5,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from featurejudge.operators.cumulative import exact_quantiles, running_total
+from featurejudge.operators.cumulative import exact_quantiles, exact_rank, running_total
 
 
 @pytest.fixture(scope="module")
@@ -37,10 +37,9 @@ def test_running_total_ties_and_no_partition(spark, values):
         assert r["cum_w"] == expect[r["v"]]
 
 
-@pytest.mark.parametrize("small", [0, 10**9])
-def test_exact_quantiles_match_numpy(spark, values, small):
+def test_exact_quantiles_match_numpy(spark, values):
     probs = [0.0, 0.25, 0.5, 0.75, 1.0]
-    q = exact_quantiles(values, "v", probs, ["g"], small_distinct=small).collect()
+    q = exact_quantiles(values, "v", probs, ["g"]).collect()
     pdf = values.toPandas()
     for r in q:
         vals = pdf.loc[pdf.g == r["g"], "v"].to_numpy()
@@ -49,11 +48,17 @@ def test_exact_quantiles_match_numpy(spark, values, small):
 
 
 def test_exact_quantiles_no_groups_distributed(spark, values):
-    med = exact_quantiles(values, "v", [0.5], small_distinct=0).first()
+    med = exact_quantiles(values, "v", [0.5]).first()
     assert med["quantile"] == pytest.approx(float(np.median(values.toPandas().v)))
 
 
 def test_median_interpolates_even_count(spark):
     df = spark.createDataFrame([(1.0,), (4.0,), (10.0,), (20.0,), (None,)], "x double")
-    for small in (0, 10**9):
-        assert exact_quantiles(df, "x", [0.5], small_distinct=small).first()["quantile"] == 7.0
+    assert exact_quantiles(df, "x", [0.5]).first()["quantile"] == 7.0
+
+
+@pytest.mark.parametrize("rows_per_bucket", [10**9, 53])
+def test_exact_rank_is_a_bijection_with_ties(spark, values, rows_per_bucket):
+    got = {r["id"]: r["_rank"] for r in exact_rank(values, ["v", "id"], ["g"], rows_per_bucket=rows_per_bucket).collect()}
+    for _, part in values.toPandas().groupby("g"):
+        assert [got[i] for i in part.sort_values(["v", "id"])["id"]] == list(range(1, len(part) + 1))

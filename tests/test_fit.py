@@ -1,3 +1,4 @@
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -40,3 +41,36 @@ def test_approx_medians_close_to_exact_and_row_weights(spark):
     assert exact == 500.0 and abs(approx - exact) <= 0.01 * 1000
     w = fit.with_class_weights(df, "y").groupBy("y").agg(F.first("weight").alias("w")).collect()
     assert sum(r["w"] for r in w) == pytest.approx(3 * 2001 / (3 * 667))
+
+
+def test_modes_keep_their_type(spark):
+    df = spark.sql("SELECT CAST(9007199254740993 AS BIGINT) n, DATE'2020-01-02' d, true b, CAST('12345678901234567890.25' AS DECIMAL(38,2)) x")
+    row = df.first()
+    assert fit.fit_modes(df, ["n", "d", "b", "x"]) == {"n": row["n"], "d": row["d"], "b": row["b"], "x": row["x"]}
+    assert fit.fit_modes(df, ["n"])["n"] == 2 ** 53 + 1
+
+
+@pytest.mark.parametrize("accuracy,max_values", [(10_000, 50_000), (50, 5)])
+def test_medians_by_brackets_match_numpy(spark, accuracy, max_values):
+    rng = np.random.default_rng(3)
+    cols = {"normal": rng.normal(size=2001), "ties": rng.integers(0, 3, 2001).astype(float),
+            "two": np.repeat([0.0, 1.0], [1000, 1001]), "one": np.full(2001, 4.0), "even": rng.normal(size=2001)}
+    rows = [[float(cols[c][i]) for c in cols] for i in range(2001)]
+    rows[0][-1] = None
+    df = spark.createDataFrame(rows, [*cols]).withColumn("none", F.lit(None).cast("double"))
+    got = fit.fit_medians(df, [*cols, "none"], accuracy=accuracy, max_values=max_values)
+    assert got.pop("none") is None
+    assert got == pytest.approx({c: float(np.median(v[1:] if c == "even" else v)) for c, v in cols.items()})
+
+
+def test_split_and_label_index_do_not_shuffle_rows(spark, monkeypatch):
+    df = spark.read.parquet("/root/testdata/sf0.01/orders.parquet").select("o_orderkey", "o_orderstatus")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        out = fit.stratified_split(df, "o_orderkey", "o_orderstatus")
+        out, _ = fit.label_index(out, "o_orderstatus")
+        plan = fit.with_class_weights(out, "target")._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    main = plan.split("BroadcastExchange")[0]
+    assert "Exchange hashpartitioning" not in main and plan.count("o_orderkey") and "SortMergeJoin" not in plan

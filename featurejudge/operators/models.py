@@ -14,7 +14,7 @@ from collections.abc import Sequence
 import numpy as np
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import (GBTClassifier, LogisticRegression, MultilayerPerceptronClassifier,
-                                       OneVsRest, RandomForestClassifier)
+                                       OneVsRest, OneVsRestModel, RandomForestClassifier)
 from pyspark.ml.evaluation import MulticlassClassificationEvaluator
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
@@ -23,9 +23,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from featurejudge.operators.cumulative import range_bucket, running_total
+from featurejudge.operators.cumulative import exact_rank
 from featurejudge.operators.evaluate import accuracy
 from featurejudge.operators.fit import class_counts
+from featurejudge.session import cut_lineage
 
 MAX_DEPTH = 30  # MLlib's limit; "unlimited depth" is capped here
 
@@ -116,10 +117,21 @@ def perceptron_pipeline(features, n_classes: int, label="target", hidden=(128, 6
 
 
 def predictions(model: PipelineModel, df: DataFrame, keep: Sequence[str]) -> DataFrame:
-    """(keep..., prediction, probability array) -- probability is null for
-    models that give none (one-vs-rest)."""
-    out = model.transform(df)
-    prob = vector_to_array("probability") if "probability" in out.columns else F.lit(None).cast("array<double>")
+    """(keep..., prediction, probability array).  For one-vs-rest the array
+    holds the positive probability of every class's own model, normalised to
+    the sum 1."""
+    out, last = model.transform(df), _last_stage(model)
+    if "probability" in out.columns:
+        prob = vector_to_array("probability")
+    elif isinstance(last, OneVsRestModel):
+        for i, one in enumerate(last.models):
+            out = one.copy({one.probabilityCol: f"_prob{i}", one.predictionCol: f"_pred{i}",
+                            one.rawPredictionCol: f"_raw{i}"}).transform(out)
+        each = [vector_to_array(f"_prob{i}")[1] for i in range(len(last.models))]
+        total = sum(each[1:], each[0])
+        prob = F.array(*[F.when(total > 0, p / total).otherwise(1.0 / len(each)) for p in each])
+    else:
+        prob = F.lit(None).cast("array<double>")
     return out.select(*keep, F.col("prediction").cast("int").alias("prediction"), prob.alias("probability"))
 
 
@@ -157,22 +169,21 @@ def permutation_importance(model: PipelineModel, test: DataFrame, features: Sequ
     one scored job.
 
     The shuffle pairs the row ranked k by a fixed hash with the row ranked k
-    by a (feature, repeat)-seeded hash; ranks come from the bucketed running
-    count, so no window spans the test set in one task."""
+    by a (feature, repeat)-seeded hash.  The fixed ranks are computed once;
+    the seeded side carries only the key and the donor value.  Ranks are exact
+    and bucketed, so no window spans the test set in one task, and equal
+    hashes are told apart by ``key`` (which should be unique)."""
     base = accuracy(predictions(model, test, [key, label]), label, "prediction").first()["accuracy"]
     combos = F.explode(F.array(*[F.struct(F.lit(f).alias("_f"), F.lit(r).alias("_r"))
                                  for f in features for r in range(repeats)]))
-    grid = test.select("*", combos.alias("_c")).select("*", "_c._f", "_c._r").drop("_c")
-    grid = grid.withColumn("_one", F.lit(1))
-    h_row = F.xxhash64(F.lit(seed), F.col(key))
-    h_perm = F.xxhash64(F.lit(seed + 1), F.col("_f"), F.col("_r"), F.col(key))
-    a = running_total(grid.withColumn("_h", h_row), "_h", ["_one"], ["_f", "_r"], prefix="_ra")
+    ranked = cut_lineage(exact_rank(test.withColumn("_h", F.xxhash64(F.lit(seed), F.col(key))), ["_h", key]).drop("_h"))
     donor_value = F.element_at(F.array(*[F.col(f"`{f}`").cast("double") for f in features]),
                                F.array_position(F.array(*[F.lit(f) for f in features]), F.col("_f")).cast("int"))
-    b = running_total(grid.withColumn("_h", h_perm), "_h", ["_one"], ["_f", "_r"], prefix="_rb") \
-        .select("_f", "_r", F.col("_rb_one").alias("_rank"), donor_value.alias("_donor"))
-    a = a.withColumnRenamed("_ra_one", "_rank")
-    shuffled = a.join(b, ["_f", "_r", "_rank"], "inner")
+    donors = (test.select(key, *features, combos.alias("_c")).select(key, *features, "_c._f", "_c._r")
+                  .select(F.col(key).alias("_k"), "_f", "_r", donor_value.alias("_donor"),
+                          F.xxhash64(F.lit(seed + 1), F.col("_f"), F.col("_r"), F.col(key)).alias("_h")))
+    donors = exact_rank(donors, ["_h", "_k"], ["_f", "_r"]).select("_f", "_r", "_rank", "_donor")
+    shuffled = ranked.join(donors, "_rank", "inner")
     replaced = shuffled.withColumns({
         f: F.when(F.col("_f") == F.lit(f), F.col("_donor")).otherwise(F.col(f"`{f}`").cast("double"))
         for f in features})
@@ -208,45 +219,49 @@ def smote(df: DataFrame, key: str, label: str, vec: str, k: int = 5, seed: int =
     a row and one of its k nearest same-class neighbours.
 
     Neighbours are found without comparing all pairs: each of ``projections``
-    random directions orders a class (inside range buckets of the projected
-    value) and proposes the ``window`` rows on each side; the k closest of
-    those candidates by true distance are kept.  Each original row makes
-    floor(need / n) or one more synthetic rows (exact total), chosen by a
-    seeded hash rank.  Output: key (null for synthetic rows), label, vec,
-    synthetic (0/1)."""
+    random directions ranks a class and proposes the ``window`` rows on each
+    side; the k closest of those candidates by true distance are kept.  Ranks
+    are cut into blocks of ``rows_per_bucket``; rows next to a cut are handed
+    to the neighbouring block too, so the candidates do not depend on the
+    block size.  Only ids travel until the candidates are distinct.  Each
+    original row makes floor(need / n) or one more synthetic rows (exact
+    total), chosen by a seeded hash rank.  Output: key (null for synthetic
+    rows), label, vec, synthetic (0/1).  ``key`` must be unique."""
     counts = dict(class_counts(df, label))
     target = max(counts.values())
-    base = df.select(key, label, F.col(vec).cast("array<double>").alias("_x"))
+    base = cut_lineage(df.select(key, label, F.col(vec).cast("array<double>").alias("_x")).where(F.col(label).isNotNull()))
     dim = len(base.select("_x").first()[0])
     rng = np.random.default_rng(seed)
     dirs = rng.standard_normal((projections, dim))
+    block = max(rows_per_bucket, 2 * window)
 
-    n_rows = base.count()
+    projected = cut_lineage(base.select(key, label, *[_dot(F.col("_x"), d).alias(f"_p{p}") for p, d in enumerate(dirs)]))
     cands = None
     for p in range(projections):
-        proj = base.withColumn("_p", _dot(F.col("_x"), dirs[p]))
-        proj = range_bucket(proj, "_p", n_rows, rows_per_bucket)
-        w = Window.partitionBy(label, "_bkt").orderBy("_p", key)
-        nb = F.struct(F.col(key).alias("j"), F.col("_x").alias("xj"))
-        near = proj.select(key, label, "_x", F.array(*[F.lag(nb, o).over(w) for o in range(1, window + 1)],
-                                                     *[F.lead(nb, o).over(w) for o in range(1, window + 1)]
-                                                     ).alias("_nb"))
-        pairs = near.select(key, label, "_x", F.explode("_nb").alias("n")).where(F.col("n").isNotNull()) \
-                    .select(key, label, "_x", "n.j", "n.xj")
+        ranked = exact_rank(projected.select(key, label, f"_p{p}"), [f"_p{p}", key], [label], rows_per_bucket=rows_per_bucket)
+        blocks = F.array_distinct(F.transform(F.array(F.lit(-window), F.lit(0), F.lit(window)),
+                                              lambda o: F.floor((F.col("_rank") + o) / block)))
+        w = Window.partitionBy(label, "_block").orderBy("_rank")
+        near = (ranked.select(key, label, "_rank", F.explode(blocks).alias("_block"))
+                      .select(key, "_rank", "_block", F.array(*[f(key, o).over(w) for o in range(1, window + 1)
+                                                                for f in (F.lag, F.lead)]).alias("_nb"))
+                      .where(F.floor(F.col("_rank") / block) == F.col("_block")))
+        pairs = near.select(key, F.explode("_nb").alias("j")).where(F.col("j").isNotNull())
         cands = pairs if cands is None else cands.unionByName(pairs)
-    cands = cands.dropDuplicates([key, "j"]).withColumn("_d", _sqdist(F.col("_x"), F.col("xj")))
+    vectors = base.select(F.col(key).alias("j"), F.col("_x").alias("xj"))
+    cands = (cands.distinct().join(base.select(key, "_x"), key).join(vectors, "j")
+                  .withColumn("_d", _sqdist(F.col("_x"), F.col("xj"))))
     knn = cands.withColumn("_k", F.row_number().over(Window.partitionBy(key).orderBy("_d", "j"))) \
                .where(F.col("_k") <= k) \
                .groupBy(key).agg(F.collect_list(F.struct("_k", "xj")).alias("_nbrs"))
 
     quotas = _spark().createDataFrame([(c, int(n), int(target - n)) for c, n in counts.items()],
                                       f"{label} {df.schema[label].dataType.simpleString()}, _n long, _need long")
-    ranked = running_total(base.withColumn("_h", F.xxhash64(F.lit(seed), F.col(key))).withColumn("_one", F.lit(1)),
-                           "_h", ["_one"], [label], prefix="_rk")
+    ranked = exact_rank(base.withColumn("_h", F.xxhash64(F.lit(seed), F.col(key))), ["_h", key], [label])
     # quotas: one row per class, from the size-checked class counts
     gen = ranked.join(F.broadcast(quotas), label).withColumn(
         "_g", (F.floor(F.col("_need") / F.col("_n")) +
-               F.when(F.col("_rk_one") <= F.col("_need") % F.col("_n"), 1).otherwise(0)).cast("int"))
+               F.when(F.col("_rank") <= F.col("_need") % F.col("_n"), 1).otherwise(0)).cast("int"))
     gen = gen.where(F.col("_g") > 0).join(knn, key, "left")
     syn = gen.select(key, label, "_x", "_nbrs", F.explode(F.sequence(F.lit(1), F.col("_g"))).alias("_s"))
     n_nb = F.coalesce(F.size("_nbrs"), F.lit(0))
@@ -267,11 +282,10 @@ def replicate_balance(df: DataFrame, key: str, label: str, seed: int = 42) -> Da
     target = max(counts.values())
     quotas = _spark().createDataFrame([(c, int(n), int(target - n)) for c, n in counts.items()],
                                       f"{label} {df.schema[label].dataType.simpleString()}, _n long, _need long")
-    ranked = running_total(df.withColumn("_h", F.xxhash64(F.lit(seed), F.col(key))).withColumn("_one", F.lit(1)),
-                           "_h", ["_one"], [label], prefix="_rk")
+    ranked = exact_rank(df.withColumn("_h", F.xxhash64(F.lit(seed), F.col(key))), ["_h", key], [label])
     # quotas: one row per class, from the size-checked class counts
     g = ranked.join(F.broadcast(quotas), label).withColumn(
         "_g", (F.floor(F.col("_need") / F.col("_n")) +
-               F.when(F.col("_rk_one") <= F.col("_need") % F.col("_n"), 1).otherwise(0)).cast("int") + 1)
+               F.when(F.col("_rank") <= F.col("_need") % F.col("_n"), 1).otherwise(0)).cast("int") + 1)
     return g.select(*df.columns, F.explode(F.sequence(F.lit(1), F.col("_g"))).alias("_copy")) \
             .withColumn("synthetic", (F.col("_copy") > 1).cast("int")).drop("_copy")

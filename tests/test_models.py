@@ -16,6 +16,15 @@ def test_smote_balances_every_class(spark):
     assert dims == {64}
 
 
+def test_smote_rows_do_not_depend_on_bucket_size(spark):
+    e = spark.read.parquet(f"{SF}/embeddings.parquet")
+
+    def rows(size):
+        out = models.smote(e, "vec_id", "label", "embedding", k=3, rows_per_bucket=size).where("synthetic = 1")
+        return sorted((r["label"], tuple(round(x, 9) for x in r["embedding"])) for r in out.collect())
+    assert rows(11) == rows(50_000)
+
+
 def test_replicate_balance(spark):
     e = spark.read.parquet(f"{SF}/embeddings.parquet").select("vec_id", "label")
     out = models.replicate_balance(e, "vec_id", "label")
@@ -35,3 +44,14 @@ def test_fit_score_and_importances(spark):
     assert sorted(r["feature"] for r in perm.collect()) == sorted(p.features)
     lr = models.logistic_pipeline(p.features, weight="weight").fit(p.train)
     assert models.coefficient_table(lr, p.features, "lr").count() == len(p.features)
+
+
+def test_one_vs_rest_probabilities(spark):
+    rows = spark.range(300).select((F.col("id") % 3).alias("target"), F.col("id").alias("k"),
+                                   ((F.col("id") % 3) * 2 + (F.col("id") % 7) / 10).cast("double").alias("x"))
+    m = models.logistic_pipeline(["x"], reg=0.01, ovr=True).fit(rows)
+    got = models.predictions(m, rows, ["k", "target"]).collect()
+    assert len(got) == 300
+    for r in got:
+        assert len(r["probability"]) == 3 and abs(sum(r["probability"]) - 1) < 1e-9
+        assert r["prediction"] == max(range(3), key=lambda i: r["probability"][i])

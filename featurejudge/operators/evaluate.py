@@ -15,9 +15,8 @@ from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
 from featurejudge.operators.cumulative import exact_quantiles, running_total
-from featurejudge.session import cut_lineage
 
-MAX_CLASSES = 10_000
+MAX_CLASSES = 300             # more classes than this are refused: tables hold classes x classes cells
 
 
 def class_values(df: DataFrame, *cols: str, max_classes: int = MAX_CLASSES) -> list:
@@ -32,12 +31,6 @@ def class_values(df: DataFrame, *cols: str, max_classes: int = MAX_CLASSES) -> l
     return sorted(r[0] for r in rows)
 
 
-def _grid(df: DataFrame, label: str, classes: Sequence, a: str, b: str) -> DataFrame:
-    t = df.schema[label].dataType
-    schema = T.StructType([T.StructField(a, t), T.StructField(b, t)])
-    return df.sparkSession.createDataFrame([(x, y) for x in classes for y in classes], schema)
-
-
 def judged(df: DataFrame, label: str, prediction: str) -> DataFrame:
     """The one rule for nulls in every evaluation table: a row without a label
     or without a prediction (score) is not judged."""
@@ -47,27 +40,20 @@ def judged(df: DataFrame, label: str, prediction: str) -> DataFrame:
 def confusion_counts(pred: DataFrame, label: str, prediction: str, classes: Sequence | None = None) -> DataFrame:
     """Dense (true_class, pred_class, n) over classes x classes; empty cells 0.
 
-    Without a given class list the grid is built lazily: the distinct labels
-    and predictions (one row per class) are gathered into one array and
-    exploded twice -- no driver round trip, no cross join and no second
-    pass over the predictions."""
-    counts = (judged(pred, label, prediction).groupBy(F.col(label).alias("true_class"), F.col(prediction).alias("pred_class"))
-                  .agg(F.count(F.lit(1)).alias("n")))
-    # at most k*k rows; written once so the predictions are read once even
-    # though the grid and the join both use the counts
-    counts = cut_lineage(counts)
-    if classes is not None:
-        # built on the driver from the given (bounded) class list: k x k rows
-        grid = F.broadcast(_grid(pred, label, classes, "true_class", "pred_class"))
-    else:
-        # classes from the (small) count table, not another pass over pred
-        values = counts.select(F.col("true_class").alias("c")).union(counts.select(F.col("pred_class").alias("c"))) \
-                       .where(F.col("c").isNotNull()).distinct()
-        arr = values.agg(F.collect_set("c").alias("_cls"))
-        grid = arr.select(F.explode("_cls").alias("true_class"), "_cls") \
-                  .select("true_class", F.explode("_cls").alias("pred_class"))
-    return grid.join(counts, ["true_class", "pred_class"], "left") \
-               .withColumn("n", F.coalesce(F.col("n"), F.lit(0)).cast("long"))
+    The predictions are reduced to their counts in one pass.  The class list
+    (given, or the labels and predictions that occur) is checked against
+    ``MAX_CLASSES``, so the dense table is bounded and built as a local one."""
+    kind = pred.schema[label].dataType
+    rows = (judged(pred, label, prediction)
+            .groupBy(F.col(label).alias("true_class"), F.col(prediction).cast(kind).alias("pred_class"))
+            .agg(F.count(F.lit(1)).alias("n")).limit(MAX_CLASSES ** 2 + 1).collect())
+    cells = {(r["true_class"], r["pred_class"]): r["n"] for r in rows}
+    if classes is None:
+        classes = sorted({c for cell in cells for c in cell if c is not None})
+    if len(rows) > MAX_CLASSES ** 2 or len(classes) > MAX_CLASSES:
+        raise ValueError(f"more than {MAX_CLASSES} classes")
+    schema = T.StructType([T.StructField("true_class", kind), T.StructField("pred_class", kind), T.StructField("n", T.LongType())])
+    return pred.sparkSession.createDataFrame([(a, b, cells.get((a, b), 0)) for a in classes for b in classes], schema)
 
 
 def accuracy(pred: DataFrame, label: str, prediction: str) -> DataFrame:

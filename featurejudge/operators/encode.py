@@ -124,6 +124,18 @@ def count_matrix(df: DataFrame, key: str, vocabs: dict[str, Iterable], prefix: s
     return df.groupBy(key).agg(*count_aggs(vocabs, prefix))
 
 
+def long_to_wide(long: DataFrame, keys: Sequence[str], name_col: str, value_col: str, names: Sequence,
+                 prefix: str | None = None, default=None) -> DataFrame:
+    """One row per ``keys`` with a column for each of ``names`` (the value
+    under that name; repeated names add up; ``default`` where there is none).
+    The names are given, so no pass is needed to find them."""
+    def column(v):
+        value = F.sum(F.when(F.col(name_col) == F.lit(v), F.col(value_col)))
+        out = value if default is None else F.coalesce(value, F.lit(default))
+        return out.alias(sanitize_name(f"{prefix}_{v}" if prefix else v))
+    return long.groupBy(*keys).agg(*[column(v) for v in names])
+
+
 def distinct_count_flag(df: DataFrame, key: str, col: str, threshold: int = 1,
                         count_name: str = "n_distinct", flag_name: str = "flag") -> DataFrame:
     """Distinct non-null values of ``col`` per key and the flag

@@ -2,8 +2,8 @@
 
 Every join states its cardinality.  Detail tables are reduced to one row per
 key *before* they meet the fact table, so all feature joins share the key and
-no join fans out by accident.  Broadcasts happen only behind a row-count
-check; beyond it Spark's shuffle join (and AQE's runtime re-plan) is used.
+no join fans out by accident.  Broadcasts are left to adaptive execution,
+which decides by measured bytes; beyond its threshold joins shuffle.
 """
 
 from __future__ import annotations
@@ -13,16 +13,6 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-DEFAULT_BROADCAST_ROWS = 200_000
-
-
-def broadcast_if_small(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
-    """Broadcast hint only when ``df`` provably holds at most ``max_rows``
-    rows.  The check reads at most ``max_rows + 1`` rows."""
-    n = df.limit(max_rows + 1).count()
-    return F.broadcast(df) if n <= max_rows else df
-
-
 def first_per_key(df: DataFrame, key: str | Sequence[str], order_by: Sequence[str],
                   columns: Sequence[str], last: bool = False) -> DataFrame:
     """One row per key: the first (or last) row by a total order.
@@ -71,19 +61,19 @@ def attach_detail(fact: DataFrame, detail: DataFrame, key: str, columns: Sequenc
 
 def enum_lookup(df: DataFrame, code_col: str, enum: DataFrame, out_col: str | None = None,
                 default="Unknown", value_col: str = "value", desc_col: str = "description",
-                seq_col: str | None = None, max_broadcast_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
+                seq_col: str | None = None) -> DataFrame:
     """Map codes to descriptions with a default for unmatched and null codes.
 
     Duplicate codes: the row with the highest ``seq_col`` wins ("last row
     wins" in file order).  Without ``seq_col`` the greatest description wins,
-    which is deterministic but not file order.
+    which is deterministic but not file order.  A null description counts as
+    unmatched.  Adaptive execution broadcasts the lookup by its measured bytes.
     """
     out_col = out_col or f"{code_col}_desc"
     order = [seq_col, desc_col] if seq_col else [desc_col]
     lookup = (first_per_key(enum.select(F.col(value_col).alias("_code"), *order), "_code",
                             order, [desc_col], last=True)
               .withColumnRenamed(desc_col, "_desc"))
-    lookup = broadcast_if_small(lookup, max_broadcast_rows)
     joined = df.join(lookup, df[code_col] == lookup["_code"], "left")
     return joined.withColumn(out_col, F.coalesce(F.col("_desc").cast("string"), F.lit(default))) \
                  .drop("_code", "_desc")
@@ -102,8 +92,7 @@ def self_join_fetch(df: DataFrame, source: DataFrame, key: str, columns: Sequenc
     return df.join(source.select(key, *columns), key, "left")
 
 
-def semi_join_values(df: DataFrame, col: str, values: DataFrame, values_col: str | None = None,
-                     max_broadcast_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
+def semi_join_values(df: DataFrame, col: str, values: DataFrame, values_col: str | None = None) -> DataFrame:
     """Rows of ``df`` whose ``col`` is one of ``values`` (membership filter)."""
     vcol = values_col or col
     v = values.select(F.col(vcol).alias("_v")).distinct()  # AQE broadcasts small value sets

@@ -206,10 +206,12 @@ def primary_detail_dedup(spark, sf):
 
 
 def nation_enum(spark, sf) -> DataFrame:
-    """A code table with duplicate codes: nations of regions 0-2 (seq 1) and
-    then the regions themselves (seq 2) under the same integer codes 0-4."""
-    n = table(spark, sf, "nation").where(F.col("n_regionkey").isin(0, 1, 2)).select(
-        F.col("n_nationkey").alias("value"), F.col("n_name").alias("description"), F.lit(1).alias("seq"))
+    """A code table with duplicate codes: nations (seq 1; those of regions
+    above 2 without a description) and then the regions themselves (seq 2)
+    under the same integer codes 0-4."""
+    n = table(spark, sf, "nation").select(
+        F.col("n_nationkey").alias("value"), F.when(F.col("n_regionkey") <= 2, F.col("n_name")).alias("description"),
+        F.lit(1).alias("seq"))
     r = table(spark, sf, "region").select(
         F.col("r_regionkey").alias("value"), F.col("r_name").alias("description"), F.lit(2).alias("seq"))
     return n.unionByName(r)
@@ -228,6 +230,14 @@ def enum_lookup_default(spark, sf):
                              default="Unknown", seq_col="seq")
 
 
+@query("status_by_priority_wide",
+       "SELECT o_orderpriority, " + ", ".join(f"CAST(sum(CASE WHEN o_orderstatus = '{v}' THEN 1 ELSE 0 END) AS BIGINT) AS n_{v}"
+                                              for v in "FOP") + " FROM orders GROUP BY o_orderpriority")
+def status_by_priority_wide(spark, sf):
+    long = (table(spark, sf, "orders").groupBy("o_orderpriority", "o_orderstatus").agg(F.count(F.lit(1)).alias("n")))
+    return encode.long_to_wide(long, ["o_orderpriority"], "o_orderstatus", "n", ["F", "O", "P"], prefix="n", default=0)
+
+
 @query("self_join_fetch", "SELECT o_orderkey, o_orderpriority, 'NA' AS o_clerk FROM orders")
 def self_join_fetch(spark, sf):
     o = table(spark, sf, "orders").select("o_orderkey", "o_orderpriority")

@@ -23,12 +23,11 @@ LINE_STATUS = ["F", "O"]
 
 
 def region_enum(spark, sf) -> DataFrame:
-    """nation code -> region name, for nations of regions 0-2 only (others
-    fall to the default)."""
-    n = table(spark, sf, "nation").where(F.col("n_regionkey").isin(0, 1, 2))
-    r = table(spark, sf, "region")
+    """nation code -> region name; regions above 2 have no description, so
+    their nations fall to the default."""
+    n, r = table(spark, sf, "nation"), table(spark, sf, "region")
     return n.join(r, n["n_regionkey"] == r["r_regionkey"]).select(
-        F.col("n_nationkey").alias("value"), F.col("r_name").alias("description"))
+        F.col("n_nationkey").alias("value"), F.when(F.col("r_regionkey") <= 2, F.col("r_name")).alias("description"))
 
 
 def assembled(spark, sf):

@@ -9,6 +9,8 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -23,8 +25,7 @@ LOCAL_CONF = {
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
-    # checkpoint files of materialized intermediate tables are removed once
-    # the DataFrame that reads them is garbage-collected
+    # for RDD checkpoints; tables of cut_lineage are removed by scratch_tables
     "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
 }
 
@@ -64,6 +65,29 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return local
 
 
+_written: list[str] = []      # folders that cut_lineage has written and nobody has removed
+
+
+@contextmanager
+def scratch_tables(spark: SparkSession) -> Iterator[None]:
+    """Tables that ``cut_lineage`` writes inside the block are removed at its
+    end, so write or collect a query's result inside it::
+
+        with scratch_tables(spark):
+            query(spark, sf_dir).write.parquet(target)
+
+    The folders may be in any store that Spark writes."""
+    start = len(_written)
+    try:
+        yield
+    finally:
+        conf = spark.sparkContext._jsc.hadoopConfiguration()
+        for path in _written[start:]:
+            folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+            folder.getFileSystem(conf).delete(folder, True)
+        del _written[start:]
+
+
 def cut_lineage(df: DataFrame) -> DataFrame:
     """Materialize ``df`` once as a parquet table in a fresh folder under the
     session's (shared) checkpoint folder and return a DataFrame reading it.
@@ -71,9 +95,11 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     Used where one intermediate table feeds several actions (fits,
     vocabularies, the final write): the upstream joins run once, an executor
     loss re-reads files instead of re-running the lineage, and the reader
-    gets column pruning and filter pushdown.  Never a local checkpoint."""
+    gets column pruning and filter pushdown.  Never a local checkpoint.  The
+    folder stays until a ``scratch_tables`` block around the call ends."""
     spark = df.sparkSession
     root = ensure_checkpoint_dir(spark).rstrip("/")
     path = f"{root}/tables/{uuid.uuid4().hex}"
+    _written.append(path)
     df.write.mode("error").parquet(path)
     return spark.read.parquet(path)

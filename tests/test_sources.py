@@ -47,3 +47,17 @@ def test_model_save_load_roundtrip(spark):
     p1 = [r["prediction"] for r in m.transform(df).select("prediction").collect()]
     p2 = [r["prediction"] for r in back.transform(df).select("prediction").collect()]
     assert p1 == p2
+
+
+def test_scratch_tables_leave_no_folder_and_no_cache(spark):
+    import os
+    from featurejudge.plans import catalog
+    from featurejudge.session import ensure_checkpoint_dir, scratch_tables
+    root = ensure_checkpoint_dir(spark).removeprefix("file:") + "/tables"
+    persisted = spark.sparkContext._jsc.getPersistentRDDs().size()
+    before = set(os.listdir(root)) if os.path.isdir(root) else set()
+    with scratch_tables(spark):
+        rows = catalog.all_queries()["impute_median"](spark, "/root/testdata/sf0.001").collect()
+        assert set(os.listdir(root)) - before
+    assert rows and set(os.listdir(root)) == before
+    assert spark.sparkContext._jsc.getPersistentRDDs().size() == persisted

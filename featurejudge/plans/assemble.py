@@ -7,12 +7,11 @@ Plan shape, chosen for scale:
   holds all features drawn from it (label, durations, presence, counts,
   distinct counts) -- one scan and one partially aggregated shuffle per
   detail table, however many features it feeds;
-* all fact-keyed joins share the fact key, so after the fact is hashed once
-  the aggregated sides join without further fact shuffles; dimension sides
-  keyed by another fact column (e.g. the customer) share that column;
-* code lookups are broadcast only behind a row-count check;
+* the aggregated sides join on the fact key; dimension sides keyed by another
+  fact column (e.g. the customer) need one more exchange of the fact;
+* code lookups are broadcast by adaptive execution, by measured bytes;
 * statistics (medians) and one-hot vocabularies are fitted on training rows
-  only; rows with a null label are dropped, never imputed.
+  only (code lists of the details are the caller's); rows with a null label are dropped, never imputed.
 """
 
 from __future__ import annotations

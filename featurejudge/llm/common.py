@@ -63,23 +63,34 @@ LEARN_ROWS = 40_000       # labelled documents of each label from which classifi
 
 
 def labelled_ids(labels: DataFrame, label_col: str, learn: Column | None = None, rows: int = LEARN_ROWS) -> DataFrame:
-    """(__id, label) of at most ``rows`` documents a label for which ``learn``
-    (a condition on doc_id) holds: a sample by hash of the id, the same for the
-    same input.  Null labels and ids are ignored, repeated label rows count
-    once, a document with both labels counts under both."""
+    """(__id, label, weight) of at most ``rows`` documents a label for which
+    ``learn`` (a condition on doc_id) holds: a sample by hash of the id, the
+    same for the same input.  ``weight`` undoes the sampling: weighted, the
+    labels have the shares that they have among all labelled documents, and the
+    mean weight is 1, so a sample claims no more evidence than it has rows.
+    Null labels and ids are ignored, repeated label rows count once, a document
+    with both labels counts under both."""
     known = (labels.where(F.col(label_col).isin(0, 1) & F.col("doc_id").isNotNull() & (F.lit(True) if learn is None else learn))
              .select(F.col("doc_id").alias("__id"), F.col(label_col).cast("int").alias("label")).distinct())
     picked = known.where("false")
-    for label, n in sorted((r["label"], r["count"]) for r in known.groupBy("label").count().collect()):
+    held = {r["label"]: r["count"] for r in known.groupBy("label").count().collect()}
+    for label, n in sorted(held.items()):
         bound = min(2 ** 63 - 1, -(2 ** 63) + int(min(1.0, rows / n) * 2 ** 64))
         picked = picked.unionByName(known.where((F.col("label") == label) & (F.xxhash64("__id", F.lit(5)) <= F.lit(bound))).limit(rows))
-    return cut_lineage(picked)
+    picked = cut_lineage(picked)
+    taken = {r["label"]: r["count"] for r in picked.groupBy("label").count().collect()}
+    weight = F.lit(1.0)
+    if taken != held:
+        for label, n in taken.items():
+            share = held[label] / sum(held[x] for x in taken)
+            weight = F.when(F.col("label") == label, share * sum(taken.values()) / n).otherwise(weight)
+    return picked.withColumn("weight", weight)
 
 
 def labelled_rows(docs: DataFrame, labels: DataFrame, label_col: str, learn: Column | None = None,
                   rows: int = LEARN_ROWS) -> DataFrame:
-    """(doc_id, text, label) of the ``labelled_ids``.  Only this bounded list of
+    """(doc_id, text, label, weight) of the ``labelled_ids``.  Only this bounded list of
     ids is broadcast, so no text is shuffled."""
     picked = labelled_ids(labels, label_col, learn, rows)
     return docs.join(F.broadcast(picked), docs["doc_id"] == picked["__id"]).select(
-        docs["doc_id"], docs["text"], picked["label"])
+        docs["doc_id"], docs["text"], picked["label"], picked["weight"])

@@ -107,25 +107,25 @@ class Ensemble:
 
 
 def fit(learning: DataFrame) -> Ensemble:
-    """Learn from a bounded table of features and a 0/1 ``label``.  No row
-    gives the score 0.5, a single label (smoothed) its share."""
-    counts = {r["label"]: r["count"] for r in learning.groupBy("label").count().collect()}
+    """Learn from a bounded table of features, a 0/1 ``label`` and the ``weight``
+    of a row.  No row gives the score 0.5, a single label (smoothed) its share."""
+    counts = {r["label"]: r["count"] for r in learning.groupBy("label").agg(F.sum("weight").alias("count")).collect()}
     n, good = sum(counts.values()), counts.get(1, 0)
     if len(counts) < 2:
         share = (good + 0.5) / (n + 1)
         return Ensemble((), math.log(share / (1 - share)))
-    trees = GBTClassifier(featuresCol="x", labelCol="label", maxIter=TREES, maxDepth=DEPTH, seed=SEED, minInstancesPerNode=3,
-                          maxMemoryInMB=64)
-    data = learning.select(F.col("label").cast("double").alias("label"), *FEATURES,
+    trees = GBTClassifier(featuresCol="x", labelCol="label", weightCol="weight", maxIter=TREES, maxDepth=DEPTH, seed=SEED,
+                          minInstancesPerNode=3, maxMemoryInMB=64)
+    data = learning.select(F.col("label").cast("double").alias("label"), "weight", *FEATURES,
                            array_to_vector(F.array(*FEATURES)).alias("x"))
     model = trees.fit(data)
     rules = sorted({p for tree in model._java_obj.trees() for p in paths(tree.rootNode())})
     if not rules:
         share = good / n
         return Ensemble((), math.log(share / (1 - share)))
-    held = data.select("label", array_to_vector(F.array(*[Rule(r).condition().cast("double") for r in rules])).alias("x"))
-    lasso = LogisticRegression(featuresCol="x", labelCol="label", elasticNetParam=1.0, regParam=LASSO, maxIter=200,
-                               standardization=False).fit(cut_lineage(held))
+    held = data.select("label", "weight", array_to_vector(F.array(*[Rule(r).condition().cast("double") for r in rules])).alias("x"))
+    lasso = LogisticRegression(featuresCol="x", labelCol="label", weightCol="weight", elasticNetParam=1.0, regParam=LASSO,
+                               maxIter=200, standardization=False).fit(cut_lineage(held))
     weights = lasso.coefficients.toArray()
     return Ensemble(tuple(Rule(r, float(w)) for r, w in zip(rules, weights) if w), float(lasso.intercept))
 
@@ -133,14 +133,15 @@ def fit(learning: DataFrame) -> Ensemble:
 def score(docs: DataFrame, labels: DataFrame, learn: Column, threshold: float = 0.7, learn_rows: int = LEARN_ROWS) -> DataFrame:
     """(doc_id, score, predicted), one row a row of ``docs`` (doc_id, text),
     learned from ``labels`` (doc_id, quality) of documents for which ``learn``
-    holds, at most ``learn_rows`` of each label (a sample by hash of the id).
+    holds, at most ``learn_rows`` of each label (a sample by hash of the id, weighted
+    to the label shares of all of them).
 
     Null and empty texts have statistics of their own and are scored like any
     other; null ids are kept and not learned from; repeated rows score alike; a
     document with both labels counts under both; other columns are ignored."""
     table = cut_lineage(with_statistics(docs))
     ids = labelled_ids(labels, "quality", learn, learn_rows)
-    learning = table.join(F.broadcast(ids), table["doc_id"] == ids["__id"]).select(ids["label"], *FEATURES)
+    learning = table.join(F.broadcast(ids), table["doc_id"] == ids["__id"]).select(ids["label"], ids["weight"], *FEATURES)
     ensemble = fit(cut_lineage(learning))
     return (table.select("doc_id", ensemble.score().alias("score"))
             .withColumn("predicted", (F.col("score") >= threshold).cast("int")))

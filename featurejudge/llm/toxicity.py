@@ -291,9 +291,9 @@ def one_of_copies(rows: DataFrame) -> DataFrame:
 
 def fit(docs: DataFrame, labelled: DataFrame, text_col: str = "text", label_col: str = "label") -> Model:
     """``docs``: all documents, for the character model; ``labelled``: a bounded
-    table of learning rows (doc_id, text, 0/1 label; rows without an id or a
-    label are ignored), of which near duplicates count once.  Without learning
-    rows every score is 0."""
+    table of learning rows (doc_id, text, 0/1 label, weight, one for each label;
+    rows without an id or a label are ignored), of which near duplicates count
+    once.  Without learning rows every score is 0."""
     spark = docs.sparkSession
     chars = fit_chars(docs, text_col)
     shared = spark.sparkContext.broadcast(chars)
@@ -319,13 +319,18 @@ def fit(docs: DataFrame, labelled: DataFrame, text_col: str = "text", label_col:
         yield pd.DataFrame({"label": [0, 1], "feature": ["", ""], "n": rows})     # counts the rows
 
     rows = cut_lineage(labelled.where(F.col(label_col).isin(0, 1))
-                       .select("doc_id", F.col(text_col).alias("text"), F.col(label_col).cast("int").alias("label")))
+                       .select("doc_id", F.col(text_col).alias("text"), F.col(label_col).cast("int").alias("label"), "weight"))
+    weighs = {r["label"]: r["w"] for r in rows.groupBy("label").agg(F.max("weight").alias("w")).collect()}
     rows = rows.join(F.broadcast(cut_lineage(one_of_copies(rows))), "doc_id")    # as bounded as the learning rows
+    rows = rows.select("doc_id", "text", "label")
     counted = cut_lineage(rows.mapInPandas(count, "label int, feature string, n long").groupBy("feature")
                           .agg(F.sum(F.when(F.col("label") == 1, F.col("n")).otherwise(0)).alias("toxic"), F.sum("n").alias("n")))
-    whole = counted.where("feature = ''").first()
+    # the rows were counted; a row weighs what its label's sampling asks for
+    toxic = F.col("toxic") * F.lit(float(weighs.get(1, 1.0)))
+    n = toxic + (F.col("n") - F.col("toxic")) * F.lit(float(weighs.get(0, 1.0)))
+    whole = counted.where("feature = ''").select(toxic.alias("toxic"), n.alias("n")).first()
     base = whole["toxic"] / whole["n"] if whole and whole["n"] else 0.0
-    weight = (F.col("toxic") + PRIOR_ROWS * base) / (F.col("n") + PRIOR_ROWS)
+    weight = (toxic + PRIOR_ROWS * base) / (n + PRIOR_ROWS)
     # at most LEXICON rows reach the driver, in order of strength
     top = (counted.where("feature != ''").withColumn("w", weight).where((F.col("toxic") >= MIN_TOXIC) & (F.col("w") >= MIN_WEIGHT))
            .orderBy(F.desc("w"), F.desc("n"), "feature").limit(LEXICON).select("feature", "toxic", "w").collect())

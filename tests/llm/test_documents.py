@@ -312,3 +312,27 @@ def test_held_out_is_crc(spark):
     import zlib
     got = spark.range(200).select("id", held_out(F.col("id"), 5, 0).alias("o")).collect()
     assert all(r["o"] == (zlib.crc32(str(r["id"]).encode()) % 5 == 0) for r in got)
+
+
+def rare_worded(spark, clean=1600, toxic=200):
+    """Documents of mostly rare words; every toxic one has one of three words that no clean one has."""
+    rng = np.random.default_rng(3)
+    vocabulary = ["".join(rng.choice(list("abcdefghijklmnopqrstuvwxyz"), 8)) for _ in range(6000)]
+    rows = [(k, " ".join(rng.choice(vocabulary, 40)) + (f" {['grobian', 'schuft', 'lump'][k % 3]}" if k < toxic else ""), int(k < toxic))
+            for k in range(clean + toxic)]
+    return spark.createDataFrame(rows, "doc_id long, text string, toxic int").cache()
+
+
+def test_capped_labels_keep_their_shares(spark):
+    table = rare_worded(spark)
+    got = labelled_rows(table, table, "toxic", rows=200).groupBy("label").agg(F.count("*").alias("n"), F.sum("weight").alias("w")).collect()
+    n, w = {r["label"]: r["n"] for r in got}, {r["label"]: r["w"] for r in got}
+    assert abs(w[1] / (w[0] + w[1]) - 200 / 1800) < 1e-9 and abs(w[0] + w[1] - n[0] - n[1]) < 1e-6
+    assert {r["weight"] for r in labelled_rows(table, table, "toxic").collect()} == {1.0}
+    flagged = {}
+    for rows in (200, 10_000):
+        model = toxicity.fit(table, labelled_rows(table, table, "toxic", rows=rows))
+        scores = table.select("toxic", toxicity.score_column(spark, model)("text").alias("score"))
+        flagged[rows] = {r["toxic"]: r["n"] for r in scores.where("score >= 0.7").groupBy("toxic").agg(F.count("*").alias("n")).collect()}
+    assert flagged[10_000].get(0, 0) <= 5 and flagged[200].get(0, 0) <= 5, flagged
+    assert flagged[200].get(1, 0) >= 0.9 * flagged[10_000][1] > 150

@@ -35,7 +35,9 @@ PREFIXES = (4, 5, 6)
 LONG = 40
 PRIOR_ROWS = 3.0          # labelled documents that the prior counts as
 ALPHABET_BITS = 7         # character classes of the language model: 128
-SKETCH = 4                # minima that copies among the learning rows are told by; at most 4
+SKETCH = 64               # minima that copies among the learning rows are told by
+BAND = 4                  # minima that must agree before two rows are compared
+COPY = 0.8                # share of the minima that copies have in common
 CHANNEL = 1.5             # nats that reading a character as another one costs
 MEMO_WORDS = 50_000       # words remembered by a worker; emptied when full
 
@@ -266,6 +268,10 @@ def fit_chars(docs: DataFrame, text_col: str = "text") -> CharModel:
     return CharModel.of(got["gram"].to_numpy(np.int64), got["n"].to_numpy(np.int64))
 
 
+#: Odd multipliers, one a minimum.
+_ODD = np.random.default_rng(6).integers(0, 2 ** 63, SKETCH, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
+
+
 def sketch(text: str | None, keys: int = SKETCH) -> list[int]:
     """Minima of ``keys`` hashes over the text's two-word shingles; equal
     sketches element by element are as likely as the shingles are shared."""
@@ -274,19 +280,26 @@ def sketch(text: str | None, keys: int = SKETCH) -> list[int]:
         return [xxhash.xxh32_intdigest(f"{k} {' '.join(words)}".encode("utf-8", "surrogatepass")) for k in range(keys)]
     h = np.fromiter((xxhash.xxh32_intdigest(f"{a} {b}".encode("utf-8", "surrogatepass")) for a, b in zip(words, words[1:])),
                     np.uint64, len(words) - 1)
-    odd = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93], np.uint64)[:keys]
-    return [int((h * m).min().view(np.int64)) for m in odd]
+    return [int((h * m).min().view(np.int64)) for m in _ODD[:keys]]
 
 
 def one_of_copies(rows: DataFrame) -> DataFrame:
-    """doc_id of one learning row of each group of copies: what stands beside a
-    toxic word in a thousand copies is then seen about once.  Rows that agree
-    in any of the sketch's minima with a row kept so far are left out."""
+    """``row`` of one learning row of each group of copies of one label: what
+    stands beside a toxic word in a thousand copies is then seen about once.
+    Rows that agree in a band of minima are compared with the first of them,
+    and left out if they share ``COPY`` of the whole sketch with it, an estimate
+    of the shingles' Jaccard similarity."""
     sketched = pandas_udf(lambda texts: pd.Series([sketch(t) for t in texts]), "array<long>")
-    left = rows.select("doc_id", sketched("text").alias("s"))
-    for k in range(SKETCH):
-        left = left.groupBy(F.col("s")[k]).agg(F.min(F.struct("doc_id", "s")).alias("r")).select("r.doc_id", "r.s")
-    return left.select("doc_id").distinct()
+    sketches = cut_lineage(rows.select("label", F.struct("doc_id", "row").alias("at"), sketched("text").alias("s")))
+    bands = sketches.select("label", "at", F.posexplode(F.array(
+        *[F.xxhash64(F.slice("s", k + 1, BAND)) for k in range(0, SKETCH, BAND)])).alias("band", "h"))
+    first = bands.groupBy("label", "band", "h").agg(F.min("at").alias("kept"), F.count("*").alias("n")).where("n > 1").drop("n")
+    met = bands.join(first, ["label", "band", "h"]).where(F.col("at") > F.col("kept")).select("at.row", "kept").distinct()
+    mine, other = (sketches.select(F.col("at.row").alias(row), F.col("s").alias(s)) for row, s in (("row", "s"), ("kept_row", "kept_s")))
+    alike = F.aggregate(F.zip_with("s", "kept_s", lambda a, b: (a == b).cast("int")), F.lit(0), lambda n, x: n + x)
+    copies = (met.select("row", F.col("kept.row").alias("kept_row")).join(mine, "row").join(other, "kept_row")
+              .where(alike >= COPY * SKETCH).select("row").distinct())
+    return mine.select("row").join(copies, "row", "left_anti")
 
 
 def fit(docs: DataFrame, labelled: DataFrame, text_col: str = "text", label_col: str = "label") -> Model:
@@ -319,9 +332,10 @@ def fit(docs: DataFrame, labelled: DataFrame, text_col: str = "text", label_col:
         yield pd.DataFrame({"label": [0, 1], "feature": ["", ""], "n": rows})     # counts the rows
 
     rows = cut_lineage(labelled.where(F.col(label_col).isin(0, 1))
-                       .select("doc_id", F.col(text_col).alias("text"), F.col(label_col).cast("int").alias("label"), "weight"))
+                       .select("doc_id", F.col(text_col).alias("text"), F.col(label_col).cast("int").alias("label"), "weight")
+                       .withColumn("row", F.monotonically_increasing_id()))
     weighs = {r["label"]: r["w"] for r in rows.groupBy("label").agg(F.max("weight").alias("w")).collect()}
-    rows = rows.join(F.broadcast(cut_lineage(one_of_copies(rows))), "doc_id")    # as bounded as the learning rows
+    rows = rows.join(F.broadcast(cut_lineage(one_of_copies(rows))), "row")       # as bounded as the learning rows
     rows = rows.select("doc_id", "text", "label")
     counted = cut_lineage(rows.mapInPandas(count, "label int, feature string, n long").groupBy("feature")
                           .agg(F.sum(F.when(F.col("label") == 1, F.col("n")).otherwise(0)).alias("toxic"), F.sum("n").alias("n")))

@@ -336,3 +336,14 @@ def test_capped_labels_keep_their_shares(spark):
         flagged[rows] = {r["toxic"]: r["n"] for r in scores.where("score >= 0.7").groupBy("toxic").agg(F.count("*").alias("n")).collect()}
     assert flagged[10_000].get(0, 0) <= 5 and flagged[200].get(0, 0) <= 5, flagged
     assert flagged[200].get(1, 0) >= 0.9 * flagged[10_000][1] > 150
+
+
+def test_only_copies_of_one_label_count_once(spark):
+    rng = np.random.default_rng(4)
+    rare = [[f"w{x}" for x in rng.integers(0, 10 ** 6, 120)] for _ in range(40)]
+    texts = [" ".join(["it is in the town"] * 3 + words) for words in rare]            # common shingles, other texts
+    near = " ".join([*texts[0].split()[:-3], "other", "last", "words"])
+    rows = [(k, k % 2, t) for k, t in enumerate(texts)] + [(40, 0, near), (41, 0, texts[0]), (42, 1, texts[0]), (43, 1, "one"), (44, 1, "one")]
+    table = spark.createDataFrame(rows, "row long, label int, text string")
+    kept = {r["row"] for r in toxicity.one_of_copies(table.withColumn("doc_id", F.col("row"))).collect()}
+    assert kept == {*range(40), 42, 43}

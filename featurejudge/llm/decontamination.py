@@ -2,11 +2,14 @@
 
 Numbers, units and names become typed placeholders, so a question with other
 values has the same template.  Every run of ``width`` template words is hashed;
-windows of documents are joined to windows of benchmark items by hash.  Matched
-windows on one diagonal (document position minus item position) are a candidate
-passage.  It counts if its slots agree: equal values of the item must stand
-against equal values in the document.  An item is found in a document if the
-passages that count cover enough of its windows.
+windows of documents are joined to windows of benchmark items by hash.  A match
+fixes a diagonal (document position minus item position), on which the whole
+item is compared with the document word by word: a candidate passage.  It counts
+if its slots agree: equal values of the item must stand against equal values in
+the document.  An item is found in a document if the passages that count cover
+enough of its windows.  Short items have shorter windows, so that one changed
+word leaves half of them; an item without a window to join by (under 8 words, or
+nearly nothing but placeholders) is found where all its words and values stand.
 
 Built from DataFrame functions only.
 """
@@ -16,11 +19,12 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from featurejudge.llm.common import SPACE_CLASS, cut_lineage, window_hashes
+from featurejudge.llm.common import SPACE_CLASS, cut_lineage, let, window_hashes
 
 WIDTH = 8                       # template words in a window; a power of two
 MIN_SHARE = 0.5                 # of an item's windows that must be matched
-MIN_LITERALS = 3                # words of an item's window that are no placeholder
+MIN_LITERALS = 3                # words that are no placeholder in an item's window that is joined by
+SHORT = ((11, 4), (8, 3))       # (item's words, window) of items under 3 * WIDTH - 1 words
 SIEVE = 1 << 16                 # residues of item hashes that are told apart before the join
 BROADCAST_BYTES = 32 << 20      # most bytes of item windows that are broadcast
 
@@ -61,30 +65,84 @@ def word_hashes(words: Column) -> Column:
     return F.transform(words, lambda w: F.xxhash64(F.when(is_slot(w), F.substring(w, 1, 1)).otherwise(w)))
 
 
-def hashed(table: DataFrame, id_col: str, text_col: str, width: int) -> DataFrame:
-    """(id, words, hashes): template words and window hashes of whole texts."""
+def value(word: Column) -> Column:
+    """The word without the mark of a placeholder."""
+    return F.when(is_slot(word), F.substring(word, 2, 1 << 30)).otherwise(word)
+
+
+def runs(hashes: Column, width: int) -> Column:
+    """Hash of every run of ``width`` elements, any width: of the two runs of a
+    power of two that cover it."""
+    half = 1 << (width.bit_length() - 1)
+    if half == width:
+        return window_hashes(hashes, width)
+
+    def both(h):
+        n = F.greatest(F.size(h) - (width - half), F.lit(0))
+        return F.zip_with(F.slice(h, F.lit(1), n), F.slice(h, F.lit(width - half + 1), n), lambda a, b: F.xxhash64(a, b))
+    return let(window_hashes(hashes, half), both)
+
+
+def value_hashes(words: Column) -> Column:
+    return F.transform(words, lambda w: F.xxhash64(value(w)))
+
+
+def hashed(table: DataFrame, id_col: str, text_col: str, kinds: list[tuple[bool, int]]) -> DataFrame:
+    """(id, words, hashes): template words of whole texts, and the hashes of their
+    runs, one kind (by value or not, width) behind the other."""
+    def all_runs(by_value):
+        widths = [w for exact, w in kinds if exact == by_value]
+        hashes = value_hashes(F.col("words")) if by_value else word_hashes(F.col("words"))
+        return [let(hashes, lambda h: F.concat(*[runs(h, w) for w in widths]))] if widths else []
+    parts = all_runs(False) + all_runs(True)
     return (table.select(F.col(id_col).alias("id"), template(F.col(text_col)).alias("words"))
-            .select("id", "words", window_hashes(word_hashes(F.col("words")), width).alias("hashes")))
-
-
-def item_windows(benchmark: DataFrame, id_col: str = "item_id", text_col: str = "text", width: int = WIDTH,
-                 min_literals: int = MIN_LITERALS) -> DataFrame:
-    """(item_id, item_pos, item_count, h, item_words) of all items.  The first
-    word of an item may be read as a name inside a document, so the first
-    window is also hashed that way."""
-    rows = hashed(benchmark, id_col, text_col, width)
-    rows = rows.select("id", "words", F.size("hashes").alias("n_windows"), F.posexplode_outer("hashes").alias("pos", "h"))
-    rows = rows.where("h IS NOT NULL")
-    rows = rows.withColumn("words", F.slice("words", F.col("pos") + 1, F.lit(width)))
-    first = F.get("words", F.lit(0))
-    as_name = (rows.where((F.col("pos") == 0) & ~is_slot(first))
-               .withColumn("words", F.concat(F.array(F.concat(F.lit(NAME), first)), F.slice("words", 2, width)))
-               .withColumn("h", F.get(window_hashes(word_hashes(F.col("words")), width), F.lit(0))))
-    return (rows.unionByName(as_name)
-            .where(F.size(F.filter("words", lambda w: ~is_slot(w))) >= min_literals)
-            .select(F.col("id").alias("item_id"), F.col("pos").alias("item_pos"), "h", F.col("words").alias("item_words"),
-                    F.col("n_windows").alias("item_count"))
-            .where("item_id IS NOT NULL").distinct())
+            .select("id", "words", (F.concat(*parts) if parts else F.array().cast("array<long>")).alias("hashes")))
+
+
+def item_table(benchmark: DataFrame, id_col: str = "item_id", text_col: str = "text", width: int = WIDTH) -> DataFrame:
+    """(item, item_id, item_words, w), one row an item with an id and a word."""
+    rows = benchmark.select(F.col(id_col).alias("item_id"), template(F.col(text_col)).alias("item_words"))
+    n, w = F.size("item_words"), F.lit(width)
+    for least, short in reversed(SHORT):
+        if short < width:
+            w = F.when((n >= least) & (n < 3 * width - 1), short).otherwise(w)
+    return (rows.where((n > 0) & F.col("item_id").isNotNull()).distinct()
+            .withColumn("w", w).withColumn("item", F.monotonically_increasing_id()))
+
+
+def item_windows(items: DataFrame, width: int = WIDTH, min_literals: int = MIN_LITERALS) -> DataFrame:
+    """(item, by_value, size, item_pos, h, prev): windows by which items are
+    joined, of ``width`` and of the item's own width, without those of few
+    plain words.  ``prev`` is the hash of the window before, if it is one too.
+    The first word of an item may be read as a name inside a document, so the
+    first window is also hashed that way."""
+    def rich(words):
+        return F.size(F.filter(words, lambda x: ~is_slot(x))) >= min_literals
+    parts = []
+    for size in sorted({width, *(short for _, short in SHORT if short < width)}):
+        rows = items.where((F.size("item_words") >= size) & (F.lit(size == width) | (F.col("w") == size)))
+        rows = rows.select("item", "item_words", runs(word_hashes(F.col("item_words")), size).alias("hs"))
+        rows = rows.select("item", "item_words", "hs", F.posexplode("hs").alias("item_pos", "h"))
+        rows = rows.withColumn("words", F.slice("item_words", F.col("item_pos") + 1, F.lit(size)))
+        before = F.slice("item_words", F.greatest(F.col("item_pos"), F.lit(1)), F.lit(size))
+        rows = rows.withColumn("prev", F.when((F.col("item_pos") > 1) & rich(before), F.get("hs", F.col("item_pos") - 1)))
+        first = F.get("words", F.lit(0))
+        as_name = (rows.where((F.col("item_pos") == 0) & ~is_slot(first))
+                   .withColumn("words", F.concat(F.array(F.concat(F.lit(NAME), first)), F.slice("words", 2, size)))
+                   .withColumn("h", F.get(runs(word_hashes(F.col("words")), size), F.lit(0))))
+        parts.append(rows.unionByName(as_name).where(rich(F.col("words")))
+                     .select("item", F.lit(False).alias("by_value"), F.lit(size).alias("size"), "item_pos", "h", "prev"))
+    windows = parts[0]
+    for part in parts[1:]:
+        windows = windows.unionByName(part)
+    windows = cut_lineage(windows)
+    bare = items.join(windows.select("item").distinct(), "item", "left_anti")
+    for size in range(1, width + 1):          # by the values of their first words
+        rows = bare.where(F.least(F.size("item_words"), F.lit(width)) == size)
+        windows = windows.unionByName(rows.select(
+            "item", F.lit(True).alias("by_value"), F.lit(size).alias("size"), F.lit(0).alias("item_pos"),
+            F.get(runs(value_hashes(F.col("item_words")), size), F.lit(0)).alias("h"), F.lit(None).cast("long").alias("prev")))
+    return windows
 
 
 def leaks(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text",
@@ -95,51 +153,79 @@ def leaks(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_co
 
     ``share`` is the part of the item's windows that the document matches,
     ``n_slots`` the item's values in them and ``n_changed`` how many of these
-    have another value in the document.  Items and documents with fewer than
-    ``width`` template words have no window and match nothing; so do null
-    texts.  Items without an id are left out; documents without an id are
-    reported together under a null id.  Repeated rows count once; other columns
-    are never read; an empty side gives an empty result.
-
-    Item windows are broadcast if they hold at most ``broadcast_bytes``;
-    otherwise the same join is made by a shuffle."""
-    items = cut_lineage(item_windows(benchmark, width=width, min_literals=min_literals))
-    held = items.agg(F.sum(F.octet_length(F.array_join("item_words", " ")) + 64).alias("b")).first()["b"] or 0
+    have another value in the document.  An item without a window to join by
+    counts as one window, matched by equal words and values.  Null and wordless
+    texts match nothing.  Items without an id are left out; documents without
+    an id are reported together under a null id.  Repeated rows count once;
+    other columns are never read; an empty side gives an empty result.
+
+    Items are broadcast if they hold at most ``broadcast_bytes``; otherwise the
+    same joins are made by shuffles."""
+    items = cut_lineage(item_table(benchmark, width=width))
+    windows = cut_lineage(item_windows(items, width, min_literals))
+    kinds = sorted((r["by_value"], r["size"]) for r in windows.select("by_value", "size").distinct().collect())
+    bare = windows.where("by_value").select("item").distinct().withColumn("exact", F.lit(True))
+    items = cut_lineage(items.join(bare, "item", "left").select(
+        "item", "item_id", "item_words", F.coalesce("exact", F.lit(False)).alias("exact"),
+        F.when(F.col("exact"), F.size("item_words")).otherwise(F.col("w")).alias("w")))
+    held = ((items.agg(F.sum(F.octet_length(F.array_join("item_words", " ")) + 64).alias("b")).first()["b"] or 0)
+            + 64 * windows.count())
     # windows whose last bits no item has are dropped before they become rows
     bits = bytearray(SIEVE)
-    for r in items.select(F.col("h").bitwiseAND(F.lit(SIEVE - 1)).cast("int").alias("bit")).distinct().collect():
+    for r in windows.select(F.col("h").bitwiseAND(F.lit(SIEVE - 1)).cast("int").alias("bit")).distinct().collect():
         bits[r["bit"]] = 1
     sieve = F.lit(bytes(bits))
-    own = (hashed(docs, id_col, text_col, width)
-           .withColumn("hit", F.array_distinct(F.filter("hashes", lambda h: F.substring(
-               sieve, h.bitwiseAND(F.lit(SIEVE - 1)).cast("int") + 1, F.lit(1)) == F.lit(b"\x01"))))
-           # explode_outer: for explode, Spark infers a filter that would evaluate the template once more
-           .select("id", "words", "hashes", F.explode_outer("hit").alias("h")).where("h IS NOT NULL"))
-
-    def spots(rows):
-        at = F.filter(F.sequence(F.lit(0), F.size("hashes") - 1), lambda k: F.get("hashes", k) == F.col("h"))
-        return rows.withColumn("spots", F.transform(at, lambda k: F.struct(k.alias("pos"), F.slice("words", k + 1, width).alias("near"))))
+    texts = hashed(docs, id_col, text_col, kinds)
+    if held > broadcast_bytes:
+        texts = cut_lineage(texts.withColumn("row", F.monotonically_increasing_id()))
+    hits = F.array_distinct(F.filter("hashes", lambda h: F.substring(
+        sieve, h.bitwiseAND(F.lit(SIEVE - 1)).cast("int") + 1, F.lit(1)) == F.lit(b"\x01")))
+    # explode_outer: for explode, Spark infers a filter that would evaluate the template once more
+    own = texts.withColumn("hit", hits).select(*texts.columns, F.explode_outer("hit").alias("h")).where("h IS NOT NULL")
+    # where the runs of a kind begin among a document's hashes
+    begin, starts = F.lit(0), F.lit(0)
+    for exact, size in kinds:
+        starts = F.when((F.col("by_value") == exact) & (F.col("size") == size), begin).otherwise(starts)
+        begin = begin + F.greatest(F.col("n") - size + 1, F.lit(0))
+    at = F.filter(F.sequence(F.lit(0), F.size("hashes") - 1), lambda k: F.get("hashes", k) == F.col("h"))
+    # of consecutive matches on a diagonal the first is enough
     if held <= broadcast_bytes:
-        met = spots(own.join(F.broadcast(items), "h"))
+        met = own.join(F.broadcast(windows), "h").withColumn("n", F.size("words"))
+        fresh = F.filter(at, lambda k: ~F.coalesce(F.get("hashes", k - 1) == F.col("prev"), F.lit(False)))
+        met = met.select("id", "words", "item", F.explode(F.transform(fresh, lambda k: k - starts - F.col("item_pos"))).alias("start"))
+        met = met.join(F.broadcast(items), "item")
     else:
-        met = spots(own).select("id", "h", "spots").join(items, "h")
-    met = met.select("id", "item_id", "item_count", "item_pos", "item_words", F.inline_outer("spots"))
-    pairs = F.zip_with("item_words", "near", lambda a, b: F.struct(a.alias("item"), b.alias("doc")))
-    met = met.select(F.col("id").alias("doc_id"), "item_id", "item_count", "item_pos",
-                     (F.col("pos") - F.col("item_pos")).alias("diagonal"),
-                     F.filter(pairs, lambda p: is_slot(p["item"]) & is_slot(p["doc"])).alias("slots"))
-    # an item has a bounded number of positions and slots, and so has a group
-    passages = (met.groupBy("doc_id", "item_id", "item_count", "diagonal")
-                .agg(F.collect_set("item_pos").alias("at"), F.array_distinct(F.flatten(F.collect_set("slots"))).alias("slots"))
+        met = own.select("row", "h", F.size("words").alias("n"), F.explode(F.transform(
+            at, lambda k: F.struct(k.alias("k"), F.get("hashes", k - 1).alias("behind")))).alias("spot")).join(windows, "h")
+        met = (met.where(~F.coalesce(F.col("spot.behind") == F.col("prev"), F.lit(False)))
+               .select("row", "item", (F.col("spot.k") - starts - F.col("item_pos")).alias("start")).distinct())
+        met = met.join(texts.select("row", "id", "words"), "row").join(items, "item")
+    span = F.transform("item_words", lambda x, j: F.get("words", F.col("start") + j))
+    met = met.select(F.col("id").alias("doc_id"), "item", "item_id", "start", "exact", "w",
+                     F.zip_with("item_words", span, lambda a, b: F.struct(a.alias("item"), b.alias("doc"))).alias("pairs"))
+
+    def mark(word):
+        return F.when(is_slot(word), F.substring(word, 1, 1)).otherwise(word)
+    same = F.transform("pairs", lambda p: F.coalesce(
+        (value(p["item"]) == value(p["doc"])) | (~F.col("exact") & (mark(p["item"]) == mark(p["doc"]))), F.lit(False)))
+    met = met.distinct().withColumn("same", same).withColumn("item_count", F.size("pairs") - F.col("w") + 1)
+    met = met.withColumn("at", F.filter(F.sequence(F.lit(0), F.col("item_count") - 1),
+                                        lambda i: F.forall(F.slice("same", i + 1, F.col("w")), lambda x: x)))
+    slots = F.array_distinct(F.filter(F.flatten(F.transform("at", lambda i: F.slice("pairs", i + 1, F.col("w")))),
+                                      lambda p: is_slot(p["item"]) & is_slot(p["doc"])))
+    passages = (met.where(F.size("at") > 0).withColumn("slots", slots)
                 .where(F.size("slots") == F.size(F.array_distinct(F.transform("slots", lambda p: p["item"])))))
-    return (passages.groupBy("doc_id", "item_id", "item_count")
-            .agg(F.size(F.array_distinct(F.flatten(F.collect_set("at")))).cast("long").alias("n_windows"),
-                 F.array_distinct(F.flatten(F.collect_set("slots"))).alias("slots"))
-            .withColumn("share", F.round(F.col("n_windows") / F.col("item_count"), 6))
-            .where(F.col("share") >= min_share)
-            .select("doc_id", "item_id", "n_windows", F.col("item_count").cast("long").alias("item_windows"), "share",
-                    F.size("slots").cast("long").alias("n_slots"),
-                    F.size(F.filter("slots", lambda p: p["item"] != p["doc"])).cast("long").alias("n_changed")))
+    found = (passages.groupBy("doc_id", "item", "item_id", "item_count")
+             .agg(F.size(F.array_distinct(F.flatten(F.collect_set("at")))).cast("long").alias("n_windows"),
+                  F.array_distinct(F.flatten(F.collect_set("slots"))).alias("slots"))
+             .withColumn("share", F.round(F.col("n_windows") / F.col("item_count"), 6))
+             .where(F.col("share") >= min_share)
+             .select("doc_id", "item_id", F.struct(
+                 "share", "n_windows", F.col("item_count").cast("long").alias("item_windows"),
+                 F.size("slots").cast("long").alias("n_slots"),
+                 F.size(F.filter("slots", lambda p: p["item"] != p["doc"])).cast("long").alias("n_changed")).alias("best")))
+    return (found.groupBy("doc_id", "item_id").agg(F.max("best").alias("best"))     # texts that share an id
+            .select("doc_id", "item_id", "best.n_windows", "best.item_windows", "best.share", "best.n_slots", "best.n_changed"))
 
 
 def decontaminate(docs: DataFrame, benchmark: DataFrame, **params) -> DataFrame:

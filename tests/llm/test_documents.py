@@ -347,3 +347,18 @@ def test_only_copies_of_one_label_count_once(spark):
     table = spark.createDataFrame(rows, "row long, label int, text string")
     kept = {r["row"] for r in toxicity.one_of_copies(table.withColumn("doc_id", F.col("row"))).collect()}
     assert kept == {*range(40), 42, 43}
+
+
+def test_slot_heavy_short_and_edited_items(spark):
+    heavy = "Compute 3, 5, 8, 13, 21, 34, 55, 89, 144, 233 and give the sum of the list"
+    edited = "the old miller walked along a narrow path beside green water until evening came down"
+    bench = spark.createDataFrame([(1, heavy), (2, "Name the capital of Peru"), (3, edited), (4, "1 2 3 4 5 6 7 8 9 10")],
+                                  "item_id long, text string")
+    docs = spark.createDataFrame([
+        (1, f"Homework: {heavy}."), (2, "He said, Name the capital of Peru today"), (3, "Name the capital of Chile"),
+        (4, "so " + edited.replace("path", "road") + " again"), (5, "x 1 2 3 4 5 6 7 8 9 10 y"), (6, "x 1 2 3 4 5 6 7 8 9 11 y"),
+        (7, "the next 7, 9 and give the sum of the list")], "doc_id long, text string")
+    for limit in (0, 1 << 20):
+        got = decontamination.leaks(docs, bench, broadcast_bytes=limit).collect()
+        assert {(r["doc_id"], r["item_id"]) for r in got} == {(1, 1), (2, 2), (4, 3), (5, 4)}
+        assert [r["share"] for r in got if r["doc_id"] == 1] == [1.0]

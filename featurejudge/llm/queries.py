@@ -7,8 +7,10 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from featurejudge.llm import (decontamination, extraction, language, mixing, quality_classifier, quality_rules, simhash, toxicity,
-                             url_filter, warc)
+import public_tokenizers
+
+from featurejudge.llm import (decontamination, extraction, language, mixing, quality_classifier, quality_rules, simhash, tokens,
+                             toxicity, url_filter, warc)
 from featurejudge.llm.common import held_out, load
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -80,4 +82,13 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(load(spark, sf_dir, "documents", "doc_id", "text", "source"))
 
 
+@query
+def op11_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    model = tokens.read_model(public_tokenizers.path("piece_bpe_32k.model"))
+    return (tokens.encode(load(spark, sf_dir, "documents", "doc_id", "text"), model)
+            .select("doc_id", F.size("ids").cast("long").alias("n_tokens"),
+                    F.sha2(F.array_join(F.col("ids").cast("array<string>"), ","), 256).alias("ids_sha256"),
+                    F.sha2(tokens.decode(F.col("ids"), model), 256).alias("decoded_sha256")))
+
+
 ORACLE.update(op1_warc=warc.ORACLE, op7_quality_rules=quality_rules.ORACLE)

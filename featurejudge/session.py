@@ -11,6 +11,7 @@ import tempfile
 import uuid
 from collections.abc import Iterator
 from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -65,27 +66,39 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return local
 
 
-_written: list[str] = []      # folders that cut_lineage has written and nobody has removed
+#: Folders of the innermost ``scratch_tables`` block of this thread or task; None outside any block.
+_scratch: ContextVar[list[str] | None] = ContextVar("scratch", default=None)
 
 
 @contextmanager
 def scratch_tables(spark: SparkSession) -> Iterator[None]:
-    """Tables that ``cut_lineage`` writes inside the block are removed at its
-    end, so write or collect a query's result inside it::
+    """Folders that ``scratch_folder`` and ``cut_lineage`` hand out inside the
+    block are removed at its end, so write or collect a query's result inside it::
 
         with scratch_tables(spark):
             query(spark, sf_dir).write.parquet(target)
 
-    The folders may be in any store that Spark writes."""
-    start = len(_written)
+    The folders may be in any store that Spark writes.  Blocks of other threads
+    have folders of their own."""
+    mine: list[str] = []
+    token = _scratch.set(mine)
     try:
         yield
     finally:
+        _scratch.reset(token)
         conf = spark.sparkContext._jsc.hadoopConfiguration()
-        for path in _written[start:]:
+        for path in mine:
             folder = spark._jvm.org.apache.hadoop.fs.Path(path)
             folder.getFileSystem(conf).delete(folder, True)
-        del _written[start:]
+
+
+def scratch_folder(spark: SparkSession, kind: str = "tables") -> str:
+    """Name of a fresh folder under the session's (shared) checkpoint folder;
+    it stays until a ``scratch_tables`` block around the call ends."""
+    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/{kind}/{uuid.uuid4().hex}"
+    if (mine := _scratch.get()) is not None:
+        mine.append(path)
+    return path
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:
@@ -98,8 +111,6 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     gets column pruning and filter pushdown.  Never a local checkpoint.  The
     folder stays until a ``scratch_tables`` block around the call ends."""
     spark = df.sparkSession
-    root = ensure_checkpoint_dir(spark).rstrip("/")
-    path = f"{root}/tables/{uuid.uuid4().hex}"
-    _written.append(path)
+    path = scratch_folder(spark)
     df.write.mode("error").parquet(path)
     return spark.read.parquet(path)

@@ -9,8 +9,8 @@ from pyspark.sql import functions as F
 
 import public_tokenizers
 
-from featurejudge.llm import (decontamination, extraction, language, mixing, quality_classifier, quality_rules, simhash, tokens,
-                             toxicity, url_filter, warc)
+from featurejudge.llm import (collocations, decontamination, extraction, language, mixing, quality_classifier, quality_rules, simhash,
+                             tokens, toxicity, url_filter, warc, whitening)
 from featurejudge.llm.common import held_out, load
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -91,4 +91,15 @@ def op11_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
                     F.sha2(tokens.decode(F.col("ids"), model), 256).alias("decoded_sha256")))
 
 
+@query
+def op12_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whiten(load(spark, sf_dir, "embeddings", "vec_id", "embedding"))
+
+
+@query
+def op13_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.phrases(load(spark, sf_dir, "documents", "text", "lang"))
+
+
+ORACLE.update(op13_collocations=collocations.ORACLE)
 ORACLE.update(op1_warc=warc.ORACLE, op7_quality_rules=quality_rules.ORACLE)

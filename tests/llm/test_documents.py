@@ -213,20 +213,64 @@ def test_base_rules_by_hand(spark, documents):
         assert r["base_failed"] == (mine[0] < 20 or 100 * mine[4] > 30 * mine[0])
 
 
+def lines_by_hand(rows, max_docs, max_docs_long, max_share):
+    """Words removed from each (doc_id, source, text)."""
+    norm = lambda line: " ".join(re.findall(r"[^\x20\x09-\x0D]+", line.lower()))
+    texts, held = collections.defaultdict(set), collections.defaultdict(set)
+    for _, source, text in rows:
+        texts[source].add(text)
+        for line in (text or "").split("\n"):
+            held[source, norm(line)].add(text)
+    out = collections.defaultdict(list)
+    for doc_id, source, text in rows:
+        gone = 0
+        for line in map(norm, (text or "").split("\n")):
+            n, words = len(held[source, line]), len(line.split())
+            if n > 1 and (n > (max_docs_long if words >= quality_rules.LONG_LINE else max_docs) or n > max_share * len(texts[source])):
+                gone += words
+        out[doc_id].append(gone)
+    return {k: sorted(v) for k, v in out.items()}
+
+
 def test_common_lines_deplete(spark, odd_docs):
     own = [" ".join(f"w{k}x{j}" for j in range(30)) for k in range(40)]
     menu = " ".join(f"Menu{j}" for j in range(30))
     rows = [(k, "a", f"{own[k]}\n{menu.upper()}") for k in range(20)] + [(100 + k, "a", f"{menu}\nx{k} y\n{menu}  ") for k in range(5)] \
-        + [(200 + k, "b", f"{menu}\n{own[k]}") for k in range(10)] + [(0, "a", f"{own[0]}\n{menu.upper()}")]
+        + [(200 + k, "b", f"{menu}\n{own[k]}") for k in range(10)] + [(0, "a", f"{own[0]}\n{menu.upper()}")] \
+        + [(300 + k, "c", f"{menu}\n{own[0]}") for k in range(30)] + [(400, "c", own[1])]
     table = spark.createDataFrame(rows, "doc_id long, source string, text string")
-    got = {r["doc_id"]: r for r in quality_rules.judge(table, min_docs=20).collect()}
+    got = {r["doc_id"]: r for r in quality_rules.judge(table).collect()}
     assert all(got[k]["n_removed"] == 30 and got[k]["kept"] for k in range(20))
     assert all(got[100 + k]["n_removed"] == 60 and not got[100 + k]["kept"] for k in range(5))
-    assert all(got[200 + k]["n_removed"] == 0 and got[200 + k]["kept"] for k in range(10))     # counted per host
+    assert all(got[200 + k]["n_removed"] == 30 and got[200 + k]["kept"] for k in range(10))
+    assert all(got[300 + k]["n_removed"] == 0 and got[300 + k]["kept"] for k in range(30))     # exact copies are one document
     odd = quality_rules.judge(odd_docs)
     assert odd.count() == odd_docs.count() and quality_rules.judge(odd_docs.where("false")).count() == 0
 
 
+def test_limits_do_not_grow_with_a_hot_host(spark):
+    """A banner in 1 % of a large host goes, in any host; so does a short line
+    in 11 documents, or in over 5 % of a small host."""
+    banner, short = " ".join(f"b{j}" for j in range(60)), "read on here"
+    rows = [(k, "hot", f"text {k}" + (f"\n{banner}" if k % 100 == 0 else "") + (f"\n{short}" if k % 300 == 1 else "")) for k in range(2_000)]
+    rows += [(3_000 + k, "small", f"word {k}" + (f"\n{short}" if k < 3 else "")) for k in range(50)]
+    rows += [(4_000 + k, "small", f"word {k + 50}\nrare line") for k in range(2)]
+    table = spark.createDataFrame(rows, "doc_id long, source string, text string")
+    got = {r["doc_id"]: r["n_removed"] for r in quality_rules.judge(table).collect()}
+    want = lines_by_hand(rows, quality_rules.MAX_DOCS, quality_rules.MAX_DOCS_LONG, quality_rules.MAX_SHARE)
+    assert got == {k: v[0] for k, v in want.items()}
+    assert got[0] == 60 and got[1] == 0 and got[3_000] == 3 and got[4_000] == 0
+
+
+def test_some_documents_are_depleted(spark, documents):
+    got = queries.QUERIES["op7_quality_rules"](spark, SF).toPandas().set_index("doc_id")
+    want = lines_by_hand([(r.doc_id, r.source, r.text) for r in documents.itertuples()], quality_rules.MAX_DOCS, quality_rules.MAX_DOCS_LONG,
+                         quality_rules.MAX_SHARE)
+    assert got["n_removed"].to_dict() == {k: v[0] for k, v in want.items()}
+    depleted = ~got["base_failed"] & ~got["kept"]
+    assert depleted.any() and (got["n_words"] - got["n_removed"])[depleted].lt(quality_rules.MIN_LEFT * got["n_words"][depleted]).all()
+
+
 def test_quality_held_out(spark):
     labels = load(spark, SF, "labels").toPandas()
     got = queries.QUERIES["op9_quality_classifier"](spark, SF).toPandas().merge(labels, on="doc_id")

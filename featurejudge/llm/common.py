@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from featurejudge.session import cut_lineage, ensure_checkpoint_dir  # noqa: F401
+from featurejudge.session import cut_lineage, scratch_folder  # noqa: F401
 
 #: Java/Spark character class of the six ASCII white-space characters.
 SPACE_CLASS = r"[\x20\x09-\x0D]"

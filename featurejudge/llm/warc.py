@@ -1,17 +1,18 @@
 """WARC archives in Zstandard, with a dictionary in the leading frame (operator 1).
 
-Writing: each task trains a dictionary on its first records, then emits one
-binary value a frame: the dictionary in a skippable frame, and one Zstandard
-frame a record.  Spark's text writer puts the values into files, parted by an
-empty skippable frame, which every decoder ignores; its commit protocol keeps a
-retried or speculative task from leaving half an archive, and any file system
-that Spark writes to will do.
+Writing: a task trains a dictionary on an archive's first records and emits one
+binary value an archive of about ``ROLL_BYTES``: the dictionary in a skippable
+frame, and one Zstandard frame a record.  Spark's text writer puts each value
+into a file of its own, ended by an empty skippable frame, which every decoder
+ignores; its commit protocol keeps a retried or speculative task from leaving
+half an archive, and any file system that Spark writes to will do.
 
 Reading: archives come as (path, content) from the binary source.  A task loads
-the dictionary of the leading frame, decodes frame after frame, and checks the
-version line, the mandatory headers, the lengths and the digests of each record.
-An archive must fit Spark's limit for one binary value (2 GB); those written
-here are as large as one partition.
+the dictionary of the leading frame, walks the block headers to the end of each
+frame, decodes it, and checks the version line, the mandatory headers, the
+lengths and the digests of each record.  The time is linear in the archive, and
+a record that decodes to more than the limit is reported without being held.
+An archive must fit Spark's limit for one binary value (2 GB).
 """
 
 from __future__ import annotations
@@ -28,7 +29,7 @@ import zstandard
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from featurejudge.llm.common import cut_lineage, ensure_checkpoint_dir
+from featurejudge.llm.common import cut_lineage, scratch_folder
 
 #: Fixed values of the formats.
 DICT_MAGIC = 0x184D2A5D
@@ -43,7 +44,8 @@ DICT_BYTES = 16 << 10
 DICT_RECORDS = 400         # records a task trains its dictionary on, at most
 DICT_SAMPLE = 2 << 20      # and bytes
 LEVEL = 3
-MAX_RECORD = 1 << 31       # decoded bytes of one record
+MAX_RECORD = 1 << 30       # decoded bytes of one record; longer ones are reported, not decoded
+ROLL_BYTES = 32 << 20      # an archive is closed when it has so many bytes
 DATE = datetime(2000, 1, 1, tzinfo=timezone.utc).strftime("%Y-%m-%dT%H:%M:%SZ")    # same input, same archive
 
 READ_SCHEMA = ("path string, offset long, record_type string, record_id string, target_uri string, page_id long, refers_to long, "
@@ -80,10 +82,10 @@ def record(kind: str, page_id: int | None, uri: str | None, payload: bytes, dige
     return VERSION + b"\r\n" + lines + b"\r\n" + block + b"\r\n\r\n"
 
 
-def frames(records: Iterator[bytes]) -> Iterator[bytes]:
+def frames(records: Iterator[bytes], roll: int | None = None) -> Iterator[bytes]:
     """The leading dictionary frame (left out if the first records cannot train
-    one), then one frame a record.  Holds ``DICT_SAMPLE`` bytes at most, and
-    one record."""
+    one), then one frame a record; after ``roll`` bytes no further record is
+    taken.  Holds ``DICT_SAMPLE`` bytes at most, and one record."""
     first, size = [], 0
     for r in records:
         first.append(r)
@@ -99,11 +101,19 @@ def frames(records: Iterator[bytes]) -> Iterator[bytes]:
         data = trained.as_bytes()
         yield struct.pack("<II", DICT_MAGIC, len(data)) + data
         compressor = zstandard.ZstdCompressor(level=LEVEL, dict_data=trained, write_checksum=True, write_content_size=True)
+    done = 0
     for r in first:
-        yield compressor.compress(r)
+        frame = compressor.compress(r)
+        done += len(frame)
+        yield frame
     first.clear()
-    for r in records:
-        yield compressor.compress(r)
+    while roll is None or done < roll:
+        r = next(records, None)
+        if r is None:
+            return
+        frame = compressor.compress(r)
+        done += len(frame)
+        yield frame
 
 
 def parse(data: bytes) -> dict:
@@ -151,10 +161,53 @@ def parse(data: bytes) -> dict:
     return out
 
 
-def read_archive(content: bytes) -> Iterator[dict]:
+def frame_end(view: memoryview, at: int) -> int:
+    """Where the Zstandard frame at ``at`` ends, by its block headers; EOFError
+    if that is beyond the archive."""
+    head = bytes(view[at:at + 18])
+    try:
+        end, checksum = at + zstandard.frame_header_size(head), zstandard.get_frame_parameters(head).has_checksum
+    except zstandard.ZstdError as e:
+        if len(head) < 18 and head[:4] == struct.pack("<I", FRAME_MAGIC):
+            raise EOFError("archive ends inside a frame") from e
+        raise
+    last = False
+    while not last:
+        if end + 3 > len(view):
+            raise EOFError("archive ends inside a frame")
+        block = int.from_bytes(view[end:end + 3], "little")
+        last, kind = bool(block & 1), block >> 1 & 3
+        if kind == 3:
+            raise zstandard.ZstdError("reserved block type")
+        end += 3 + (1 if kind == 1 else block >> 3)
+    end += 4 if checksum else 0
+    if end > len(view):
+        raise EOFError("archive ends inside a frame")
+    return end
+
+
+def decode_frame(decoder: zstandard.ZstdDecompressor, frame: memoryview, limit: int) -> bytes:
+    """Content of one frame; ValueError as soon as it is longer than ``limit``."""
+    size = zstandard.frame_content_size(bytes(frame[:18]))
+    if size > limit:
+        raise ValueError(f"longer than {limit} bytes")
+    if size >= 0:
+        return decoder.decompress(frame)
+    parts, held = [], 0
+    with decoder.stream_reader(frame) as reader:
+        while part := reader.read(1 << 18):
+            parts.append(part)
+            held += len(part)
+            if held > limit:
+                raise ValueError(f"longer than {limit} bytes")
+    return b"".join(parts)
+
+
+def read_archive(content: bytes, max_record: int = MAX_RECORD) -> Iterator[dict]:
     """Records of one archive with their offset; what cannot be read comes as a
     row with ``error``.  A frame that is cut off or not Zstandard ends the
-    archive, a bad record inside a good frame does not."""
+    archive; a bad record inside a good frame, or one that decodes to more than
+    ``max_record`` bytes, does not."""
     view, at, decoder = memoryview(content), 0, zstandard.ZstdDecompressor()
     while at < len(view):
         try:
@@ -167,23 +220,23 @@ def read_archive(content: bytes) -> Iterator[dict]:
                 if magic == DICT_MAGIC and at == 0:
                     data = bytes(view[8:8 + size])
                     if data[:4] == struct.pack("<I", FRAME_MAGIC):      # the dictionary may itself be compressed
-                        data = zstandard.ZstdDecompressor().decompress(data, max_output_size=MAX_RECORD)
+                        try:
+                            data = decode_frame(zstandard.ZstdDecompressor(), memoryview(data), max_record)
+                        except ValueError as e:
+                            raise EOFError(f"dictionary {e}") from e
                     decoder = zstandard.ZstdDecompressor(dict_data=zstandard.ZstdCompressionDict(data))
                 at += 8 + size
                 continue
-            frame = decoder.decompressobj()
-            data = frame.decompress(view[at:])
-            if not frame.eof:
-                raise EOFError("archive ends inside a frame")
-            used = len(view) - at - len(frame.unused_data)
+            end = frame_end(view, at)
+            try:
+                row = {"offset": at, "error": None, **parse(decode_frame(decoder, view[at:end], max_record))}
+            except ValueError as e:
+                row = {"offset": at, "error": f"record: {e}"}
         except (EOFError, zstandard.ZstdError) as e:
             yield {"offset": at, "error": f"frame: {e}"}
             return
-        try:
-            yield {"offset": at, "error": None, **parse(data)}
-        except ValueError as e:
-            yield {"offset": at, "error": f"record: {e}"}
-        at += used
+        yield row
+        at = end
 
 
 def plan_records(pages: DataFrame, min_bytes: int = 0) -> DataFrame:
@@ -205,7 +258,7 @@ def plan_records(pages: DataFrame, min_bytes: int = 0) -> DataFrame:
 
 
 def write_archives(planned: DataFrame, path: str) -> None:
-    """One archive a partition under ``path`` (any file system Spark writes to)."""
+    """Archives of about ``ROLL_BYTES`` under ``path`` (any file system Spark writes to)."""
     def emit(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         def records():
             for pdf in batches:
@@ -213,27 +266,22 @@ def write_archives(planned: DataFrame, path: str) -> None:
                                                                 ("page", "url", "payload", "digest", "refers"))):
                     yield record("revisit" if refers is not None else "response", None if page is None else int(page), url,
                                  bytes(payload), digest, None if refers is None else int(refers))
-        batch, size = [], 0
-        for frame in frames(records()):
-            batch.append(frame)
-            size += len(frame)
-            if size > 4 << 20:
-                yield pd.DataFrame({"value": batch})
-                batch, size = [], 0
-        if batch:
-            yield pd.DataFrame({"value": batch})
+        rest = records()
+        while parts := list(frames(rest, ROLL_BYTES)):
+            yield pd.DataFrame({"value": [b"".join(parts)]})
 
     # ids as text: a column of longs with nulls would reach pandas as doubles
     rows = planned.select(F.col("page_id").cast("string").alias("page"), "url", "payload", "digest",
                           F.col("refers_to").cast("string").alias("refers"))
     framed = rows.mapInPandas(emit, "value binary")
     # a cast of binary to string keeps the bytes as they are, and the text writer writes them so
-    framed.select(F.col("value").cast("string")).write.option("lineSep", EMPTY_FRAME).text(path)
+    framed.select(F.col("value").cast("string")).write.option("lineSep", EMPTY_FRAME).option("maxRecordsPerFile", 1).text(path)
 
 
-def read_archives(spark: SparkSession, path: str, payloads: bool = True) -> DataFrame:
+def read_archives(spark: SparkSession, path: str, payloads: bool = True, max_record: int = MAX_RECORD) -> DataFrame:
     """Records of all archives under ``path`` (``READ_SCHEMA``), one row a
-    record; rows with ``error`` tell what is damaged and where.  ``payloads``:
+    record; rows with ``error`` tell what is damaged, or longer than
+    ``max_record`` bytes, and where.  ``payloads``:
     whether the payload itself is returned (it is checked in any case).  Empty
     files give no row."""
     def decode(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -245,7 +293,7 @@ def read_archives(spark: SparkSession, path: str, payloads: bool = True) -> Data
         for pdf in batches:
             for name, content in zip(pdf["path"], pdf["content"]):
                 rows, size = [], 0
-                for r in read_archive(bytes(content)):
+                for r in read_archive(content, max_record):
                     size += len(r.get("payload") or b"") + 500
                     if not payloads:
                         r["payload"] = None
@@ -261,9 +309,10 @@ def read_archives(spark: SparkSession, path: str, payloads: bool = True) -> Data
 def round_trip(pages: DataFrame, min_bytes: int = 0) -> DataFrame:
     """Write ``pages`` (page_id, url, html) to archives in the shared folder and
     read them back: (page_id, payload_bytes, payload_digest, record_type,
-    refers_to), one row a page.  A damaged record raises.  No page gives no row."""
+    refers_to), one row a page.  A damaged record raises.  No page gives no row.
+    The archives are removed with the scratch tables."""
     spark = pages.sparkSession
-    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/warc/{uuid.uuid4().hex}"
+    path = scratch_folder(spark, "warc")
     write_archives(plan_records(pages, min_bytes), path)
     back = read_archives(spark, path, payloads=False)
     whole = F.when(F.col("error").isNull(), F.col("record_type")).otherwise(

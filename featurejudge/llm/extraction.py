@@ -10,37 +10,43 @@ elements of negative weight (adverts, forms, reader comments) are left out.
 
 from __future__ import annotations
 
+import hashlib
 import html
 import math
 import re
-from collections import Counter
+from collections import Counter, defaultdict
 from collections.abc import Iterator
+from functools import lru_cache
 
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.functions import pandas_udf
 
+from featurejudge.llm.common import cut_lineage
+
 #: Fixed values of HTML: elements without content, whose content is no markup, and that part blocks.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 RAW = ("script", "style", "textarea", "noscript", "template", "iframe", "svg", "math", "object", "noembed", "title", "xmp")
 INLINE = frozenset("a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd label mark nobr q rp rt ruby s samp small "
                    "span strike strong sub sup time tt u var wbr img".split())
-#: Elements and class words that hold no main text; the prior gives them negative weight.
+#: Elements that hold no main text; the prior gives them negative weight.
 BOILERPLATE = frozenset("head title nav header footer aside form button select option input textarea label fieldset menu dialog "
-                        "script style noscript template iframe svg math object noembed xmp figcaption".split())
+                        "script style noscript template iframe svg math object noembed xmp".split())
+#: Parts of class, id and role words that name boilerplate wherever they stand ...
 BOILERPLATE_CLASS = re.compile(
-    r"(?:^|[\s_-])(?:ads?|advert\w*|adv|banner|sponsor\w*|promo\w*|cookies?|consent|notice|alert|popup|modal|overlay|sidebar|side|aside|widget|"
-    r"menu|nav\w*|breadcrumbs?|pager|pagination|toolbar|header|footer|foot|masthead|share|sharing|social|follow|related|recommend\w*|"
-    r"more|newsletter|subscribe|signup|login|search|form|comments?|commentlist|replies|reply|respond|disqus|discussion|copyright|legal|"
-    r"tags?|meta|byline|hidden|skip)(?:$|[\s_-])", re.I)
-COMMENT_CLASS = re.compile(r"(?:^|[\s_-])(?:comments?|commentlist|replies|reply|respond|disqus|discussion)", re.I)
+    r"(?:^|[\s_-])(?:ads?|advert\w*|adv|banner|sponsor\w*|promo\w*|cookies?|consent|notice|popup|modal|overlay|sidebar|aside|widget|"
+    r"menu|nav\w*|breadcrumbs?|pager|pagination|toolbar|header|footer|masthead|share|sharing|social|related|recommend\w*|"
+    r"newsletter|subscribe|signup|login|comments?|commentlist|replies|reply|respond|disqus|discussion|copyright)(?:$|[\s_-])", re.I)
+#: ... and words that name it only if they stand alone ("long-form" is no form).
+BOILERPLATE_WORDS = frozenset("form search alert follow legal".split())
 
 PRIOR_WORD, PRIOR_TAG, PRIOR_BOILERPLATE = 1.0, -0.25, -4.0
 MOST_COST = -1.0          # of one boilerplate text, however long: an advert does not cut an article in two
 PRIOR_COUNT = 20.0        # tokens that the prior counts as
 MIN_WORD = 0.05           # what a word outside boilerplate is worth at least
-MAX_KINDS = 20_000        # token kinds kept by the model, the most frequent first
+MAX_KINDS = 20_000        # token kinds kept by the model, the most frequent first (others have their prior's weight)
+KIND_CHARS = 120          # longest name of a kind
 
 _RAW = "|".join(RAW)
 TOKEN = re.compile(
@@ -58,16 +64,23 @@ _ENDS_P = frozenset("address article aside blockquote details div dl fieldset fi
 
 
 def kind_of(name: str, attrs: str) -> str:
-    """Element name and its class, id and role words in lower case."""
+    """Element name and all its class, id and role words in lower case.  Long
+    ones are shortened: to the word that names boilerplate, if any, and a hash."""
     found = [next(filter(None, m), "") for m in ATTRIBUTE.findall(attrs)] if attrs else []
     words = sorted(set(" ".join(found).lower().split()))
-    return name + "".join("." + w for w in words[:6])
+    kind = name + "".join("." + w for w in words)
+    if len(kind) <= KIND_CHARS:
+        return kind
+    bad = next((m[0].strip("_- ") for m in map(BOILERPLATE_CLASS.search, words) if m), None) or next(
+        (w for w in words if w in BOILERPLATE_WORDS), None)
+    return f"{name[:KIND_CHARS]}.#{hashlib.md5(kind.encode('utf-8', 'surrogatepass')).hexdigest()}" + (f".{bad}" if bad else "")
 
 
+@lru_cache(maxsize=4_096)
 def prior(kind: str) -> float:
     """Weight of a word under an element of this kind, before learning."""
-    name, _, rest = kind.partition(".")
-    if name in BOILERPLATE or rest and BOILERPLATE_CLASS.search(rest.replace(".", " ")):
+    name, *words = kind.split(".")
+    if name in BOILERPLATE or any(w in BOILERPLATE_WORDS or BOILERPLATE_CLASS.search(w) for w in words):
         return PRIOR_BOILERPLATE
     return PRIOR_WORD
 
@@ -76,39 +89,40 @@ def tokens(page: str) -> Iterator[tuple[str, str, object]]:
     """("open"|"close"|"text", kind, value) in page order.  ``kind`` of a text
     is that of the element that decides on it: the innermost open element that
     is boilerplate by the prior, else the innermost block.  Comments and raw
-    elements (scripts, styles) give nothing; malformed tags are skipped."""
-    stack: list[tuple[str, str, bool]] = []         # name, kind, boilerplate
-
-    def context():
-        for name, kind, bad in reversed(stack):
-            if bad:
-                return kind
-        for name, kind, bad in reversed(stack):
-            if name not in INLINE:
-                return kind
-        return "body"
+    elements (scripts, styles) give nothing; malformed tags are skipped.  A
+    token costs constant time (amortised), however many elements are open."""
+    # name, kind, and the innermost boilerplate and block up to here
+    stack: list[tuple[str, str, str | None, str | None]] = []
+    places: dict[str, list[int]] = defaultdict(list)    # of a name's open elements in the stack
+
+    def pop():
+        places[stack.pop()[0]].pop()
     for m in TOKEN.finditer(page):
         if m["text"] is not None:
-            yield "text", context(), m["text"]
+            _, _, bad, block = stack[-1] if stack else ("", "", None, None)
+            yield "text", bad or block or "body", m["text"]
         elif m["tag"] is not None:
             name = m["name"].lower()
             if m["tag"].startswith("</"):
-                at = next((k for k in range(len(stack) - 1, -1, -1) if stack[k][0] == name), None)
-                if at is not None:
+                if places[name]:
+                    at = places[name][-1]
                     kind = stack[at][1]
-                    del stack[at:]
+                    while len(stack) > at:
+                        pop()
                     yield "close", kind, name
                 elif name in ("p", "br"):
                     yield "open", name, name
                 continue
             kind = kind_of(name, m["attrs"])
             if name not in INLINE:
-                shut = _CLOSES.get(name, ()) if name not in _ENDS_P else {"p"}
-                while stack and (stack[-1][0] in shut or stack[-1][0] in INLINE and any(s[0] in shut for s in stack)):
-                    stack.pop()
+                shut = _CLOSES.get(name, ()) if name not in _ENDS_P else ("p",)
+                while stack and (stack[-1][0] in shut or stack[-1][0] in INLINE and any(places[s] for s in shut)):
+                    pop()
             yield "open", kind, name
             if name not in VOID and not m["attrs"].rstrip().endswith("/"):
-                stack.append((name, kind, prior(kind) < 0))
+                _, _, bad, block = stack[-1] if stack else ("", "", None, None)
+                places[name].append(len(stack))
+                stack.append((name, kind, kind if prior(kind) < 0 else bad, block if name in INLINE else kind))
 
 
 def scored(page: str, weight: dict[str, float]) -> list[tuple[float, str, str]]:
@@ -189,10 +203,12 @@ def fit(pages: DataFrame, html_col: str = "html") -> dict[str, float]:
         yield pd.DataFrame([(k, i, c) for (k, i), c in n.items()], columns=["kind", "inside", "n"])
 
     rows = pages.where(F.col(html_col).contains("<article") | F.col(html_col).contains("<ARTICLE")).select(F.col(html_col).alias("html"))
-    got = (rows.mapInPandas(count, "kind string, inside int, n long").groupBy("kind")
-           .agg(F.sum(F.when(F.col("inside") == 1, F.col("n")).otherwise(0)).alias("inner"), F.sum("n").alias("n"))
-           .orderBy(F.desc("n"), "kind").limit(MAX_KINDS).collect())
-    inner, outer = sum(r["inner"] for r in got) + 1, sum(r["n"] - r["inner"] for r in got) + 1
+    kinds = cut_lineage(rows.mapInPandas(count, "kind string, inside int, n long").groupBy("kind")
+                        .agg(F.sum(F.when(F.col("inside") == 1, F.col("n")).otherwise(0)).alias("inner"), F.sum("n").alias("n")))
+    # weights do not depend on how many kinds are kept
+    total = kinds.agg(F.coalesce(F.sum("inner"), F.lit(0)).alias("inner"), F.coalesce(F.sum("n"), F.lit(0)).alias("n")).first()
+    inner, outer = total["inner"] + 1, total["n"] - total["inner"] + 1
+    got = kinds.orderBy(F.desc("n"), "kind").limit(MAX_KINDS).collect()
     out = {}
     for r in got:
         what, _, kind = r["kind"].partition(" ")
@@ -206,8 +222,10 @@ def fit(pages: DataFrame, html_col: str = "html") -> dict[str, float]:
 
 def main_text(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> DataFrame:
     """(page_id, url, text, n_chars), one row a row of ``pages``.  Null and
-    empty html, and pages without a positive region, give an empty text; null
-    ids and urls and repeated rows are kept; other columns are ignored."""
+    empty html, and pages without a positive region, give an empty text; of
+    regions with equal sums the first counts; pages of any length are read
+    whole; null ids and urls and repeated rows are kept, an empty table gives
+    an empty one; other columns are ignored."""
     spark = pages.sparkSession
     weight = spark.sparkContext.broadcast(fit(pages, html_col))       # at most MAX_KINDS entries
 

@@ -4,10 +4,13 @@ import hashlib
 import html
 import re
 import struct
+import timeit
+import tracemalloc
 
 import pytest
 import zstandard
 
+from featurejudge import session
 from featurejudge.llm import extraction, queries, url_filter, warc
 from featurejudge.llm.common import load
 
@@ -80,6 +83,52 @@ def test_archive_format_and_damage():
     assert list(warc.read_archive(b"")) == [] and "frame" in list(warc.read_archive(b"abc"))[0]["error"]
 
 
+def test_reading_is_linear():
+    def seconds(n):
+        data = b"".join(warc.frames(warc.record("response", k, "http://h/", b"<p>%d " % k * 60, sha(b"<p>%d " % k * 60), None) for k in range(n)))
+        best = min(timeit.repeat(lambda: sum(r["error"] is None for r in warc.read_archive(data)), number=1, repeat=3))
+        assert sum(r["error"] is None for r in warc.read_archive(data)) == n
+        return best
+    small, large = seconds(4_000), seconds(16_000)
+    assert large < 6 * small
+
+
+def test_over_long_records_are_reported_not_held():
+    good = warc.record("response", 1, "u", b"x", sha(b"x"), None)
+    bomb = zstandard.ZstdCompressor().compressobj()                     # no content size in the header
+    bomb = b"".join(bomb.compress(b"\0" * (1 << 20)) for _ in range(64)) + bomb.flush()
+    known = zstandard.ZstdCompressor(write_content_size=True).compress(b"\0" * (2 << 20))
+    data = zstandard.compress(good) + bomb + known + zstandard.compress(good)
+    tracemalloc.start()
+    got = list(warc.read_archive(data, max_record=1 << 20))
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert [r["error"] and "longer than 1048576" in r["error"] for r in got] == [None, True, True, None]
+    assert peak < 16 << 20
+    assert [r["offset"] for r in got] == [0, len(zstandard.compress(good)), len(data) - len(zstandard.compress(good)) - len(known),
+                                         len(data) - len(zstandard.compress(good))]
+    for cut in range(1, 40):                                            # cut anywhere: an error, never a crash
+        assert list(warc.read_archive(data[:-cut], max_record=1 << 20))[-1]["error"].startswith("frame")
+
+
+def test_archives_roll_and_go_with_the_scratch_tables(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(warc, "ROLL_BYTES", 20_000)
+    rows = [(k, f"http://h/{k}", hashlib.sha256(b"%d" % k).hexdigest() * 40) for k in range(1_000)]
+    table = spark.createDataFrame(rows, "page_id long, url string, html string").coalesce(1)
+    warc.write_archives(warc.plan_records(table), str(tmp_path / "w"))
+    files = [f for f in (tmp_path / "w").iterdir() if f.name.startswith("part-")]
+    assert len(files) > 1 and all(f.read_bytes()[:4] == struct.pack("<I", warc.DICT_MAGIC) for f in files[:-1])
+    back = warc.read_archives(spark, str(tmp_path / "w")).collect()
+    assert sorted((r["page_id"], bytes(r["payload"]).decode()) for r in back) == sorted((k, h) for k, _, h in rows)
+    root = tmp_path.as_uri()
+    monkeypatch.setattr(session, "ensure_checkpoint_dir", lambda _: root)
+    with session.scratch_tables(spark):
+        assert warc.round_trip(table).count() == 1_000
+        assert len(list((tmp_path / "warc").iterdir())) == 1
+    assert not list((tmp_path / "warc").iterdir()) and not list((tmp_path / "tables").iterdir())
+
+
+
 def article(page):
     inner = re.search(r"<article>(.*?)</article>", page, re.S)[1]
     blocks = [" ".join(html.unescape(re.sub(r"<[^>]+>", "", x)).split()) for x in re.split(r"</?p>|</?h1>|<br>", inner)]
@@ -115,6 +164,40 @@ def test_main_text_without_labels():
     assert extraction.extract(long, {}) == " ".join(["word"] * 100_000)
 
 
+WORDS = "words of the article that go on for a while and then some more"
+
+
+@pytest.mark.parametrize("attrs", ['class="a b c d e f sidebar"', 'class="col flex grid m-2 p-4 left-sidebar w-1"', 'id=main-nav class="z y x w v u"',
+                                   'class="' + " ".join(f"u-{k}" for k in range(200)) + ' comments"', "class=form", 'role="search"'])
+def test_boilerplate_by_any_of_its_words(attrs):
+    page = f"<body><article><p>{WORDS}</p><div {attrs}><p>not this</p></div><p>{WORDS}</p></article><div {attrs}>nor this</div></body>"
+    assert extraction.extract(page, {}) == f"{WORDS}\n{WORDS}"
+
+
+@pytest.mark.parametrize("attrs", ['class="more"', 'class="tag"', 'class="meta-text"', 'class="text-more"', 'class="hidden-x"', 'class="long-form"',
+                                   'class="' + " ".join(f"u-{k}" for k in range(200)) + '"'])
+@pytest.mark.parametrize("name", ["p", "div", "figcaption"])
+def test_article_text_under_common_words_stays(name, attrs):
+    page = f"<body><article><p>{WORDS}</p><{name} {attrs}>and this {WORDS}</{name}><p>{WORDS}</p></article></body>"
+    assert extraction.extract(page, {}) == f"{WORDS}\nand this {WORDS}\n{WORDS}"
+
+
+def test_open_elements_cost_nothing():
+    def seconds(n, tail):
+        page = "<p>" + "<b>word " * n + tail * n
+        return min(timeit.repeat(lambda: extraction.extract(page, {}), number=1, repeat=2))
+    for tail in ("", "</i>", "<p>", "</b>"):
+        assert seconds(16_000, tail) < 8 * seconds(4_000, tail) + 0.05
+
+
+def test_weights_do_not_depend_on_the_number_of_kinds(spark, pages, monkeypatch):
+    table = load(spark, SF, "pages", "page_id", "url", "html")
+    every = extraction.fit(table)
+    monkeypatch.setattr(extraction, "MAX_KINDS", 4)
+    some = extraction.fit(table)
+    assert len(some) == 4 and all(every[k] == w for k, w in some.items())
+
+
 def test_main_text_odd_rows(spark):
     rows = [(1, "u", PAGE, "x", 1), (1, "u", PAGE, "x", 1), (None, None, None, "x", 1), (2, "u", "", "x", 1)]
     table = spark.createDataFrame(rows, "page_id long, url string, html string, text string, n_chars int")

@@ -42,6 +42,17 @@ def test_backtracking_is_merging(model):
         assert encoder.pieces(text) == encoder.merge(text)
 
 
+def test_pairs_by_merging_them(model):
+    """The check at the border says what merging both texts says, also where scores are equal."""
+    encoder, pick = tokens.Encoder(model), random.Random(6)
+    pieces = list(encoder.ids)
+    spaces = [p for p in pieces if not p.strip(tokens.SPACE)]
+    pairs = [(pick.choice(pieces), pick.choice(pieces)) for _ in range(20_000)] + [(a, b) for a in spaces for b in spaces + pieces[300:400]]
+    pairs += [(a, b) for p in pick.sample(pieces, 3_000) for k in range(1, len(p)) for a, b in [(p[:k], p[k:])] if a in encoder.ids and b in encoder.ids]
+    for a, b in pairs:
+        assert encoder.apart(a, b) == (encoder.merge(a + b) == [a, b]), (a, b)
+
+
 def test_given_documents(spark, library):
     texts = load(spark, SF, "documents", "doc_id", "text").toPandas().set_index("doc_id")["text"]
     got = queries.QUERIES["op11_sentencepiece"](spark, SF).toPandas()

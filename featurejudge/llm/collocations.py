@@ -13,7 +13,8 @@ words.  Two passes over the text:
 2. ``counts``: of what is left each shard builds a bidirectional FM-index
    (``Index``), enumerates its n-grams of up to ``DEPTH`` words by interval
    extension, to the right and to the left in turn, and returns them with
-   their counts.  The counts are summed over the shards, exactly.
+   their counts, packed into a row a hash bucket.  The counts are summed over
+   the shards, exactly, by tasks that each hold some buckets.
 
 ``phrases`` scores them.  An extension of a phrase by one word to the left or
 right is itself an n-gram, so the extensions' counts over all shards come from
@@ -34,6 +35,7 @@ from itertools import count
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -267,28 +269,64 @@ def counts(docs: DataFrame, limit: int = MIN_COUNT, depth: int = DEPTH, bits: in
     spark = docs.sparkSession
     texts = docs.select(F.coalesce(F.col(lang), F.lit(UNKNOWN)).alias("lang"), F.coalesce(F.col(text), F.lit("")).alias("text"))
     shared = spark.sparkContext.broadcast(sketch(texts, limit, bits, shard_words))
+    n_buckets = 4 * int(spark.conf.get("spark.sql.shuffle.partitions"))
 
     def run(batches):
         table = np.frombuffer(shared.value, _counter_type(limit))
-
-        def rows(name, phrases, length, numbers):
-            for at in range(0, len(phrases), ROWS):
-                part = phrases[at:at + ROWS]
-                yield pa.record_batch([pa.array([name] * len(part), pa.string()), pa.array(part, pa.binary()).cast(pa.string()),
-                                       pa.array([length] * len(part), pa.int32()), pa.array(numbers[at:at + ROWS], pa.int64())],
-                                      names=["lang", "phrase", "words", "f"])
         for name, ids, words in _shards(batches, shard_words):
+            hashes = _word_hashes(name, words)
             single = np.bincount(ids, minlength=len(words))
-            frequent, kept = _alive(ids, _word_hashes(name, words), table, limit, bits)
-            yield from rows(name, [b""], 0, np.array([single[1:].sum()]))
+            frequent, kept = _alive(ids, hashes, table, limit, bits)
+            yield _packed(name, 0, np.zeros(1, np.int64), [b""], np.array([single[1:].sum()]))
             there = np.flatnonzero(frequent)
-            yield from rows(name, words[there].tolist(), 1, single[there])
+            if len(there):
+                yield _packed(name, 1, _buckets(hashes, there[:, None], n_buckets), words[there].tolist(), single[there])
             for symbols, size in Index(kept, depth).ngrams():
-                for at in range(0, len(size), ROWS):
-                    part = [b" ".join(g) for g in words[symbols[at:at + ROWS]].tolist()]
-                    yield from rows(name, part, symbols.shape[1], size[at:at + ROWS])
-    found = texts.mapInArrow(run, "lang string, phrase string, words int, f long")
-    return found.groupBy("lang", "words", "phrase").agg(F.sum("f").alias("f")).where((F.col("f") >= limit) | (F.col("words") == 0))
+                yield _packed(name, symbols.shape[1], _buckets(hashes, symbols, n_buckets), [b" ".join(g) for g in words[symbols].tolist()], size)
+
+    def merge(batches):
+        keys, held, fresh = ["lang", "words", "phrase"], None, 0
+        for batch in batches:
+            parent = pc.list_parent_indices(batch.column(3))
+            rows = pa.table([batch.column(0).take(parent), batch.column(1).take(parent), batch.column(3).flatten(), batch.column(4).flatten()],
+                            names=[*keys, "f"])
+            held = rows if held is None else pa.concat_tables([held, rows])
+            fresh += rows.num_rows
+            if fresh > ROWS * 20:
+                held, fresh = _summed(held, keys), 0
+        if held is not None:
+            held = _summed(held, keys)
+            keep = pc.or_(pc.greater_equal(held["f"], limit), pc.equal(held["words"], 0))
+            yield from held.filter(keep).to_batches(max_chunksize=ROWS)
+    packed = texts.mapInArrow(run, "lang string, words int, bucket int, phrases array<string>, f array<long>")
+    return packed.repartition("bucket").mapInArrow(merge, "lang string, words int, phrase string, f long")
+
+
+def _buckets(hashes: np.ndarray, symbols: np.ndarray, n: int) -> np.ndarray:
+    """Bucket of each n-gram, alike in all shards."""
+    mixed = np.zeros(len(symbols), np.uint64)
+    for column in symbols.T:
+        mixed = (mixed ^ hashes[column]) * np.uint64(0x9E3779B97F4A7C15)
+        mixed ^= mixed >> np.uint64(29)
+    return (mixed % np.uint64(n)).astype(np.int64)
+
+
+def _packed(lang: str, length: int, buckets: np.ndarray, phrases: list[bytes], numbers: np.ndarray) -> pa.RecordBatch:
+    """One row a bucket with its phrases and counts."""
+    order = np.argsort(buckets, kind="stable")
+    there = buckets[order]
+    first = np.flatnonzero(np.concatenate(([True], there[1:] != there[:-1])))
+    offsets = pa.array(np.append(first, len(there)).astype(np.int32))
+    texts = pa.array(phrases, pa.binary()).cast(pa.string()).take(pa.array(order))
+    k = len(first)
+    return pa.record_batch([pa.array([lang] * k, pa.string()), pa.array([length] * k, pa.int32()), pa.array(there[first].astype(np.int32)),
+                            pa.ListArray.from_arrays(offsets, texts), pa.ListArray.from_arrays(offsets, pa.array(numbers[order].astype(np.int64)))],
+                           names=["lang", "words", "bucket", "phrases", "f"])
+
+
+def _summed(table: pa.Table, keys: list[str]) -> pa.Table:
+    out = table.group_by(keys).aggregate([("f", "sum")])
+    return out.select([*keys, "f_sum"]).rename_columns([*keys, "f"])
 
 
 def _span(words: Column, start, length) -> Column:

@@ -282,3 +282,66 @@ def stratified_split(df: DataFrame, key: str, label: str, test_fraction: float =
     return (df.where(F.col(label).isNotNull()).join(cuts, F.col(label) == F.col("_class"), "left")
               .withColumn(split_col, F.when(test, F.lit("test")).otherwise(F.lit("train")))
               .drop("_class", "_last_hash", "_last_key"))
+
+
+# --------------------------------------------------------------------------
+# exact stratified folds
+# --------------------------------------------------------------------------
+
+def fold_thresholds(df: DataFrame, key: str, label: str, folds: int, seed: int = 42, prefix_len: int = 5) -> DataFrame:
+    """(_class, _none, _cuts): for every class the last rows, as (hash, key),
+    of the first 1 .. folds - 1 folds, and how many of those folds together
+    hold no row (classes with fewer rows than folds).  At most ``MAX_CLASSES``
+    rows.
+
+    One histogram of hash prefixes a class finds all cuts; only the rows of
+    the cut buckets are ranked.  Both passes read key and label alone."""
+    spark, kinds = df.sparkSession, df.schema
+    hashed = (df.where(F.col(label).isNotNull())
+                .select(F.col(label).alias("_class"), F.col(key).alias("_key"), split_hash(key, seed).alias("_h"))
+                .withColumn("_b", F.substring("_h", 1, prefix_len)))
+    hist = hashed.groupBy("_class", "_b").agg(F.count(F.lit(1)).alias("_cnt"))
+    buckets = Window.partitionBy("_class").orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
+    spread = hist.select("_class", "_b", "_cnt", F.coalesce(F.sum("_cnt").over(buckets), F.lit(0)).alias("_before"),
+                         F.sum("_cnt").over(Window.partitionBy("_class")).alias("_n"))
+    # rows of the first j folds
+    upto = F.transform(F.sequence(F.lit(1), F.lit(folds - 1)), lambda j: F.call_function("div", F.col("_n") * j, F.lit(folds)))
+    here = F.filter(upto, lambda r: (F.col("_before") < r) & (r <= F.col("_before") + F.col("_cnt")))
+    none = F.size(F.filter(upto, lambda r: r == 0))
+    found = (spread.withColumn("_none", none).withColumn("_needs", F.transform(here, lambda r: r - F.col("_before")))
+             .where((F.size("_needs") > 0) | (F.col("_before") == 0)).select("_class", "_b", "_none", "_needs")
+             .limit(MAX_CLASSES * folds + 1).collect())
+    classes = sorted({r["_class"] for r in found})
+    if len(classes) > MAX_CLASSES:
+        raise ValueError(f"more than {MAX_CLASSES} classes in {label}")
+    cut = T.StructType([T.StructField("_c", kinds[label].dataType), T.StructField("_cut", T.StringType()), T.StructField("_need", T.LongType())])
+    needs = F.broadcast(spark.createDataFrame([(r["_class"], r["_b"], n) for r in found for n in r["_needs"]], cut))
+    in_bucket = Window.partitionBy("_class", "_b").orderBy("_h", "_key")
+    # a bucket of several cuts is ranked once
+    last = (hashed.join(needs.select("_c", "_cut").distinct(), (F.col("_class") == F.col("_c")) & (F.col("_b") == F.col("_cut")), "left_semi")
+                  .withColumn("_r", F.row_number().over(in_bucket).cast("long"))
+                  .join(needs, (F.col("_class") == F.col("_c")) & (F.col("_b") == F.col("_cut")) & (F.col("_r") == F.col("_need")))
+                  .select("_class", "_h", "_key").collect())
+    none_of = {r["_class"]: r["_none"] for r in found}
+    ends = {c: sorted((r["_h"], r["_key"]) for r in last if r["_class"] == c) for c in classes}
+    end = T.StructType([T.StructField("h", T.StringType()), T.StructField("k", kinds[key].dataType)])
+    return spark.createDataFrame([(c, none_of[c], ends[c]) for c in classes], T.StructType([
+        T.StructField("_class", kinds[label].dataType), T.StructField("_none", T.IntegerType()), T.StructField("_cuts", T.ArrayType(end))]))
+
+
+def stratified_folds(df: DataFrame, key: str, label: str, folds: int = 5, seed: int = 42, fold_col: str = "fold",
+                     prefix_len: int = 5) -> DataFrame:
+    """Exact stratified folds: the rows of a class, by (md5(seed:key), key),
+    are cut into ``folds`` runs whose sizes differ by one at most; fold
+    ``j`` (from 0) holds the ranks above ``n * j // folds``.
+
+    The thresholds (one row per class, a checked number) are computed at once
+    and broadcast; the folds are a projection of ``df``, so no row is shuffled.
+    Rows with a null label are left out.  ``key`` must be unique and not null."""
+    if folds < 2:
+        raise ValueError("folds must be 2 or more")
+    cuts = F.broadcast(fold_thresholds(df, key, label, folds, seed, prefix_len))
+    h = split_hash(key, seed)
+    before = F.size(F.filter("_cuts", lambda t: (h > t["h"]) | ((h == t["h"]) & F.coalesce(F.col(key) > t["k"], F.lit(False)))))
+    return (df.where(F.col(label).isNotNull()).join(cuts, F.col(label) == F.col("_class"))
+              .withColumn(fold_col, (before + F.col("_none")).cast("int")).drop("_class", "_none", "_cuts"))

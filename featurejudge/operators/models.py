@@ -1,5 +1,4 @@
-"""MLlib fits and scoring, importance tables, permutation importance and
-SMOTE-style oversampling.
+"""MLlib fits and scoring, importance tables and permutation importance.
 
 Fits run distributed in MLlib; every output is a DataFrame.  Feature names
 travel as the ordered list given to the VectorAssembler and are joined back
@@ -19,13 +18,12 @@ from pyspark.ml.evaluation import MulticlassClassificationEvaluator
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
 from featurejudge.operators.cumulative import exact_rank
 from featurejudge.operators.evaluate import accuracy
-from featurejudge.operators.fit import class_counts
+from featurejudge.operators.oversample import replicate_balance, smote  # noqa: F401
 from featurejudge.session import cut_lineage
 
 MAX_DEPTH = 30  # MLlib's limit; "unlimited depth" is capped here
@@ -117,22 +115,26 @@ def perceptron_pipeline(features, n_classes: int, label="target", hidden=(128, 6
 
 
 def predictions(model: PipelineModel, df: DataFrame, keep: Sequence[str]) -> DataFrame:
-    """(keep..., prediction, probability array).  For one-vs-rest the array
-    holds the positive probability of every class's own model, normalised to
+    """(keep..., prediction, probability array).  One-vs-rest models are
+    scored by their parts, in the JVM: the class of the greatest raw score (the
+    first of equal ones), and every part's positive probability, normalised to
     the sum 1."""
-    out, last = model.transform(df), _last_stage(model)
-    if "probability" in out.columns:
-        prob = vector_to_array("probability")
-    elif isinstance(last, OneVsRestModel):
-        for i, one in enumerate(last.models):
-            out = one.copy({one.probabilityCol: f"_prob{i}", one.predictionCol: f"_pred{i}",
-                            one.rawPredictionCol: f"_raw{i}"}).transform(out)
-        each = [vector_to_array(f"_prob{i}")[1] for i in range(len(last.models))]
-        total = sum(each[1:], each[0])
-        prob = F.array(*[F.when(total > 0, p / total).otherwise(1.0 / len(each)) for p in each])
-    else:
-        prob = F.lit(None).cast("array<double>")
-    return out.select(*keep, F.col("prediction").cast("int").alias("prediction"), prob.alias("probability"))
+    last = _last_stage(model)
+    if not isinstance(last, OneVsRestModel):
+        out = model.transform(df)
+        prob = vector_to_array("probability") if "probability" in out.columns else F.lit(None).cast("array<double>")
+        return out.select(*keep, F.col("prediction").cast("int").alias("prediction"), prob.alias("probability"))
+    out = df
+    for stage in getattr(model, "bestModel", model).stages[:-1]:
+        out = stage.transform(out)
+    each = range(len(last.models))
+    for i, one in enumerate(last.models):
+        out = one.copy({one.probabilityCol: f"_prob{i}", one.predictionCol: f"_pred{i}", one.rawPredictionCol: f"_raw{i}"}).transform(out)
+    raw = F.array(*[vector_to_array(f"_raw{i}")[1] for i in each])
+    probs = [vector_to_array(f"_prob{i}")[1] for i in each]
+    total = sum(probs[1:], probs[0])
+    prob = F.array(*[F.when(total > 0, p / total).otherwise(1.0 / len(probs)) for p in probs])
+    return out.select(*keep, (F.array_position(raw, F.array_max(raw)) - 1).cast("int").alias("prediction"), prob.alias("probability"))
 
 
 def _last_stage(model):
@@ -162,130 +164,64 @@ def _spark():
     return SparkSession.getActiveSession()
 
 
+def _steps(n: int, combos: int, seed: int) -> list[tuple[int, int]]:
+    """For each shuffle a multiplier without a common factor with n, and a shift."""
+    rng, out = np.random.default_rng(seed), []
+    while len(out) < combos:
+        a = int(rng.integers(1, 1 << 20)) | 1
+        if math.gcd(a, n) == 1:
+            out.append((a, int(rng.integers(0, max(n, 1)))))
+    return out
+
+
+def permuted_pairs(rows: DataFrame, features: Sequence[str], key: str, repeats: int, seed: int = 42) -> DataFrame:
+    """(target_rank, feature, repeat, slot, donor, value): who gives its value
+    of a feature to whom, in each of ``repeats`` shuffles a feature.
+
+    The rows are ranked once, 0 to n - 1, in a random order (by a seeded
+    hash).  In a shuffle the row of rank j gives to rank (a * j + b) mod n; as
+    ``a`` and n have no common factor, that is a bijection, so no shuffle needs
+    a sort of its own.  ``key`` must be unique."""
+    ranked = _ranked(rows.select(key, *features), key, seed)
+    return _pairs(ranked, features, repeats, seed, ranked.count())
+
+
+def _ranked(rows: DataFrame, key: str, seed: int) -> DataFrame:
+    hashed = rows.withColumn("_h", F.xxhash64(F.lit(seed), F.col(key)))
+    return cut_lineage(exact_rank(hashed, ["_h", key]).drop("_h").withColumn("_rank", F.col("_rank").cast("long") - 1))
+
+
+def _pairs(ranked: DataFrame, features: Sequence[str], repeats: int, seed: int, n: int) -> DataFrame:
+    steps = _steps(n, len(features) * repeats, seed)
+    gifts = F.array(*[F.struct(F.lit(f).alias("feature"), F.lit(r).alias("repeat"), F.lit(i * repeats + r).alias("slot"),
+                               F.pmod(F.col("_rank") * F.lit(steps[i * repeats + r][0]) + F.lit(steps[i * repeats + r][1]), F.lit(max(n, 1)))
+                               .alias("target_rank"), F.col(f"`{f}`").cast("double").alias("value"))
+                      for i, f in enumerate(features) for r in range(repeats)])
+    return ranked.select(F.col("_rank").alias("donor"), F.explode(gifts).alias("g")).select(
+        "g.target_rank", "g.feature", "g.repeat", "g.slot", "donor", "g.value")
+
+
 def permutation_importance(model: PipelineModel, test: DataFrame, features: Sequence[str], key: str,
                            label: str = "target", repeats: int = 10, seed: int = 42) -> DataFrame:
     """Mean accuracy drop when one feature's values are shuffled among the
     test rows, ``repeats`` times per feature -- all features and repeats in
     one scored job.
 
-    The shuffle pairs the row ranked k by a fixed hash with the row ranked k
-    by a (feature, repeat)-seeded hash.  The fixed ranks are computed once;
-    the seeded side carries only the key and the donor value.  Ranks are exact
-    and bucketed, so no window spans the test set in one task, and equal
-    hashes are told apart by ``key`` (which should be unique)."""
+    The donated values of a row, one a shuffle, travel as one array keyed by
+    its rank (``permuted_pairs``); a row meets its array once and is scored
+    with each of the values in turn, inside its task."""
     base = accuracy(predictions(model, test, [key, label]), label, "prediction").first()["accuracy"]
-    combos = F.explode(F.array(*[F.struct(F.lit(f).alias("_f"), F.lit(r).alias("_r"))
-                                 for f in features for r in range(repeats)]))
-    ranked = cut_lineage(exact_rank(test.withColumn("_h", F.xxhash64(F.lit(seed), F.col(key))), ["_h", key]).drop("_h"))
-    donor_value = F.element_at(F.array(*[F.col(f"`{f}`").cast("double") for f in features]),
-                               F.array_position(F.array(*[F.lit(f) for f in features]), F.col("_f")).cast("int"))
-    donors = (test.select(key, *features, combos.alias("_c")).select(key, *features, "_c._f", "_c._r")
-                  .select(F.col(key).alias("_k"), "_f", "_r", donor_value.alias("_donor"),
-                          F.xxhash64(F.lit(seed + 1), F.col("_f"), F.col("_r"), F.col(key)).alias("_h")))
-    donors = exact_rank(donors, ["_h", "_k"], ["_f", "_r"]).select("_f", "_r", "_rank", "_donor")
-    shuffled = ranked.join(donors, "_rank", "inner")
-    replaced = shuffled.withColumns({
-        f: F.when(F.col("_f") == F.lit(f), F.col("_donor")).otherwise(F.col(f"`{f}`").cast("double"))
-        for f in features})
+    ranked = _ranked(test, key, seed)
+    # bounded: features x repeats values a row
+    donors = (_pairs(ranked, features, repeats, seed, ranked.count()).groupBy("target_rank")
+              .agg(F.array_sort(F.collect_list(F.struct("slot", "value"))).alias("_gifts")))
+    met = ranked.join(donors, F.col("_rank") == F.col("target_rank"))
+    shuffled = met.select(label, *features, F.explode("_gifts").alias("_g")).select(label, *features, "_g.slot", "_g.value")
+    at = F.floor(F.col("slot") / repeats)
+    replaced = shuffled.withColumns({f: F.when(at == i, F.col("value")).otherwise(F.col(f"`{f}`").cast("double")) for i, f in enumerate(features)})
     scored = model.transform(replaced)
-    acc = scored.groupBy("_f", "_r").agg(F.avg((F.col("prediction") == F.col(label)).cast("double")).alias("acc"))
-    return acc.groupBy(F.col("_f").alias("feature")).agg(
+    acc = scored.groupBy("slot").agg(F.avg((F.col("prediction") == F.col(label)).cast("double")).alias("acc"))
+    names = F.element_at(F.array(*[F.lit(f) for f in features]), (at + 1).cast("int"))
+    return acc.groupBy(names.alias("feature")).agg(
         F.avg(F.lit(base) - F.col("acc")).alias("importance_mean"),
         F.stddev_pop(F.lit(base) - F.col("acc")).alias("importance_std"))
-
-
-# ---------------------------------------------------------------------------
-# oversampling
-# ---------------------------------------------------------------------------
-
-def _dot(x: Column, r: Sequence[float]) -> Column:
-    w = F.array(*[F.lit(float(v)) for v in r])
-    return F.aggregate(F.zip_with(x, w, lambda a, b: a * b), F.lit(0.0), lambda acc, v: acc + v)
-
-
-def _sqdist(x: Column, y: Column) -> Column:
-    return F.aggregate(F.zip_with(x, y, lambda a, b: (a - b) * (a - b)), F.lit(0.0), lambda acc, v: acc + v)
-
-
-def _unit(seed_cols: Sequence[Column]) -> Column:
-    """Deterministic uniform in [0, 1) from a hash."""
-    h = F.xxhash64(*seed_cols)
-    return (F.abs(h % F.lit(1_000_003)).cast("double")) / F.lit(1_000_003.0)
-
-
-def smote(df: DataFrame, key: str, label: str, vec: str, k: int = 5, seed: int = 42,
-          projections: int = 8, window: int = 3, rows_per_bucket: int = 50_000) -> DataFrame:
-    """Oversample every class to the majority count by interpolating between
-    a row and one of its k nearest same-class neighbours.
-
-    Neighbours are found without comparing all pairs: each of ``projections``
-    random directions ranks a class and proposes the ``window`` rows on each
-    side; the k closest of those candidates by true distance are kept.  Ranks
-    are cut into blocks of ``rows_per_bucket``; rows next to a cut are handed
-    to the neighbouring block too, so the candidates do not depend on the
-    block size.  Only ids travel until the candidates are distinct.  Each
-    original row makes floor(need / n) or one more synthetic rows (exact
-    total), chosen by a seeded hash rank.  Output: key (null for synthetic
-    rows), label, vec, synthetic (0/1).  ``key`` must be unique."""
-    counts = dict(class_counts(df, label))
-    target = max(counts.values())
-    base = cut_lineage(df.select(key, label, F.col(vec).cast("array<double>").alias("_x")).where(F.col(label).isNotNull()))
-    dim = len(base.select("_x").first()[0])
-    rng = np.random.default_rng(seed)
-    dirs = rng.standard_normal((projections, dim))
-    block = max(rows_per_bucket, 2 * window)
-
-    projected = cut_lineage(base.select(key, label, *[_dot(F.col("_x"), d).alias(f"_p{p}") for p, d in enumerate(dirs)]))
-    cands = None
-    for p in range(projections):
-        ranked = exact_rank(projected.select(key, label, f"_p{p}"), [f"_p{p}", key], [label], rows_per_bucket=rows_per_bucket)
-        blocks = F.array_distinct(F.transform(F.array(F.lit(-window), F.lit(0), F.lit(window)),
-                                              lambda o: F.floor((F.col("_rank") + o) / block)))
-        w = Window.partitionBy(label, "_block").orderBy("_rank")
-        near = (ranked.select(key, label, "_rank", F.explode(blocks).alias("_block"))
-                      .select(key, "_rank", "_block", F.array(*[f(key, o).over(w) for o in range(1, window + 1)
-                                                                for f in (F.lag, F.lead)]).alias("_nb"))
-                      .where(F.floor(F.col("_rank") / block) == F.col("_block")))
-        pairs = near.select(key, F.explode("_nb").alias("j")).where(F.col("j").isNotNull())
-        cands = pairs if cands is None else cands.unionByName(pairs)
-    vectors = base.select(F.col(key).alias("j"), F.col("_x").alias("xj"))
-    cands = (cands.distinct().join(base.select(key, "_x"), key).join(vectors, "j")
-                  .withColumn("_d", _sqdist(F.col("_x"), F.col("xj"))))
-    knn = cands.withColumn("_k", F.row_number().over(Window.partitionBy(key).orderBy("_d", "j"))) \
-               .where(F.col("_k") <= k) \
-               .groupBy(key).agg(F.collect_list(F.struct("_k", "xj")).alias("_nbrs"))
-
-    quotas = _spark().createDataFrame([(c, int(n), int(target - n)) for c, n in counts.items()],
-                                      f"{label} {df.schema[label].dataType.simpleString()}, _n long, _need long")
-    ranked = exact_rank(base.withColumn("_h", F.xxhash64(F.lit(seed), F.col(key))), ["_h", key], [label])
-    # quotas: one row per class, from the size-checked class counts
-    gen = ranked.join(F.broadcast(quotas), label).withColumn(
-        "_g", (F.floor(F.col("_need") / F.col("_n")) +
-               F.when(F.col("_rank") <= F.col("_need") % F.col("_n"), 1).otherwise(0)).cast("int"))
-    gen = gen.where(F.col("_g") > 0).join(knn, key, "left")
-    syn = gen.select(key, label, "_x", "_nbrs", F.explode(F.sequence(F.lit(1), F.col("_g"))).alias("_s"))
-    n_nb = F.coalesce(F.size("_nbrs"), F.lit(0))
-    pick = (F.abs(F.xxhash64(F.lit(seed), F.col(key), F.col("_s"))) % F.greatest(n_nb, F.lit(1))).cast("int")
-    chosen = F.when(n_nb > 0, F.element_at(F.array_sort("_nbrs"), pick + 1)["xj"]).otherwise(F.col("_x"))
-    u = _unit([F.lit(seed + 7), F.col(key), F.col("_s")])
-    x_new = F.zip_with(F.col("_x"), chosen, lambda a, b: a + u * (b - a))
-    synthetic = syn.select(F.lit(None).cast(df.schema[key].dataType).alias(key), label,
-                           x_new.alias(vec), F.lit(1).alias("synthetic"))
-    original = base.select(key, label, F.col("_x").alias(vec), F.lit(0).alias("synthetic"))
-    return original.unionByName(synthetic)
-
-
-def replicate_balance(df: DataFrame, key: str, label: str, seed: int = 42) -> DataFrame:
-    """Cheap mode: repeat minority rows (hash-ranked remainder) to the
-    majority count."""
-    counts = dict(class_counts(df, label))
-    target = max(counts.values())
-    quotas = _spark().createDataFrame([(c, int(n), int(target - n)) for c, n in counts.items()],
-                                      f"{label} {df.schema[label].dataType.simpleString()}, _n long, _need long")
-    ranked = exact_rank(df.withColumn("_h", F.xxhash64(F.lit(seed), F.col(key))), ["_h", key], [label])
-    # quotas: one row per class, from the size-checked class counts
-    g = ranked.join(F.broadcast(quotas), label).withColumn(
-        "_g", (F.floor(F.col("_need") / F.col("_n")) +
-               F.when(F.col("_rank") <= F.col("_need") % F.col("_n"), 1).otherwise(0)).cast("int") + 1)
-    return g.select(*df.columns, F.explode(F.sequence(F.lit(1), F.col("_g"))).alias("_copy")) \
-            .withColumn("synthetic", (F.col("_copy") > 1).cast("int")).drop("_copy")

@@ -73,12 +73,6 @@ def col_or_default(df: DataFrame, name: str, default) -> Column:
     return F.col(f"`{found[0]}`") if found else F.lit(default)
 
 
-def with_defaults(df: DataFrame, defaults: dict) -> DataFrame:
-    """Add constant columns for names that are missing (kept if present)."""
-    missing = {k: F.lit(v) for k, v in defaults.items() if k not in df.columns}
-    return df.withColumns(missing) if missing else df
-
-
 def columns_like(df: DataFrame, fragment: str) -> list[str]:
     return [c for c in df.columns if fragment in c]
 
@@ -89,12 +83,6 @@ def numeric_columns(df: DataFrame, exclude: Iterable[str] = ()) -> list[str]:
             if isinstance(f.dataType, _NUMERIC) and f.name not in skip]
 
 
-def string_columns(df: DataFrame, exclude: Iterable[str] = ()) -> list[str]:
-    skip = set(exclude)
-    return [f.name for f in df.schema.fields
-            if isinstance(f.dataType, T.StringType) and f.name not in skip]
-
-
 def features_excluding(df: DataFrame, exclude: Iterable[str]) -> list[str]:
     skip = set(exclude)
     return [c for c in df.columns if c not in skip]

@@ -103,15 +103,16 @@ def exact_rank(df: DataFrame, order_cols: Sequence[str], partition_cols: Sequenc
 
 
 def exact_quantiles(df: DataFrame, value_col: str, probs: Sequence[float],
-                    group_cols: Sequence[str] = ()) -> DataFrame:
+                    group_cols: Sequence[str] = (), weight_col: str | None = None) -> DataFrame:
     """Exact linearly interpolated quantiles (same definition as
     ``percentile`` / ``quantile_cont``) of non-null ``value_col`` per group.
+    ``weight_col``: a row stands for so many (a positive integer).
 
     Returns (group..., prob, quantile, n).  Groups without values are absent.
     """
     groups = list(group_cols)
-    counts = cut_lineage(df.where(F.col(value_col).isNotNull())
-                           .groupBy(*groups, value_col).agg(F.count(F.lit(1)).alias("_n")))
+    number = F.count(F.lit(1)) if weight_col is None else F.sum(weight_col)
+    counts = cut_lineage(df.where(F.col(value_col).isNotNull()).groupBy(*groups, value_col).agg(number.alias("_n")))
     ranked = running_total(counts, value_col, ["_n"], groups, prefix="_cum")
     sizes = counts.groupBy(*groups).agg(F.sum("_n").alias("_size"))
     targets = (sizes

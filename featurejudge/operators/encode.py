@@ -189,12 +189,6 @@ def top_k_values(df: DataFrame, col: str, k: int = 10, prefix_chars: int = 64) -
     return top.withColumn("rank", F.row_number().over(Window.orderBy(F.desc("n"), F.asc(col))))
 
 
-def top_k_count_matrix(df: DataFrame, key: str, col: str, k: int = 10, prefix: str = "cmd") -> DataFrame:
-    """Per-key counts of the k most frequent values of ``col``."""
-    vocab = [r[0] for r in top_k_values(df, col, k).collect()]
-    return count_matrix(df.where(F.col(col).isin(vocab)), key, {col: vocab}, prefix)
-
-
 def row_sum(cols: Iterable[Column | str]) -> Column:
     """Row-wise sum with nulls skipped (0 for an empty set)."""
     total = F.lit(0)
@@ -204,11 +198,6 @@ def row_sum(cols: Iterable[Column | str]) -> Column:
     return total
 
 
-def threshold_flag(col: Column | str, threshold=1) -> Column:
-    c = F.col(col) if isinstance(col, str) else col
-    return (c > threshold).cast("int")
-
-
 def abs_threshold_flag(col: Column | str, threshold=1) -> Column:
     c = F.col(col) if isinstance(col, str) else col
     return F.coalesce((F.abs(c) > threshold).cast("int"), F.lit(0))

@@ -8,6 +8,7 @@ running total, so no window orders the whole prediction table in one task.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -15,8 +16,10 @@ from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
 from featurejudge.operators.cumulative import exact_quantiles, running_total
+from featurejudge.session import cut_lineage
 
 MAX_CLASSES = 300             # more classes than this are refused: tables hold classes x classes cells
+MAX_CELLS = 1_000_000         # of the confusion tables of all models that are evaluated at once
 
 
 def class_values(df: DataFrame, *cols: str, max_classes: int = MAX_CLASSES) -> list:
@@ -63,18 +66,18 @@ def accuracy(pred: DataFrame, label: str, prediction: str) -> DataFrame:
                     F.avg((F.col(label) == F.col(prediction)).cast("double")).alias("accuracy"))
 
 
-def per_class_stats(cm: DataFrame) -> DataFrame:
-    """(cls, support, tp, predicted, precision, recall, f1_score) from dense
-    counts in one aggregation: each cell counts toward its true class's
+def per_class_stats(cm: DataFrame, by: Sequence[str] = ()) -> DataFrame:
+    """(by..., cls, support, tp, predicted, precision, recall, f1_score) from
+    dense counts in one aggregation: each cell counts toward its true class's
     support and its predicted class's column total.  0/0 -> 0 as in the
-    surveyed reports."""
+    surveyed reports.  ``by``: columns that keep tables apart (models)."""
     cell = F.explode(F.array(
         F.struct(F.col("true_class").alias("cls"), F.col("n").alias("support"),
                  F.when(F.col("true_class") == F.col("pred_class"), F.col("n")).otherwise(0).alias("tp"),
                  F.lit(0).cast("long").alias("predicted")),
         F.struct(F.col("pred_class").alias("cls"), F.lit(0).cast("long").alias("support"),
                  F.lit(0).cast("long").alias("tp"), F.col("n").alias("predicted"))))
-    s = cm.select(cell.alias("c")).select("c.*").groupBy("cls").agg(
+    s = cm.select(*by, cell.alias("c")).select(*by, "c.*").groupBy(*by, "cls").agg(
         F.sum("support").alias("support"), F.sum("tp").alias("tp"), F.sum("predicted").alias("predicted"))
     precision = F.when(F.col("predicted") > 0, F.col("tp") / F.col("predicted")).otherwise(0.0)
     recall = F.when(F.col("support") > 0, F.col("tp") / F.col("support")).otherwise(0.0)
@@ -91,19 +94,19 @@ def classification_report(pred: DataFrame, label: str, prediction: str,
     return report_from_counts(confusion_counts(pred, label, prediction, classes))
 
 
-def report_from_counts(cm: DataFrame) -> DataFrame:
-    """The report from a dense (true_class, pred_class, n) table.  The
+def report_from_counts(cm: DataFrame, by: Sequence[str] = ()) -> DataFrame:
+    """The report from a dense (by..., true_class, pred_class, n) table.  The
     summary rows come from windows over the per-class table (one row per
-    class), so the counts are read once."""
-    st = per_class_stats(cm)
-    allc = Window.partitionBy()  # one row per class
+    class and ``by``), so the counts are read once."""
+    st = per_class_stats(cm, by)
+    allc = Window.partitionBy(*by)  # one row per class
     st = st.withColumns({
         "_n": F.sum("support").over(allc), "_tp": F.sum("tp").over(allc),
         "_mp": F.avg("precision").over(allc), "_mr": F.avg("recall").over(allc), "_mf": F.avg("f1_score").over(allc),
         "_wp": F.sum(F.col("precision") * F.col("support")).over(allc),
         "_wr": F.sum(F.col("recall") * F.col("support")).over(allc),
         "_wf": F.sum(F.col("f1_score") * F.col("support")).over(allc),
-        "_first": F.row_number().over(Window.orderBy("cls")) == 1})
+        "_first": F.row_number().over(Window.partitionBy(*by).orderBy("cls")) == 1})
     n = F.col("_n").cast("double")
     acc = F.col("_tp") / n
 
@@ -116,7 +119,7 @@ def report_from_counts(cm: DataFrame) -> DataFrame:
                row(F.lit("macro avg"), F.col("_mp"), F.col("_mr"), F.col("_mf"), n),
                row(F.lit("weighted avg"), F.col("_wp") / n, F.col("_wr") / n, F.col("_wf") / n, n)]
     rows = F.when(F.col("_first"), F.array(own, *summary)).otherwise(F.array(own))
-    return st.select(F.explode(rows).alias("r")).select("r.*")
+    return st.select(*by, F.explode(rows).alias("r")).select(*by, "r.*")
 
 
 def per_class_recall(pred: DataFrame, label: str, prediction: str, classes: Sequence | None = None) -> DataFrame:
@@ -212,10 +215,11 @@ def probability_long(df: DataFrame, true_col: str, prob_col: str, class_names: S
              .withColumn("pred_class", F.element_at(names, F.col("_pos") + 1)).drop("_pos")
 
 
-def box_stats(long: DataFrame, group_cols: Sequence[str], value_col: str) -> DataFrame:
-    """Five numbers, IQR and 1.5*IQR whiskers per group (exact quantiles)."""
+def box_stats(long: DataFrame, group_cols: Sequence[str], value_col: str, weight_col: str | None = None) -> DataFrame:
+    """Five numbers, IQR and 1.5*IQR whiskers per group (exact quantiles).
+    ``weight_col``: a row stands for so many."""
     groups = list(group_cols)
-    q = exact_quantiles(long, value_col, [0.25, 0.5, 0.75], groups)
+    q = exact_quantiles(long, value_col, [0.25, 0.5, 0.75], groups, weight_col)
     qw = q.groupBy(*groups).agg(
         F.max(F.when(F.col("prob") == 0.25, F.col("quantile"))).alias("q1"),
         F.max(F.when(F.col("prob") == 0.5, F.col("quantile"))).alias("median"),
@@ -223,7 +227,93 @@ def box_stats(long: DataFrame, group_cols: Sequence[str], value_col: str) -> Dat
     qw = qw.withColumn("iqr", F.col("q3") - F.col("q1"))
     # one row per group; AQE broadcasts it at run time when small
     v = F.col(value_col)
+    number = F.count(v) if weight_col is None else F.sum(F.when(v.isNotNull(), F.col(weight_col)))
     return long.join(qw, groups, "inner").groupBy(*groups, "q1", "median", "q3", "iqr").agg(
-        F.count(v).alias("n"), F.min(v).alias("min"), F.max(v).alias("max"),
+        number.alias("n"), F.min(v).alias("min"), F.max(v).alias("max"),
         F.min(F.when(v >= F.col("q1") - 1.5 * F.col("iqr"), v)).alias("lower_whisker"),
         F.max(F.when(v <= F.col("q3") + 1.5 * F.col("iqr"), v)).alias("upper_whisker"))
+
+
+# --------------------------------------------------------------------------
+# many models at once
+# --------------------------------------------------------------------------
+
+@dataclass(frozen=True)
+class Evaluation:
+    """Tables of ``evaluate``; every one starts with the column ``model``."""
+    accuracy: DataFrame       # n, n_correct, accuracy
+    confusion: DataFrame      # true_class, pred_class, n (dense)
+    report: DataFrame         # class, precision, recall, f1_score, support
+    recall: DataFrame         # class, support, tp, recall
+    predicted: DataFrame      # class, n_pred
+    roc: DataFrame            # class, threshold, tp, fp, tpr, fpr
+    auc: DataFrame            # class, auc, n_pos, n_neg
+    boxes: DataFrame          # true_class, class, n, min, q1, median, q3, iqr, max, whiskers
+
+    def metrics(self) -> DataFrame:
+        """(model, metric, value): accuracy, macro and weighted F1, AUC a class."""
+        f1 = self.report.where(F.col("class").isin("macro avg", "weighted avg")).select(
+            "model", F.concat(F.split("class", " ")[0], F.lit("_f1")).alias("metric"), F.col("f1_score").alias("value"))
+        area = self.auc.where(F.col("auc").isNotNull()).select(
+            "model", F.concat(F.lit("auc_"), F.col("class").cast("string")).alias("metric"), F.col("auc").alias("value"))
+        return self.accuracy.select("model", F.lit("accuracy").alias("metric"), F.col("accuracy").alias("value")).unionByName(f1).unionByName(area)
+
+
+def evaluate(predictions: DataFrame, label: str = "target", model: str = "model", prediction: str = "prediction",
+             probability: str = "probability") -> Evaluation:
+    """Every evaluation table of any number of models from one scan of
+    ``predictions``: a row a model and judged row, with class numbers as label
+    and prediction and the class probabilities by position.
+
+    The scan is reduced, in one partial aggregation, to counts by (model, true
+    class, predicted class) and by (model, class, true class, score); all
+    tables read only those counts, which are written once.  A row without
+    label or prediction is not judged; one without probabilities counts in
+    the tables of predictions alone.  The ROC lists all distinct scores."""
+    cell = F.array(F.struct(F.lit(-1).alias("c"), F.col(prediction).cast("int").alias("p"), F.lit(None).cast("double").alias("s")))
+    scores = F.transform(F.coalesce(F.col(probability).cast("array<double>"), F.array().cast("array<double>")),
+                         lambda s, i: F.struct(i.alias("c"), F.lit(None).cast("int").alias("p"), s.alias("s")))
+    counts = cut_lineage(judged(predictions, label, prediction)
+                         .select(F.col(model).alias("model"), F.col(label).cast("int").alias("y"), F.explode(F.concat(cell, scores)).alias("e"))
+                         .groupBy("model", "y", "e.c", "e.p", "e.s").agg(F.count(F.lit(1)).alias("n")))
+    cells = counts.where("c = -1").select("model", "y", "p", "n").limit(MAX_CELLS + 1).collect()
+    classes = sorted({v for r in cells for v in (r["y"], r["p"])} | {r["c"] for r in counts.where("c >= 0").select("c").distinct()
+                                                                     .limit(MAX_CLASSES + 1).collect()})
+    models = sorted({r["model"] for r in cells})
+    if len(classes) > MAX_CLASSES or len(cells) > MAX_CELLS or len(models) * len(classes) ** 2 > MAX_CELLS:
+        raise ValueError(f"more than {MAX_CLASSES} classes or {MAX_CELLS} cells")
+    held = {(r["model"], r["y"], r["p"]): r["n"] for r in cells}
+    confusion = predictions.sparkSession.createDataFrame(
+        [(m, a, b, held.get((m, a, b), 0)) for m in models for a in classes for b in classes],
+        "model string, true_class int, pred_class int, n long")
+    hits = F.sum(F.when(F.col("true_class") == F.col("pred_class"), F.col("n")).otherwise(0))
+    accuracy = confusion.groupBy("model").agg(F.sum("n").alias("n"), hits.alias("n_correct")).withColumn("accuracy", F.col("n_correct") / F.col("n"))
+    stats = per_class_stats(confusion, ["model"])
+    recall = stats.select("model", F.col("cls").alias("class"), F.col("support").cast("long").alias("support"), F.col("tp").cast("long").alias("tp"), "recall")
+    predicted = confusion.groupBy("model", F.col("pred_class").alias("class")).agg(F.sum("n").alias("n_pred"))
+
+    scored = counts.where("c >= 0 AND s IS NOT NULL").select("model", F.col("c").alias("class"), "y", F.col("s").alias("threshold"), "n")
+    points = scored.groupBy("model", "class", "threshold").agg(
+        F.sum("n").alias("n_all"), F.sum(F.when(F.col("y") == F.col("class"), F.col("n")).otherwise(0)).alias("n_pos"))
+    cum = cut_lineage(running_total(points, "threshold", ["n_all", "n_pos"], ["model", "class"], descending=True))
+    totals = points.groupBy("model", "class").agg(F.sum("n_pos").alias("pos"), F.sum(F.col("n_all") - F.col("n_pos")).alias("neg"))
+    fp = F.col("cum_n_all") - F.col("cum_n_pos")
+    roc = cum.join(totals, ["model", "class"]).select(
+        "model", "class", "threshold", F.col("cum_n_pos").cast("long").alias("tp"), fp.cast("long").alias("fp"),
+        F.try_divide(F.col("cum_n_pos"), F.col("pos")).alias("tpr"), F.try_divide(fp, F.col("neg")).alias("fpr"))
+    area = (F.col("n_all") - F.col("n_pos")) * (2 * F.col("cum_n_pos") - F.col("n_pos")) / 2.0
+    auc_ = (cum.groupBy("model", "class").agg(F.sum(area).alias("a"), F.sum("n_pos").alias("n_pos"), F.sum(F.col("n_all") - F.col("n_pos")).alias("n_neg"))
+            .select("model", "class", F.when((F.col("n_pos") > 0) & (F.col("n_neg") > 0), F.col("a") / (F.col("n_pos") * F.col("n_neg"))).alias("auc"),
+                    F.col("n_pos").cast("long").alias("n_pos"), F.col("n_neg").cast("long").alias("n_neg")))
+    boxes = box_stats(scored.withColumnsRenamed({"y": "true_class", "threshold": "probability"}), ["model", "true_class", "class"], "probability", "n")
+    return Evaluation(accuracy, confusion, report_from_counts(confusion, ["model"]), recall, predicted, roc, auc_, boxes)
+
+
+def checked_probabilities(scored: DataFrame, keep: Sequence[str], prediction: str = "prediction", probability: str = "probability") -> DataFrame:
+    """(keep..., n_classes, total, in_range, is_greatest): per row what must
+    hold for any classifier: one probability a class, all in [0, 1] and with
+    the sum 1, and a prediction of the greatest one."""
+    p = F.col(probability)
+    return scored.select(*keep, F.size(p).alias("n_classes"), F.round(F.aggregate(p, F.lit(0.0), lambda a, x: a + x), 6).alias("total"),
+                         F.forall(p, lambda x: (x >= 0) & (x <= 1)).cast("int").alias("in_range"),
+                         (F.array_max(p) - F.get(p, F.col(prediction)) < 1e-9).cast("int").alias("is_greatest"))

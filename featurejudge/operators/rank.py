@@ -120,6 +120,27 @@ def coef_summary(coefs: DataFrame, feature: str = "feature", coef: str = "coef",
         Window.orderBy(F.desc("mean_abs_coef"), F.asc(feature))))
 
 
+def top_coefficient_rows(coefs: DataFrame, k: int = 10, feature: str = "feature", coef: str = "coef",
+                         places: int | None = None) -> DataFrame:
+    """The coefficient rows of the ``k`` features with the greatest sum of
+    absolute coefficients (ties by name), with that sum and the position.
+    The k best are found from one row a feature and looked up by a join."""
+    total = F.sum(F.abs(coef))
+    best = (coefs.groupBy(feature).agg((total if places is None else F.round(total, places)).alias("sum_abs_coef"))
+            .orderBy(F.desc("sum_abs_coef"), F.asc(feature)).limit(k))
+    best = best.withColumn("position", F.row_number().over(Window.orderBy(F.desc("sum_abs_coef"), F.asc(feature))))   # k rows
+    return coefs.join(F.broadcast(best), feature)
+
+
+def first_features_line(imp: DataFrame, k: int = 3, model: str = "model", feature: str = "feature", value: str = "importance") -> DataFrame:
+    """(model, line, n): the first ``k`` features of each model as a line of a
+    text report, "1. a, 2. b, 3. c"."""
+    top = top_features(imp, k, model, feature, value)
+    entry = F.struct("rank", F.concat(F.col("rank").cast("string"), F.lit(". "), F.col(feature)).alias("t"))
+    return top.groupBy(model).agg(F.array_sort(F.collect_list(entry)).alias("e")).select(
+        model, F.array_join(F.transform("e", lambda e: e["t"]), ", ").alias("line"), F.size("e").cast("long").alias("n"))
+
+
 def scorecard(df: DataFrame, key: str, label: str, rules: Sequence[tuple[Column, str, str]],
               sep: str = " | ") -> DataFrame:
     """Per row: the verdict text of each rule joined by ``sep`` and the count

@@ -54,6 +54,35 @@ def load_tables(spark: SparkSession, specs: list[TableSpec]) -> dict[str, DataFr
     return tables
 
 
+CORRUPT = "_corrupt"
+
+
+def load_checked(spark: SparkSession, path: str, schema: T.StructType | str, fmt: str = "csv", not_null: tuple[str, ...] = (),
+                 **options) -> tuple[DataFrame, DataFrame]:
+    """(good, bad) rows of a text table under a declared schema.  ``bad`` has
+    the raw line and a reason: ``malformed`` (a value that is not of its type,
+    too few or too many fields, broken JSON) or ``missing <column>`` for the
+    first column of ``not_null`` without a value.  Nothing is dropped: every
+    line of the input is in exactly one of the two."""
+    declared = T.StructType.fromDDL(schema) if isinstance(schema, str) else schema
+    # nullable while reading: a missing value is judged below, not by the parser
+    read = T.StructType([T.StructField(f.name, f.dataType) for f in declared] + [T.StructField(CORRUPT, T.StringType())])
+    # a reader that prunes columns does not look at the others, so a line's verdict would depend on the query
+    raw = (spark.read.format(fmt).schema(read).option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", CORRUPT)
+           .option("columnPruning", False).options(**options).load(path))
+    if fmt == "csv":
+        line = F.to_csv(F.struct(*[F.col(f"`{f.name}`") for f in declared]))
+    else:
+        line = F.to_json(F.struct(*[F.col(f"`{f.name}`") for f in declared]))
+    reason = F.when(F.col(CORRUPT).isNotNull(), F.lit("malformed"))
+    for c in not_null:
+        reason = reason.when(F.col(f"`{c}`").isNull(), F.lit(f"missing {c}"))
+    judged = raw.withColumn("_reason", reason)
+    good = judged.where(F.col("_reason").isNull()).drop(CORRUPT, "_reason")
+    bad = judged.where(F.col("_reason").isNotNull()).select(F.coalesce(CORRUPT, line).alias("line"), F.col("_reason").alias("reason"))
+    return good, bad
+
+
 def require(tables: dict, *names: str) -> None:
     missing = [n for n in names if n not in tables]
     if missing:
@@ -64,23 +93,6 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
-    """Explicit caller option, used by no query: redistribute rows round-robin
-    when a scan yields fewer partitions than the session has cores (e.g. one
-    large parquet row group).  It shuffles the whole rows, so prefer a better
-    file layout or a smaller ``spark.sql.files.maxPartitionBytes``."""
-    try:
-        target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
-        current = df.rdd.getNumPartitions()
-    except Exception:  # no RDD view (e.g. a Spark Connect session): leave as is
-        return df
-    return df.repartition(target) if current < target else df
-
-
-def driver_tables(spark: SparkSession, sf_dir: str, names=DRIVER_TABLES) -> dict[str, DataFrame]:
-    return load_tables(spark, [TableSpec(n, f"{sf_dir}/{n}.parquet") for n in names])
-
-
 def write_split(df: DataFrame, path: str, split_col: str = "split", mode: str = "overwrite") -> None:
     """The prepared feature table, partitioned by split so a reader of one
     split touches only its files."""
@@ -108,22 +120,34 @@ def write_csv(df: DataFrame, path: str, decimals: int | None = None, mode: str =
         df = df.select(*[F.round(F.col(f.name), decimals).alias(f.name)
                          if isinstance(f.dataType, (T.DoubleType, T.FloatType)) else F.col(f.name)
                          for f in df.schema.fields])
-    df.write.mode(mode).option("header", True).csv(path)
+    # quotes inside a field are doubled, as spreadsheets and other readers expect
+    df.write.mode(mode).option("header", True).option("escape", '"').csv(path)
 
 
 def run_id_now() -> str:
     return f"{datetime.now():%Y%m%d_%H%M%S}"
 
 
+def write_run(df: DataFrame, path: str, run_id: str) -> None:
+    """Rows of a run (with a column ``model``) into the registry at ``path``,
+    partitioned by run and model.  Writing a run's model again replaces its
+    rows and no others', so a repeated or retried job leaves one copy."""
+    (df.withColumn("run_id", F.lit(run_id)).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+       .partitionBy("run_id", "model").parquet(path))
+
+
 def append_run_metrics(spark: SparkSession, path: str, run_id: str, model: str, metrics: dict) -> None:
-    """One row per (run_id, model, metric) appended to the run table."""
-    rows = [(run_id, model, k, float(v)) for k, v in metrics.items()]
-    spark.createDataFrame(rows, "run_id string, model string, metric string, value double") \
-         .write.mode("append").partitionBy("run_id").parquet(path)
+    """One row per (run_id, model, metric) in the run table."""
+    rows = [(model, k, float(v)) for k, v in metrics.items()]
+    write_run(spark.createDataFrame(rows, "model string, metric string, value double"), path, run_id)
 
 
 def read_run_metrics(spark: SparkSession, path: str, run_id: str | None = None) -> DataFrame:
-    df = spark.read.parquet(path)
+    """The run table, or one run of it (only that run's files are read)."""
+    # names of runs and models are texts, also where they look like numbers
+    names = ("run_id", "model")
+    schema = T.StructType([T.StructField(f.name, T.StringType()) if f.name in names else f for f in spark.read.parquet(path).schema])
+    df = spark.read.schema(schema).parquet(path)
     return df if run_id is None else df.where(F.col("run_id") == run_id)
 
 

@@ -383,7 +383,7 @@ def safe_parse(spark, sf):
 
 def _load_all() -> None:
     # query modules register themselves on import
-    from featurejudge.plans import composite, evaluation, fitted, ml  # noqa: F401
+    from featurejudge.plans import chain, composite, evaluation, fitted, ml, storage  # noqa: F401
 
 
 def all_queries() -> dict:

@@ -1,7 +1,7 @@
 """Collocations by FM-indexes over word ids (operator 13).
 
 Tasks read documents into shards, one a language and about ``SHARD_WORDS``
-words.  Two passes over the text:
+words.  Three passes over the text:
 
 1. ``sketch``: counts of words and word pairs, hashed into one fixed table of
    counters that stop at the least count asked for.  A counter is never below
@@ -10,7 +10,8 @@ words.  Two passes over the text:
    the result is the same, only more n-grams travel if the table is crowded
    (beyond about ``limit * 2**SKETCH_BITS`` words; at worst one row an n-gram
    length and word).
-2. ``counts``: of what is left each shard builds a bidirectional FM-index
+2. The same for runs of three words whose pairs may be frequent.
+3. ``counts``: of what is left each shard builds a bidirectional FM-index
    (``Index``), enumerates its n-grams of up to ``DEPTH`` words by interval
    extension, to the right and to the left in turn, and returns them with
    their counts, packed into a row a hash bucket.  The counts are summed over
@@ -99,10 +100,18 @@ def _word_hashes(lang: str, words: np.ndarray) -> np.ndarray:
     return np.fromiter((xxhash.xxh64_intdigest(w, seed) for w in words), np.uint64, len(words))
 
 
-def _pair_slots(hashes: np.ndarray, left: np.ndarray, right: np.ndarray, bits: int) -> np.ndarray:
-    mixed = (hashes[left] * np.uint64(0x9E3779B97F4A7C15) + hashes[right]) * np.uint64(0xD6E8FEB86659FD93)
-    mixed ^= mixed >> np.uint64(32)
-    return ((mixed * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(64 - bits)).astype(np.int64)
+def _slots(hashes: np.ndarray, symbols: np.ndarray, bits: int) -> np.ndarray:
+    """Counter of each n-gram (rows of word ids), alike in all shards."""
+    mixed = np.zeros(len(symbols), np.uint64)
+    for column in symbols.T:
+        mixed = (mixed ^ hashes[column]) * np.uint64(0x9E3779B97F4A7C15)
+        mixed ^= mixed >> np.uint64(29)
+    return (mixed * np.uint64(0xD6E8FEB86659FD93) >> np.uint64(64 - bits)).astype(np.int64)
+
+
+def _runs(ids: np.ndarray, at: np.ndarray, n: int) -> np.ndarray:
+    """The n words from each place on, as rows."""
+    return ids[at[:, None] + np.arange(n)]
 
 
 def _counter_type(limit: int) -> type:
@@ -121,20 +130,28 @@ def _by_slot(slots: np.ndarray, numbers: np.ndarray) -> tuple[np.ndarray, np.nda
     return slots[first], np.add.reduceat(numbers, first) if len(first) else numbers
 
 
-def sketch(texts: DataFrame, limit: int, bits: int, shard_words: int) -> bytes:
-    """Counters of all words and word pairs of (lang, text).  Every task sends
-    its blocks that are not zero; the sums are ``2**bits`` counters."""
+def sketch(texts: DataFrame, limit: int, bits: int, shard_words: int, pairs=None) -> bytes:
+    """Counters of all words and word pairs of (lang, text); with ``pairs`` (a
+    broadcast table of those) counters of the runs of three words whose pairs
+    may be frequent.  Every task sends its blocks that are not zero; the sums
+    are ``2**bits`` counters."""
     kind = _counter_type(limit)
 
     def run(batches):
         table = np.zeros(1 << bits, kind)
+
+        def count_runs(hashes, ids, at, n):
+            slots = _slots(hashes, _runs(ids, at, n), bits)
+            _add(table, *_by_slot(slots, np.ones(len(slots), np.int64)), limit)
         for lang, ids, words in _shards(batches, shard_words):
             hashes = _word_hashes(lang, words)
-            numbers = np.bincount(ids, minlength=len(words))[1:]
-            _add(table, *_by_slot((hashes[1:] >> np.uint64(64 - bits)).astype(np.int64), numbers), limit)
-            at = np.flatnonzero((ids[:-1] > 0) & (ids[1:] > 0))
-            slots = _pair_slots(hashes, ids[at], ids[at + 1], bits)
-            _add(table, *_by_slot(slots, np.ones(len(slots), np.int64)), limit)
+            if pairs is None:
+                numbers = np.bincount(ids, minlength=len(words))[1:]
+                _add(table, *_by_slot(_slots(hashes, np.arange(1, len(words))[:, None], bits), numbers), limit)
+                count_runs(hashes, ids, np.flatnonzero((ids[:-1] > 0) & (ids[1:] > 0)), 2)
+            else:
+                _, at = _alive_pairs(ids, hashes, np.frombuffer(pairs.value, kind), limit, bits)
+                count_runs(hashes, ids, at[:-1][at[1:] == at[:-1] + 1], 3)
         blocks = table.reshape(-1, min(BLOCK, 1 << bits))
         some = np.flatnonzero(blocks.any(axis=1))
         for at in range(0, len(some), 1_000):
@@ -224,8 +241,10 @@ class Index:
         self.forward = Half(text, depth)                  # its BWT holds what stands before: extensions to the left
         self.backward = Half(text[::-1], depth)           # extensions to the right
 
-    def ngrams(self) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-        """For 2, 3 ... words: (symbols of each n-gram, counts), each n-gram once."""
+    def ngrams(self, may=None) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """For 2, 3 ... words: (symbols of each n-gram, counts), each n-gram
+        once.  ``may``: of n-grams (rows of symbols), which are of interest;
+        others are neither listed nor extended."""
         numbers = np.bincount(self.text)
         c = np.cumsum(numbers) - numbers
         there = np.flatnonzero(numbers[1:]) + 1
@@ -235,18 +254,27 @@ class Index:
                 _, _, back, ahead, size = self.backward.extend(back, ahead, size)
             else:
                 _, _, ahead, back, size = self.forward.extend(ahead, back, size)
+            symbols = self.text[self.forward.order[ahead][:, None] + np.arange(n)]
+            if may is not None:
+                ok = may(symbols)
+                symbols, ahead, back, size = symbols[ok], ahead[ok], back[ok], size[ok]
             if not len(size):
                 return
-            yield self.text[self.forward.order[ahead][:, None] + np.arange(n)], size
+            yield symbols, size
 
 
-def _alive(ids: np.ndarray, hashes: np.ndarray, table: np.ndarray, limit: int, bits: int) -> tuple[np.ndarray, np.ndarray]:
-    """(ids that may be frequent, text of the word pairs that may be: runs of
-    words with a 0 wherever a pair is surely too rare)."""
-    frequent = table[(hashes >> np.uint64(64 - bits)).astype(np.int64)] >= limit
+def _alive_pairs(ids: np.ndarray, hashes: np.ndarray, table: np.ndarray, limit: int, bits: int) -> tuple[np.ndarray, np.ndarray]:
+    """(words that may be frequent, places of pairs that may be)."""
+    frequent = table[_slots(hashes, np.arange(len(hashes))[:, None], bits)] >= limit
     frequent[0] = False
     at = np.flatnonzero(frequent[ids[:-1]] & frequent[ids[1:]])
-    at = at[table[_pair_slots(hashes, ids[at], ids[at + 1], bits)] >= limit]
+    return frequent, at[table[_slots(hashes, _runs(ids, at, 2), bits)] >= limit]
+
+
+def _alive(ids: np.ndarray, hashes: np.ndarray, table: np.ndarray, limit: int, bits: int) -> tuple[np.ndarray, np.ndarray]:
+    """(words that may be frequent, text of the word pairs that may be: runs of
+    words with a 0 wherever a pair is surely too rare)."""
+    frequent, at = _alive_pairs(ids, hashes, table, limit, bits)
     if not len(at):
         return frequent, np.zeros(1, ids.dtype)
     # words of kept pairs in order; a word that ends one pair and starts the next comes once
@@ -268,20 +296,29 @@ def counts(docs: DataFrame, limit: int = MIN_COUNT, depth: int = DEPTH, bits: in
     the number of all its words."""
     spark = docs.sparkSession
     texts = docs.select(F.coalesce(F.col(lang), F.lit(UNKNOWN)).alias("lang"), F.coalesce(F.col(text), F.lit("")).alias("text"))
-    shared = spark.sparkContext.broadcast(sketch(texts, limit, bits, shard_words))
+    # two tables of 2**bits counters
+    pairs = spark.sparkContext.broadcast(sketch(texts, limit, bits, shard_words))
+    triples = spark.sparkContext.broadcast(sketch(texts, limit, bits, shard_words, pairs))
     n_buckets = 4 * int(spark.conf.get("spark.sql.shuffle.partitions"))
 
     def run(batches):
-        table = np.frombuffer(shared.value, _counter_type(limit))
+        of_pairs, of_triples = (np.frombuffer(t.value, _counter_type(limit)) for t in (pairs, triples))
         for name, ids, words in _shards(batches, shard_words):
             hashes = _word_hashes(name, words)
             single = np.bincount(ids, minlength=len(words))
-            frequent, kept = _alive(ids, hashes, table, limit, bits)
+            frequent, kept = _alive(ids, hashes, of_pairs, limit, bits)
+
+            def may(symbols, hashes=hashes):
+                """No three words of it are surely too rare."""
+                ok = np.ones(len(symbols), bool)
+                for k in range(symbols.shape[1] - 2):
+                    ok &= of_triples[_slots(hashes, symbols[:, k:k + 3], bits)] >= limit
+                return ok
             yield _packed(name, 0, np.zeros(1, np.int64), [b""], np.array([single[1:].sum()]))
             there = np.flatnonzero(frequent)
             if len(there):
                 yield _packed(name, 1, _buckets(hashes, there[:, None], n_buckets), words[there].tolist(), single[there])
-            for symbols, size in Index(kept, depth).ngrams():
+            for symbols, size in Index(kept, depth).ngrams(may):
                 yield _packed(name, symbols.shape[1], _buckets(hashes, symbols, n_buckets), [b" ".join(g) for g in words[symbols].tolist()], size)
 
     def merge(batches):
@@ -304,11 +341,7 @@ def counts(docs: DataFrame, limit: int = MIN_COUNT, depth: int = DEPTH, bits: in
 
 def _buckets(hashes: np.ndarray, symbols: np.ndarray, n: int) -> np.ndarray:
     """Bucket of each n-gram, alike in all shards."""
-    mixed = np.zeros(len(symbols), np.uint64)
-    for column in symbols.T:
-        mixed = (mixed ^ hashes[column]) * np.uint64(0x9E3779B97F4A7C15)
-        mixed ^= mixed >> np.uint64(29)
-    return (mixed % np.uint64(n)).astype(np.int64)
+    return _slots(hashes, symbols, 62) % n
 
 
 def _packed(lang: str, length: int, buckets: np.ndarray, phrases: list[bytes], numbers: np.ndarray) -> pa.RecordBatch:

@@ -25,6 +25,7 @@ WIDTH = 8                       # template words in a window; a power of two
 MIN_SHARE = 0.5                 # of an item's windows that must be matched
 MIN_LITERALS = 3                # words that are no placeholder in an item's window that is joined by
 SHORT = ((11, 4), (8, 3))       # (item's words, window) of items under 3 * WIDTH - 1 words
+MIN_WORDS, MIN_CHARS = 4, 20    # an item with fewer words and fewer characters is not judged
 SIEVE = 1 << 16                 # residues of item hashes that are told apart before the join
 BROADCAST_BYTES = 32 << 20      # most bytes of item windows that are broadcast
 
@@ -87,26 +88,39 @@ def value_hashes(words: Column) -> Column:
     return F.transform(words, lambda w: F.xxhash64(value(w)))
 
 
-def hashed(table: DataFrame, id_col: str, text_col: str, kinds: list[tuple[bool, int]]) -> DataFrame:
-    """(id, words, hashes): template words of whole texts, and the hashes of their
-    runs, one kind (by value or not, width) behind the other."""
+def hashed(table: DataFrame, text_col: str, kinds: list[tuple[bool, int]]) -> DataFrame:
+    """The columns of ``table`` but the text, with words and hashes: template
+    words of whole texts, and the hashes of their runs, one kind (by value or
+    not, width) behind the other."""
     def all_runs(by_value):
         widths = [w for exact, w in kinds if exact == by_value]
         hashes = value_hashes(F.col("words")) if by_value else word_hashes(F.col("words"))
         return [let(hashes, lambda h: F.concat(*[runs(h, w) for w in widths]))] if widths else []
-    parts = all_runs(False) + all_runs(True)
-    return (table.select(F.col(id_col).alias("id"), template(F.col(text_col)).alias("words"))
-            .select("id", "words", (F.concat(*parts) if parts else F.array().cast("array<long>")).alias("hashes")))
+    parts, rest = all_runs(False) + all_runs(True), [c for c in table.columns if c != text_col]
+    return (table.select(*rest, template(F.col(text_col)).alias("words"))
+            .select(*rest, "words", (F.concat(*parts) if parts else F.array().cast("array<long>")).alias("hashes")))
+
+
+def judgeable(item_words: Column) -> Column:
+    """An item that says enough: found by chance, a shorter one proves nothing."""
+    return (F.size(item_words) >= MIN_WORDS) | (F.length(F.array_join(item_words, " ")) >= MIN_CHARS)
+
+
+def unjudged_items(benchmark: DataFrame, id_col: str = "item_id", text_col: str = "text") -> DataFrame:
+    """(item_id, n_words): items that are not looked for: under ``MIN_WORDS``
+    words and ``MIN_CHARS`` characters (also null and empty ones)."""
+    rows = benchmark.select(F.col(id_col).alias("item_id"), template(F.col(text_col)).alias("w"))
+    return rows.where(~judgeable(F.col("w"))).select("item_id", F.size("w").alias("n_words"))
 
 
 def item_table(benchmark: DataFrame, id_col: str = "item_id", text_col: str = "text", width: int = WIDTH) -> DataFrame:
-    """(item, item_id, item_words, w), one row an item with an id and a word."""
+    """(item, item_id, item_words, w), one row a judgeable item with an id."""
     rows = benchmark.select(F.col(id_col).alias("item_id"), template(F.col(text_col)).alias("item_words"))
     n, w = F.size("item_words"), F.lit(width)
     for least, short in reversed(SHORT):
         if short < width:
             w = F.when((n >= least) & (n < 3 * width - 1), short).otherwise(w)
-    return (rows.where((n > 0) & F.col("item_id").isNotNull()).distinct()
+    return (rows.where((n > 0) & judgeable(F.col("item_words")) & F.col("item_id").isNotNull()).distinct()
             .withColumn("w", w).withColumn("item", F.monotonically_increasing_id()))
 
 
@@ -155,12 +169,13 @@ def leaks(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_co
     ``n_slots`` the item's values in them and ``n_changed`` how many of these
     have another value in the document.  An item without a window to join by
     counts as one window, matched by equal words and values.  Null and wordless
-    texts match nothing.  Items without an id are left out; documents without
+    texts match nothing.  Items without an id and those of ``unjudged_items`` are left out; documents without
     an id are reported together under a null id.  Repeated rows count once;
     other columns are never read; an empty side gives an empty result.
 
     Items are broadcast if they hold at most ``broadcast_bytes``; otherwise the
-    same joins are made by shuffles."""
+    same joins are made by shuffles.  Windows travel without the document; its
+    words are built again for documents with a match alone, once for all items."""
     items = cut_lineage(item_table(benchmark, width=width))
     windows = cut_lineage(item_windows(items, width, min_literals))
     kinds = sorted((r["by_value"], r["size"]) for r in windows.select("by_value", "size").distinct().collect())
@@ -175,34 +190,39 @@ def leaks(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_co
     for r in windows.select(F.col("h").bitwiseAND(F.lit(SIEVE - 1)).cast("int").alias("bit")).distinct().collect():
         bits[r["bit"]] = 1
     sieve = F.lit(bytes(bits))
-    texts = hashed(docs, id_col, text_col, kinds)
-    if held > broadcast_bytes:
-        texts = cut_lineage(texts.withColumn("row", F.monotonically_increasing_id()))
-    hits = F.array_distinct(F.filter("hashes", lambda h: F.substring(
-        sieve, h.bitwiseAND(F.lit(SIEVE - 1)).cast("int") + 1, F.lit(1)) == F.lit(b"\x01")))
+    # a document is named by two hashes of id and text: rows that share both are repeats
+    keyed = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).select(
+        "id", "text", F.xxhash64("text").alias("k1"), F.xxhash64("id", F.lit(7), "text").alias("k2"))
+    texts = hashed(keyed.drop("id"), "text", kinds)
+
+    def spots(hs):
+        at = F.filter(F.sequence(F.lit(0), F.size(hs) - 1), lambda k: F.substring(
+            sieve, F.get(hs, k).bitwiseAND(F.lit(SIEVE - 1)).cast("int") + 1, F.lit(1)) == F.lit(b"\x01"))
+        return F.transform(at, lambda k: F.struct(k.alias("k"), F.get(hs, k).alias("h"), F.get(hs, k - 1).alias("behind")))
     # explode_outer: for explode, Spark infers a filter that would evaluate the template once more
-    own = texts.withColumn("hit", hits).select(*texts.columns, F.explode_outer("hit").alias("h")).where("h IS NOT NULL")
+    own = (texts.select("k1", "k2", F.size("words").alias("n"), F.explode_outer(let(F.col("hashes"), spots)).alias("s"))
+           .select("k1", "k2", "n", "s.k", "s.h", "s.behind").where("h IS NOT NULL"))
     # where the runs of a kind begin among a document's hashes
     begin, starts = F.lit(0), F.lit(0)
     for exact, size in kinds:
         starts = F.when((F.col("by_value") == exact) & (F.col("size") == size), begin).otherwise(starts)
         begin = begin + F.greatest(F.col("n") - size + 1, F.lit(0))
-    at = F.filter(F.sequence(F.lit(0), F.size("hashes") - 1), lambda k: F.get("hashes", k) == F.col("h"))
+    small = held <= broadcast_bytes
     # of consecutive matches on a diagonal the first is enough
-    if held <= broadcast_bytes:
-        met = own.join(F.broadcast(windows), "h").withColumn("n", F.size("words"))
-        fresh = F.filter(at, lambda k: ~F.coalesce(F.get("hashes", k - 1) == F.col("prev"), F.lit(False)))
-        met = met.select("id", "words", "item", F.explode(F.transform(fresh, lambda k: k - starts - F.col("item_pos"))).alias("start"))
-        met = met.join(F.broadcast(items), "item")
-    else:
-        met = own.select("row", "h", F.size("words").alias("n"), F.explode(F.transform(
-            at, lambda k: F.struct(k.alias("k"), F.get("hashes", k - 1).alias("behind")))).alias("spot")).join(windows, "h")
-        met = (met.where(~F.coalesce(F.col("spot.behind") == F.col("prev"), F.lit(False)))
-               .select("row", "item", (F.col("spot.k") - starts - F.col("item_pos")).alias("start")).distinct())
-        met = met.join(texts.select("row", "id", "words"), "row").join(items, "item")
-    span = F.transform("item_words", lambda x, j: F.get("words", F.col("start") + j))
-    met = met.select(F.col("id").alias("doc_id"), "item", "item_id", "start", "exact", "w",
-                     F.zip_with("item_words", span, lambda a, b: F.struct(a.alias("item"), b.alias("doc"))).alias("pairs"))
+    met = (own.join(F.broadcast(windows) if small else windows, "h").where(~F.coalesce(F.col("behind") == F.col("prev"), F.lit(False)))
+           .select("k1", "k2", "item", (F.col("k") - starts - F.col("item_pos")).alias("start")).distinct())
+    # the words are taken back once a document that has a match, and a passage is as long as its item
+    lengths = items.select("item", F.size("item_words").alias("len"))
+    met = cut_lineage(met).join(F.broadcast(lengths) if small else lengths, "item")
+    met = met.groupBy("k1", "k2").agg(F.collect_list(F.struct("item", "start", "len")).alias("c"))
+
+    def passages_in(w):
+        return F.transform("c", lambda x: F.struct(x["item"].alias("item"), x["start"].alias("start"), F.transform(
+            F.sequence(F.lit(0), x["len"] - 1), lambda j: F.get(w, x["start"] + j)).alias("span")))
+    met = keyed.join(met, ["k1", "k2"]).select("id", F.explode(let(template(F.col("text")), passages_in)).alias("p"))
+    met = met.select(F.col("id").alias("doc_id"), "p.item", "p.start", "p.span").join(F.broadcast(items) if small else items, "item")
+    met = met.select("doc_id", "item", "item_id", "start", "exact", "w",
+                     F.zip_with("item_words", "span", lambda a, b: F.struct(a.alias("item"), b.alias("doc"))).alias("pairs"))
 
     def mark(word):
         return F.when(is_slot(word), F.substring(word, 1, 1)).otherwise(word)
@@ -230,6 +250,8 @@ def leaks(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_co
 
 def decontaminate(docs: DataFrame, benchmark: DataFrame, **params) -> DataFrame:
     """``docs`` with all their columns, without the documents in which an item
-    is found.  Rows with a null id are kept."""
+    is found.  Rows with a null id, null, empty and wordless texts are kept;
+    repeated rows go or stay together; texts of any length are read whole; an
+    empty table gives an empty one; columns with any names pass unchanged."""
     found = cut_lineage(leaks(docs, benchmark, **params).select(F.col("doc_id").alias("__leaked")).distinct())
     return docs.join(found, docs[params.get("id_col", "doc_id")] == found["__leaked"], "left_anti")

@@ -2,6 +2,7 @@
 import collections
 import math
 import re
+import time
 
 import numpy as np
 import pytest
@@ -267,8 +268,10 @@ def test_some_documents_are_depleted(spark, documents):
     want = lines_by_hand([(r.doc_id, r.source, r.text) for r in documents.itertuples()], quality_rules.MAX_DOCS, quality_rules.MAX_DOCS_LONG,
                          quality_rules.MAX_SHARE)
     assert got["n_removed"].to_dict() == {k: v[0] for k, v in want.items()}
-    depleted = ~got["base_failed"] & ~got["kept"]
-    assert depleted.any() and (got["n_words"] - got["n_removed"])[depleted].lt(quality_rules.MIN_LEFT * got["n_words"][depleted]).all()
+    assert got["n_removed"].sum() > 1_000
+    large = queries.QUERIES["op7_quality_rules"](spark, "/root/testdata/sf0.1")
+    depleted = large.where("NOT base_failed AND NOT kept").collect()
+    assert len(depleted) > 5 and all(r["n_words"] - r["n_removed"] < quality_rules.MIN_LEFT * r["n_words"] for r in depleted)
 
 
 def test_quality_held_out(spark):
@@ -406,3 +409,28 @@ def test_slot_heavy_short_and_edited_items(spark):
         got = decontamination.leaks(docs, bench, broadcast_bytes=limit).collect()
         assert {(r["doc_id"], r["item_id"]) for r in got} == {(1, 1), (2, 2), (4, 3), (5, 4)}
         assert [r["share"] for r in got if r["doc_id"] == 1] == [1.0]
+
+
+def test_a_dump_of_items_costs_its_length(spark):
+    """Many items in one document: all are found, and the document is not copied for each."""
+    def item(k):
+        return " ".join(f"w{(k * 31 + j * j) % 997}x{j}" for j in range(20))
+
+    def seconds(n):
+        bench = spark.createDataFrame([(k, item(k)) for k in range(n)], "item_id long, text string")
+        docs = spark.createDataFrame([(1, " and then ".join(item(k) for k in range(n)))], "doc_id long, text string")
+        began = time.perf_counter()
+        assert sorted(r["item_id"] for r in decontamination.leaks(docs, bench).collect()) == list(range(n))
+        return time.perf_counter() - began
+    seconds(20)
+    few = seconds(50)
+    assert seconds(400) < 2 * few + 1
+
+
+def test_tiny_items_are_listed_not_found(spark):
+    bench = spark.createDataFrame([(1, "the"), (2, "a b c"), (3, "one two three four"), (4, "electroencephalography machinery"), (5, None), (6, "")],
+                                  "item_id long, text string")
+    docs = spark.createDataFrame([(1, "the a b c d"), (2, "say one two three four five"), (3, "an electroencephalography machinery here")],
+                                 "doc_id long, text string")
+    assert {(r["doc_id"], r["item_id"]) for r in decontamination.leaks(docs, bench).collect()} == {(2, 3), (3, 4)}
+    assert {r["item_id"]: r["n_words"] for r in decontamination.unjudged_items(bench).collect()} == {1: 1, 2: 3, 5: 0, 6: 0}

@@ -317,9 +317,63 @@ def test_mixing_keeps_budgets(spark, entropy, repeat, share):
         assert max(b / sums[s] for s, (_, b) in plan.items()) <= repeat + 1
 
 
+def test_passes_are_permutations(spark):
+    """Positions have no gap, passes differ in blocks and in documents, and the
+    partial pass is the beginning of the permutation that a larger budget shows whole."""
+    rows = [(k if k % 9 else None, "w " * (1 + k % 7), "big" if k % 3 else f"s{k % 5}") for k in range(1500)] + [(77, "a b", "big")] * 300
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+
+    def order(share):
+        got = mixing.mix(docs, budget_share=share, target_entropy=0.0, max_repeat=9.0, block_rows=20).toPandas()
+        out = {}
+        for (s, r), part in got.groupby(["source", "repeat"]):
+            part = part.sort_values("position")
+            assert part["position"].tolist() == list(range(len(part)))
+            assert part["block"].is_monotonic_increasing and part["block"].value_counts().max() < 120
+            out[s, r] = part["doc_id"].fillna(-1).tolist()
+        return out
+    some, more = order(2.4), order(3.0)
+    assert {r for _, r in some} == {0, 1, 2} and len(more["big", 2]) == sum(s == "big" for _, _, s in rows)
+    for (s, r), ids in some.items():
+        assert ids == more[s, r][:len(ids)] and (r < 2) == (len(ids) == len(more[s, r]))
+    assert more["big", 0] != more["big", 1] != more["big", 2] and sorted(more["big", 0]) == sorted(more["big", 1])
+    at = [{d: i for i, d in enumerate(more["big", r])} for r in (0, 1)]
+    unique = [d for d in at[0] if d not in (-1, 77)]
+    assert abs(np.corrcoef([at[0][d] for d in unique], [at[1][d] for d in unique])[0, 1]) < 0.2
+
+
+def test_block_places_are_bijections(spark):
+    for k in range(6):
+        blocks = 1 << k
+        got = spark.range(blocks).select(mixing.permuted(F.col("id"), F.lit(blocks).cast("long"), F.lit(3), F.lit(1).cast("long"), 5).alias("p")).collect()
+        assert sorted(r["p"] for r in got) == list(range(blocks))
+
+
+@pytest.mark.parametrize("share,entropy,repeat", [(1.0, 0.9, 4.0), (0.3, 0.99, 2.0), (2.0, 1.0, 1.5), (1.0, 0.0, 4.0)])
+def test_many_sources_are_planned_alike(spark, share, entropy, repeat):
+    rows = [(f"s{k}" if k else None, 1 + k % 5, (k * k * 37) % 5_000 + (k > 0)) for k in range(60)]
+    sums = spark.createDataFrame(rows, "source string, n long, tokens long")
+    here, there = (sorted(((r["source"] or ""), r["n"], r["tokens"], round(r["source_weight"], 12), r["budget"])
+                          for r in mixing.source_plan(sums, share, entropy, repeat, limit).collect()) for limit in (100, 5))
+    assert here == there
+
+
+def test_exponent_by_trying_all(monkeypatch):
+    """The bisected exponent is the one that a scan of the whole grid finds."""
+    monkeypatch.setattr(mixing, "GRID", 400)
+    rng = np.random.default_rng(3)
+    for _ in range(40):
+        tokens = {f"s{k}": int(n) for k, n in enumerate(rng.integers(0, 10_000, rng.integers(2, 9)))}
+        tokens["x"], budget, target, limit = 1, int(sum(tokens.values()) * rng.choice([0.5, 1, 3])), float(rng.choice([0.5, 0.9, 1.0])), float(rng.choice([1.2, 3, 50]))
+        n = sum(v > 0 for v in tokens.values())
+        flat = max(k for k in range(401) if mixing.entropy(mixing.weights(tokens, k / 400)) >= target * math.log(n) - 1e-12)
+        within = [k for k in range(flat, 401) if max(w * budget / tokens[s] for s, w in mixing.weights(tokens, k / 400).items()) <= limit + 1e-12]
+        assert mixing.exponent_for(tokens, budget, target, limit) == (min(within) if within else 400) / 400
+
+
 def test_mixing_odd_rows(spark, odd_docs):
     got = mixing.mix(odd_docs)
-    assert set(got.columns) == {"doc_id", "source", "n_tokens", "repeat", "block", "source_weight"} and got.count() > 0
+    assert set(got.columns) == {"doc_id", "source", "n_tokens", "repeat", "block", "position", "source_weight"} and got.count() > 0
     assert mixing.mix(odd_docs.where("false")).count() == 0 and mixing.mix(odd_docs.where("doc_id = 2")).count() == 0
     flat = mixing.exponent_for({"a": 1000, "b": 10}, 1010, 1.0, 1e9)
     assert flat == 0.0 and mixing.exponent_for({"a": 1000, "b": 10}, 1010, 0.0, 4.0) == 1.0

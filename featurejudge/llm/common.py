@@ -64,8 +64,8 @@ LEARN_ROWS = 40_000       # labelled documents of each label from which classifi
 
 def labelled_ids(labels: DataFrame, label_col: str, learn: Column | None = None, rows: int = LEARN_ROWS) -> DataFrame:
     """(__id, label, weight) of at most ``rows`` documents a label for which
-    ``learn`` (a condition on doc_id) holds: a sample by hash of the id, the
-    same for the same input.  ``weight`` undoes the sampling: weighted, the
+    ``learn`` (a condition on doc_id) holds: those with the smallest hashes of
+    the id, the same for the same input.  ``weight`` undoes the sampling: weighted, the
     labels have the shares that they have among all labelled documents, and the
     mean weight is 1, so a sample claims no more evidence than it has rows.
     Null labels and ids are ignored, repeated label rows count once, a document
@@ -75,8 +75,12 @@ def labelled_ids(labels: DataFrame, label_col: str, learn: Column | None = None,
     picked = known.where("false")
     held = {r["label"]: r["count"] for r in known.groupBy("label").count().collect()}
     for label, n in sorted(held.items()):
-        bound = min(2 ** 63 - 1, -(2 ** 63) + int(min(1.0, rows / n) * 2 ** 64))
-        picked = picked.unionByName(known.where((F.col("label") == label) & (F.xxhash64("__id", F.lit(5)) <= F.lit(bound))).limit(rows))
+        mine, h = known.where(F.col("label") == label), F.xxhash64("__id", F.lit(5))
+        if n > rows:
+            # the bound leaves a few more than are wanted; of those the smallest hashes are taken, whatever the order of arrival
+            bound = min(2 ** 63 - 1, -(2 ** 63) + int(min(1.0, (rows + 8 * rows ** 0.5 + 8) / n) * 2 ** 64))
+            mine = mine.where(h <= F.lit(bound)).orderBy(h, "__id").limit(rows)
+        picked = picked.unionByName(mine)
     picked = cut_lineage(picked)
     taken = {r["label"]: r["count"] for r in picked.groupBy("label").count().collect()}
     weight = F.lit(1.0)

@@ -49,7 +49,8 @@ _TRIM = ".,;:?!\"'()[]{}<>«»„“”¡¿…-_*#%&$~|+"
 _TRIM_SOFT = _TRIM.replace("$", "")
 _DISGUISED = re.compile(r"[0-9@$!|+(€£.\-_*~·'’]|(.)\1\1", re.S)
 _EDGE_LETTERS = re.compile(r"(?:^([$@])\1?(?=[^\W_]))|(?:(?<=[^\W_])([$@])\2?$)")
-_SPACED = re.compile(r"(?<!\S)\S(?:\s\S){2,}(?!\S)")
+#: Three or more characters set apart by white space, with punctuation before the first and behind the last.
+_SPACED = re.compile(rf"(?<!\S)[{re.escape(_TRIM)}]*(\S(?:\s++\S(?=\s))+\s++\S)[{re.escape(_TRIM)}]*+(?!\S)")
 _RUN = re.compile(r"(.)\1\1", re.S)
 
 
@@ -173,9 +174,10 @@ def restore(token: str, model: CharModel) -> str:
 
 def tokens(text: str | None) -> set[str]:
     """Distinct lower-case white-space tokens of a whole text, and its runs of
-    three or more one-character tokens."""
+    three or more one-character tokens (any white space between them, as one
+    space; without punctuation at either end)."""
     low = (text or "").lower()
-    return {*low.split(), *(run[0] for run in _SPACED.finditer(low))}
+    return {*low.split(), *(" ".join(run[1].split()) for run in _SPACED.finditer(low))}
 
 
 def features(word: str) -> list[str]:

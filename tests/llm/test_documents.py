@@ -1,5 +1,6 @@
 """Operators on documents: contracts, brute force, odd rows, empty tables."""
 import collections
+import itertools
 import math
 import re
 import time
@@ -142,10 +143,42 @@ def test_restoring_disguised_words():
         assert toxicity.restore(disguised, model) == plain
     scorer = toxicity.Scorer(toxicity.Model(model, {"moron": 0.9, "idiot": 0.8}, 0.1))
     assert scorer.text("you M0R0N!!") == scorer.text("what m o r o n today") == 0.9
+    for spaced in ("m o r o n.", "(m o r o n)", "m  o  r  o  n", "so m\to\n r o   n, ok", "\"m o r o n!\"", "m 0 r 0 n?"):
+        assert scorer.text(spaced) == 0.9, spaced
+    assert toxicity.tokens("a b of c d") == {"a", "b", "of", "c", "d"} and scorer.text("- m o r o n -") == 0.9
     assert scorer.text("1d10t") == 0.8 and scorer.text("the river 2024 ### &&&") == 0.0 and scorer.text(None) == 0.0
     assert math.isfinite(scorer.text("a0" * 20_000))
 
 
+def test_viterbi_by_all_paths_of_the_lattice():
+    """The restored spelling is the best of all readings of the lattice."""
+    words = ["stupid", "idiot", "moron", "trash", "all", "the", "tall", "a", "i", "see"]
+    counts = toxicity.trigram_counts(words, np.arange(len(words)) * 7 + 3)
+    at = np.flatnonzero(counts)
+    model = toxicity.CharModel.of(at, counts[at])
+
+    def cost(reads):
+        total, x, y = 0.0, 0, 0
+        for read, price in reads:
+            total -= price
+            if read == " ":
+                if y == 0:
+                    return None
+                total += model.log_p(x, y, 0)
+                x = y = 0
+            else:
+                for z in map(toxicity.class_of, read):
+                    total += model.log_p(x, y, z)
+                    x, y = y, z
+        return total + model.log_p(x, y, 0)
+    for token in ["m0r0n", "1d10t", "stuuupid", "tr@sh", "s.t.u", "a11", "t4ll", "i d i", "!!!", "5ee", "$$a", "7ra5h", "a..b", "l0$er"]:
+        paths = itertools.product(*toxicity.lattice(token))
+        best = max(c for c in map(cost, paths) if c is not None)
+        reading = toxicity.restore(token, model)
+        same = [c for p in itertools.product(*toxicity.lattice(token)) if "".join(r for r, _ in p) == reading for c in [cost(p)] if c is not None]
+        assert max(same) == pytest.approx(best, abs=1e-9), token
+
+
 def test_prefixes_give_way_to_words():
     assert toxicity.specific({"loser": (340, 0.9), "lose*": (342, 0.8), "lowei*": (900, 0.9), "loweia": (50, 0.9)}).keys() \
         == {"loser", "lowei*", "loweia"}
@@ -164,7 +197,9 @@ def test_labelled_rows_are_bounded(spark):
     docs = spark.createDataFrame([(k, f"t{k}") for k in range(300)], "doc_id long, text string")
     labels = spark.createDataFrame([(k, k % 2) for k in range(300)] * 2, "doc_id long, toxic int")
     got = labelled_rows(docs, labels, "toxic", rows=40).groupBy("label").count().collect()
-    assert all(10 < r["count"] <= 40 for r in got) and len(got) == 2
+    assert all(r["count"] == 40 for r in got) and len(got) == 2
+    picked = [{r["doc_id"] for r in labelled_rows(docs, some, "toxic", rows=40).collect()} for some in (labels, labels.repartition(7), labels.orderBy(F.desc("doc_id")))]
+    assert picked[0] == picked[1] == picked[2]
     assert labelled_rows(docs, labels, "toxic", rows=1000).count() == 300
 
 

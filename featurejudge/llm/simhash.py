@@ -9,8 +9,9 @@
    visits every side that the triangle bound leaves open.  The upper levels,
    grown on the driver from a bounded sample, cut the fingerprints into
    shards; each fingerprint lives in one shard and is sent as a query to every
-   other shard that its ball overlaps.  Inside a shard a task grows the rest of
-   the tree over all its fingerprints.  The sample only shapes the shards: the
+   other shard that its ball overlaps.  Shards that are too large are cut again
+   by tasks, from samples of their own.  Inside a shard a task grows the rest of
+   the tree over all its fingerprints.  The samples only shape the shards: the
    result is exact for any sample.
 3. Every shard returns a spanning forest of its links, never all pairs, and
    ``components.components`` joins the forests.
@@ -19,6 +20,7 @@
 from __future__ import annotations
 
 import itertools
+import pickle
 from collections.abc import Iterator
 
 import numpy as np
@@ -40,6 +42,7 @@ MAX_BITS = 4
 SEGMENTS = 3
 SHARD_ROWS = 4_096       # fingerprints a shard should hold
 SAMPLE_ROWS = 65_536     # most fingerprints from which the upper levels are grown
+LEVEL_ROWS = 16_384      # living rows from which a too large shard is cut again, about
 LEAF_ROWS = 48           # a node of a shard's tree with fewer rows is a leaf
 CHUNK = 1 << 15          # shingles counted at once
 
@@ -124,10 +127,11 @@ def grow(sample: np.ndarray, mask: int, radius: int, max_bits: int, leaf_rows: i
             grow(sample[~left], mask, radius, max_bits, leaf_rows, rng, numbers)]
 
 
-def route(tree: list, fps: np.ndarray) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+def route(tree: list, fps: np.ndarray, lives: np.ndarray | None = None) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
     """(shard, row numbers, whether each row lives there) for every leaf; a row
-    lives in one leaf and visits those that its ball overlaps."""
-    todo = [(tree, np.arange(len(fps)), np.ones(len(fps), bool))]
+    lives in one leaf and visits those that its ball overlaps.  ``lives``: rows
+    that live in the tree at all (default: all)."""
+    todo = [(tree, np.arange(len(fps)), np.ones(len(fps), bool) if lives is None else lives)]
     while todo:
         node, rows, home = todo.pop()
         if not len(rows):
@@ -220,19 +224,66 @@ def links(distinct_fps: DataFrame, max_bits: int = MAX_BITS, segments: int = SEG
             fps = batch.column(0).to_numpy().view(np.uint64)
             for k, tree in enumerate(shared.value):
                 for shard, rows, home in route(tree, fps):
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array(np.full(len(rows), k, np.int32)), pa.array(np.full(len(rows), shard, np.int32)),
-                         pa.array(fps[rows].view(np.int64)), pa.array(home)], ["tree", "shard", "fp", "home"])
+                    yield _dealt(k, str(shard), fps[rows], home)
 
     def solve(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
         fps = pdf["fp"].to_numpy(np.int64).view(np.uint64)
         rows, roots = shard_forest(fps, pdf["home"].to_numpy(bool), slices[int(key[0])], max_bits, segments)
         return pd.DataFrame({"a": fps[rows].view(np.int64), "b": fps[roots].view(np.int64)})
 
-    dealt = distinct_fps.mapInArrow(deal, "tree int, shard int, fp long, home boolean")
+    dealt = distinct_fps.mapInArrow(deal, DEALT)
+    # a leaf of the sample stands for more fingerprints than a shard should hold
+    if shard_rows * len(sample) < leaf * n:
+        dealt = refined(dealt, slices, max_bits, segments, shard_rows)
     return dealt.groupBy("tree", "shard").applyInPandas(solve, "a long, b long")
 
 
+DEALT = "tree int, shard string, fp long, home boolean"
+
+
+def _dealt(tree: int, shard: str, fps: np.ndarray, home: np.ndarray) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array(np.full(len(fps), tree, np.int32)), pa.array([shard] * len(fps), pa.string()),
+                                       pa.array(fps.view(np.int64)), pa.array(home)], ["tree", "shard", "fp", "home"])
+
+
+def refined(dealt: DataFrame, slices: list[int], max_bits: int, segments: int, shard_rows: int) -> DataFrame:
+    """``dealt`` with shards of more than ``4 * shard_rows`` living rows cut
+    again, until none is left that can be cut: so shards do not grow with the
+    corpus.  A task grows the next levels of a shard's tree from a bounded
+    sample of its living rows (by hash); they travel to the shard's rows by a
+    join, not through the driver."""
+    radius, done = max_bits // segments, None
+
+    def next_levels(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
+        fps = np.sort(pdf["fp"].to_numpy(np.int64)).view(np.uint64)
+        leaf = max(64, int(shard_rows * len(fps) / int(pdf["n"].iloc[0])))
+        tree = grow(fps, slices[int(key[0])], radius, max_bits, min(leaf, len(fps) - 1), np.random.default_rng(len(fps)))
+        return pd.DataFrame({"t": [key[0]], "s": [key[1]], "levels": [None if len(tree) == 1 else pickle.dumps(tree)]})
+
+    def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            pdf = batch.to_pandas()
+            for (k, shard), part in pdf.groupby(["tree", "shard"], sort=False):
+                fps = part["fp"].to_numpy(np.int64).view(np.uint64)
+                for leaf, rows, home in route(pickle.loads(part["levels"].iloc[0]), fps, part["home"].to_numpy(bool)):
+                    yield _dealt(int(k), f"{shard}.{leaf}", fps[rows], home)
+    while True:
+        dealt = cut_lineage(dealt)
+        big = cut_lineage(dealt.where("home").groupBy(F.col("tree").alias("t"), F.col("shard").alias("s")).count()
+                          .where(F.col("count") > 4 * shard_rows))
+        here = (F.col("tree") == F.col("t")) & (F.col("shard") == F.col("s"))
+        # about LEVEL_ROWS rows of each shard
+        share = F.lit(float(LEVEL_ROWS)) / F.col("count")
+        sampled = dealt.where("home").join(big, here).where(F.pmod(F.xxhash64("fp", F.lit(11)), F.lit(1 << 30)) < share * F.lit(float(1 << 30)))
+        levels = cut_lineage(sampled.select("tree", "shard", "fp", F.col("count").alias("n")).groupBy("tree", "shard")
+                             .applyInPandas(next_levels, "t int, s string, levels binary").where("levels IS NOT NULL"))
+        if levels.isEmpty():
+            return dealt if done is None else done.unionByName(dealt)
+        small = dealt.join(levels.select("t", "s"), here, "left_anti")
+        done = small if done is None else done.unionByName(small)
+        dealt = dealt.join(levels, here).select("tree", "shard", "fp", "home", "levels").mapInArrow(deal, DEALT)
+
+
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = SHINGLE,
                     max_bits: int = MAX_BITS, segments: int = SEGMENTS, shard_rows: int = SHARD_ROWS) -> DataFrame:
     """(doc_id, fingerprint, component_id), one row per input row.

@@ -53,6 +53,42 @@ def test_fingerprints_by_hand(documents):
         assert simhash.fingerprint(text) == by_hand(text)
 
 
+def test_large_shards_are_cut_again(spark, monkeypatch):
+    """With a sample far too small for the corpus the shards stay small, and no link is lost."""
+    rng = np.random.default_rng(5)
+    base = rng.integers(0, 2 ** 63, 1_500, dtype=np.uint64)
+    near = [base]
+    for bits in (1, 3, 4, 5):
+        flips = np.array([sum(1 << int(b) for b in rng.choice(64, bits, replace=False)) for _ in range(1_500)], dtype=np.uint64)
+        near.append(base ^ flips)
+    fps = np.unique(np.concatenate(near))
+    table = spark.createDataFrame([(int(x),) for x in fps.view(np.int64)], "fp long").repartition(3)
+    monkeypatch.setattr(simhash, "LEVEL_ROWS", 400)
+    sizes = []
+    real = simhash.refined
+
+    def spied(*args):
+        out = real(*args)
+        sizes.append(out.where("home").groupBy("tree", "shard").count().agg(F.max("count"), F.sum("count")).first())
+        return out
+    monkeypatch.setattr(simhash, "refined", spied)
+    pairs = simhash.links(table, 4, 3, shard_rows=60, sample_rows=128).collect()
+    # every fingerprint lives in one shard a tree
+    assert sizes[0][0] <= 400 and sizes[0][1] == 3 * len(fps)
+    place = {int(x): i for i, x in enumerate(fps.view(np.int64))}
+    root = list(range(len(fps)))
+
+    def find(x):
+        while root[x] != x:
+            x = root[x]
+        return x
+    for r in pairs:
+        assert int(fps[place[r["a"]]] ^ fps[place[r["b"]]]).bit_count() <= 64
+        a, b = find(place[r["a"]]), find(place[r["b"]])
+        root[max(a, b)] = min(a, b)
+    assert [find(i) for i in range(len(fps))] == components_by_hand(fps, 4)
+
+
 def test_simhash_components_by_brute_force(spark, documents):
     got = queries.QUERIES["op3_simhash"](spark, SF).toPandas().sort_values("doc_id")
     fps = np.array([int(x, 16) for x in got["fingerprint"]], np.uint64)

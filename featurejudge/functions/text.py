@@ -109,10 +109,17 @@ def case_folded(text: Column | str) -> Column:
     return F.replace(F.replace(low, F.lit("\u017f"), F.lit("s")), F.lit("\u0131"), F.lit("i"))
 
 
+def _needed(terms: Iterable[str]) -> list[str]:
+    """Lower-case terms without those that contain another one of the list: a
+    text with the longer term has the shorter one too."""
+    low = list(dict.fromkeys(t.lower() for t in terms))
+    return [t for t in low if not any(o != t and o in t for o in low)]
+
+
 def _contains_any(folded: Column, terms: Iterable[str]) -> Column:
     hit = None
-    for t in terms:
-        h = folded.contains(t.lower())
+    for t in _needed(terms):
+        h = folded.contains(t)
         hit = h if hit is None else (hit | h)
     return F.lit(0) if hit is None else F.coalesce(hit.cast("int"), F.lit(0))
 
@@ -140,14 +147,27 @@ def with_keyword_flags(df, text: str, flags: dict, word: bool = False):
     The folded text is its own projection, so it is computed once per row
     and shared by every term of every flag (inside one OR chain Spark would
     not reuse it: only the first operand of a short-circuit OR counts as
-    always evaluated)."""
+    always evaluated).  Terms that several flags have in common are looked
+    for once a row, in a projection of their own."""
     literal = {n: t for n, t in flags.items() if not isinstance(t, str) and not word}
-    folded = f"__{text}_folded"
+    folded, shared = f"__{text}_folded", f"__{text}_shared"
     out = df.withColumn(folded, case_folded(text)) if literal else df
-    cols = {n: (_contains_any(F.col(folded), t) if n in literal else keyword_flag(text, t, word))
-            for n, t in flags.items()}
+    lists = {n: _needed(t) for n, t in literal.items()}
+    groups: dict[tuple, list[str]] = {}
+    for term in dict.fromkeys(t for terms in lists.values() for t in terms):
+        groups.setdefault(tuple(n for n, terms in lists.items() if term in terms), []).append(term)
+    # one column for the terms that the same flags have in common
+    common = {names: f"{shared}{i}" for i, names in enumerate(g for g in groups if len(g) > 1)}
+    if common:
+        out = out.withColumns({c: _contains_any(F.col(folded), groups[names]) for names, c in common.items()})
+
+    def flag(n):
+        parts = [F.col(c) for names, c in common.items() if n in names]
+        parts += [_contains_any(F.col(folded), groups[(n,)])] if (n,) in groups else []
+        return F.greatest(*parts) if len(parts) > 1 else parts[0] if parts else F.lit(0)
+    cols = {n: flag(n) if n in literal else keyword_flag(text, t, word) for n, t in flags.items()}
     out = out.withColumns(cols)
-    return out.drop(folded) if literal else out
+    return out.drop(folded, *common.values()) if literal else out
 
 
 def text_or_default(col: Column | str, default: str = UNKNOWN) -> Column:

@@ -13,7 +13,8 @@ from collections.abc import Iterator
 from contextlib import contextmanager
 from contextvars import ContextVar
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
 
 # Settings every local session gets.  AQE stays on so joins on sides whose
 # runtime size is small become broadcast joins, skewed partitions are split
@@ -114,3 +115,10 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     path = scratch_folder(spark)
     df.write.mode("error").parquet(path)
     return spark.read.parquet(path)
+
+
+def cut_counted(df: DataFrame) -> tuple[DataFrame, int]:
+    """``cut_lineage`` and the number of rows, which the write itself counts."""
+    seen = Observation()
+    cut = cut_lineage(df.observe(seen, F.count(F.lit(1)).alias("n")))
+    return cut, seen.get["n"]

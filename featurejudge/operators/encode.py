@@ -16,6 +16,7 @@ from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
 from featurejudge.functions.columns import sanitize_name
+from featurejudge.session import cut_lineage
 
 MAX_VOCABULARY = 1000
 
@@ -189,6 +190,26 @@ def top_k_values(df: DataFrame, col: str, k: int = 10, prefix_chars: int = 64) -
     return top.withColumn("rank", F.row_number().over(Window.orderBy(F.desc("n"), F.asc(col))))
 
 
+def top_k_texts(df: DataFrame, key: str, col: str, k: int = 10, prefix_chars: int = 64) -> tuple[DataFrame, DataFrame]:
+    """(rows, top): the k most frequent texts (ties: text ascending) with their
+    hash, count and 1-based rank, and (key, hash) of every row with a text.
+
+    The text is read once to write (key, 128-bit hash, prefix) of each row,
+    from which everything is counted, and once more, for one row of each value
+    that may be among the k: those above the k-th count, and those that tie
+    with it on count and prefix.  ``key`` must be unique and not null."""
+    rows = cut_lineage(df.where(F.col(col).isNotNull()).select(key, F.md5(F.col(col)).alias("_h"), F.substring(col, 1, prefix_chars).alias("_p")))
+    counts = cut_lineage(rows.groupBy("_h").agg(F.count(F.lit(1)).alias("n"), F.min("_p").alias("_p"), F.min(key).alias("_one")))
+    head = counts.orderBy(F.desc("n"), F.asc("_p"), F.asc("_h")).limit(k).collect()  # k rows
+    if len(head) == k:
+        kth = head[-1]
+        counts = counts.where((F.col("n") > kth["n"]) | ((F.col("n") == kth["n"]) & (F.col("_p") <= kth["_p"])))
+    texts = df.select(F.col(key).alias("_one"), F.col(col)).join(counts.select("_one", "_h", "n"), "_one")
+    top = cut_lineage(texts.orderBy(F.desc("n"), F.asc(col)).limit(k).select("_h", col, "n"))
+    ranked = top.withColumn("rank", F.row_number().over(Window.orderBy(F.desc("n"), F.asc(col))))       # k rows
+    return rows.select(key, "_h"), ranked
+
+
 def row_sum(cols: Iterable[Column | str]) -> Column:
     """Row-wise sum with nulls skipped (0 for an empty set)."""
     total = F.lit(0)

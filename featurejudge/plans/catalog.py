@@ -323,10 +323,9 @@ def distinct_count_flag(spark, sf):
 def top10_first_token(spark, sf):
     docs = table(spark, sf, "documents")
     cmd = docs.select("doc_id", tx.first_token("text", ",").alias("commander"))
-    top = encode.top_k_values(cmd, "commander", 10)
-    kept = joins.semi_join_values(cmd, "commander", top)
+    rows, top = encode.top_k_texts(cmd, "doc_id", "commander", 10)
     # the top-k table holds at most k = 10 rows
-    kept = kept.join(F.broadcast(top.select("commander", F.col("rank").alias("cmd_rank"))), "commander")
+    kept = rows.join(F.broadcast(top.select("_h", "commander", F.col("rank").alias("cmd_rank"))), "_h")
     counts = kept.groupBy("doc_id", "commander", "cmd_rank").agg(F.count(F.lit(1)).alias("cmd_count"))
     return docs.select("doc_id").join(counts, "doc_id", "left").withColumn(
         "cmd_count", F.coalesce(F.col("cmd_count"), F.lit(0)).cast("long"))

@@ -50,3 +50,19 @@ def test_first_token_and_labels(spark):
     assert lab == "Supply Cut"
     pct = spark.createDataFrame([(0.4,), (0.0625,)], "x double").select(tx.percent_text("x")).collect()
     assert [r[0] for r in pct] == ["40.0%", "6.3%"]
+
+
+def test_top_texts_read_the_text_once_for_one_row_each(spark):
+    import collections
+    import random
+    from featurejudge.operators import encode
+    pick = random.Random(4)
+    values = ["a", "ab", "abc" + "x" * 100, "abc" + "x" * 101, "abc" + "x" * 99 + "a", "", "é", None]
+    rows = [(i, pick.choice(values)) for i in range(400)] + [(1000 + i, f"abc{'x' * 90}{i}") for i in range(20)]
+    df = spark.createDataFrame(rows, "id long, t string")
+    counts = collections.Counter(t for _, t in rows if t is not None)
+    for k in (1, 3, 7, 12, 100):
+        want = sorted(counts.items(), key=lambda x: (-x[1], x[0].encode()))[:k]
+        kept, top = encode.top_k_texts(df, "id", "t", k, prefix_chars=2)
+        assert [(r["t"], r["n"], r["rank"]) for r in top.orderBy("rank").collect()] == [(t, n, i + 1) for i, (t, n) in enumerate(want)]
+        assert kept.join(top, "_h").count() == sum(n for _, n in want)

@@ -159,6 +159,10 @@ def item_windows(items: DataFrame, width: int = WIDTH, min_literals: int = MIN_L
     return windows
 
 
+def _residue(h: Column, at: int) -> Column:
+    return F.shiftright(h, at).bitwiseAND(F.lit(SIEVE - 1)).cast("int")
+
+
 def leaks(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text",
           width: int = WIDTH, min_share: float = MIN_SHARE, min_literals: int = MIN_LITERALS,
           broadcast_bytes: int = BROADCAST_BYTES) -> DataFrame:
@@ -185,20 +189,24 @@ def leaks(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_co
         F.when(F.col("exact"), F.size("item_words")).otherwise(F.col("w")).alias("w")))
     held = ((items.agg(F.sum(F.octet_length(F.array_join("item_words", " ")) + 64).alias("b")).first()["b"] or 0)
             + 64 * windows.count())
-    # windows whose last bits no item has are dropped before they become rows
-    bits = bytearray(SIEVE)
-    for r in windows.select(F.col("h").bitwiseAND(F.lit(SIEVE - 1)).cast("int").alias("bit")).distinct().collect():
-        bits[r["bit"]] = 1
-    sieve = F.lit(bytes(bits))
+    # windows of which 16 bits here or there are no item's are dropped before they become rows
+    places = (0, 24)
+    bits = [bytearray(SIEVE) for _ in places]
+    for i, at in enumerate(places):
+        for r in windows.select(_residue(F.col("h"), at).alias("bit")).distinct().collect():
+            bits[i][r["bit"]] = 1
+    sieves = [F.lit(bytes(b)) for b in bits]
     # a document is named by two hashes of id and text: rows that share both are repeats
     keyed = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).select(
         "id", "text", F.xxhash64("text").alias("k1"), F.xxhash64("id", F.lit(7), "text").alias("k2"))
     texts = hashed(keyed.drop("id"), "text", kinds)
 
     def spots(hs):
-        at = F.filter(F.sequence(F.lit(0), F.size(hs) - 1), lambda k: F.substring(
-            sieve, F.get(hs, k).bitwiseAND(F.lit(SIEVE - 1)).cast("int") + 1, F.lit(1)) == F.lit(b"\x01"))
-        return F.transform(at, lambda k: F.struct(k.alias("k"), F.get(hs, k).alias("h"), F.get(hs, k - 1).alias("behind")))
+        def met_by(h):
+            first, second = (F.substring(sieve, _residue(h, at) + 1, F.lit(1)) == F.lit(b"\x01") for sieve, at in zip(sieves, places))
+            return first & second
+        found = F.transform(hs, lambda h, k: F.when(met_by(h), F.struct(k.alias("k"), h.alias("h"), F.get(hs, k - 1).alias("behind"))))
+        return F.filter(found, lambda s: s.isNotNull())
     # explode_outer: for explode, Spark infers a filter that would evaluate the template once more
     own = (texts.select("k1", "k2", F.size("words").alias("n"), F.explode_outer(let(F.col("hashes"), spots)).alias("s"))
            .select("k1", "k2", "n", "s.k", "s.h", "s.behind").where("h IS NOT NULL"))

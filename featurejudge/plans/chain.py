@@ -61,7 +61,7 @@ ORDER_TABLE_SQL = (
     + split_sql("base", KEY, LABEL))
 LABELS_SQL = f"lx AS (SELECT lt, CAST(row_number() OVER (ORDER BY lt) - 1 AS INTEGER) AS target FROM (SELECT DISTINCT {LABEL} AS lt FROM split))"
 TEST_SQL = f"t AS (SELECT {KEY}, lx.target FROM split JOIN lx ON split.{LABEL} = lx.lt WHERE split = 'test')"
-TRAIN = F.col("split") == "train"
+TRAIN, TEST = "split = 'train'", "split = 'test'"
 
 
 def preparation() -> chain.ColumnGroups:
@@ -92,7 +92,7 @@ def prepared_orders(spark, sf) -> Prepared:
     raw, _ = fit.label_index(order_table(spark, sf), LABEL, "target")
     prep = preparation().fit(raw.where(TRAIN))
     rows = cut_lineage(prep.transform(raw))
-    return Prepared(rows, rows.where(TRAIN), rows.where(~TRAIN), prep.features, raw)
+    return Prepared(rows, rows.where(TRAIN), rows.where(TEST), prep.features, raw)
 
 
 def _prepared_sql() -> str:
@@ -143,7 +143,7 @@ def oversampled_classes(spark, sf):
     row is among them, and none is made when the chain only scores."""
     raw, _ = fit.label_index(order_table(spark, sf), LABEL, "target")
     seen = cut_lineage(chain.resampled(oversampling_chain(CLASSES, 1), raw.where(TRAIN)).select(KEY, "target"))
-    test = raw.where(~TRAIN).select(F.col(KEY).alias("_test"))
+    test = raw.where(TEST).select(F.col(KEY).alias("_test"))
     return (seen.join(test, F.col(KEY) == F.col("_test"), "left").groupBy("target").agg(
         F.count(KEY).alias("n_original"), F.count_if(F.col(KEY).isNull()).alias("n_synthetic"), F.count("_test").alias("n_test_rows")))
 
@@ -159,7 +159,7 @@ SCORES_SQL = (f"WITH {ORDER_TABLE_SQL}, {LABELS_SQL}, {TEST_SQL} SELECT {KEY}, t
 def _chained(spark, sf) -> tuple[PipelineModel, DataFrame]:
     raw, _ = fit.label_index(order_table(spark, sf), LABEL, "target")
     train = raw.where(TRAIN)
-    return oversampling_chain(CLASSES, _majority(train)).fit(train), raw.where(~TRAIN)
+    return oversampling_chain(CLASSES, _majority(train)).fit(train), raw.where(TEST)
 
 
 @query("chained_logreg", SCORES_SQL)
@@ -391,7 +391,7 @@ REPEATS = 10
        "n AS n_donors, n AS n_targets FROM n, (SELECT unnest(['" + "', '".join(NUMERIC) + f"']) AS f), (SELECT unnest(range({REPEATS}))::INTEGER AS r)")
 def permuted_ranks(spark, sf):
     """Every shuffle of a feature's values is a bijection of the test rows."""
-    test = order_table(spark, sf).where(~TRAIN).select(KEY, *NUMERIC)
+    test = order_table(spark, sf).where(TEST).select(KEY, *NUMERIC)
     pairs = models.permuted_pairs(test, NUMERIC, KEY, REPEATS, SEED)
     return pairs.groupBy("feature", "repeat").agg(F.count(F.lit(1)).alias("n_rows"), F.count_distinct("donor").alias("n_donors"),
                                                   F.count_distinct("target_rank").alias("n_targets"))

@@ -79,3 +79,11 @@ def test_scale_paths_match_oracle(spark, con, name, monkeypatch):
     res = con.execute(ORACLE[name])
     ocols = [d[0] for d in res.description]
     assert digest([tuple(r) for r in df.collect()], df.columns) == digest(res.fetchall(), ocols)
+
+
+def test_registration_needs_no_session():
+    """The driver lists queries and SQL before it starts Spark."""
+    import subprocess
+    import sys
+    code = "import __spark_entry__ as e; assert set(e.oracle_sql()) <= set(e.queries())"
+    subprocess.run([sys.executable, "-c", code], check=True, cwd=E.__file__.rsplit("/", 1)[0])

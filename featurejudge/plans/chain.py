@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from featurejudge.functions.columns import rounded
-from featurejudge.operators import boosting, chain, evaluate, fit, models, rank
+from featurejudge.operators import boosting, chain, encode, evaluate, fit, models, rank
 from featurejudge.plans.catalog import EVENT_TYPES_SQL, PRIORITIES_SQL, query, r6
 from featurejudge.plans.fitted import SEED, TEST_FRACTION, split_sql
 from featurejudge.session import cut_lineage, scratch_folder
@@ -416,6 +416,20 @@ def top_coefficient_rows(spark, sf):
     return rank.top_coefficient_rows(part_coefficients(spark, sf), 10, places=6)
 
 
+PART_TYPES_SQL = ["ECONOMY", "LARGE", "MEDIUM", "PROMO", "SMALL", "STANDARD"]
+
+
+@query("top_coefficients_wide",
+       f"WITH {COEFS_SQL}, t AS (SELECT *, CAST(row_number() OVER (ORDER BY total DESC, feature) AS INTEGER) AS position FROM s) "
+       "SELECT cf.feature, t.position, " + ", ".join(f"max(CASE WHEN cf.class = '{v}' THEN cf.coef END) AS vs_{v}" for v in PART_TYPES_SQL)
+       + " FROM cf JOIN t USING (feature) WHERE position <= 10 GROUP BY cf.feature, t.position")
+def top_coefficients_wide(spark, sf):
+    """The same rows with a column a class, as the surveyed report has them."""
+    coefs = part_coefficients(spark, sf)
+    classes = encode.fitted_vocabulary(table(spark, sf, "part"), "p_type")
+    return encode.long_to_wide(rank.top_coefficient_rows(coefs, 10, places=6), ["feature", "position"], "class", "coef", classes, prefix="vs")
+
+
 @query("first_three_features",
        "WITH a AS (SELECT p_brand AS feature, round(avg(p_retailprice), 6) AS importance FROM part GROUP BY p_brand), "
        "r AS (SELECT *, CAST(row_number() OVER (ORDER BY importance DESC, feature) AS INTEGER) AS rank FROM a) "

@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from featurejudge.session import cut_counted, cut_lineage
+from featurejudge.session import cut_lineage
 
 ROWS_PER_BUCKET = 250_000
 MAX_BUCKETS = 20_000
@@ -63,10 +63,10 @@ def running_total(df: DataFrame, order_col: str, value_cols: Sequence[str],
 
     There is one plan for every size: a small input has one bucket."""
     parts = list(partition_cols)
-    # the input is read by the split-point sketch and the final plan; written
-    # once, and counted while it is written, so its lineage runs once
-    df, n_rows = cut_counted(df)
-    bucketed = range_bucket(df, order_col, n_rows, rows_per_bucket or ROWS_PER_BUCKET, max_buckets or MAX_BUCKETS)
+    # the input is read by the count (of the files' footers), the split-point
+    # sketch and the final plan; written once, so its lineage runs once
+    df = cut_lineage(df)
+    bucketed = range_bucket(df, order_col, df.count(), rows_per_bucket or ROWS_PER_BUCKET, max_buckets or MAX_BUCKETS)
     joined = _with_offsets(bucketed, {f"_o_{v}": F.sum(v) for v in value_cols}, parts, descending)
     order = F.desc(order_col) if descending else F.asc(order_col)
     within = (Window.partitionBy(*parts, "_bkt").orderBy(order)
@@ -95,8 +95,8 @@ def exact_rank(df: DataFrame, order_cols: Sequence[str], partition_cols: Sequenc
     the first column are told apart by the others, so no rank repeats and none
     depends on where the buckets are cut."""
     parts = list(partition_cols)
-    df, n_rows = cut_counted(df)
-    bucketed = range_bucket(df, order_cols[0], n_rows, rows_per_bucket or ROWS_PER_BUCKET)
+    df = cut_lineage(df)
+    bucketed = range_bucket(df, order_cols[0], df.count(), rows_per_bucket or ROWS_PER_BUCKET)
     joined = _with_offsets(bucketed, {"_o": F.count(F.lit(1))}, parts)
     within = Window.partitionBy(*parts, "_bkt").orderBy(*order_cols)
     return joined.withColumn(rank_col, F.row_number().over(within) + F.col("_o")).drop("_bkt", "_o")

@@ -11,6 +11,28 @@ from featurejudge.session import cut_lineage, scratch_folder  # noqa: F401
 SPACE_CLASS = r"[\x20\x09-\x0D]"
 
 
+class Memo(dict):
+    """Values of a function of a text, made when first asked for and kept in
+    two generations of ``size``: what was not asked for while a whole
+    generation filled is forgotten.  Texts above ``longest`` characters are not
+    kept.  It only saves time."""
+
+    def __init__(self, make, size: int, longest: int = 64):
+        super().__init__()
+        self.make, self.size, self.longest, self.older = make, size, longest, {}
+
+    def __missing__(self, text: str):
+        known = self.older.get(text)
+        if known is None:
+            known = self.make(text)
+        if len(text) <= self.longest:
+            if len(self) >= self.size:
+                self.older = dict(self)
+                self.clear()
+            self[text] = known
+        return known
+
+
 def load(spark: SparkSession, sf_dir: str, name: str, *cols: str) -> DataFrame:
     """Table ``name`` under ``sf_dir`` (any path Spark reads), pruned to ``cols``."""
     df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")

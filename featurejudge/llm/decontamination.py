@@ -27,6 +27,7 @@ MIN_LITERALS = 3                # words that are no placeholder in an item's win
 SHORT = ((11, 4), (8, 3))       # (item's words, window) of items under 3 * WIDTH - 1 words
 MIN_WORDS, MIN_CHARS = 4, 20    # an item with fewer words and fewer characters is not judged
 SIEVE = 1 << 16                 # residues of item hashes that are told apart before the join
+FILTER = 1 << 20                # residues by which documents without a match are left out
 BROADCAST_BYTES = 32 << 20      # most bytes of item windows that are broadcast
 
 #: Private-use characters that mark a placeholder; the value stands behind them.
@@ -227,7 +228,11 @@ def leaks(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_co
     def passages_in(w):
         return F.transform("c", lambda x: F.struct(x["item"].alias("item"), x["start"].alias("start"), F.transform(
             F.sequence(F.lit(0), x["len"] - 1), lambda j: F.get(w, x["start"] + j)).alias("span")))
-    met = keyed.join(met, ["k1", "k2"]).select("id", F.explode(let(template(F.col("text")), passages_in)).alias("p"))
+    # texts without a match are left out before they are shuffled, by a broadcast of at most FILTER residues
+    met = cut_lineage(met)
+    residues = met.select(F.pmod("k1", F.lit(FILTER)).alias("r")).distinct()
+    some = keyed.join(F.broadcast(residues), F.pmod(keyed["k1"], F.lit(FILTER)) == F.col("r"), "left_semi")
+    met = some.join(met, ["k1", "k2"]).select("id", F.explode(let(template(F.col("text")), passages_in)).alias("p"))
     met = met.select(F.col("id").alias("doc_id"), "p.item", "p.start", "p.span").join(F.broadcast(items) if small else items, "item")
     met = met.select("doc_id", "item", "item_id", "start", "exact", "w",
                      F.zip_with("item_words", "span", lambda a, b: F.struct(a.alias("item"), b.alias("doc"))).alias("pairs"))

@@ -41,6 +41,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.functions import arrow_udf
 
+from featurejudge.llm.common import Memo
+
 SPACE = "▁"          # stands for a space
 MEMO_CHUNKS = 120_000     # encoded chunks of a generation; a worker remembers two
 MEMO_CHARS = 64           # longest chunk that is remembered
@@ -49,26 +51,6 @@ SLICE = 256               # texts that are Python objects at once
 CONTROLS = "\n\r\t"
 
 
-class Memo(dict):
-    """Encoded chunks in two generations: what was not asked for while a whole
-    generation filled is forgotten."""
-
-    def __init__(self, make):
-        super().__init__()
-        self.make, self.older = make, {}
-
-    def __missing__(self, chunk: str) -> bytes:
-        known = self.older.get(chunk)
-        if known is None:
-            known = self.make(chunk)
-        if len(chunk) <= MEMO_CHARS:
-            if len(self) >= MEMO_CHUNKS:
-                self.older = dict(self)
-                self.clear()
-            self[chunk] = known
-        return known
-
-
 class Encoder:
     """The encoder of one model (the bytes of a SentencePiece model file)."""
 
@@ -99,7 +81,7 @@ class Encoder:
         self.borders: dict[tuple[str, int], list | None] = {}
         self.pairs: dict[str, dict[str, bool]] = {}
         self.n_pairs = 0
-        self.memo = Memo(self.chunk_ids)
+        self.memo = Memo(self.chunk_ids, MEMO_CHUNKS, MEMO_CHARS)
 
     def _cuts(self) -> str:
         """Pattern of the chunks of a text.  Characters that stand together in

@@ -18,6 +18,7 @@ import re
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass, field
+from itertools import chain
 
 import numpy as np
 import pandas as pd
@@ -26,7 +27,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.functions import pandas_udf
 
-from featurejudge.llm.common import cut_lineage, labelled_rows
+from featurejudge.llm.common import Memo, cut_lineage, labelled_rows
 
 LEXICON = 200_000         # most features kept, the most toxic ones first
 MIN_TOXIC = 3             # labelled toxic documents that a feature must have been seen in
@@ -39,7 +40,7 @@ SKETCH = 64               # minima that copies among the learning rows are told
 BAND = 4                  # minima that must agree before two rows are compared
 COPY = 0.8                # share of the minima that copies have in common
 CHANNEL = 1.5             # nats that reading a character as another one costs
-MEMO_WORDS = 50_000       # words remembered by a worker; emptied when full
+MEMO_WORDS = 30_000       # words of a generation of a worker's memory, which holds two
 
 #: Letters that a sign or digit imitates.
 LEET = {"0": "o", "1": "il", "2": "z", "3": "e", "4": "a", "5": "s", "6": "gb", "7": "t", "8": "b", "9": "g",
@@ -183,7 +184,11 @@ def tokens(text: str | None) -> set[str]:
 def features(word: str) -> list[str]:
     """The word and its prefixes; what is longer than ``LONG`` characters is named by a hash."""
     whole = word if len(word) <= LONG else f"{xxhash.xxh64_hexdigest(word.encode('utf-8', 'surrogatepass'))}#{len(word)}"
-    return [whole, *(word[:n] + "*" for n in PREFIXES if len(word) > n)]
+    out, length = [whole], len(word)
+    for n in PREFIXES:
+        if length > n:
+            out.append(word[:n] + "*")
+    return out
 
 
 def specific(lexicon: dict[str, tuple[int, float]], share: float = 0.9) -> dict[str, float]:
@@ -203,7 +208,7 @@ class Restorer:
     by white-space token (and by run of letters set apart)."""
 
     def __init__(self, model: CharModel):
-        self.model, self.memo = model, {}
+        self.model, self.memo = model, Memo(self.keys, MEMO_WORDS)
 
     def restored(self, token: str) -> list[str]:
         return [w for w in restore(token, self.model).split() if w]
@@ -226,15 +231,11 @@ class Restorer:
         return out
 
     def keys(self, token: str) -> tuple:
-        got = self.memo.get(token)
-        if got is None:
-            if len(self.memo) >= MEMO_WORDS:
-                self.memo.clear()
-            got = self.memo[token] = tuple({f for w in self.words(token) for f in features(w)})
-        return got
+        words = self.words(token)
+        return tuple(features(*words) if len(words) == 1 else {f for w in words for f in features(w)})
 
     def text(self, text: str | None) -> set[str]:
-        return {k for t in tokens(text) for k in self.keys(t)}
+        return set(chain.from_iterable(map(self.memo.__getitem__, tokens(text))))
 
 
 @dataclass
@@ -355,18 +356,19 @@ def fit(docs: DataFrame, labelled: DataFrame, text_col: str = "text", label_col:
 
 class Scorer:
     def __init__(self, model: Model):
-        self.weight, self.restorer, self.memo = model.weight, Restorer(model.chars), {}
+        self.weight, self.restorer, self.memo = model.weight, Restorer(model.chars), Memo(self.token, MEMO_WORDS)
 
     def token(self, token: str) -> float:
-        if token not in self.memo:
-            if len(self.memo) >= MEMO_WORDS:
-                self.memo.clear()
-            self.memo[token] = max((self.weight.get(f, 0.0) for w in self.restorer.words(token) for f in features(w)),
-                                   default=0.0)
-        return self.memo[token]
+        best, get = 0.0, self.weight.get
+        for w in self.restorer.words(token):
+            for f in features(w):
+                weight = get(f, 0.0)
+                if weight > best:
+                    best = weight
+        return best
 
     def text(self, text: str | None) -> float:
-        return max(map(self.token, tokens(text)), default=0.0)
+        return max(map(self.memo.__getitem__, tokens(text)), default=0.0)
 
 
 def score_column(spark, model: Model):

@@ -40,7 +40,7 @@ SKETCH = 64               # minima that copies among the learning rows are told
 BAND = 4                  # minima that must agree before two rows are compared
 COPY = 0.8                # share of the minima that copies have in common
 CHANNEL = 1.5             # nats that reading a character as another one costs
-MEMO_WORDS = 30_000       # words of a generation of a worker's memory, which holds two
+MEMO_WORDS = 20_000       # words of a generation of a worker's memory, which holds two
 
 #: Letters that a sign or digit imitates.
 LEET = {"0": "o", "1": "il", "2": "z", "3": "e", "4": "a", "5": "s", "6": "gb", "7": "t", "8": "b", "9": "g",

@@ -49,6 +49,11 @@ def prepared_documents(spark, sf) -> Prepared:
     return Prepared(d.where(train_rows), d.where(~train_rows), prep.features, n_classes)
 
 
+def _fitted_forest(p: Prepared, trees: int):
+    train = models.spread_for_trees(p.train, p.train.count())
+    return models.forest_pipeline(p.features, weight="weight", trees=trees).fit(train)
+
+
 def _scored(model, p: Prepared) -> DataFrame:
     return models.predictions(model, p.test, ["doc_id", "target"])
 
@@ -76,7 +81,7 @@ def logreg_cv(spark, sf):
 @query("random_forest")
 def random_forest(spark, sf):
     p = prepared_documents(spark, sf)
-    m = models.forest_pipeline(p.features, weight="weight", trees=1200).fit(p.train)
+    m = _fitted_forest(p, 1200)
     return _scored(m, p)
 
 
@@ -99,7 +104,7 @@ def mlp(spark, sf):
 @query("impurity_importance")
 def impurity_importance(spark, sf):
     p = prepared_documents(spark, sf)
-    m = models.forest_pipeline(p.features, weight="weight", trees=500).fit(p.train)
+    m = _fitted_forest(p, 500)
     return rank.top_features(models.importance_table(m, p.features, "random_forest"), k=20)
 
 
@@ -114,7 +119,7 @@ def coefficients(spark, sf):
 @query("permutation_importance")
 def permutation_importance(spark, sf):
     p = prepared_documents(spark, sf)
-    m = models.forest_pipeline(p.features, weight="weight", trees=500).fit(p.train)
+    m = _fitted_forest(p, 500)
     return models.permutation_importance(m, p.test, p.features, "doc_id", "target", repeats=10)
 
 

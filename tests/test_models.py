@@ -55,3 +55,67 @@ def test_one_vs_rest_probabilities(spark):
     for r in got:
         assert len(r["probability"]) == 3 and abs(sum(r["probability"]) - 1) < 1e-9
         assert r["prediction"] == max(range(3), key=lambda i: r["probability"][i])
+
+
+def test_forest_rows_keep_their_nodes_and_use_all_cores(spark):
+    rows = spark.range(2000, numPartitions=1).select(F.col("id").alias("k"), (F.xxhash64("id") % 100).cast("double").alias("x"),
+                                                     F.when(F.xxhash64("id") % 100 > 10, 1.0).otherwise(0.0).alias("target"))
+    pipe = models.forest_pipeline(["x"], trees=3)
+    forest = pipe.getStages()[-1]
+    assert forest.getCacheNodeIds()
+    want = pipe.copy({forest.cacheNodeIds: False}).fit(rows).stages[-1].toDebugString
+    assert pipe.fit(rows).stages[-1].toDebugString.split("\n")[1:] == want.split("\n")[1:]
+    cores = spark.sparkContext.defaultParallelism
+    assert models.spread_for_trees(rows, 2000).rdd.getNumPartitions() == max(1, min(cores, 4))
+    assert models.spread_for_trees(rows, 100).rdd.getNumPartitions() == 1
+
+
+def test_permutation_scores_only_changed_rows_and_counts_all(spark):
+    rows = spark.createDataFrame([(i, float(i % 2), 1.0, None if i == 7 else i % 2) for i in range(60)], "k long, a double, b double, target int")
+    rows = rows.withColumn("a", F.when(F.col("k") != 9, F.col("a")))                # a null value
+    model = models.forest_pipeline(["a", "b"], trees=3).fit(rows.where("target IS NOT NULL AND a IS NOT NULL"))
+    seen, transform = [], type(model).transform
+
+    def counted(self, df):
+        seen.append(df.count())
+        return transform(self, df)
+    type(model).transform = counted
+    try:
+        got = {r["feature"]: r for r in models.permutation_importance(model, rows, ["a", "b"], "k", repeats=4).collect()}
+    finally:
+        type(model).transform = transform
+    plain = rows.withColumn("_own", F.lit(0))
+    pairs = models.permuted_pairs(plain, ["a", "b"], "k", 4)
+    donors = models._ranked(plain, "k", 42).select("_rank", "target", "b", F.col("a").alias("old"))
+    met = pairs.where("feature = 'a'").join(donors, F.col("target_rank") == F.col("_rank")).select("repeat", "target", "b", F.col("value").alias("a"))
+    accs = [r[1] for r in transform(model, met).groupBy("repeat").agg(F.avg((F.col("prediction") == F.col("target")).cast("double"))).collect()]
+    base = transform(model, rows).agg(F.avg((F.col("prediction") == F.col("target")).cast("double"))).first()[0]
+    assert abs(got["a"]["importance_mean"] - (base - sum(accs) / 4)) < 1e-12
+    assert got["b"]["importance_mean"] == 0 and got["b"]["importance_std"] == 0      # a constant column: nothing to score
+    assert seen[0] == 60 and seen[1] < 60 * 4
+
+
+def test_distinct_ranks_are_counted_exactly(spark):
+    rows = spark.range(5000).select((F.col("id") % 3).alias("g"), (F.col("id") % 777).alias("x"), (F.col("id") * 7 % 2500).alias("y"))
+    got = models.distinct_ranks(rows, ["g"], "n", {"x": "nx", "y": "ny"})
+    want = rows.groupBy("g").agg(F.count(F.lit(1)), F.count_distinct("x"), F.count_distinct("y"))
+    assert sorted(map(tuple, got.collect())) == sorted(map(tuple, want.collect()))
+    assert "distinct" not in got._jdf.queryExecution().optimizedPlan().toString().lower()
+
+
+def test_neighbours_are_sought_for_short_classes_alone(spark, monkeypatch):
+    from featurejudge.operators import oversample
+    rows = spark.createDataFrame([(i, "few" if i % 5 == 0 else "many", [float(i % 7), float(i % 11)]) for i in range(100)], "k long, c string, v array<double>")
+    seen, plain = [], oversample.neighbours
+
+    def neighbours(base, key, label, *rest):
+        seen.append({r[0] for r in base.select(label).distinct().collect()})
+        out = plain(base, key, label, *rest)
+        seen.append({r[0]: r[1] for r in out.collect()})
+        return out
+    monkeypatch.setattr(oversample, "neighbours", neighbours)
+    out = oversample.smote(rows, "k", "c", "v")
+    assert seen[0] == {"few"} and {r["c"]: r["count"] for r in out.groupBy("c").count().collect()} == {"few": 80, "many": 80}
+    assert all(n == sorted(set(n)) and len(n) == 5 for n in seen[1].values()) and len(seen[1]) == 20
+    one = oversample.smote(rows.withColumn("c", F.lit("same")), "k", "c", "v")
+    assert one.count() == 100 and one.columns == ["k", "c", "v", "synthetic"]

@@ -43,3 +43,10 @@ def test_split_on_driver_labels(spark):
     counts = {(r["quality"], r["split"]): r["count"] for r in out.groupBy("quality", "split").count().collect()}
     assert counts[(0, "test")] == 12 and counts[(1, "test")] == 68
     assert out.where("split = 'train'").join(out.where("split = 'test'"), "doc_id").count() == 0
+
+
+def test_buckets_of_the_split_are_few_and_change_no_row(spark):
+    df = spark.range(3000).selectExpr("id AS k", "CAST(id % 3 AS INT) AS y")
+    assert 16 ** fit.SPLIT_PREFIX <= 4096           # rows of a class are summed by bucket before the shuffle
+    want = {r["k"]: r["split"] for r in fit.stratified_split(df, "k", "y", 0.2, 42, prefix_len=5).collect()}
+    assert {r["k"]: r["split"] for r in fit.stratified_split(df, "k", "y", 0.2, 42).collect()} == want

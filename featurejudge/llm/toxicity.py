@@ -357,16 +357,24 @@ def fit(docs: DataFrame, labelled: DataFrame, text_col: str = "text", label_col:
 class Scorer:
     def __init__(self, model: Model):
         self.weight, self.restorer, self.memo = model.weight, Restorer(model.chars), Memo(self.token, MEMO_WORDS)
+        self.starts = {f[:PREFIXES[0]] for f in self.weight}
 
-    def token(self, token: str) -> float:
+    def word(self, word: str) -> float:
+        # a feature of a word begins like the word, unless it is named by a hash
+        if word[:PREFIXES[0]] not in self.starts and len(word) <= LONG:
+            return 0.0
         best, get = 0.0, self.weight.get
-        for w in self.restorer.words(token):
-            for f in features(w):
-                weight = get(f, 0.0)
-                if weight > best:
-                    best = weight
+        for f in features(word):
+            weight = get(f, 0.0)
+            if weight > best:
+                best = weight
         return best
 
+    def token(self, token: str) -> float:
+        if token[:PREFIXES[0]] not in self.starts and len(token) <= LONG and token.isalpha() and not _RUN.search(token):
+            return 0.0
+        return max(map(self.word, self.restorer.words(token)), default=0.0)
+
     def text(self, text: str | None) -> float:
         return max(map(self.memo.__getitem__, tokens(text)), default=0.0)
 

@@ -220,6 +220,20 @@ def test_prefixes_give_way_to_words():
         == {"loser", "lowei*", "loweia"}
 
 
+def test_toxicity_looks_up_only_words_that_begin_like_a_feature(monkeypatch):
+    words = ["banana", "table", "loser", "losers", "moronic", "abc", "abcd", "l" + "o" * 60]
+    counts = toxicity.trigram_counts(words, np.full(len(words), 100))
+    at = np.flatnonzero(counts)
+    weight = {"lose*": 0.9, "abc": 0.5, "moroni*": 0.7, **{f: 0.8 for f in toxicity.features("x" * 20 + "y" * 40)[:1]}}
+    scorer = toxicity.Scorer(toxicity.Model(toxicity.CharModel.of(at, counts[at]), weight, 0.1))
+    texts = [*words, "l0sers", "m0ronic", "a b c", "xyxy" * 15, "x" * 20 + "y" * 40, "banana table", "losing", ""]
+    want = [max((weight.get(f, 0.0) for t in toxicity.tokens(x) for w in scorer.restorer.words(t) for f in toxicity.features(w)), default=0.0) for x in texts]
+    asked, named = [], toxicity.features
+    monkeypatch.setattr(toxicity, "features", lambda word: (asked.append(word), named(word))[1])
+    assert [scorer.text(x) for x in texts] == want and max(want) == 0.9 and 0.8 in want
+    assert not {"banana", "table", "losing", "abcd"} & set(asked) and {"losers", "abc", "moronic"} <= set(asked)
+
+
 def test_toxicity_odd_rows(spark, odd_docs):
     labels = spark.createDataFrame([(1, 1), (1, 1), (8, 0), (5, 0), (None, 1), (6, None), (99, 1), (4, 0)], "doc_id long, toxic int")
     got = toxicity.score(odd_docs, labels, F.lit(True)).collect()

@@ -37,6 +37,7 @@ def prepared_documents(spark, sf) -> Prepared:
     d = table(spark, sf, "documents").select("doc_id", "lang", F.col("n_chars").cast("double"), "text")
     d = tx.with_keyword_flags(d, "text", DOC_FLAGS).drop("text").withColumn("log_chars", F.log1p("n_chars"))
     d = d.join(table(spark, sf, "labels").select("doc_id", "quality"), "doc_id", "inner")
+    d = cut_lineage(d)  # texts are read once; the split and all that is fitted read flags and lengths
     d, _ = fit.label_index(fit.stratified_split(d, "doc_id", "quality", TEST_FRACTION, SEED), "quality", "target")
     train_rows = F.col("split") == "train"
     groups = [("numeric", NUMERIC, ["median", "scale"]), ("flags", list(DOC_FLAGS), ["most_frequent"]), ("lang", ["lang"], ["onehot"])]

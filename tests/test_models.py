@@ -70,6 +70,31 @@ def test_forest_rows_keep_their_nodes_and_use_all_cores(spark):
     assert models.spread_for_trees(rows, 100).rdd.getNumPartitions() == 1
 
 
+def test_forest_of_many_rows_has_as_many_even_tasks_on_every_core(spark):
+    cores = spark.sparkContext.defaultParallelism
+    rows = spark.range(1000, numPartitions=cores + 1)
+    for n_rows, tasks in ((cores * 100_000, cores), (cores * 100_000 + 1, 2 * cores)):
+        got = models.spread_for_trees(rows, n_rows)
+        sizes = [len(x) for x in got.rdd.glom().collect()]
+        assert len(sizes) == tasks and sum(sizes) == 1000 and max(sizes) - min(sizes) <= cores + 1
+
+
+def test_prepared_documents_read_every_text_once(spark, monkeypatch):
+    seen, plain = spark.sparkContext.accumulator(0), ml.table
+
+    @F.udf("string")
+    def read(text):
+        seen.add(1)
+        return text
+    docs = spark.range(60).select(F.col("id").alias("doc_id"), F.concat(F.lit("the supply line "), "id").alias("text"),
+                                  F.when(F.col("id") % 3 > 0, "en").otherwise("de").alias("lang"), (F.col("id") % 11).alias("n_chars"))
+    made = {"documents": docs.withColumn("text", read("text")), "labels": docs.select("doc_id", (F.col("doc_id") % 2).alias("quality"))}
+    monkeypatch.setattr(ml, "table", lambda spark, sf, name: made[name])
+    p = ml.prepared_documents(spark, "")
+    assert p.train.count() + p.test.count() == 60 and p.n_classes == 2
+    assert seen.value == 60
+
+
 def test_permutation_scores_only_changed_rows_and_counts_all(spark):
     rows = spark.createDataFrame([(i, float(i % 2), 1.0, None if i == 7 else i % 2) for i in range(60)], "k long, a double, b double, target int")
     rows = rows.withColumn("a", F.when(F.col("k") != 9, F.col("a")))                # a null value

@@ -144,3 +144,12 @@ def test_neighbours_are_sought_for_short_classes_alone(spark, monkeypatch):
     assert all(n == sorted(set(n)) and len(n) == 5 for n in seen[1].values()) and len(seen[1]) == 20
     one = oversample.smote(rows.withColumn("c", F.lit("same")), "k", "c", "v")
     assert one.count() == 100 and one.columns == ["k", "c", "v", "synthetic"]
+
+
+def test_values_given_away_are_not_sent_to_the_driver(spark):
+    import re
+    rows = spark.createDataFrame([(i, float(i % 7), i % 2) for i in range(60)], "k long, a double, target int")
+    model = models.forest_pipeline(["a"], trees=2).fit(rows)
+    plan = models.permutation_importance(model, rows, ["a"], "k", repeats=3)._jdf.queryExecution().executedPlan().toString()
+    assert re.search(r"SortMergeJoin \[_rank#\d+L\], \[target_rank#\d+L\]", plan)
+    assert not re.search(r"BroadcastHashJoin \[_rank#", plan)

@@ -153,3 +153,39 @@ def test_values_given_away_are_not_sent_to_the_driver(spark):
     plan = models.permutation_importance(model, rows, ["a"], "k", repeats=3)._jdf.queryExecution().executedPlan().toString()
     assert re.search(r"SortMergeJoin \[_rank#\d+L\], \[target_rank#\d+L\]", plan)
     assert not re.search(r"BroadcastHashJoin \[_rank#", plan)
+
+
+def test_written_out_sums_have_the_last_digits_of_the_loops(spark):
+    from featurejudge.operators import oversample
+    import numpy as np
+    rng = np.random.default_rng(3)
+    rows = [(i, rng.normal(size=5).tolist(), rng.normal(size=5).tolist()) for i in range(50)]
+    rows += [(50, [1.0, None, 3.0, 4.0, 5.0], [1.0] * 5), (51, [1.0] * 4, [2.0] * 5), (52, [1.0] * 6, [3.0] * 6), (53, None, [1.0] * 5),
+             (54, [-0.0] * 5, [0.0] * 5), (55, [float("nan")] * 5, [1.0] * 5)]
+    w = rng.normal(size=5).tolist()
+    df = spark.createDataFrame(rows, "k int, x array<double>, y array<double>")
+    got = {r["k"]: (r["d"], r["p"]) for r in df.select("k", oversample._sqdist(F.col("x"), F.col("y"), 5).alias("d"), oversample._dot(F.col("x"), w).alias("p")).collect()}
+
+    def looped(x, y, each):
+        if x is None or len(x) != len(y) or None in x:
+            return None
+        total = 0.0
+        for a, b in zip(x, y):
+            total += each(a, b)
+        return total
+    for k, x, y in rows:
+        want = looped(x, y, lambda a, b: (a - b) * (a - b)), looped(x, w, lambda a, b: a * b)
+        assert repr(got[k]) == repr(want), k
+
+
+def test_distances_of_neighbours_are_computed_once_and_compiled(spark):
+    import re
+
+    from featurejudge.operators import oversample
+    import numpy as np
+    rng = np.random.default_rng(5)
+    base = spark.createDataFrame([(i, i % 2, rng.normal(size=3).tolist()) for i in range(40)], "k long, c int, _x array<double>")
+    out = oversample.neighbours(base, "k", "c", 5, 42, 2, 3, 10)
+    plan = out._jdf.queryExecution().optimizedPlan().toString().split("\n")
+    assert len([line for line in plan if re.search(r"zip_with\(_x#\d+, _\w+#\d+", line)]) == 1
+    assert not any("filter(array(" in line for line in plan)         # below a lambda nothing is compiled
